@@ -107,6 +107,36 @@ def match_payloads(spark: SparkSession, sf: str) -> DataFrame:
     ).agg(F.collect_list(match).alias("matches")).drop("doc")
 
 
+def team_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze teams nested into documents of at most 64 teams, two loads per league."""
+    team = F.struct(c("team_id").alias("id"), c("team_name").alias("name"), c("short_name").alias("shortName"), "tla", c("crest_url").alias("crest"),
+                    "address", "website", "founded", c("club_colors").alias("clubColors"), "venue")
+    comp = F.struct(c("competition_id").alias("id"), c("competition_name").alias("name"), F.lit(None).cast("string").alias("code"))
+    return bronze_teams(spark, sf).groupBy(comp.alias("competition"), F.floor(c("team_id") / 64).alias("doc"), "ingest_timestamp").agg(
+        F.collect_list(team).alias("teams")).drop("doc")
+
+
+def standings_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly tables nested into documents of at most 64 teams.  The second block of a
+    document must be ignored; documents of every sixth month have no block at all."""
+    row = F.struct("position", F.struct(c("team_id").alias("id"), c("team_name").alias("name")).alias("team"), c("played_games").alias("playedGames"),
+                   "won", "draw", "lost", "points", c("goals_for").alias("goalsFor"), c("goals_against").alias("goalsAgainst"),
+                   c("goal_difference").alias("goalDifference"))
+    comp = F.struct(F.lit(1).cast("long").alias("id"), c("competition_name").alias("name"), c("competition_code").alias("code"))
+    docs = bronze_standings(spark, sf).groupBy(comp.alias("competition"), "ingest_timestamp", F.floor(c("team_id") / 64).alias("doc")).agg(
+        F.collect_list(row).alias("rows")).drop("doc")
+    block = F.struct(c("rows").alias("table"))
+    month = F.month(c("ingest_timestamp").cast("date"))
+    return docs.select("competition", "ingest_timestamp", F.when(month % 6 != 5, F.array(block, block)).otherwise(F.array().cast(
+        docs.select(F.array(block)).schema[0].dataType)).alias("standings"))
+
+
+def as_text(payload: DataFrame) -> DataFrame:
+    """Documents as JSON text, the way they arrive."""
+    body = [n for n in payload.columns if n != "ingest_timestamp"]
+    return payload.select("ingest_timestamp", F.to_json(F.struct(*body)).alias("body"))
+
+
 def bronze_xg_matches(spark: SparkSession, sf: str) -> DataFrame:
     """A second source for four fifths of the matches, with other spellings."""
     crowd = c("match_id") * 37 % 60000

@@ -73,7 +73,7 @@ def html_rows(
             yield pd.DataFrame(out, columns=["url", "table_no", "row_no", "cells"])
 
     schema = "url string, table_no int, row_no int, cells array<string>"
-    return pages.select(F.col(url).alias("u"), F.col(html).alias("h")).mapInPandas(parse, schema)
+    return pages.select(F.col(url).cast("string").alias("u"), F.col(html).alias("h")).mapInPandas(parse, schema)
 
 
 def pick_table(rows: DataFrame, *header_words: str) -> DataFrame:

@@ -17,6 +17,12 @@ def read_payloads(spark: SparkSession, paths: str | Sequence[str], schema: str)
     return spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE").json(paths)
 
 
+def parse_payloads(documents: DataFrame, text: str, schema: str) -> DataFrame:
+    """The same for documents kept as a text column; other columns are carried along."""
+    keep = [c for c in documents.columns if c != text]
+    return documents.withColumn("__p", F.from_json(text, schema)).select(*keep, "__p.*")
+
+
 def _ingested(df: DataFrame) -> Column:
     return F.col("ingest_timestamp") if "ingest_timestamp" in df.columns else F.lit(None).cast("string")
 
