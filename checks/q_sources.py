@@ -94,12 +94,12 @@ def s9(spark, sf):
     return tables.scan_table(spark, f"{sf}/orders.parquet").filter("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice")
 
 
-@query("s10_write_overwrite", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0")
+@query("s10_write_overwrite", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
 def s10(spark, sf):
     path = f"{shared_dir(spark)}/overwrite-{uuid4().hex}"
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     tables.write_overwrite(rows, path)
-    tables.write_overwrite(rows.filter("o_orderkey % 2 = 0"), path)
+    tables.write_overwrite(rows.filter("o_orderstatus = 'F'"), path)
     return tables.scan_table(spark, path)
 
 

@@ -7,7 +7,7 @@ query, so a suite is one DataFrame and one job.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -30,20 +30,28 @@ RULE_SCHEMA = "test_name string, status string, details string, timestamp timest
 
 @dataclass(frozen=True)
 class Check:
-    """One rule.  ``kind`` picks the family; build instances with the helpers below."""
+    """One rule.  ``kind`` picks the family; build instances with the helpers below.
+
+    ``bad`` and ``scope`` build their columns when a suite runs, so rules can be declared
+    before a session exists.
+    """
 
     kind: str
     check_type: str
     name: str
     cols: tuple[str, ...] = ()
-    bad: Column | None = None         # row rules: rows that violate
-    scope: Column | None = None       # row rules: rows that count as checked
+    bad: Callable[[], Column] | None = None    # row rules: rows that violate
+    scope: Callable[[], Column] | None = None  # row rules: rows that count as checked
     where: str | None = None
     options: Mapping = field(default_factory=dict)
 
 
+def _given(col: str) -> Callable[[], Column]:
+    return lambda: F.col(col).isNotNull()
+
+
 def not_null(*cols: str, where: str | None = None) -> list[Check]:
-    return [Check("row", "Completeness", f"NOT NULL: {c}", (c,), F.col(c).isNull(), where=where) for c in cols]
+    return [Check("row", "Completeness", f"NOT NULL: {c}", (c,), lambda c=c: F.col(c).isNull(), where=where) for c in cols]
 
 
 def unique(*cols: str, where: str | None = None) -> Check:
@@ -51,26 +59,26 @@ def unique(*cols: str, where: str | None = None) -> Check:
 
 
 def accepted(col: str, values: Iterable, where: str | None = None) -> Check:
-    c = F.col(col)
-    return Check("row", "Validity", f"VALID VALUES: {col}", (col,), c.isNotNull() & not_in_list(c, values), c.isNotNull(), where)
+    allowed = list(values)
+    return Check("row", "Validity", f"VALID VALUES: {col}", (col,), lambda: F.col(col).isNotNull() & not_in_list(col, allowed), _given(col), where)
 
 
 def in_range(col: str, lo=None, hi=None, where: str | None = None) -> Check:
-    c = F.col(col)
-    tests = [c < lo] if lo is not None else []
-    tests += [c > hi] if hi is not None else []
-    bad = reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
-    return Check("row", "Validity", f"RANGE: {col} in [{lo}, {hi}]", (col,), bad, c.isNotNull(), where)
+    def outside() -> Column:
+        tests = [F.col(col) < lo] if lo is not None else []
+        tests += [F.col(col) > hi] if hi is not None else []
+        return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
+
+    return Check("row", "Validity", f"RANGE: {col} in [{lo}, {hi}]", (col,), outside, _given(col), where)
 
 
-def row_rule(name: str, holds: str | Column, where: str | None = None) -> Check:
-    """Rows where ``holds`` is false violate; NULL is neither."""
-    e = F.expr(holds) if isinstance(holds, str) else holds
-    return Check("row", "Consistency", name, (), ~e, where=where)
+def row_rule(name: str, holds: str, where: str | None = None) -> Check:
+    """Rows where the expression ``holds`` is false violate; NULL is neither."""
+    return Check("row", "Consistency", name, (), lambda: ~F.expr(holds), where=where)
 
 
 def matches(col: str, pattern: str, where: str | None = None) -> Check:
-    return Check("row", "Validity", f"PATTERN: {col}", (col,), ~F.rlike(F.col(col), F.lit(pattern)), F.col(col).isNotNull(), where)
+    return Check("row", "Validity", f"PATTERN: {col}", (col,), lambda: ~F.rlike(F.col(col), F.lit(pattern)), _given(col), where)
 
 
 def foreign_key(col: str, parent: str, parent_col: str, where: str | None = None) -> Check:
@@ -91,7 +99,7 @@ def scd2(*keys: str) -> list[Check]:
     return [
         Check("unique", "SCD2 Integrity", f"SINGLE CURRENT: {', '.join(keys)}", keys, where="is_current"),
         Check("row", "SCD2 Integrity", "VALID DATES: closed records", (),
-              F.col("valid_to").isNull() | (F.col("valid_from") > F.col("valid_to")), where="NOT is_current"),
+              lambda: F.col("valid_to").isNull() | (F.col("valid_from") > F.col("valid_to")), where="NOT is_current"),
     ]
 
 
@@ -108,8 +116,8 @@ def _row_counts(df: DataFrame, checks: list[tuple[int, Check]], now: Column) ->
             aggs += [F.lit(0).cast("long").alias(f"n{i}"), F.when(age <= c.options["hours"], 0).otherwise(1).cast("long").alias(f"f{i}")]
         else:
             scope = F.expr(c.where) if c.where else F.lit(True)
-            seen = scope & c.scope if c.scope is not None else scope
-            aggs += [F.count_if(seen).alias(f"n{i}"), F.count_if(scope & c.bad).alias(f"f{i}")]
+            seen = scope & c.scope() if c.scope else scope
+            aggs += [F.count_if(seen).alias(f"n{i}"), F.count_if(scope & c.bad()).alias(f"f{i}")]
         rows.append(F.struct(F.lit(i).alias("ix"), F.col(f"n{i}").alias("checked"), F.col(f"f{i}").alias("failed")))
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 

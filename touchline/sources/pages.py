@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from touchline.functions.text import nonblank, slug, tolerant_double, tolerant_int
 from touchline.operators.joins import enrich
 from touchline.sources import schemas
+from touchline.sources.payloads import enforce
 
 
 class _Cells(HTMLParser):
@@ -178,24 +179,24 @@ def _typed(df: DataFrame, spec: Sequence[tuple[str, str, Mapping]]) -> list[Colu
     return [cast[kind](resolve_column(df, **pattern)).alias(name) for name, kind, pattern in spec]
 
 
-def player_stats(standard: DataFrame, others: Mapping[str, DataFrame], *, season: str, competition: str, batch_ts: str, order: str = "row_no") -> DataFrame:
+def player_stats(
+    standard: DataFrame, others: Mapping[str, DataFrame], *, batch_ts: str, page_keys: Sequence[str] = ("competition_name", "season"), order: str = "row_no"
+) -> DataFrame:
     """Bronze player rows: the standard table with figures of up to four other tables
-    joined on (player, team).  ``order`` is the page position: the last duplicate wins."""
+    joined on (page, player, team).  ``page_keys`` tell the pages apart, so all pages of
+    all competitions and seasons are one join.  ``order`` is the row's place on its page:
+    the last duplicate wins."""
     def identity(df: DataFrame, names: Sequence[str]) -> list[Column]:
         return [F.coalesce(resolve_column(df, contains=(IDENTITY[n],)).cast("string"), F.lit("")).alias(n) for n in names]
 
-    base = standard.select(*identity(standard, list(IDENTITY)), *_typed(standard, STANDARD)).filter(nonblank("player_name", "nan"))
-    keys = ["player_name", "team_name"]
-    sides = {n: t.select(*identity(t, keys), *_typed(t, ENRICHMENT[n]), F.col(order)) for n, t in others.items()}
+    base = standard.select(*page_keys, *identity(standard, list(IDENTITY)), *_typed(standard, STANDARD)).filter(nonblank("player_name", "nan"))
+    who = ["player_name", "team_name"]
+    sides = {n: t.select(*page_keys, *identity(t, who), *_typed(t, ENRICHMENT[n]), F.col(order)) for n, t in others.items()}
     columns = {n: [c for c, _, _ in ENRICHMENT[n]] for n in sides}
-    wide = enrich(base, sides, keys, columns, order)
+    wide = enrich(base, sides, [*page_keys, *who], columns, order)
     for name, spec in ENRICHMENT.items():
         if name not in sides:
             wide = wide.withColumns({c: F.lit(None).cast(kind) for c, kind, _ in spec})
-    stamped = wide.withColumns({
-        "source": F.lit("fbref"), "stat_type": F.lit("standard"), "competition_name": F.lit(competition),
-        "season": F.lit(season), "ingest_timestamp": F.lit(batch_ts),
-    })
-    from touchline.sources.payloads import enforce
-
+    # fixed values: source and table names stored with each row
+    stamped = wide.withColumns({"source": F.lit("fbref"), "stat_type": F.lit("standard"), "ingest_timestamp": F.lit(batch_ts)})
     return enforce(stamped, schemas.PLAYER_STATS)

@@ -2,7 +2,7 @@
 
 A history table is a folder of batch folders::
 
-    <root>/<table>/batch=<id>/is_current=true|false/*.parquet
+    <root>/<table>/batch=<id>/versions=open|closed/*.parquet
 
 Each batch writes its complete current set and only the versions it closed.  Readers
 take the closed versions of all committed batches and the current set of the newest.
@@ -78,15 +78,20 @@ def _committed(spark: SparkSession, path: str) -> list[str]:
     return sorted(p.getName().split("=", 1)[1] for p in done)
 
 
-def read_history(spark: SparkSession, path: str, *, before: str | None = None) -> DataFrame | None:
-    """All versions, or None when no batch is committed (``before`` hides later batches)."""
+def read_history(spark: SparkSession, path: str, *, before: str | None = None, merge_schema: bool = False) -> DataFrame | None:
+    """All versions, or None when no batch is committed (``before`` hides later batches).
+
+    ``is_current`` is computed from the folder name, so a filter on it prunes folders.
+    ``merge_schema`` reads tables whose columns grew over time.
+    """
     ids = [i for i in _committed(spark, path) if before is None or i < before]
     if not ids:
         return None
     folders = [f"{path}/batch={i}" for i in ids]
-    rows = spark.read.option("basePath", path).parquet(*folders)
-    keep = ~F.col("is_current") | (F.col("batch").cast("string") == ids[-1])  # partition columns: prunes folders
-    return rows.filter(keep).drop("batch", "action")
+    rows = spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower()).parquet(*folders)
+    is_open = F.col("versions") == "open"
+    keep = ~is_open | (F.col("batch") == ids[-1])
+    return rows.filter(keep).withColumn("is_current", is_open).drop("batch", "versions", "action")
 
 
 def load_batch(spark: SparkSession, path: str, config: changes.TableConfig, source: DataFrame, batch_id: str, ts) -> DataFrame:
@@ -103,9 +108,10 @@ def load_batch(spark: SparkSession, path: str, config: changes.TableConfig, sour
     current = history.filter("is_current") if history is not None else batch.limit(0)
     touched = changes.apply_batch(batch, current, config.keys, ts, deletes=config.deletes)
     target = f"{path}/batch={batch_id}"
-    touched.write.mode("overwrite").partitionBy("is_current").parquet(target)
+    parted = touched.withColumn("versions", F.when(F.col("is_current"), "open").otherwise("closed")).drop("is_current")
+    parted.write.mode("overwrite").partitionBy("versions").parquet(target)
     written = spark.read.parquet(target)
-    n = {a: F.count_if((F.col("action") == a) & F.col("is_current")) for a in ("INSERT", "UPDATE", "UNCHANGED")}
+    n = {a: F.count_if((F.col("action") == a) & (F.col("versions") == "open")) for a in ("INSERT", "UPDATE", "UNCHANGED")}
     gone = F.count_if(F.col("action") == "DELETE")
     return written.agg(
         n["INSERT"].alias("new_records"), n["UPDATE"].alias("updated_records"),
