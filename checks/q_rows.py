@@ -229,7 +229,7 @@ _PRICE = cents("l_extendedprice")
 SELECT l_orderkey, l_linenumber, l_partkey, {rdiv(_PRICE, '100', 0)} AS r0, {rdiv(_PRICE, '100', 1)} AS r1, {rdiv(_PRICE, 'CAST(l_quantity AS BIGINT) * 100', 3)} AS unit,
   abs(CAST(l_quantity AS INTEGER) - 25) AS gap FROM lineitem""")
 def f13(spark, sf):
-    price = numeric.dec("l_extendedprice")
+    price = c("l_extendedprice").cast("decimal(12,2)")
     return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", numeric.rounded(price, 0).alias("r0"), numeric.rounded(price, 1).alias("r1"),
         numeric.ratio("l_extendedprice", "l_quantity", 3).alias("unit"), F.abs(c("l_quantity").cast("int") - 25).alias("gap"))

@@ -103,7 +103,8 @@ def prefix_match(
     Output: structs ``l`` and ``r`` (NULL where unmatched).  Buckets of the equal
     columns are normally small and are compared inside one sort-merge join.  A bucket
     with more than ``pair_limit`` candidate pairs is matched on (equal, substring)
-    instead, which produces true matches only and spreads over the substrings.
+    instead, which produces true matches only and spreads over the substrings.  Whether
+    there is such a bucket is asked first, on pre-aggregated counts.
     """
     l = left.select(*[F.col(c).alias(f"__l{i}") for i, c in enumerate(equal)], F.struct("*").alias("l"))
     r = right.select(*[F.col(c).alias(f"__r{i}") for i, c in enumerate(equal)], F.struct("*").alias("r"))
@@ -116,13 +117,16 @@ def prefix_match(
            .filter(F.col("__nl") * F.col("__nr") > pair_limit)
            .select(*[F.col(c).alias(f"__h{i}") for i, c in enumerate(equal)]))
 
+    on = reduce(lambda a, b: a & b, [F.col(f"__l{i}") == F.col(f"__r{i}") for i in k])
+    on = on & _either_prefix(F.col("l")[name], F.col("r")[name])
+    if hot.isEmpty():
+        return l.join(r, on, "full_outer").select("l", "r")
+
     def split(df: DataFrame, side: str, how: str) -> DataFrame:
         on = reduce(lambda a, b: a & b, [F.col(f"__{side}{i}") == F.col(f"__h{i}") for i in k])
         return df.join(hot, on, how)
 
-    on = reduce(lambda a, b: a & b, [F.col(f"__l{i}") == F.col(f"__r{i}") for i in k])
-    cold = split(l, "l", "left_anti").join(
-        split(r, "r", "left_anti"), on & _either_prefix(F.col("l")[name], F.col("r")[name]), "full_outer").select("l", "r")
+    cold = split(l, "l", "left_anti").join(split(r, "r", "left_anti"), on, "full_outer").select("l", "r")
 
     hl, hr = split(l, "l", "left_semi"), split(r, "r", "left_semi")
     lid, rid = F.col("l")[ids[0]].alias("__lid"), F.col("r")[ids[1]].alias("__rid")

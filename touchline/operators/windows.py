@@ -10,12 +10,15 @@ it is safe to broadcast whatever the data size.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from math import ceil
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 GROUP_LIMIT = 1_000_000   # largest group a single task may order
 SAMPLE_PER_SLICE = 24     # sampled keys per slice: bounds what the driver sees
@@ -36,12 +39,18 @@ def order_columns(order_by: Sequence[str]) -> list[Column]:
     return [F.col(n).desc() if d else F.col(n).asc() for n, d in parse_order(order_by)]
 
 
-def largest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
-    """Rows of the biggest group (one pre-aggregated job)."""
+class GroupSizes(NamedTuple):
+    biggest: int
+    rows: int
+
+
+def group_sizes(df: DataFrame, partition_by: Sequence[str]) -> GroupSizes:
+    """Largest group and total rows: one pre-aggregated job over the key columns."""
     if not partition_by:
-        return df.count()
-    sizes = df.groupBy(*partition_by).count()
-    return sizes.agg(F.max("count")).first()[0] or 0
+        n = df.count()
+        return GroupSizes(n, n)
+    row = df.groupBy(*partition_by).count().agg(F.max("count"), F.sum("count")).first()
+    return GroupSizes(row[0] or 0, row[1] or 0)
 
 
 def ordered(
@@ -54,26 +63,27 @@ def ordered(
     size: str | None = None,
     group_limit: int = GROUP_LIMIT,
     biggest: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add row number, previous-row values and group size under one ordering.
 
     ``order_by`` must be unique within a group: end it with a key.  ``lag`` maps new
-    column name to source column.  ``biggest`` passes a known largest group size and
-    saves the measuring job.
+    column name to source column.  ``biggest`` and ``rows`` pass known sizes (see
+    :func:`group_sizes`) and save the measuring job.
     """
     lag = dict(lag or {})
-    if biggest is None:
-        biggest = largest_group(df.select(*{*partition_by, *[n for n, _ in parse_order(order_by)]}), partition_by)
+    if biggest is None or rows is None:
+        biggest, rows = group_sizes(df, partition_by)
     if biggest <= group_limit:
         return _plain(df, partition_by, order_by, row_number, lag, size)
-    return _sliced(df, partition_by, order_by, row_number, lag, size, group_limit)
+    return _sliced(df, partition_by, order_by, row_number, lag, size, group_limit, rows)
 
 
 def ranks(df: DataFrame, partition_by: Sequence[str], orders: Mapping[str, Sequence[str]], *, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Several rankings over one partitioning: measured once, shuffled once when small."""
-    biggest = largest_group(df.select(*partition_by), partition_by)
+    sizes = group_sizes(df, partition_by)
     for name, order_by in orders.items():
-        df = ordered(df, partition_by, order_by, row_number=name, biggest=biggest, group_limit=group_limit)
+        df = ordered(df, partition_by, order_by, row_number=name, group_limit=group_limit, biggest=sizes.biggest, rows=sizes.rows)
     return df
 
 
@@ -114,30 +124,32 @@ def _splitters(df: DataFrame, names: Sequence[tuple[str, bool]], slices: int, ro
 
 
 def _slice_of(df: DataFrame, names: Sequence[tuple[str, bool]], borders: list) -> Column:
-    """Number of borders at or before the row's key; two-level search, no join."""
+    """Number of borders at or before the row's key, by binary search in a literal array.
+
+    Borders travel as one JSON literal; a value that JSON rounds only moves a border.
+    """
     if not borders:
         return F.lit(0)
     types = {f.name: f.dataType for f in df.schema.fields}
-    chunk = max(1, ceil(len(borders) ** 0.5))
+    schema = T.ArrayType(T.StructType([T.StructField(n, types[n]) for n, _ in names]))
+    text = json.dumps([{n: row[n] for n, _ in names} for row in borders], default=str)
+    array = F.from_json(F.lit(text), schema)
+    key = F.struct(*[F.col(n).alias(n) for n, _ in names])
+    steps = [1 << b for b in range(len(borders).bit_length() - 1, -1, -1)]
 
-    def literal(row) -> Column:
-        return F.struct(*[F.lit(row[n]).cast(types[n]).alias(n) for n, _ in names])
+    def advance(at: Column, step: Column) -> Column:
+        ahead = at + step
+        return F.when((ahead <= len(borders)) & _precedes(F.get(array, ahead - 1), key, names), ahead).otherwise(at)
 
-    chunks = [borders[i:i + chunk] for i in range(0, len(borders), chunk)]
-    key = F.struct(*[F.col(n).alias(n) for n, _ in names])
-    tails = F.array(*[literal(c[-1]) for c in chunks])
-    passed = F.size(F.filter(tails, lambda s: _precedes(s, key, names)))
-    inner = F.get(F.array(*[F.array(*[literal(r) for r in c]) for c in chunks]), passed)
-    return passed * chunk + F.coalesce(F.size(F.filter(inner, lambda s: _precedes(s, key, names))), F.lit(0))
+    return F.reduce(F.array(*[F.lit(x) for x in steps]), F.lit(0), advance)
 
 
 def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def _sliced(df, partition_by, order_by, row_number, lag, size, group_limit):
+def _sliced(df, partition_by, order_by, row_number, lag, size, group_limit, rows):
     names = [(p, False) for p in partition_by] + parse_order(order_by)
-    rows = df.select(*[n for n, _ in names]).count()
     slices = min(MAX_SLICES, max(2, ceil(2 * rows / max(group_limit, 1))))
     borders = _splitters(df, names, slices, rows)
     tagged = df.withColumn(_B, _slice_of(df, names, borders))

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from touchline import constants as K
 from touchline.functions.labels import at_least, at_most, flag, ladder, movement, points, result_from_score
-from touchline.functions.numeric import age_in, dec, exact_sum, minus, per90, ratio, rounded, share, zero
+from touchline.functions.numeric import age_in, exact_sum, minus, per90, plus, quotient, ratio, share, units, zero
 from touchline.functions.text import surrogate_key
 from touchline.operators.aggregates import mean, ordered_text, share_where
 from touchline.operators.filters import finished
 from touchline.operators.joins import PAIR_LIMIT, join_role, left_on, prefix_match, previous_version
 from touchline.operators.sides import two_sided
-from touchline.operators.windows import GROUP_LIMIT, last_n, ordered, ranks
+from touchline.operators.windows import GROUP_LIMIT, group_sizes, last_n, ordered, ranks
 
 c = F.col
 _SIDES = ("home", "away")
@@ -197,7 +197,8 @@ def team_xg_analysis(matches_xg: DataFrame) -> DataFrame:
         F.sum("scored").alias("goals_scored"), F.sum("conceded").alias("goals_conceded"),
         F.coalesce(exact_sum("xg"), F.lit(0.0)).alias("total_xg"), F.coalesce(exact_sum("xga"), F.lit(0.0)).alias("total_xga"),
     )
-    gf, ga, xg, xga, n = c("goals_scored"), c("goals_conceded"), dec("total_xg"), dec("total_xga"), c("total_matches")
+    gf, ga, n = c("goals_scored"), c("goals_conceded"), c("total_matches")
+    scored_over, conceded_under = minus(gf, "total_xg"), minus("total_xga", ga)
 
     def quality(better: Column, noun: str) -> Column:
         # fixed values: label words; `better` is goals above expectation, in the good direction
@@ -208,12 +209,12 @@ def team_xg_analysis(matches_xg: DataFrame) -> DataFrame:
         "competition_name", "competition_code", "team_name", "total_matches", "total_points", "goals_scored", "goals_conceded",
         (gf - ga).alias("goal_difference"), "total_xg", "total_xga",
         minus("total_xg", "total_xga").alias("xg_difference"),
-        minus(gf, "total_xg").alias("goals_vs_xg"), minus(ga, "total_xga").alias("goals_conceded_vs_xga"),
+        scored_over.alias("goals_vs_xg"), minus(ga, "total_xga").alias("goals_conceded_vs_xga"),
         ratio(gf, n, 2).alias("goals_per_game"), ratio("total_xg", n, 2).alias("xg_per_game"),
         ratio(ga, n, 2).alias("goals_conceded_per_game"), ratio("total_xga", n, 2).alias("xga_per_game"),
-        rounded(dec(gf) - xg + xga - dec(ga), 2).alias("luck_index"),
-        quality(dec(gf) - xg, "Finishing").alias("finishing_quality"),
-        quality(xga - dec(ga), "Defense").alias("defensive_quality"),
+        plus(scored_over, conceded_under).alias("luck_index"),
+        quality(scored_over, "Finishing").alias("finishing_quality"),
+        quality(conceded_under, "Defense").alias("defensive_quality"),
     )
 
 
@@ -309,36 +310,39 @@ def head_to_head_basic(results: DataFrame) -> DataFrame:
 
 
 # --- players ------------------------------------------------------------------------
-# fixed values: score weights per position
-_SCORE_WEIGHTS = {
-    "Forward": {"goals_per90": "30", "assists_per90": "20", "shot_conversion_pct": "0.3", "goals_minus_xg": "5"},
-    "Midfielder": {"goals_per90": "15", "assists_per90": "25", "pass_completion_pct": "0.2"},
-    "Defender": {"pass_completion_pct": "0.3"},
+# fixed values: score weights per position, in tenths; the second table weighs counts per 90
+_SCORE_TENTHS = {
+    "Forward": {"goals_per90": 300, "assists_per90": 200, "shot_conversion_pct": 3, "goals_minus_xg": 50},
+    "Midfielder": {"goals_per90": 150, "assists_per90": 250, "pass_completion_pct": 2},
+    "Defender": {"pass_completion_pct": 3},
 }
-_SCORE_PER90_WEIGHTS = {
+_SCORE_PER90 = {
     "Midfielder": {"key_passes": 5, "progressive_passes": 3},
     "Defender": {"tackles": 10, "interceptions": 10, "clearances": 5},
 }
 
 
 def _performance_score() -> Column:
+    """Weighted figures plus weighted counts per 90, rounded once at the end."""
+    played = units("nineties")  # hundredths
+
     def weigh(position: str) -> Column:
-        flat = sum((dec(zero(n)) * F.lit(w).cast("decimal(4,1)") for n, w in _SCORE_WEIGHTS[position].items()), F.lit(0).cast("decimal(1,0)"))
-        rates = _SCORE_PER90_WEIGHTS.get(position)
-        if not rates:
-            return rounded(flat, 1)
-        volume = sum((zero(n) * w for n, w in rates.items()), F.lit(0))
-        return rounded(flat.cast("decimal(18,3)") + F.try_divide(dec(volume), dec("nineties")), 1)
+        thousandths = sum((units(zero(n)) * w for n, w in _SCORE_TENTHS[position].items()), F.lit(0).cast("long"))
+        counts = _SCORE_PER90.get(position)
+        if not counts:
+            return quotient(thousandths, F.lit(1000), 1)
+        volume = sum((zero(n).cast("long") * w for n, w in counts.items()), F.lit(0).cast("long"))
+        return quotient(thousandths * played + volume * 100_000, played * 1000, 1)
 
-    return ladder([(c("position_category") == p, weigh(p)) for p in _SCORE_WEIGHTS])
+    return ladder([(c("position_category") == p, weigh(p)) for p in _SCORE_TENTHS])
 
 
 def player_performance(players: DataFrame, *, min_minutes: int = 90) -> DataFrame:
     p = players.filter(c("minutes") >= min_minutes)
     cards = c("yellow_cards") + c("red_cards")
-    card_rate = F.try_divide(dec(cards), dec("nineties"))
-    risk = ladder([(~F.coalesce(c("nineties") > 0, F.lit(False)), "Unknown"), (card_rate > F.lit("0.3").cast("decimal(3,2)"), "High"),
-                   (card_rate > F.lit("0.15").cast("decimal(3,2)"), "Medium")], "Low")  # fixed values: risk labels
+    # fixed values: risk labels; more than 0.3 / 0.15 cards per 90, compared in whole numbers
+    card_load, played = cards.cast("long") * 10_000, units("nineties")
+    risk = ladder([(~F.coalesce(played > 0, F.lit(False)), "Unknown"), (card_load > played * 30, "High"), (card_load > played * 15, "Medium")], "Low")
     rates = {"key_passes": "key_passes", "progressive_passes": "progressive_passes", "tackles": "tackles",
              "interceptions": "interceptions", "defensive_actions": "defensive_actions"}
     return p.select(
@@ -349,9 +353,9 @@ def player_performance(players: DataFrame, *, min_minutes: int = 90) -> DataFram
         ratio("minutes", "starts", 0).alias("minutes_per_start"),
         "goals", "assists", "goal_contributions", "non_penalty_goals", "penalty_goals", "xg", "npxg", "xa", "xg_xa",
         "goals_minus_xg", "assists_minus_xa",
-        rounded(dec("goals_minus_xg") + dec("assists_minus_xa"), 2).alias("total_overperformance"),
+        plus("goals_minus_xg", "assists_minus_xa").alias("total_overperformance"),
         "goals_per90", "assists_per90", per90(c("goals") + c("assists"), "nineties").alias("goal_contributions_per90"),
-        "xg_per90", "xa_per90", per90(dec("xg") + dec("xa"), "nineties").alias("xg_xa_per90"),
+        "xg_per90", "xa_per90", per90(plus("xg", "xa"), "nineties").alias("xg_xa_per90"),
         "shots", "shots_on_target", "shot_accuracy_pct", "shot_conversion_pct", "shots_per90",
         ratio("shots", "goals", 1).alias("shots_per_goal"),
         "passes_completed", "passes_attempted", "pass_completion_pct", "key_passes", "passes_into_final_third",
@@ -425,15 +429,16 @@ def top_assisters(performance: DataFrame, *, group_limit: int = GROUP_LIMIT) ->
 
 
 def _ranked(p: DataFrame, order: list[str], group_limit: int) -> DataFrame:
-    p = ordered(p, ["competition_name"], order, row_number="rank_in_competition", group_limit=group_limit)
-    return ordered(p, [], order, row_number="overall_rank", group_limit=group_limit)
+    sizes = group_sizes(p, ["competition_name"])
+    p = ordered(p, ["competition_name"], order, row_number="rank_in_competition", group_limit=group_limit, biggest=sizes.biggest, rows=sizes.rows)
+    return ordered(p, [], order, row_number="overall_rank", group_limit=group_limit, biggest=sizes.rows, rows=sizes.rows)
 
 
 def player_xg_analysis(performance: DataFrame, *, min_minutes: int = 450, group_limit: int = GROUP_LIMIT) -> DataFrame:
     p = performance.filter((c("minutes") >= min_minutes) & ((c("xg") > 0) | (c("xa") > 0)))
-    g, a = dec("goals") - dec("xg"), dec("assists") - dec("xa")
-    # a quotient cut to 12 decimals keeps the sum of both within DECIMAL(38)
-    skill = F.try_divide(g * 50, dec("xg")).cast("decimal(30,12)") + F.try_divide(a * 50, dec("xa")).cast("decimal(30,12)")
+    g, a = minus("goals", "xg"), minus("assists", "xa")
+    xg, xa = units("xg"), units("xa")
+    skill = quotient((units(g) * xa + units(a) * xg) * 50, xg * xa, 1)  # 50 g / xg + 50 a / xa over one denominator
     p = p.select(
         "player_season_key", *_WHO, "matches_played", "minutes", "nineties", "goals", "xg", "npxg", "goals_minus_xg",
         "assists", "xa", "assists_minus_xa", "goal_contributions", "xg_xa", "total_overperformance",
@@ -443,7 +448,7 @@ def player_xg_analysis(performance: DataFrame, *, min_minutes: int = 450, group_
         ratio("xg", "shots", 3).alias("xg_per_shot"), ratio("goals", "xg", 2).alias("goals_per_xg"),
         at_least(g, K.FINISHING_CATEGORY, K.CATEGORY_REST).alias("finishing_category"),
         at_least(a, K.CREATIVE_CATEGORY, K.CATEGORY_REST).alias("creative_category"),
-        rounded(skill, 1).alias("skill_luck_index"),
+        skill.alias("skill_luck_index"),
     )
     return ranks(p, ["competition_name"], {
         "finishing_rank": ["goals_minus_xg desc", "player_season_key"],
