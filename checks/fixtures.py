@@ -6,15 +6,17 @@ The matching SQL is in ``checks.sql``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from uuid import uuid4
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from touchline.functions.labels import code_map
-from touchline.functions.numeric import ratio
+from touchline.functions.numeric import from_units, ratio, units
 from touchline.operators.changes import apply_scd2, prepare, with_hash
 from touchline.plans import silver
-from touchline.sources import payloads, schemas
+from touchline.session import shared_dir
+from touchline.sources import payloads, schemas, tables
 
 LOADED = "2024-01-01T00:00:00"
 RELOADED = "2024-02-01T00:00:00"
@@ -180,23 +182,21 @@ def bronze_players(spark: SparkSession, sf: str, max_line: int | None = None, at
     lines = table(spark, sf, "lineitem")
     if max_line is not None:
         lines = lines.filter(c("l_linenumber") <= max_line)
-    j = lines.join(table(spark, sf, "orders"), c("l_orderkey") == c("o_orderkey")).join(
-        table(spark, sf, "customer"), c("o_custkey") == c("c_custkey"))
-
-    def total(col: str) -> Column:
-        return F.sum(c(col).cast("decimal(6,2)"))
-
-    g = j.groupBy("o_custkey", "c_name", F.year("o_orderdate").alias("season"), "c_mktsegment", "c_nationkey").agg(
-        F.count_distinct("o_orderkey").cast("int").alias("mp"), F.sum("l_quantity").cast("int").alias("min"),
-        F.count_if(c("l_returnflag") == "R").cast("int").alias("g"), F.count_if(c("l_returnflag") == "A").cast("int").alias("a"),
-        F.count(F.lit(1)).cast("int").alias("sh"), total("l_discount").alias("disc"), total("l_tax").alias("tax"))
+    # One row per order first: the join below reuses that partitioning and moves fewer rows.
+    per_order = lines.groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("min"), F.count_if(c("l_returnflag") == "R").alias("g"), F.count_if(c("l_returnflag") == "A").alias("a"),
+        F.count(F.lit(1)).alias("sh"), F.sum(units("l_discount")).alias("disc"), F.sum(units("l_tax")).alias("tax"))
+    j = per_order.join(table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("season")), c("l_orderkey") == c("o_orderkey"))
+    g = j.groupBy("o_custkey", "season").agg(
+        F.count(F.lit(1)).cast("int").alias("mp"), *[F.sum(n).cast("int").alias(n) for n in ("min", "g", "a", "sh")], F.sum("disc").alias("disc"), F.sum("tax").alias("tax"))
+    g = g.join(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"), c("o_custkey") == c("c_custkey"))
     g = g.join(table(spark, sf, "nation").select("n_nationkey", "n_name"), c("c_nationkey") == c("n_nationkey"))
     m, k = c("min"), c("o_custkey")
 
     def rate(x: Column) -> Column:
         return ratio(x * 90, m, 2)
 
-    xg, xa = c("disc") * 10, c("tax") * 10
+    xg, xa, npxg = (from_units(x) for x in (c("disc") * 10, c("tax") * 10, c("disc") * 8))
     done = m * 3 % 400
     tried = done + m % 50
     mod = {"key_passes": 17, "passes_into_final_third": 13, "passes_into_penalty_area": 11, "progressive_passes": 19,
@@ -211,8 +211,7 @@ def bronze_players(spark: SparkSession, sf: str, max_line: int | None = None, at
         F.when(k % 2 == 1, ratio(m, 90, 2)).alias("nineties"), c("g").alias("goals"), c("a").alias("assists"),
         (c("g") + c("a")).alias("goals_assists"), (c("g") - c("g") % 3).alias("non_penalty_goals"), (c("g") % 3).alias("penalty_goals"),
         (c("g") % 3 + 1).alias("penalty_attempts"), (m % 7).alias("yellow_cards"), (m % 2).alias("red_cards"),
-        xg.cast("double").alias("xg"), (c("disc") * 8).cast("double").alias("npxg"), xa.cast("double").alias("xa"),
-        (xg + xa).cast("double").alias("xg_xa"), rate(c("g")).alias("goals_per90"), rate(c("a")).alias("assists_per90"),
+        xg.alias("xg"), npxg.alias("npxg"), xa.alias("xa"), from_units((c("disc") + c("tax")) * 10).alias("xg_xa"), rate(c("g")).alias("goals_per90"), rate(c("a")).alias("assists_per90"),
         rate(xg).alias("xg_per90"), rate(xa).alias("xa_per90"), c("sh").alias("shots"), F.floor(c("sh") / 2).alias("shots_on_target"),
         ratio(F.floor(c("sh") / 2) * 100, c("sh"), 1).alias("shot_accuracy"), rate(c("sh")).alias("shots_per90"),
         done.alias("passes_completed"), tried.alias("passes_attempted"), ratio(done * 100, tried, 1).alias("pass_completion_pct"),
@@ -307,11 +306,12 @@ def silver_players(spark, sf):
 
 
 def player_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Two loads of the player table through the history operator."""
+    """Two loads of the player table, stored and read back as they would be."""
     config = silver.CONFIGS["stg_players"]
-    first = prepare(silver.players(bronze_players(spark, sf, 3)), config.keys, config.hash_cols, LOADED, config.latest_by)
-    second = prepare(silver.players(bronze_players(spark, sf, None, RELOADED)), config.keys, config.hash_cols, RELOADED, config.latest_by)
-    return apply_scd2(first, second, config.keys, RELOADED)
+    path = f"{shared_dir(spark)}/stg_players-{uuid4().hex}"
+    tables.load_batch(spark, path, config, bronze_players(spark, sf, 3), "b1", LOADED)
+    tables.load_batch(spark, path, config, bronze_players(spark, sf, None, RELOADED), "b2", RELOADED)
+    return tables.read_history(spark, path)
 
 
 def standings_history(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Slowly changing records, type 2 (full history) and type 1 (overwrite).
 
-One null-safe full outer join between the batch and the *current* versions yields
-everything: actions, closed versions, new versions.  Both sides hold one row per
-business key, so the join has no hot key; closed versions never enter it.
+One full outer join between the batch and the *current* versions yields everything:
+actions, closed versions, new versions.  Both sides hold one row per business key, so the
+join has no hot key; closed versions never enter it.  The join uses plain equality, which
+keeps the partitioning of the de-duplication before it (a NULL key matches nothing, so
+transforms drop NULL keys).
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ def prepare(batch: DataFrame, keys: Sequence[str], hash_cols: Sequence[str], ts,
 def _paired(batch: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
     new = batch.select(*[F.col(k).alias(f"__n{i}") for i, k in enumerate(keys)], F.struct("*").alias("new"))
     old = current.select(*[F.col(k).alias(f"__o{i}") for i, k in enumerate(keys)], F.struct(*batch.columns).alias("old"))
-    on = reduce(lambda a, b: a & b, [F.col(f"__n{i}").eqNullSafe(F.col(f"__o{i}")) for i in range(len(keys))])
+    on = reduce(lambda a, b: a & b, [F.col(f"__n{i}") == F.col(f"__o{i}") for i in range(len(keys))])
     action = (F.when(F.col("old").isNull(), "INSERT")
               .when(F.col("new").isNull(), "DELETE")
               .when(~F.col("new.record_hash").eqNullSafe(F.col("old.record_hash")), "UPDATE")
@@ -125,7 +127,7 @@ def upsert_type1(target: DataFrame, batch: DataFrame, keys: Sequence[str], updat
     are inserted whole, the rest stays."""
     new = batch.select(*[F.col(k).alias(f"__n{i}") for i, k in enumerate(keys)], F.struct(*target.columns).alias("new"))
     old = target.select(*[F.col(k).alias(f"__o{i}") for i, k in enumerate(keys)], F.struct("*").alias("old"))
-    on = reduce(lambda a, b: a & b, [F.col(f"__n{i}").eqNullSafe(F.col(f"__o{i}")) for i in range(len(keys))])
+    on = reduce(lambda a, b: a & b, [F.col(f"__n{i}") == F.col(f"__o{i}") for i in range(len(keys))])
 
     def pick(c: str):
         take_new = F.col("new").isNotNull() if c in update_cols else F.col("old").isNull()

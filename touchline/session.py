@@ -18,8 +18,15 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JIT compiler skips methods above 8000 bytes of bytecode; wide marts exceed that
+    # when fused, so let Spark split them instead of running them interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Only settable before the session exists: call-site capture costs several JVM round
+# trips per Column operation.
+AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable settings to an existing session."""
@@ -31,7 +38,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def get_session(app: str = "touchline", **overrides: str) -> SparkSession:
     """Session for scripts; ``overrides`` are extra ``spark.*`` settings."""
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **overrides}.items():
+    for key, value in {**SETTINGS, **AT_START, **overrides}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
