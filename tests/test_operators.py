@@ -31,6 +31,22 @@ def test_sliced_window_equals_plain_window(skewed):
         assert want == got
 
 
+@pytest.mark.parametrize("type_", ["long", "double", "decimal(20,4)", "string", "date", "timestamp", "timestamp_ntz", "boolean", "float"])
+def test_sliced_rank_by_any_type(spark, type_):
+    df = spark.range(1500).withColumn("x", F.expr(f"""
+        CASE WHEN id % 11 = 0 THEN NULL WHEN '{type_}' IN ('date', 'timestamp', 'timestamp_ntz') THEN cast(date_add(date '2020-03-01', cast(id % 97 as int)) as string)
+        WHEN '{type_}' = 'boolean' THEN cast(id % 2 = 0 as string) WHEN '{type_}' = 'string' THEN concat('é"', chr(34 + cast(id % 60 as int)))
+        ELSE cast((id % 97) / 7 - 3 as string) END""").try_cast(type_) if type_ != "long" else F.col("id") % 97)
+    order = ["x desc", "id"]
+    a, b = (windows.ordered(df, [], order, row_number="rn", group_limit=n).select("id", "rn") for n in (10**6, 50))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_slice_borders_are_a_folded_literal(spark):
+    p = plan(windows.ordered(spark.range(500), [], ["id"], row_number="rn", group_limit=50))
+    assert "from_json" not in p and "reduce" in p
+
+
 def test_sliced_overall_rank_orders_in_many_tasks(skewed):
     p = plan(windows.ordered(skewed.select("id", "a"), [], ["a desc", "id"], row_number="rn", group_limit=40))
     rows = [line for line in p.splitlines() if "Exchange SinglePartition" in line]

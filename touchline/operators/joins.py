@@ -100,52 +100,64 @@ def prefix_match(
 ) -> DataFrame:
     """Full outer join on ``equal`` columns plus "one name holds the other's prefix".
 
-    Output: structs ``l`` and ``r`` (NULL where unmatched).  Buckets of the equal
-    columns are normally small and are compared inside one sort-merge join.  A bucket
-    with more than ``pair_limit`` candidate pairs is matched on (equal, substring)
-    instead, which produces true matches only and spreads over the substrings.  Whether
-    there is such a bucket is asked first, on pre-aggregated counts.
+    Output: structs ``l`` and ``r`` (NULL where unmatched).  Buckets of the equal columns
+    are normally small and are compared inside one sort-merge join.  A bucket with more
+    than ``pair_limit`` candidate pairs, or as many rows on one side, is matched on
+    (equal, substring) instead: that yields true matches only and spreads over the
+    substrings.  Whether there is such a bucket is asked first, on pre-aggregated counts.
+    Rows with a NULL among the equal columns cannot match and stay out of every shuffle.
     """
-    l = left.select(*[F.col(c).alias(f"__l{i}") for i, c in enumerate(equal)], F.struct("*").alias("l"))
-    r = right.select(*[F.col(c).alias(f"__r{i}") for i, c in enumerate(equal)], F.struct("*").alias("r"))
     k = range(len(equal))
 
-    def bucket_sizes(df: DataFrame, side: str) -> DataFrame:
-        return df.groupBy(*equal).agg(F.count(F.lit(1)).alias(side))
+    def side(df: DataFrame, s: str) -> tuple[DataFrame, DataFrame]:
+        whole = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in equal])
+        keyed = df.filter(whole).select(*[F.col(x).alias(f"__{s}{i}") for i, x in enumerate(equal)], F.struct("*").alias(s))
+        return keyed, df.filter(~whole).select(F.struct("*").alias(s))
 
-    hot = (bucket_sizes(left, "__nl").join(bucket_sizes(right, "__nr"), list(equal), "inner")
-           .filter(F.col("__nl") * F.col("__nr") > pair_limit)
-           .select(*[F.col(c).alias(f"__h{i}") for i, c in enumerate(equal)]))
+    (l, l_null), (r, r_null) = side(left, "l"), side(right, "r")
+    null_l, null_r = F.lit(None).cast(l.schema["l"].dataType).alias("l"), F.lit(None).cast(r.schema["r"].dataType).alias("r")
+
+    def alone(l_rows: DataFrame, r_rows: DataFrame) -> DataFrame:
+        return l_rows.select("l", null_r).unionByName(r_rows.select(null_l, "r"))
+
+    def sizes(df: DataFrame, s: str) -> DataFrame:
+        return df.groupBy(*[F.col(f"__{s}{i}").alias(f"__h{i}") for i in k]).agg(F.count(F.lit(1)).alias(f"__n{s}"))
+
+    keys = [f"__h{i}" for i in k]
+    nl, nr = F.coalesce("__nl", F.lit(0)), F.coalesce("__nr", F.lit(0))
+    hot = sizes(l, "l").join(sizes(r, "r"), keys, "full_outer").filter(
+        (nl * nr > pair_limit) | (nl > pair_limit) | (nr > pair_limit)).select(*keys)
 
     on = reduce(lambda a, b: a & b, [F.col(f"__l{i}") == F.col(f"__r{i}") for i in k])
     on = on & _either_prefix(F.col("l")[name], F.col("r")[name])
     if hot.isEmpty():
-        return l.join(r, on, "full_outer").select("l", "r")
+        return l.join(r, on, "full_outer").select("l", "r").unionByName(alone(l_null, r_null))
 
-    def split(df: DataFrame, side: str, how: str) -> DataFrame:
-        on = reduce(lambda a, b: a & b, [F.col(f"__{side}{i}") == F.col(f"__h{i}") for i in k])
-        return df.join(hot, on, how)
+    def split(df: DataFrame, s: str, how: str) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [F.col(f"__{s}{i}") == F.col(f"__h{i}") for i in k])
+        return df.join(hot, same, how)
 
     cold = split(l, "l", "left_anti").join(split(r, "r", "left_anti"), on, "full_outer").select("l", "r")
 
-    hl, hr = split(l, "l", "left_semi"), split(r, "r", "left_semi")
-    lid, rid = F.col("l")[ids[0]].alias("__lid"), F.col("r")[ids[1]].alias("__rid")
-    lk, rk = [F.col(f"__l{i}").alias(f"__k{i}") for i in k], [F.col(f"__r{i}").alias(f"__k{i}") for i in k]
+    hl = split(l, "l", "left_semi").withColumn("__lid", F.col("l")[ids[0]])
+    hr = split(r, "r", "left_semi").withColumn("__rid", F.col("r")[ids[1]])
     token = "__token"
 
-    def heads(df, keys, ident, side):
-        return df.select(*keys, ident, F.lower(F.substring(F.col(side)[name], 1, PREFIX)).alias(token))
+    def named(df: DataFrame, s: str, text: Column) -> DataFrame:
+        return df.select(*[F.col(f"__{s}{i}").alias(f"__k{i}") for i in k], f"__{s}id", text.alias(token))
+
+    def heads(df: DataFrame, s: str) -> DataFrame:
+        return named(df, s, F.lower(F.substring(F.col(s)[name], 1, PREFIX)))
 
-    def parts(df, keys, ident, side):
-        return df.select(*keys, ident, F.explode(_grams(F.col(side)[name])).alias(token))
+    def parts(df: DataFrame, s: str) -> DataFrame:
+        return named(df, s, F.explode(_grams(F.col(s)[name])))
 
     cols = [f"__k{i}" for i in k] + [token]
-    found = (parts(hl, lk, lid, "l").join(heads(hr, rk, rid, "r"), cols)
-             .unionByName(heads(hl, lk, lid, "l").join(parts(hr, rk, rid, "r"), cols))
+    found = (parts(hl, "l").join(heads(hr, "r"), cols).unionByName(heads(hl, "l").join(parts(hr, "r"), cols))
              .select("__lid", "__rid").distinct())
-    warm = (hl.select(lid.alias("__lid"), "l").join(found, "__lid", "left")
-            .join(hr.select(rid.alias("__rid"), "r"), "__rid", "full_outer").select("l", "r"))
-    return cold.unionByName(warm)
+    matched = found.join(hl.select("__lid", "l"), "__lid").join(hr.select("__rid", "r"), "__rid").select("l", "r")
+    lone = alone(hl.join(found, "__lid", "left_anti"), hr.join(found, "__rid", "left_anti"))
+    return cold.unionByName(matched).unionByName(lone).unionByName(alone(l_null, r_null))
 
 
 def ambiguous_pairs(matched: DataFrame, ids: tuple[str, str]) -> DataFrame:

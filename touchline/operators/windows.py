@@ -126,14 +126,21 @@ def _splitters(df: DataFrame, names: Sequence[tuple[str, bool]], slices: int, ro
 def _slice_of(df: DataFrame, names: Sequence[tuple[str, bool]], borders: list) -> Column:
     """Number of borders at or before the row's key, by binary search in a literal array.
 
-    Borders travel as one JSON literal; a value that JSON rounds only moves a border.
+    Borders travel as one JSON literal.  One that does not come back unchanged is dropped:
+    any ordered subset of borders cuts the rows correctly.
     """
-    if not borders:
-        return F.lit(0)
     types = {f.name: f.dataType for f in df.schema.fields}
     schema = T.ArrayType(T.StructType([T.StructField(n, types[n]) for n, _ in names]))
-    text = json.dumps([{n: row[n] for n, _ in names} for row in borders], default=str)
-    array = F.from_json(F.lit(text), schema)
+
+    def literal(rows: list) -> Column:
+        return F.from_json(F.lit(json.dumps([{n: r[n] for n, _ in names} for r in rows], default=str)), schema)
+
+    if borders:
+        back = df.sparkSession.range(1).select(literal(borders)).first()[0]
+        borders = [r for r, same in zip(borders, back) if tuple(r) == tuple(same)]
+    if not borders:
+        return F.lit(0)
+    array = literal(borders)
     key = F.struct(*[F.col(n).alias(n) for n, _ in names])
     steps = [1 << b for b in range(len(borders).bit_length() - 1, -1, -1)]
 
