@@ -112,6 +112,18 @@ def c10(spark, sf):
     return changes.upsert_type1(one, two, ["k"], ["status"]).select("k", "status", c("amount").cast("double").alias("amount"))
 
 
+@query("c10_merge_matches", sql("""
+SELECT match_id, CASE WHEN competition_name = 'Eredivisie' THEN 'AWARDED' ELSE match_status END AS match_status, home_goals + CASE WHEN competition_name = 'Eredivisie' THEN 1 ELSE 0 END AS home_goals,
+  stage, CASE WHEN competition_name = 'Eredivisie' THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-01-01' END AS valid_from FROM s_matches"""))
+def c10_matches(spark, sf):
+    config = silver.CONFIGS["stg_matches"]
+    rows = fx.silver_matches(spark, sf)
+    changed = rows.filter("competition_name = 'Eredivisie'").withColumns({
+        "match_status": F.lit("AWARDED"), "home_goals": c("home_goals") + 1, "stage": F.lit("not merged")})
+    merged = silver.merge_matches(changes.prepare(rows, config.keys, config.hash_cols, LOADED), changes.prepare(changed, config.keys, config.hash_cols, RELOADED))
+    return merged.select("match_id", "match_status", "home_goals", "stage", "valid_from")
+
+
 @query("c11_history_counts", sql("""
 SELECT 'orders' AS table_name, count(*) AS total_records, count(*) FILTER (is_current) AS current_records, count(*) FILTER (NOT is_current) AS historical_records FROM scd_hist
 UNION ALL SELECT 'standings', count(*), count(*) FILTER (valid_to IS NULL), count(*) FILTER (valid_to IS NOT NULL) FROM st_hist"""))

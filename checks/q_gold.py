@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.registry import query
 from checks.sql import cents, exclude, rdiv, sk, sql, units
-from touchline.plans import gold
+from touchline.operators import windows
+from touchline.plans import gold, silver
 
 MATCHDAY = f"""
 SELECT competition_code, competition_name, matchday_number, min(match_date) AS matchday_start_date, max(match_date) AS matchday_end_date,
@@ -248,3 +249,47 @@ def g14(spark, sf):
 @query("g15_standing_history", sql(STANDING_HISTORY))
 def g15(spark, sf):
     return gold.standing_history(fx.standings_history(spark, sf))
+
+
+# --- variants over the payload tables -------------------------------------------------
+def basic_results(spark, sf):
+    raw = fx.fx_matches(spark, sf).withColumn("match_date", F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return gold.match_results_basic(silver.payload_matches(raw))
+
+
+@query("g1_fct_match_results_basic", sql("""
+SELECT match_id, match_date, played_at AS match_datetime, competition_code, competition_name, matchday, home_team_id, home_team_name, away_team_id, away_team_name,
+  home_score AS home_goals, away_score AS away_goals, home_score + away_score AS total_goals, home_score - away_score AS goal_difference,
+  CASE sign(home_score - away_score) WHEN 1 THEN 'HOME' WHEN -1 THEN 'AWAY' ELSE 'DRAW' END AS match_result,
+  CASE sign(home_score - away_score) WHEN 1 THEN 3 WHEN 0 THEN 1 ELSE 0 END AS home_points, CASE sign(home_score - away_score) WHEN -1 THEN 3 WHEN 0 THEN 1 ELSE 0 END AS away_points,
+  home_score + away_score > 2 AS is_high_scoring, away_score = 0 AS home_clean_sheet, home_score = 0 AS away_clean_sheet FROM fx WHERE status = 'FINISHED'"""))
+def g1_basic(spark, sf):
+    return basic_results(spark, sf)
+
+
+_LAST = "(SELECT *, row_number() OVER (PARTITION BY team_id, competition_code ORDER BY taken DESC) AS rn FROM st_base)"
+
+
+@query("g4_dim_teams_basic", sql(f"""
+SELECT t.team_id, t.team_name, team_code, short_name, ' ' || stadium_name AS venue, founded_year AS founded, club_colors, l.code AS competition_code, l.name AS competition_name,
+  position AS current_position, pts AS current_points, w AS wins, d AS draws, p - w - d AS losses, gf AS goals_for, ga AS goals_against, {rdiv('pts', 'p', 2)} AS points_per_game,
+  CASE WHEN position < 5 THEN 'Champions League' WHEN position < 7 THEN 'Europa League' WHEN position = 7 THEN 'Conference League' WHEN position > 15 THEN 'Relegation'
+    WHEN position IS NOT NULL THEN 'Mid-table' END AS table_zone
+FROM s_teams t CROSS JOIN (VALUES ('DED', 'Eredivisie'), ('PL', 'Premier League')) l(code, name)
+LEFT JOIN {_LAST} s ON s.team_id = t.team_id AND s.competition_code = l.code AND rn = 1"""))
+def g4_basic(spark, sf):
+    teams_ = fx.bronze_teams(spark, sf).filter(F.col("ingest_timestamp") == fx.LOADED)
+    rows = teams_.withColumns({"team_name": F.trim("team_name"), "tla": F.upper("tla")}).drop("competition_name")
+    leagues = F.explode(F.array(*[F.struct(F.lit(code).alias("competition_code"), F.lit(name).alias("competition_name")) for code, name in (("DED", "Eredivisie"), ("PL", "Premier League"))]))
+    rows = silver.payload_teams(rows.withColumn("l", leagues).select("*", "l.*"))
+    latest = windows.dedup_latest(fx.bronze_standings(spark, sf), ["team_id", "competition_code"], ["ingest_timestamp"])
+    return gold.dim_teams_basic(rows, silver.payload_standings(latest))
+
+
+@query("g12_head_to_head_basic", sql(f"""
+SELECT team_name AS team, opponent, competition_name, n AS matches_played, w AS wins, d AS draws, l AS losses, gf AS goals_for, ga AS goals_against, w * 3 + d AS total_points,
+  gf - ga AS goal_difference, {rdiv('w * 100', 'n', 1)} AS win_percentage, CASE WHEN w - l >= 3 THEN 'Dominant' WHEN w > l THEN 'Edge' WHEN w = l THEN 'Even' ELSE 'Underdog' END AS dominance
+FROM (SELECT team_name, opponent, competition_name, count(*) AS n, count(*) FILTER (gf > ga) AS w, count(*) FILTER (gf = ga) AS d, count(*) FILTER (gf < ga) AS l,
+    CAST(sum(gf) AS BIGINT) AS gf, CAST(sum(ga) AS BIGINT) AS ga FROM r_sides GROUP BY ALL)"""))
+def g12_basic(spark, sf):
+    return gold.head_to_head_basic(basic_results(spark, sf))

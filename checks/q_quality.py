@@ -155,6 +155,13 @@ def q13(spark, sf):
     return q.trend(tables.scan_table(spark, path), F.to_date("check_timestamp").alias("check_date"), "layer")
 
 
+@query("q13_trend_per_run", """
+SELECT run_id, 3 + count(*) * 0 AS total_checks, 1 + count(*) * 0 AS passed, 1 + count(*) * 0 AS failed, 33.3::DOUBLE AS pass_rate FROM orders, (VALUES ('r1'), ('r2')) r(run_id) GROUP BY run_id""")
+def q13_runs(spark, sf):
+    rules = _rules(spark, sf)
+    return q.trend(rules.unionByName(rules.withColumn("run_id", F.lit("r2"))), "run_id")
+
+
 @query("q14_failed_only", """
 SELECT 'NOT NULL: note' AS check_name, count(*) AS records_failed FROM orders WHERE o_orderkey % 50 = 0
 UNION ALL SELECT 'RANGE: o_totalprice in [0, 10]', count(*) FROM orders WHERE o_totalprice > 10""")
@@ -284,3 +291,14 @@ def r10_pair(spark, sf):
 SELECT team_name, position, points, won || '-' || drawn || '-' || lost AS record, goals_for || '-' || goals_against AS goals, zone FROM {_ST} WHERE competition_name = 'ASIA'"""))
 def r10_table(spark, sf):
     return lookups.team_table(gold.competition_standings(g.teams(spark, sf)), "ASIA")
+
+
+@query("r10_hot_streaks", sql(f"SELECT player_name, team_name, recent_goals, current_form FROM ({g.PLAYER_FORM}) WHERE is_on_hot_streak"))
+def r10_hot(spark, sf):
+    return lookups.hot_streaks(gold.player_form(fx.player_history(spark, sf)))
+
+
+@query("r10_position_track", sql(f"""
+SELECT team_name, competition_name, snapshot_date, position, position_movement FROM ({g.STANDING_HISTORY}) WHERE team_name = 'T01 NATION_1'"""))
+def r10_track(spark, sf):
+    return lookups.position_track(gold.standing_history(fx.standings_history(spark, sf)), "T01 NATION_1")

@@ -170,3 +170,10 @@ def test_sql_rules_report_errors_without_stopping(spark):
     s = quality.summary(rows).first()
     assert (s.total, s.passed, s.failed, s.errors, s.pass_rate) == (3, 1, 1, 1, 33.3)
     assert quality.failing_rows(spark, rules["bad"]).count() == 1
+
+
+def test_a_known_bound_saves_the_measuring_job(spark, skewed):
+    before = spark.sparkContext.statusTracker()
+    n = len(before.getJobIdsForGroup(None))
+    windows.ordered(skewed, ["g"], ["id"], row_number="rn", biggest=3000)
+    assert len(before.getJobIdsForGroup(None)) == n

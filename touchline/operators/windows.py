@@ -68,14 +68,16 @@ def ordered(
     """Add row number, previous-row values and group size under one ordering.
 
     ``order_by`` must be unique within a group: end it with a key.  ``lag`` maps new
-    column name to source column.  ``biggest`` and ``rows`` pass known sizes (see
-    :func:`group_sizes`) and save the measuring job.
+    column name to source column.  ``biggest`` passes a known bound of the largest group (and
+    ``rows`` the total, see :func:`group_sizes`) and saves the measuring job.
     """
     lag = dict(lag or {})
-    if biggest is None or rows is None:
+    if biggest is None:
         biggest, rows = group_sizes(df, partition_by)
     if biggest <= group_limit:
         return _plain(df, partition_by, order_by, row_number, lag, size)
+    if rows is None:
+        rows = df.count()
     return _sliced(df, partition_by, order_by, row_number, lag, size, group_limit, rows)
 
 

@@ -487,11 +487,14 @@ def player_form(history: DataFrame, *, min_matches: int = 3) -> DataFrame:
     )
 
 
-def standing_history(history: DataFrame, *, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """Every standings version with the change since the version before it."""
+def standing_history(history: DataFrame, *, group_limit: int = GROUP_LIMIT, max_versions: int | None = None) -> DataFrame:
+    """Every standings version with the change since the version before it.
+
+    ``max_versions`` is a known bound of versions per team (the number of loads).
+    """
     before = {"previous_position": "position", "previous_points": "points", "__previous_matches": "matches_played"}
     s = ordered(history, ["team_name", "competition_name", "season"], ["valid_from", "standing_key"],
-                row_number="snapshot_number", lag=before, size="total_snapshots", group_limit=group_limit)
+                row_number="snapshot_number", lag=before, size="total_snapshots", group_limit=group_limit, biggest=max_versions)
     change = F.coalesce("previous_position", "position") - c("position")
     gained = c("points") - zero("previous_points")
     played = c("matches_played") - zero("__previous_matches")

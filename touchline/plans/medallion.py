@@ -16,9 +16,8 @@ from touchline.operators.sides import stack_all
 from touchline.plans import gold, silver, suites
 from touchline.sources import tables
 
-# mart -> (function, inputs).  Names in HISTORY are read with all versions, other silver
-# tables with current rows only.
-HISTORY = {"players_history", "standings_history"}
+# mart -> (function, inputs).  players_history and standings_history hold all versions,
+# other silver tables current rows only.
 MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "fct_match_results": (gold.match_results, ("stg_matches", "stg_teams")),
     "fct_matches_with_xg": (gold.matches_with_xg, ("stg_matches", "stg_fbref_matches")),
@@ -61,11 +60,13 @@ def silver_inputs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def build_gold(spark: SparkSession, root: str, batch_id: str, ts) -> dict[str, DataFrame]:
     """Write every mart whose inputs exist under ``gold/<mart>/batch=<id>``."""
     frames = silver_inputs(spark, root)
+    loads = tables.batch_count(spark, f"{root}/silver/stg_fbref_standings")
+    options = {"agg_standing_history": {"max_versions": loads}}
     built: dict[str, DataFrame] = {}
     for mart, (make, needs) in MARTS.items():
         if all(n in frames for n in needs):
             path = f"{root}/gold/{mart}/batch={batch_id}"
-            out = make(*[frames[n] for n in needs]).withColumn("transformed_at", F.lit(ts).cast("timestamp"))
+            out = make(*[frames[n] for n in needs], **options.get(mart, {})).withColumn("transformed_at", F.lit(ts).cast("timestamp"))
             tables.write_overwrite(out, path)
             frames[mart] = built[mart] = spark.read.parquet(path)
     return built

@@ -9,7 +9,7 @@ from touchline import constants as K
 from touchline.functions.labels import code_map, flag, ladder, position_category, result_from_score
 from touchline.functions.numeric import age_in, minus, nineties, ratio, rounded, share, zero
 from touchline.functions.text import clean, clean_upper, digits_to_int, nonblank, surrogate_key
-from touchline.operators.changes import TableConfig
+from touchline.operators.changes import TableConfig, upsert_type1
 
 
 def _as_is(*names: str) -> dict[str, Column]:
@@ -196,6 +196,13 @@ TYPE1_MATCH_COLUMNS = (
     "match_status", "home_goals", "away_goals", "home_goals_halftime", "away_goals_halftime", "total_goals", "match_result",
     "is_finished", "is_draw", "source_updated_at", "ingested_at", "record_hash", "valid_from", "valid_to", "is_current", "transformed_at",
 )
+
+
+def merge_matches(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """Matches without history: one row per match, overwritten in place."""
+    return upsert_type1(target, batch, ["match_id"], TYPE1_MATCH_COLUMNS)
+
+
 VERSION_KEYS = {
     "stg_matches": ("match_version_key", ("match_id",)),
     "stg_teams": ("team_version_key", ("team_id",)),

@@ -78,6 +78,11 @@ def _committed(spark: SparkSession, path: str) -> list[str]:
     return sorted(p.getName().split("=", 1)[1] for p in done)
 
 
+def batch_count(spark: SparkSession, path: str) -> int:
+    """Loads so far: no key can have more versions than this."""
+    return len(_committed(spark, path))
+
+
 def read_history(spark: SparkSession, path: str, *, before: str | None = None, merge_schema: bool = False) -> DataFrame | None:
     """All versions, or None when no batch is committed (``before`` hides later batches).
 
