@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from touchline.functions.labels import code_map
 from touchline.functions.numeric import from_units, ratio, units
 from touchline.operators.changes import apply_scd2, prepare, with_hash
+from touchline.operators.windows import dedup_latest
 from touchline.plans import silver
 from touchline.session import shared_dir
 from touchline.sources import payloads, schemas, tables
@@ -292,12 +293,11 @@ def silver_matches(spark, sf):
 
 
 def silver_xg_matches(spark, sf):
-    return silver.xg_matches(bronze_xg_matches(spark, sf))
+    """One row per match key, as the history table keeps them."""
+    return dedup_latest(silver.xg_matches(bronze_xg_matches(spark, sf)), ["match_key"], ["attendance", "referee"])
 
 
 def silver_teams(spark, sf):
-    from touchline.operators.windows import dedup_latest
-
     return dedup_latest(silver.teams(bronze_teams(spark, sf)), ["team_id"], ["ingested_at"])
 
 

@@ -151,7 +151,7 @@ def c12_versions(spark, sf):
 
 @query("c13_run_configs", sql("""
 SELECT 'stg_matches' AS table_name, count(*) AS rows, count(DISTINCT match_id) AS keys FROM s_matches UNION ALL SELECT 'stg_teams', count(*), count(DISTINCT team_id) FROM s_teams
-UNION ALL SELECT 'stg_fbref_matches', count(DISTINCT match_key), count(DISTINCT match_key) FROM s_xg
+UNION ALL SELECT 'stg_fbref_matches', count(*), count(DISTINCT match_key) FROM s_xg
 UNION ALL SELECT 'stg_players', count(*), count(DISTINCT player_season_key) FROM s_players"""))
 def c13(spark, sf):
     sources = {"stg_matches": fx.bronze_matches, "stg_teams": fx.bronze_teams, "stg_fbref_matches": fx.bronze_xg_matches, "stg_players": fx.bronze_players}
@@ -199,9 +199,9 @@ def m2(spark, sf):
     return fx.silver_teams(spark, sf)
 
 
-@query("m3_silver_xg_matches", sql("SELECT * EXCLUDE (home_xg_c, away_xg_c) FROM s_xg"))
+@query("m3_silver_xg_matches", sql("SELECT * EXCLUDE (home_xg_c, away_xg_c) FROM s_xg_rows"))
 def m3(spark, sf):
-    return fx.silver_xg_matches(spark, sf)
+    return silver.xg_matches(fx.bronze_xg_matches(spark, sf))
 
 
 @query("m4_silver_standings", sql("SELECT * EXCLUDE (xg_c, xga_c) FROM s_st"))

@@ -257,7 +257,7 @@ def r8(spark, sf):
     return over.select(F.lit("over").alias("list"), "player_season_key").unionByName(goals.select(F.lit("goals").alias("list"), "player_season_key"))
 
 
-@query("r9_latest_with_xg", sql("SELECT match_id, match_date, home_xg, away_xg FROM g_xg WHERE home_xg IS NOT NULL ORDER BY match_date DESC, match_id LIMIT 20"))
+@query("r9_latest_with_xg", sql("SELECT match_id, match_date, home_xg, away_xg FROM g_xg WHERE home_xg IS NOT NULL ORDER BY match_date DESC, match_id, home_xg, away_xg LIMIT 20"))
 def r9(spark, sf):
     return lookups.latest_with_xg(g.xg_results(spark, sf)).select("match_id", "match_date", "home_xg", "away_xg")
 

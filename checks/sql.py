@@ -140,7 +140,9 @@ CTES: dict[str, str] = {
     home_score, away_score, home_xg_c, away_xg_c,
     CAST((match_id * 37 % 60000) // 1000 AS VARCHAR) || ',' || lpad(CAST(match_id * 37 % 60000 % 1000 AS VARCHAR), 3, '0') AS attendance,
     'Stadium ' || home_team_id AS venue, 'Referee ' || match_id % 50 AS referee FROM fx WHERE match_id % 5 <> 0""",
-    "s_xg": f"""
+    "s_xg": """
+  SELECT * EXCLUDE (copy) FROM (SELECT *, row_number() OVER (PARTITION BY match_key ORDER BY attendance DESC, referee DESC) AS copy FROM s_xg_rows) WHERE copy = 1""",
+    "s_xg_rows": f"""
   SELECT {sk('competition_name', 'match_date', 'home_team_name', 'away_team_name')} AS match_key, match_date AS match_date_str,
     CAST(match_date AS DATE) AS match_date, match_time, matchweek, season, competition_name, {CODE} AS competition_code, home_team_name, away_team_name,
     home_score AS home_goals, away_score AS away_goals, home_xg_c, away_xg_c, {units('home_xg_c')} AS home_xg, {units('away_xg_c')} AS away_xg,

@@ -80,7 +80,7 @@ def most_goals(players: DataFrame, limit: int = 20) -> DataFrame:
 def latest_with_xg(matches: DataFrame, limit: int = 20) -> DataFrame:
     rows = matches.filter(c("home_xg").isNotNull()).select(
         "match_id", "competition_name", "match_date", "home_team_name", "away_team_name", "home_goals", "away_goals", "home_xg", "away_xg")
-    return top(rows, [c("match_date").desc(), c("match_id")], limit)
+    return top(rows, [c("match_date").desc(), c("match_id"), c("home_xg"), c("away_xg")], limit)  # one match may have two partners
 
 
 def table_top(standings: DataFrame, n: int = 5) -> DataFrame:
