@@ -6,8 +6,11 @@ The settings below only fix semantics (ANSI, UTC) and keep the adaptive planner
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -34,9 +37,32 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable settings to an existing session."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers once per application, so that its functions also run where it is on the driver's path only."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="touchline-package-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "touchline.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for at, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def get_session(app: str = "touchline", **overrides: str) -> SparkSession:
     """Session for scripts; ``overrides`` are extra ``spark.*`` settings."""
     builder = SparkSession.builder.appName(app)
