@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm import decontam, lines
+from touchline.llm import bpe, decontam, lines, tokencount
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +30,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op8_line_dedup", lines.SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_bpe")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_text=True)
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return coded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
