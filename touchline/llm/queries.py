@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, decontam, lines, tokencount
+from touchline.llm import bpe, decontam, langid, lines, tokencount, toxicity
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def query(name: str, check: str | None = None):
     return add
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), toxicity.held_out()
+    return toxicity.score(spark, docs, table(spark, sf_dir, "labels"), ~held).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 @query("op3_decontamination")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -40,6 +46,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), langid.held_out()
+    return langid.identify(spark, docs, docs, ~held).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 @query("op10_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_text=True)
