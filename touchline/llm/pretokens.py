@@ -21,7 +21,7 @@ ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 
 @functools.cache
-def _kinds() -> np.ndarray:
+def kinds() -> np.ndarray:
     kinds = np.full(0x110000, OTHER, np.uint8)
     first = np.array([unicodedata.category(chr(c))[0] for c in range(0x110000)])
     kinds[first == "L"] = LETTER
@@ -54,7 +54,7 @@ class Segments:
         cp = np.frombuffer(self.text.encode("utf-32-le"), np.uint32)
         n = len(cp)
         edges = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
-        kind = _kinds()[cp]
+        kind = kinds()[cp]
         border = np.zeros(n + 1, bool)
         border[edges] = True
         first = border.copy()

@@ -1,11 +1,12 @@
 """Toxicity scores: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the n-grams of 3 to 5 characters of the lower-cased text, by presence, hashed to 2^20 cells.  From labelled
+Features are the n-grams of 5, 6 and 8 characters of the lower-cased text, by presence, hashed to 2^20 cells; every run
+of characters other than letters and digits counts as one space, so n-grams see where words begin and end.  From labelled
 texts each cell gets the log ratio of its shares among toxic and other texts (add-one smoothing); the ``features`` cells
 that tell the classes apart best are kept, and a logistic regression with these ratios as feature values is fitted.
 
 Labelled texts are a bounded sample: ``per_class`` ids of either label, chosen by a hash of the id, weighted back to the
-classes' true shares.  Ids labelled both ways and NULL labels are left out.  Scoring reads every whole text.
+classes' true shares, toxic texts ``TOXIC_WEIGHT`` times.  Ids labelled both ways and NULL labels are left out.  Scoring reads every whole text.
 
 NULL and empty texts get the score of a text without features.  Repeated rows each give a row.  Without labels of both
 kinds every score is 0.  A NULL id is never learned from and not held out.
@@ -19,17 +20,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.common import chunks, combine, fold, mix, text_arrays, written
+from touchline.llm.pretokens import NUMBER, kinds
 
-SIZES = (3, 4, 5)
+SIZES = (5, 6, 8)
 CELLS = 1 << 20
-PER_CLASS, FEATURES = 8000, 20_000
+PER_CLASS, FEATURES, TOXIC_WEIGHT = 8000, 3000, 3.0
 
 
 def cells_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(row, cell) of every n-gram of every text, with repeats."""
-    texts = [t.lower() for t in texts]
-    points = mix(np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1))
+    texts = [f" {t.lower()} " for t in texts]
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    points = np.where(kinds()[points] <= NUMBER, points, 32)
     row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    kept = np.ones(len(points), bool)
+    kept[1:] = (points[1:] != 32) | (points[:-1] != 32) | (row[1:] != row[:-1])
+    points, row = mix(points[kept].astype(np.uint64) + np.uint64(1)), row[kept]
     rows, cells = [], []
     for n in SIZES:
         h = combine(points, n)
@@ -80,7 +86,7 @@ def _rows(number):
     return run
 
 
-def regression(offsets: np.ndarray, features: np.ndarray, ratio: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int = 300, decay: float = 1e-5, rate: float = 0.05):
+def regression(offsets: np.ndarray, features: np.ndarray, ratio: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int = 300, decay: float = 3e-4, rate: float = 0.05):
     """Coefficients on the ratio-scaled features and the intercept, by full-batch Adam."""
     row = np.repeat(np.arange(len(label)), np.diff(offsets))
     w, b = np.zeros(len(ratio)), 0.0
@@ -122,7 +128,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, may_learn: Colu
     rows = sample.select("toxic", "text", "o").mapInArrow(_rows(shared), "toxic int, o bigint, features array<int>").toArrow().sort_by("o").combine_chunks()
     column = rows["features"].combine_chunks()
     label = rows["toxic"].to_numpy()
-    weight = np.where(label == 1, totals[1] / n[1], totals[0] / n[0])
+    weight = np.where(label == 1, TOXIC_WEIGHT * totals[1] / n[1], totals[0] / n[0])
     weights, intercept = regression(np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())]), column.flatten().to_numpy(), ratio, label, weight / weight.sum())
     return number, weights, intercept
 
