@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import blocks, bpe, decontam, langid, lines, tokencount, toxicity
+from touchline.llm import blocks, bpe, decontam, jaccard, langid, lines, tokencount, toxicity
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op4_jaccard_join", jaccard.SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(spark, table(spark, sf_dir, "documents"))
+
+
 @query("op5_html_blocks")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.extract(spark, table(spark, sf_dir, "pages"))
