@@ -42,6 +42,26 @@ def written(df: DataFrame, spark: SparkSession) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(df: DataFrame, count_col: str, limit: int) -> DataFrame:
+    """Rows whose count is above a level that at most ``limit`` rows exceed; counts are levelled in steps of 1/16 octave.
+
+    Nothing is sorted: the histogram of levels has about a thousand rows at most, whatever the input.
+    """
+    level = F.floor(F.log2(count_col) * 16)
+    kept, total = None, 0
+    for r in df.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        total += r["count"]
+        if total > limit:
+            break
+        kept = r.level
+    return df.filter(level >= kept) if kept is not None else df.limit(0)
+
+
+def hash_share(column: Column) -> Column:
+    """A 64-bit hash as a share of its range, 0 to 1."""
+    return column.bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
+
+
 def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the n + 1 offsets of its rows; NULL counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

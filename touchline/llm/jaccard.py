@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import Words, chunks, combine, mix, text_arrays, written
+from touchline.llm.common import Words, chunks, combine, mix, most_frequent, text_arrays, written
 from touchline.llm.components import components
 
 WIDTH, PERCENT, ROUNDS = 4, 85, 2
@@ -238,7 +238,7 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     """One row per row of ``docs``: id, n_shingles (long) and component_id."""
     texts = docs.select(F.col(text_col).alias("text"))
     repeated = texts.mapInArrow(_repeated(width), "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
-    top = repeated.orderBy(F.desc("n"), "t").limit(hot).toArrow()
+    top = most_frequent(written(repeated, spark), "n", hot).toArrow()
     shingles, counts = top["t"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(shingles)
     table = spark.sparkContext.broadcast((shingles[order].tobytes(), counts[order].tobytes()))

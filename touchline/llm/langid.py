@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import chunks, fold, text_arrays
+from touchline.llm.common import chunks, fold, hash_share, text_arrays
 
 WINDOW = 128
 WIDTHS, FILTERS, EMBED, PAD = (2, 3, 4), 16, 8, 256
@@ -139,8 +139,11 @@ def fit(spark: SparkSession, docs: DataFrame, may_learn: Column, id_col: str, te
         per_lang: int = PER_LANG, per_text: int = PER_TEXT) -> tuple[list[str], dict[str, np.ndarray] | None]:
     """Languages and look-up tables; (… , None) with fewer than one language to learn."""
     rows = docs.filter(may_learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    order = F.row_number().over(Window.partitionBy("lang").orderBy("o", "id"))
-    chosen = (rows.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("o"), F.col(id_col).alias("id"))
+    order = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("o").bitwiseAND(F.lit((1 << 53) - 1)), "id"))
+    keys = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("o"), F.col(id_col).alias("id"))
+    # Only ids whose hash is low enough for the first per_lang are ranked, four times as many for safety.
+    size = keys.groupBy("lang").agg(F.count("*").alias("n"))
+    chosen = (keys.join(size, "lang").filter(hash_share(F.col("o")) * F.col("n") <= 4.0 * per_lang).drop("n").distinct()
               .withColumn("r", order).filter(F.col("r") <= per_lang).select("lang", "id").distinct())
     # At most per_lang ids a language.
     picked = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).join(F.broadcast(chosen), ["lang", "id"])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import blocks, bpe, decontam, jaccard, langid, lines, tokencount, toxicity
+from touchline.llm import blocks, bpe, decontam, divergence, jaccard, langid, lines, tokencount, toxicity
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(spark, docs, table(spark, sf_dir, "labels"), ~held).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+@query("op2_divergence")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.rate(spark, table(spark, sf_dir, "documents"))
+
+
 @query("op3_decontamination")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import chunks, text_arrays, written
+from touchline.llm.common import chunks, most_frequent, text_arrays, written
 from touchline.llm.pretokens import Segments, split_special
 
 HEAD = 1 << 18
@@ -133,7 +133,7 @@ def count_tokens(spark: SparkSession, docs: DataFrame, vocabulary: str, id_col:
     distinct = (docs.select(text).mapInArrow(_distinct(special), "h bigint, pretoken string, n bigint")
                 .groupBy("h").agg(F.first("pretoken").alias("pretoken"), F.sum("n").alias("n")))
     counted = written(distinct.mapInArrow(_pieces(spark.sparkContext.broadcast(spec)), "h bigint, n bigint, pieces int"), spark)
-    top = counted.orderBy(F.desc("n"), "h").limit(head).select("h", "pieces").toArrow()
+    top = most_frequent(counted, "n", head).select("h", "pieces").toArrow()
     hashes, pieces = top["h"].to_numpy().view(np.uint64), top["pieces"].to_numpy()
     order = np.argsort(hashes)
     table = spark.sparkContext.broadcast((hashes[order].tobytes(), pieces[order].astype(np.int32).tobytes()))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import chunks, combine, fold, mix, text_arrays, written
+from touchline.llm.common import chunks, combine, fold, hash_share, mix, text_arrays, written
 from touchline.llm.pretokens import NUMBER, kinds
 
 SIZES = (5, 6, 8)
@@ -109,7 +109,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, may_learn: Colu
     totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     if set(totals) != {0, 1}:
         return None
-    ids = [known.filter(F.col("toxic") == label).orderBy("o", "id").limit(per_class) for label in (0, 1)]
+    # Only ids whose hash is low enough for the first per_class are sorted, four times as many for safety.
+    low = F.col("o").bitwiseAND(F.lit((1 << 53) - 1))
+    ids = [known.filter(F.col("toxic") == label).filter(hash_share(F.col("o")) * totals[label] <= 4.0 * per_class).orderBy(low, "id").limit(per_class) for label in (0, 1)]
     # At most 2 * per_class ids.
     chosen = F.broadcast(ids[0].unionAll(ids[1]))
     sample = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id").select("toxic", "text", "o"), spark)
