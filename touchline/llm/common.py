@@ -113,15 +113,18 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 
 class Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of rows i..j of a text column: hash, byte span, and row offsets into the words."""
+    """Words ``[^\\x20\\x09-\\x0D]+`` of rows i..j of a text column: hash, byte span, and row offsets into the words.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, i: int, j: int, lower: bool = True):
+    ``between`` marks the bytes that are not part of a word.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, i: int, j: int, lower: bool = True, between: np.ndarray = _SPACE):
         base = offsets[i]
         data = data[base: offsets[j]]
         self.rows = offsets[i: j + 1] - base
         self.data = _LOWER[data] if lower else data
         inside = np.empty(len(data) + 1, dtype=bool)
-        inside[:-1] = ~_SPACE[data]
+        inside[:-1] = ~between[data]
         inside[-1] = False
         cut = inside.copy()
         cut[1:] &= ~inside[:-1]

@@ -128,17 +128,17 @@ def _verify(window, min_equal):
             tokens, items, shifts = batch.column("tokens"), batch.column("item_tokens"), batch.column("shift").to_pylist()
             found = [best_overlap(np.asarray(tokens[k].values), np.asarray(items[k].values), shifts[k], window, min_equal) for k in range(len(batch))]
             keep = [k for k, f in enumerate(found) if f]
-            yield pa.RecordBatch.from_arrays([batch.column("dc_id").take(pa.array(keep, pa.int64())), batch.column("item_id").take(pa.array(keep, pa.int64())),
+            rows = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("dc_id").take(rows), batch.column("dc_key").take(rows), batch.column("item_id").take(rows),
                                               pa.array([found[k][0] for k in keep], pa.int64()), pa.array([found[k][1] for k in keep], pa.int64())],
-                                             names=["dc_id", "item_id", "n_equal", "n_window"])
+                                             names=["dc_id", "dc_key", "item_id", "n_equal", "n_window"])
 
     return run
 
 
-def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, min_equal: int = MIN_EQUAL,
-             masks: tuple[str, ...] = MASKS) -> DataFrame:
-    """One row per text and item that overlap: id, item, n_equal and n_window (long) of the best window."""
+def _verified(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int,
+              min_equal: int, masks: tuple[str, ...]) -> DataFrame:
+    """(dc_id, dc_key, item_id, n_equal, n_window) of every alignment that fulfils the rule; dc_key is a hash of the text."""
     kind = benchmark.schema[item_col].dataType.simpleString()
     items = (benchmark.select(F.col(item_col).alias("item_id"), F.xxhash64(item_text_col).alias("item_key"), F.col(item_text_col).alias("item_text"))
              .mapInArrow(_items(masks), f"item_id {kind}, item_key bigint, item_tokens array<bigint>, seeds array<struct<seed:bigint,at:int>>"))
@@ -159,14 +159,21 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col:
             .select("dc_id", "dc_key", "region", "item_id", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
     pairs = (hits.alias("h").join(items.drop("seeds").alias("i"), F.col("h.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("h.item_key") == F.col("i.item_key")))
              .join(regions.drop("seeds").alias("r"), F.col("h.dc_id").eqNullSafe(F.col("r.dc_id")) & (F.col("h.dc_key") == F.col("r.dc_key")) & (F.col("h.region") == F.col("r.region")))
-             .select("h.dc_id", "h.item_id", "tokens", "item_tokens", "shift"))
-    checked = pairs.mapInArrow(_verify(window, min_equal), f"dc_id bigint, item_id {kind}, n_equal bigint, n_window bigint")
+             .select("h.dc_id", "h.dc_key", "h.item_id", "tokens", "item_tokens", "shift"))
+    return pairs.mapInArrow(_verify(window, min_equal), f"dc_id bigint, dc_key bigint, item_id {kind}, n_equal bigint, n_window bigint")
+
+
+def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+             item_text_col: str = "text", window: int = WINDOW, min_equal: int = MIN_EQUAL, masks: tuple[str, ...] = MASKS) -> DataFrame:
+    """One row per text and item that overlap: id, item, n_equal and n_window (long) of the best window."""
+    checked = _verified(spark, docs, benchmark, id_col, text_col, item_col, item_text_col, window, min_equal, masks)
     best = F.max(F.struct("n_equal", "n_window"))
     return (checked.groupBy("dc_id", "item_id").agg(best.alias("b"))
             .select(F.col("dc_id").alias(id_col), F.col("item_id").alias(item_col), F.col("b.n_equal").alias("n_equal"), F.col("b.n_window").alias("n_window")))
 
 
-def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows that overlap some item."""
-    found = overlaps(spark, docs, benchmark, id_col=id_col, **options).select(F.col(id_col).alias("dc_found")).distinct()
-    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("dc_found")), "left_anti")
+def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text", window: int = WINDOW, min_equal: int = MIN_EQUAL, masks: tuple[str, ...] = MASKS) -> DataFrame:
+    """``docs`` without the rows whose text overlaps some item; all columns pass through."""
+    found = _verified(spark, docs, benchmark, id_col, text_col, item_col, item_text_col, window, min_equal, masks).select("dc_id", "dc_key").distinct()
+    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("dc_id")) & (F.xxhash64(text_col) == F.col("dc_key")), "left_anti")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from touchline.llm.common import Words, chunks, combine, mix, span_hashes, text_arrays, written
 
 COMMON = 100
-MIN_CHARS, CLASS_LIMIT, CLASS_SLACK = 100, 0.16, 1.5
+MIN_CHARS, CLASS_LIMIT, CLASS_SLACK = 100, 0.16, 3.0
 MIN_WORDS, WORD_LIMIT, WORD_SLACK = 50, 0.35, 0.8
 SYMBOLS = b"#*$%&|<>"
 LOWER, UPPER, DIGIT, WHITE, MARK, SYMBOL, LATIN, WIDE, NONE = range(9)

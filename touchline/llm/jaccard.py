@@ -97,7 +97,7 @@ def _points(hot, width, percent):
         shingles, counts = np.frombuffer(hot.value[0], np.uint64), np.frombuffer(hot.value[1], np.int64)
         seen: set[int] = set()
         for batch in batches:
-            data, offsets = text_arrays(batch.column(1))
+            data, offsets = text_arrays(batch.column(2))
             for i, j in chunks(offsets):
                 grams, upto = shingle_sets(data, offsets, i, j, width)
                 n = np.diff(upto)
@@ -120,9 +120,9 @@ def _points(hot, width, percent):
                 first = np.repeat(upto[:-1], length) + np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
                 ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(signature), pa.array(n.astype(np.int64)), pa.array((1000 * rare / np.maximum(n, 1)).astype(np.int32)),
+                    [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(signature), pa.array(n.astype(np.int64)), pa.array((1000 * rare / np.maximum(n, 1)).astype(np.int32)),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(grams[order][first].view(np.int64)))],
-                    names=["id", "x", "n", "rare", "prefix"])
+                    names=["id", "key", "x", "n", "rare", "prefix"])
 
     return run
 
@@ -233,9 +233,8 @@ class _Join:
         return found.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT,
-         rounds: int = ROUNDS, hot: int = HOT) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles (long) and component_id."""
+def _classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, rounds: int, hot: int) -> DataFrame:
+    """One row per row of ``docs``: id, key (hash of the text), n and component."""
     texts = docs.select(F.col(text_col).alias("text"))
     repeated = texts.mapInArrow(_repeated(width), "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
     top = most_frequent(written(repeated, spark), "n", hot).toArrow()
@@ -243,7 +242,7 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     order = np.argsort(shingles)
     table = spark.sparkContext.broadcast((shingles[order].tobytes(), counts[order].tobytes()))
     kind = docs.schema[id_col].dataType.simpleString()
-    points = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_points(table, width, percent), f"id {kind}, x bigint, n bigint, rare int, prefix array<bigint>")
+    points = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(_points(table, width, percent), f"id {kind}, key bigint, x bigint, n bigint, rare int, prefix array<bigint>")
     points = written(points, spark)
     several = points.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count("*").alias("m")).filter("m > 1")
     members = points.filter(F.size("prefix") > 0).select("x", "n", "rare", "prefix").mapInArrow(_shared_members(_bitmap(spark, several, "t")), "t bigint, x bigint, n bigint, rare int, place int")
@@ -260,8 +259,27 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     # Only sets with links need the least id of their component from elsewhere.
     least = joined.filter("least is not null").groupBy("least").agg(F.min("first").alias("component"))
     ids = joined.join(least, "least", "left").select("x", F.coalesce("component", "first").alias("component"))
-    return (points.select("id", "x", "n").join(ids, "x", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")))
+    return (points.select("id", "key", "x", "n").join(ids, "x", "left")
+            .select("id", "key", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component")))
+
+
+def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT,
+         rounds: int = ROUNDS, hot: int = HOT) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles (long) and component_id."""
+    return (_classes(spark, docs, id_col, text_col, width, percent, rounds, hot)
+            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")))
+
+
+def unique(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT,
+           rounds: int = ROUNDS, hot: int = HOT) -> DataFrame:
+    """``docs`` with one row of each component left: that of the least id, and one of its rows if they repeat.
+
+    Texts without shingles all stay (a repeated row still goes).  All columns pass through.
+    """
+    classes = _classes(spark, docs, id_col, text_col, width, percent, rounds, hot)
+    first = classes.filter(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("jc_id"), F.col("key").alias("jc_key")).distinct()
+    kept = docs.join(first, F.col(id_col).eqNullSafe(F.col("jc_id")) & (F.xxhash64(text_col) == F.col("jc_key")), "left_semi")
+    return kept.dropDuplicates([id_col, text_col])
 
 
 SQL = r"""

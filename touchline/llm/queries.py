@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import blocks, bpe, decontam, divergence, jaccard, langid, lines, tokencount, toxicity
+from touchline.llm import blocks, bpe, decontam, divergence, jaccard, langid, licenses, lines, tokencount, toxicity
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_text=True)
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return coded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree below their source: four levels of folders by id; every tenth is a licence file at one of the levels."""
+    i = F.col("doc_id")
+    levels = [F.col("source"), F.floor(i / 5000), F.floor(i / 500) % 10, F.floor(i / 50) % 10]
+    folders = F.array(*(x.cast("string") for x in levels))
+    is_file = i % 10 == 0
+    path = F.when(is_file, F.concat(F.array_join(F.slice(folders, 1, (F.floor(i / 10) % 4 + 1).cast("int")), "/"), F.lit("/LICENSE"))) \
+        .otherwise(F.concat(F.array_join(folders, "/"), F.lit("/"), i.cast("string"), F.lit(".txt")))
+    files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    found = licenses.own_licenses(spark, files, ["doc_id", "path"])
+    return licenses.inherit(found, F.col("path").endswith("/LICENSE"))
