@@ -11,30 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import bpe, decontam, jaccard, langid, lines
-from touchline.llm.common import table, written
+from touchline.llm.common import plain, table, written
 from touchline.session import configure
 
 VOCABULARY = "word_bpe_49k.json"
 
 
-def _plain(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]]:
-    """Docs with columns c0, c1, …; these names; and the plain name of each of documents' columns."""
-    configure(spark)
-    names = [f"c{k}" for k in range(len(docs.columns))]
-    return docs.toDF(*names), names, dict(reversed(list(zip(docs.columns, names))))
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a recognisable language (``und``)."""
-    plain, names, at = _plain(spark, docs)
-    found = langid.identify(spark, plain, plain, ~langid.held_out(at["doc_id"]), keep=names, id_col=at["doc_id"], text_col=at["text"], lang_col=at["lang"])
+    configure(spark)
+    renamed, names, at = plain(docs)
+    found = langid.identify(spark, renamed, renamed, ~langid.held_out(at["doc_id"]), keep=names, id_col=at["doc_id"], text_col=at["text"], lang_col=at["lang"])
     return found.filter(F.col("lang_pred") != "und").select(*names).toDF(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later repeats of runs of lines, with the new n_chars; documents that this leaves without a word go."""
-    plain, names, at = _plain(spark, docs)
-    kept = lines.dedup_lines(spark, plain, at["doc_id"], at["text"])
+    configure(spark)
+    renamed, names, at = plain(docs)
+    kept = lines.dedup_lines(spark, renamed, at["doc_id"], at["text"])
     size = F.when(F.col("n_deleted") > 0, F.length(at["text"])).otherwise(F.col(at["n_chars"])).cast(docs.schema["n_chars"].dataType)
     emptied = (F.col("n_deleted") > 0) & ~F.coalesce(F.col(at["text"]), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
     return kept.withColumn(at["n_chars"], size).filter(~emptied).select(*names).toDF(*docs.columns)
@@ -42,20 +37,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of linked ones, that of the least id."""
-    plain, names, at = _plain(spark, docs)
-    return jaccard.unique(spark, plain, at["doc_id"], at["text"]).select(*names).toDF(*docs.columns)
+    configure(spark)
+    return jaccard.unique(spark, docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that overlap a benchmark item."""
-    plain, names, at = _plain(spark, docs)
-    return decontam.clean(spark, plain, table(spark, sf_dir, "benchmark"), at["doc_id"], at["text"]).select(*names).toDF(*docs.columns)
+    return decontam.clean(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add each document's token ids, their number, and the text they decode to."""
-    plain, names, at = _plain(spark, docs)
-    coded = bpe.encode(spark, plain, public_tokenizers.path(VOCABULARY), keep=names, text_col=at["text"], with_text=True)
+    configure(spark)
+    renamed, names, at = plain(docs)
+    coded = bpe.encode(spark, renamed, public_tokenizers.path(VOCABULARY), keep=names, text_col=at["text"], with_text=True)
     wanted = ["doc_id", "text", "lang", "source", "n_chars"]
     return coded.select(*(F.col(at[n]).alias(n) for n in wanted), "n_tokens", "ids", "decoded")
 

@@ -42,12 +42,21 @@ def written(df: DataFrame, spark: SparkSession) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def plain(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]]:
+    """``docs`` with columns c0, c1, …; these names; and the plain name of each column (the first of equal ones).
+
+    No column can then clash with one that an operator adds.
+    """
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), names, dict(reversed(list(zip(docs.columns, names))))
+
+
 def most_frequent(df: DataFrame, count_col: str, limit: int) -> DataFrame:
-    """Rows whose count is above a level that at most ``limit`` rows exceed; counts are levelled in steps of 1/16 octave.
+    """Rows whose (positive) count is on or above the lowest level that leaves at most ``limit`` rows; levels are 1/32 octave.
 
-    Nothing is sorted: the histogram of levels has about a thousand rows at most, whatever the input.
+    Nothing is sorted: the histogram of levels has a few thousand rows at most, whatever the input.
     """
-    level = F.floor(F.log2(count_col) * 16)
+    level = F.floor(F.log2(count_col) * 32)
     kept, total = None, 0
     for r in df.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
         total += r["count"]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import STEP, Words, chunks, mix, text_arrays, written
+from touchline.llm.common import STEP, Words, chunks, mix, plain, text_arrays, written
 
 MASKS = ("111111", "1111101", "1101111")
 WINDOW, MIN_EQUAL = 13, 11
@@ -175,5 +175,8 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col:
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", window: int = WINDOW, min_equal: int = MIN_EQUAL, masks: tuple[str, ...] = MASKS) -> DataFrame:
     """``docs`` without the rows whose text overlaps some item; all columns pass through."""
+    columns = docs.columns
+    docs, _, at = plain(docs)
+    id_col, text_col = at[id_col], at[text_col]
     found = _verified(spark, docs, benchmark, id_col, text_col, item_col, item_text_col, window, min_equal, masks).select("dc_id", "dc_key").distinct()
-    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("dc_id")) & (F.xxhash64(text_col) == F.col("dc_key")), "left_anti")
+    return docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("dc_id")) & (F.xxhash64(text_col) == F.col("dc_key")), "left_anti").toDF(*columns)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import Words, chunks, combine, mix, most_frequent, text_arrays, written
+from touchline.llm.common import Words, chunks, combine, mix, most_frequent, plain, text_arrays, written
 from touchline.llm.components import components
 
 WIDTH, PERCENT, ROUNDS = 4, 85, 2
@@ -276,10 +276,13 @@ def unique(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_co
 
     Texts without shingles all stay (a repeated row still goes).  All columns pass through.
     """
+    columns = docs.columns
+    docs, _, at = plain(docs)
+    id_col, text_col = at[id_col], at[text_col]
     classes = _classes(spark, docs, id_col, text_col, width, percent, rounds, hot)
     first = classes.filter(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("jc_id"), F.col("key").alias("jc_key")).distinct()
     kept = docs.join(first, F.col(id_col).eqNullSafe(F.col("jc_id")) & (F.xxhash64(text_col) == F.col("jc_key")), "left_semi")
-    return kept.dropDuplicates([id_col, text_col])
+    return kept.dropDuplicates([id_col, text_col]).toDF(*columns)
 
 
 SQL = r"""

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import STEP, Words, chunks, mix, powers, text_arrays, written
+from touchline.llm.common import STEP, Words, chunks, mix, plain, powers, text_arrays, written
 
 MIN_WORDS = 50
 _INVERSE = np.uint64(pow(int(STEP), -1, 1 << 64))
@@ -82,9 +82,12 @@ def _emit(min_words: int):
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with later repeated runs of lines deleted from the text, and the columns n_lines and n_deleted (long)."""
-    clash = [n for n in docs.columns if n not in (id_col, text_col) and n in ("n_lines", "n_deleted")]
-    docs = docs.drop(*clash).withColumns({"tl_id": F.col(id_col).cast("long"), "tl_key": F.xxhash64(text_col)})
+    """``docs`` with later repeated runs of lines deleted from the text, and n_lines and n_deleted (long), which replace columns of these names."""
+    docs = docs.drop(*(n for n in ("n_lines", "n_deleted") if n not in (id_col, text_col)))
+    columns = docs.columns
+    docs, names, at = plain(docs)
+    id_col, text_col = at[id_col], at[text_col]
+    docs = docs.withColumns({"tl_id": F.col(id_col).cast("long"), "tl_key": F.xxhash64(text_col)})
     windows = written(docs.select("tl_id", "tl_key", F.col(text_col).alias("tl_text")).mapInArrow(_emit(min_words), _WINDOWS), spark)
     place = F.struct(F.col("tl_id").isNotNull().alias("known"), F.coalesce("tl_id", F.lit(0)).alias("id"), "tl_key", "first_line")
     firsts = (windows.groupBy("fingerprint", "run").agg(F.min(place).alias("place"), F.count("*").alias("n"))
@@ -99,7 +102,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
             .withColumns({text_col: F.when(F.col("tl_gone").isNull(), F.col(text_col)).otherwise(kept),
                           "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"),
                           "n_deleted": F.coalesce(F.size("tl_gone"), F.lit(0)).cast("long")})
-            .drop("tl_id", "tl_key", "tl_gone_id", "tl_gone_key", "tl_gone"))
+            .select(*names, "n_lines", "n_deleted").toDF(*columns, "n_lines", "n_deleted"))
 
 
 SQL = r"""

@@ -2,7 +2,7 @@
 
 Features are the n-grams of 5, 6 and 8 characters of the lower-cased text, by presence, hashed to 2^20 cells; every run
 of characters other than letters and digits counts as one space, so n-grams see where words begin and end.  From labelled
-texts each cell gets the log ratio of its shares among toxic and other texts (add-one smoothing); the ``features`` cells
+texts each cell gets the log ratio of its shares among toxic and other texts (add-one smoothing); about ``features`` cells
 that tell the classes apart best are kept, and a logistic regression with these ratios as feature values is fitted.
 
 Labelled texts are a bounded sample: ``per_class`` ids of either label, chosen by a hash of the id, weighted back to the
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import chunks, combine, fold, hash_share, mix, text_arrays, written
+from touchline.llm.common import chunks, combine, fold, hash_share, mix, most_frequent, text_arrays, written
 from touchline.llm.pretokens import NUMBER, kinds
 
 SIZES = (5, 6, 8)
@@ -122,7 +122,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, may_learn: Colu
     share = lambda name, k: (F.col(name) + 1) / F.lit(float(n[k] + 2))
     p, q = share("toxic", 1), share("other", 0)
     apart = F.abs(p - q) / F.sqrt(p * (1 - p) / n[1] + q * (1 - q) / n[0])
-    top = counts.filter(F.col("toxic") + F.col("other") >= 3).select("cell", F.log(p / q).alias("ratio"), apart.alias("apart")).orderBy(F.desc("apart"), "cell").limit(features).toArrow()
+    told = counts.filter(F.col("toxic") + F.col("other") >= 3).select("cell", F.log(p / q).alias("ratio"), apart.alias("apart")).filter("apart > 0")
+    top = most_frequent(written(told, spark), "apart", features).toArrow().sort_by("cell")
     ratio = top["ratio"].to_numpy()
     number = np.full(CELLS, -1, np.int32)
     number[top["cell"].to_numpy()] = np.arange(len(ratio), dtype=np.int32)
