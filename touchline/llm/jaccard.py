@@ -7,7 +7,7 @@ link when 100 * intersection >= 85 * union, a radius r of 0.15.
 point.  The first level therefore takes the one-element sets as pivots, rarest shingle first: a point belongs to the region
 of its rarest shingle and is replicated, as a border point, to those of its next rarest ones, n - ceil(0.85 n) + 1 in all,
 since two sets within r of each other share one of these.  Any order of the shingles is exact; the broadcast table of the
-``hot`` most repeated ones (at most 2^18 entries) only keeps regions small.
+``hot`` most repeated ones (at most 2^20 entries, 16 MB) only keeps regions small.
 
 *Recursion.*  A region's pivot is then its most central text, the one with the smallest share of rare shingles.  Distances
 to it link the points within r; the others stay outside, with those inner points that the triangle inequality leaves in
@@ -32,7 +32,7 @@ from touchline.llm.common import Words, chunks, combine, mix, most_frequent, pla
 from touchline.llm.components import components
 
 WIDTH, PERCENT, ROUNDS = 4, 85, 2
-HOT = 1 << 18
+HOT = 1 << 20
 HOLD = 1 << 22
 """Shingles a task holds while it looks for repeated ones."""
 MAP_BITS = 26
@@ -92,7 +92,7 @@ def _repeated(width):
 
 
 def _points(hot, width, percent):
-    """Per row: set size, signature, share of rare shingles (per mille) and, once per task and set, its prefix."""
+    """Per row: set size, signature, share of rare shingles (per mille) and, once per task and set, its prefix, also as 16-bit marks."""
     def run(batches):
         shingles, counts = np.frombuffer(hot.value[0], np.uint64), np.frombuffer(hot.value[1], np.int64)
         seen: set[int] = set()
@@ -119,10 +119,12 @@ def _points(hot, width, percent):
                     seen.clear()
                 first = np.repeat(upto[:-1], length) + np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
                 ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+                prefix = grams[order][first]
+                marks = (mix(prefix) & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(signature), pa.array(n.astype(np.int64)), pa.array((1000 * rare / np.maximum(n, 1)).astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(grams[order][first].view(np.int64)))],
-                    names=["id", "key", "x", "n", "rare", "prefix"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(prefix.view(np.int64))), pa.ListArray.from_arrays(pa.array(ends), pa.array(marks))],
+                    names=["id", "key", "x", "n", "rare", "prefix", "marks"])
 
     return run
 
@@ -186,13 +188,25 @@ def _can_link(n1: Column, n2: Column, place1: Column, place2: Column, percent: i
 
 
 class _Join:
-    def __init__(self, spark: SparkSession, texts: DataFrame, width: int, percent: int):
+    def __init__(self, spark: SparkSession, texts: DataFrame, points: DataFrame, width: int, percent: int):
         self.spark, self.texts, self.width, self.percent = spark, texts, width, percent
+        heads = points.filter(F.size("prefix") > 0).groupBy("x").agg(F.first(F.struct("n", "marks")).alias("h")).select("x", "h.n", "h.marks")
+        self.heads = written(heads, spark)
         self.radius = 1 - percent / 100 + 1e-9
 
     def distances(self, pairs: DataFrame) -> DataFrame:
-        """(x, y, d) of pairs of points, with the points' shingles read once more for these only."""
-        pairs = written(pairs.distinct(), self.spark)
+        """(x, y, d, linked) of those pairs of points that can link, with the points' shingles read once more for these only.
+
+        If two prefixes share A shingles, the sets share at most A and what the longer one has besides its prefix.  A is
+        overestimated from the 16-bit marks (marks that coincide within a prefix are added), so no link is lost.
+        """
+        ends = [self.heads.select(F.col("x").alias(c), F.col("n").alias(f"n_{c}"), F.col("marks").alias(f"marks_{c}")) for c in "xy"]
+        marked = pairs.distinct().join(ends[0], "x").join(ends[1], "y")
+        doubles = F.size("marks_x") - F.size(F.array_distinct("marks_x"))
+        shared = F.size(F.array_intersect("marks_x", "marks_y")) + doubles
+        most = shared + F.ceil(self.percent * F.greatest("n_x", "n_y") / 100 - 1e-9) - 1
+        need = F.ceil(self.percent * (F.col("n_x") + F.col("n_y")) / (100 + self.percent) - 1e-9)
+        pairs = written(marked.filter(most >= need).select("x", "y"), self.spark)
         points = pairs.select("x").unionAll(pairs.select("y"))
         sets = (self.texts.mapInArrow(_wanted_sets(_bitmap(self.spark, points, "x"), self.width), "x bigint, grams array<bigint>").dropDuplicates(["x"]))
         sets = written(sets, self.spark)
@@ -242,12 +256,12 @@ def _classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, w
     order = np.argsort(shingles)
     table = spark.sparkContext.broadcast((shingles[order].tobytes(), counts[order].tobytes()))
     kind = docs.schema[id_col].dataType.simpleString()
-    points = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(_points(table, width, percent), f"id {kind}, key bigint, x bigint, n bigint, rare int, prefix array<bigint>")
+    points = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(_points(table, width, percent), f"id {kind}, key bigint, x bigint, n bigint, rare int, prefix array<bigint>, marks array<smallint>")
     points = written(points, spark)
     several = points.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count("*").alias("m")).filter("m > 1")
     members = points.filter(F.size("prefix") > 0).select("x", "n", "rare", "prefix").mapInArrow(_shared_members(_bitmap(spark, several, "t")), "t bigint, x bigint, n bigint, rare int, place int")
     members = written(members.withColumns({"d": F.lit(None).cast("double"), "outside": F.lit(True)}), spark)
-    work, links = _Join(spark, texts, width, percent), None
+    work, links = _Join(spark, texts, points, width, percent), None
     for _ in range(rounds):
         found, members = work.divide(members)
         links = found if links is None else links.unionAll(found)
