@@ -23,7 +23,7 @@ FROM g_results GROUP BY ALL"""
 STANDINGS = """
 SELECT * EXCLUDE (n), CASE WHEN position < 5 THEN 'Champions League' WHEN position < 7 THEN 'Europa League' WHEN position > n - 3 THEN 'Relegation Zone'
   ELSE 'Mid-table' END AS zone
-FROM (SELECT CAST(row_number() OVER (PARTITION BY competition_name ORDER BY total_points DESC, goal_difference DESC, total_goals_scored DESC, team_id) AS INTEGER) AS position,
+FROM (SELECT CAST(row_number() OVER (PARTITION BY competition_name ORDER BY total_points DESC, goal_difference DESC, total_goals_scored DESC, team_id) AS BIGINT) AS position,
     count(*) OVER (PARTITION BY competition_name) AS n, team_id, team_name, team_code, competition_name, total_matches_played AS played, total_wins AS won,
     total_draws AS drawn, total_losses AS lost, total_goals_scored AS goals_for, total_goals_conceded AS goals_against, goal_difference, total_points AS points,
     points_per_game, avg_goals_scored_per_match, avg_goals_conceded_per_match, home_wins, home_draws, home_losses, away_wins, away_draws, away_losses
@@ -82,8 +82,8 @@ WHO = "player_season_key, player_name, team_name, nationality, position, positio
 
 def _ranking(order: str) -> str:
     o = f"ORDER BY {order}, player_season_key"
-    return (f"CAST(row_number() OVER (PARTITION BY competition_name {o}) AS INTEGER) AS rank_in_competition, "
-            f"CAST(row_number() OVER ({o}) AS INTEGER) AS overall_rank")
+    return (f"CAST(row_number() OVER (PARTITION BY competition_name {o}) AS BIGINT) AS rank_in_competition, "
+            f"CAST(row_number() OVER ({o}) AS BIGINT) AS overall_rank")
 
 
 SCORERS = f"""
@@ -104,7 +104,7 @@ _g, _a = "(goals * 100 - xg_c)", "(assists * 100 - xa_c)"
 
 
 def _rank(name: str, by: str) -> str:
-    return f"CAST(row_number() OVER (PARTITION BY competition_name ORDER BY {by} DESC, player_season_key) AS INTEGER) AS {name}"
+    return f"CAST(row_number() OVER (PARTITION BY competition_name ORDER BY {by} DESC, player_season_key) AS BIGINT) AS {name}"
 
 
 PLAYER_XG = f"""
@@ -155,7 +155,7 @@ SELECT {sk('team_name', 'competition_name', 'season', 'valid_from')} AS history_
   xg_difference, CASE WHEN pp > position THEN '📈 Up ' || (pp - position) WHEN pp < position THEN '📉 Down ' || (position - pp) ELSE '➡️ Same' END AS position_movement,
   CASE WHEN position < 5 THEN 'Champions League Zone' WHEN position < 7 THEN 'Europa League Zone' WHEN position = 7 THEN 'Conference League Zone'
     WHEN position > 17 THEN 'Relegation Zone' WHEN position > 14 THEN 'Relegation Battle' ELSE 'Mid-table' END AS table_zone
-FROM (SELECT *, lag(position) OVER w AS pp, lag(points) OVER w AS ppts, lag(matches_played) OVER w AS pm, CAST(row_number() OVER w AS INTEGER) AS snapshot_number,
+FROM (SELECT *, lag(position) OVER w AS pp, lag(points) OVER w AS ppts, lag(matches_played) OVER w AS pm, CAST(row_number() OVER w AS BIGINT) AS snapshot_number,
     count(*) OVER (PARTITION BY team_name, competition_name, season) AS total_snapshots
   FROM st_hist WINDOW w AS (PARTITION BY team_name, competition_name, season ORDER BY valid_from))"""
 

@@ -12,7 +12,6 @@ from touchline.operators import aggregates as agg
 from touchline.operators import filters, joins, sides, windows
 
 c = F.col
-FORCE_SLICES = 500  # far below the default, so these queries take the sliced path at any size
 
 
 # --- J ------------------------------------------------------------------------------
@@ -51,9 +50,8 @@ def j3(spark, sf):
 _PAIRS = sql("SELECT a_id AS match_id, b_id AS match_key FROM x_join")
 
 
-def _pairs(spark, sf, **options):
-    p = joins.prefix_match(fx.silver_matches(spark, sf), fx.silver_xg_matches(spark, sf), ["competition_code", "match_date"], "home_team_name",
-                           ("match_id", "match_key"), **options)
+def _pairs(spark, sf):
+    p = joins.prefix_match(fx.silver_matches(spark, sf), fx.silver_xg_matches(spark, sf), ["competition_code", "match_date"], "home_team_name")
     return p.select(c("l.match_id").alias("match_id"), c("r.match_key").alias("match_key"))
 
 
@@ -62,10 +60,20 @@ def j4(spark, sf):
     return _pairs(spark, sf)
 
 
-@query("j4_fuzzy_full_outer_hot", _PAIRS)
+_SIDE = """SELECT CASE WHEN {key} % 3 = 0 THEN NULL ELSE {key} % 7 END AS id, CASE WHEN {key} % 10 < 8 THEN 'hot' WHEN {key} % 10 = 8 THEN {bucket} END AS bucket,
+  CASE WHEN {key} % 11 = 0 THEN NULL ELSE {name} END AS name FROM {table}"""
+_LEFT = _SIDE.format(key="s_suppkey", bucket="'b' || CAST(s_nationkey AS VARCHAR(9))", name="'T' || CAST(s_nationkey + 100 AS VARCHAR(9)) || ' Club'", table="supplier")
+_RIGHT = _SIDE.format(key="c_custkey", bucket="'b' || CAST(c_nationkey AS VARCHAR(9))", name="'the t' || CAST(c_nationkey + 100 AS VARCHAR(9)) || ' cx'", table="customer")
+
+
+@query("j4_fuzzy_full_outer_hot", f"""SELECT l.id AS l_id, l.bucket AS l_bucket, l.name AS l_name, r.id AS r_id, r.bucket AS r_bucket, r.name AS r_name
+FROM ({_LEFT}) l FULL JOIN ({_RIGHT}) r ON l.bucket = r.bucket AND (contains(lower(l.name), lower(left(r.name, 5))) OR contains(lower(r.name), lower(left(l.name, 5))))""")
 def j4_hot(spark, sf):
-    """Every bucket with more than one candidate pair takes the substring path."""
-    return _pairs(spark, sf, pair_limit=1)
+    """NULL and repeated ids, NULL names and buckets, and one bucket with most rows."""
+    left, right = (table(spark, sf, n) for n in ("supplier", "customer"))
+    p = joins.prefix_match(left.sparkSession.sql(_LEFT.replace("VARCHAR(9)", "STRING").replace("FROM supplier", "FROM {t}"), t=left),
+                           right.sparkSession.sql(_RIGHT.replace("VARCHAR(9)", "STRING").replace("FROM customer", "FROM {t}"), t=right), ["bucket"], "name")
+    return p.select(*[c(f"{s}.{n}").alias(f"{s}_{n}") for s in "lr" for n in ("id", "bucket", "name")])
 
 
 @query("j5_semi_join", sql("SELECT k, status, amount FROM scd2 WHERE k IN (SELECT k FROM scd_act WHERE action = 'UPDATE')"))
@@ -218,26 +226,26 @@ def a13(spark, sf):
 
 
 # --- W ------------------------------------------------------------------------------
-_W1 = sql("""SELECT player_season_key, CAST(row_number() OVER (PARTITION BY competition_name ORDER BY goals DESC, minutes, player_season_key) AS INTEGER) AS rank FROM s_players""")
+_W1 = sql("""SELECT player_season_key, CAST(row_number() OVER (PARTITION BY competition_name ORDER BY goals DESC, minutes, player_season_key) AS BIGINT) AS rank FROM s_players""")
 _KEYED = ["player_season_key", "competition_name", "goals", "minutes"]
 
 
 @query("w1_rank_within", _W1)
 def w1(spark, sf):
-    return windows.ordered(fx.silver_players(spark, sf).select(*_KEYED), ["competition_name"], ["goals desc", "minutes", "player_season_key"],
+    return windows.ordered(fx.silver_players(spark, sf).select(*_KEYED), ["competition_name"], ["goals desc", "minutes"], key=["player_season_key"],
                            row_number="rank").select("player_season_key", "rank")
 
 
 @query("w1_rank_within_sliced", _W1)
 def w1_sliced(spark, sf):
-    return windows.ordered(fx.silver_players(spark, sf).select(*_KEYED), ["competition_name"], ["goals desc", "minutes", "player_season_key"],
-                           row_number="rank", group_limit=FORCE_SLICES).select("player_season_key", "rank")
+    """The same ranking, joined to its table by key."""
+    return windows.ranks(fx.silver_players(spark, sf).select(*_KEYED), ["player_season_key"], {"rank": (["competition_name"], ["goals desc", "minutes"])}).select(
+        "player_season_key", "rank")
 
 
-@query("w2_overall_rank", "SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank FROM orders")
+@query("w2_overall_rank", "SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rank FROM orders")
 def w2(spark, sf):
-    return windows.ordered(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), [], ["o_totalprice desc", "o_orderkey"], row_number="rank",
-                           group_limit=FORCE_SLICES).select("o_orderkey", "rank")
+    return windows.ordered(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), [], ["o_totalprice desc"], key=["o_orderkey"], row_number="rank").select("o_orderkey", "rank")
 
 
 @query("w3_dedup_latest", "SELECT c_custkey, o_orderkey FROM (SELECT o_custkey AS c_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1")
@@ -254,32 +262,31 @@ def w4(spark, sf):
 _LAGS = {"previous_position": "position", "previous_points": "points", "previous_matches": "matches_played"}
 _W5 = sql("""SELECT standing_key, valid_from, lag(position) OVER w AS previous_position, lag(points) OVER w AS previous_points, lag(matches_played) OVER w AS previous_matches
 FROM st_hist WINDOW w AS (PARTITION BY {keys} ORDER BY valid_from, standing_key)""")
-_W6 = sql("""SELECT standing_key, valid_from, CAST(row_number() OVER (PARTITION BY {keys} ORDER BY valid_from, standing_key) AS INTEGER) AS snapshot_number,
+_W6 = sql("""SELECT standing_key, valid_from, CAST(row_number() OVER (PARTITION BY {keys} ORDER BY valid_from, standing_key) AS BIGINT) AS snapshot_number,
   count(*) OVER (PARTITION BY {keys}) AS total_snapshots FROM st_hist""")
-_ORDER = ["valid_from", "standing_key"]
+_ORDER = {"order_by": ["valid_from"], "key": ["standing_key"]}
 
 
 @query("w5_lag_versions", _W5.replace("{keys}", "standing_key"))
 def w5(spark, sf):
-    return windows.ordered(fx.standings_history(spark, sf), ["standing_key"], _ORDER, lag=_LAGS).select("standing_key", "valid_from", *_LAGS)
+    return windows.ordered(fx.standings_history(spark, sf), ["standing_key"], **_ORDER, lag=_LAGS).select("standing_key", "valid_from", *_LAGS)
 
 
 @query("w5_lag_versions_sliced", _W5.replace("{keys}", "competition_name"))
 def w5_sliced(spark, sf):
-    return windows.ordered(fx.standings_history(spark, sf), ["competition_name"], _ORDER, lag=_LAGS, group_limit=FORCE_SLICES).select(
+    return windows.ordered(fx.standings_history(spark, sf), ["competition_name"], **_ORDER, lag=_LAGS).select(
         "standing_key", "valid_from", *_LAGS)
 
 
 @query("w6_snapshot_number", _W6.replace("{keys}", "standing_key"))
 def w6(spark, sf):
-    return windows.ordered(fx.standings_history(spark, sf), ["standing_key"], _ORDER, row_number="snapshot_number", size="total_snapshots").select(
+    return windows.ordered(fx.standings_history(spark, sf), ["standing_key"], **_ORDER, row_number="snapshot_number", size="total_snapshots").select(
         "standing_key", "valid_from", "snapshot_number", "total_snapshots")
 
 
 @query("w6_snapshot_number_sliced", _W6.replace("{keys}", "competition_name"))
 def w6_sliced(spark, sf):
-    return windows.ordered(fx.standings_history(spark, sf), ["competition_name"], _ORDER, row_number="snapshot_number", size="total_snapshots",
-                           group_limit=FORCE_SLICES).select("standing_key", "valid_from", "snapshot_number", "total_snapshots")
+    return windows.ordered(fx.standings_history(spark, sf), ["competition_name"], **_ORDER, row_number="snapshot_number", size="total_snapshots").select("standing_key", "valid_from", "snapshot_number", "total_snapshots")
 
 
 @query("w7_previous_version", sql("""

@@ -23,34 +23,41 @@ def skewed(spark):
     return spark.createDataFrame(rows, "g string, a int, b string, id int").repartition(4)
 
 
-def test_sliced_window_equals_plain_window(skewed):
-    order, lag = ["a desc", "b", "id desc"], {"prev_a": "a", "prev_id": "id"}
+def test_ordered_equals_plain_window(skewed):
+    from pyspark.sql import Window
+
+    order, lag = ["a desc", "b"], {"prev_a": "a", "prev_id": "id"}
     for keys in (["g"], []):
-        made = [windows.ordered(skewed, keys, order, row_number="rn", lag=lag, size="n", group_limit=limit) for limit in (10**6, 40)]
-        want, got = (sorted(map(tuple, m.select("id", "rn", "prev_a", "prev_id", "n").collect())) for m in made)
-        assert want == got
+        got = windows.ordered(skewed, keys, order, key=["id"], row_number="rn", lag=lag, size="n").select("id", "rn", "prev_a", "prev_id", "n")
+        whole = Window.partitionBy(*keys)
+        w = whole.orderBy(*windows.order_columns([*order, "id"]))
+        want = skewed.select("id", F.row_number().over(w), F.lag("a").over(w), F.lag("id").over(w), F.count("*").over(whole))
+        assert sorted(map(tuple, want.collect())) == sorted(map(tuple, got.collect()))
+        assert dict(got.dtypes)["rn"] == "bigint"
+
 
+@pytest.mark.parametrize("type_", ["long", "double", "decimal(20,4)", "string", "binary", "date", "timestamp", "timestamp_ntz", "boolean", "float"])
+def test_ordered_by_any_type(spark, type_):
+    from pyspark.sql import Window
 
-@pytest.mark.parametrize("type_", ["long", "double", "decimal(20,4)", "string", "date", "timestamp", "timestamp_ntz", "boolean", "float"])
-def test_sliced_rank_by_any_type(spark, type_):
     df = spark.range(1500).withColumn("x", F.expr(f"""
         CASE WHEN id % 11 = 0 THEN NULL WHEN '{type_}' IN ('date', 'timestamp', 'timestamp_ntz') THEN cast(date_add(date '2020-03-01', cast(id % 97 as int)) as string)
-        WHEN '{type_}' = 'boolean' THEN cast(id % 2 = 0 as string) WHEN '{type_}' = 'string' THEN concat('é"', chr(34 + cast(id % 60 as int)))
+        WHEN '{type_}' = 'boolean' THEN cast(id % 2 = 0 as string) WHEN '{type_}' IN ('string', 'binary') THEN concat('é"', chr(34 + cast(id % 60 as int)))
         ELSE cast((id % 97) / 7 - 3 as string) END""").try_cast(type_) if type_ != "long" else F.col("id") % 97)
-    order = ["x desc", "id"]
-    a, b = (windows.ordered(df, [], order, row_number="rn", group_limit=n).select("id", "rn") for n in (10**6, 50))
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    got = windows.ordered(df, [], ["x desc"], key=["id"], row_number="rn").select("id", "rn")
+    want = df.select("id", F.row_number().over(Window.orderBy(F.col("x").desc(), "id")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_slice_borders_are_a_folded_literal(spark):
-    p = plan(windows.ordered(spark.range(500), [], ["id"], row_number="rn", group_limit=50))
-    assert "from_json" not in p and "reduce" in p
+def test_several_rankings_read_their_table_once(spark, skewed, tmp_path):
+    skewed.write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+    out = windows.ranks(base, ["id"], {"r1": (["g"], ["a desc"]), "r2": ([], ["a desc"]), "r3": (["g"], ["b"])})
+    assert out.count() == 3000 and str(tmp_path) not in plan(out)
 
 
-def test_sliced_overall_rank_orders_in_many_tasks(skewed):
-    p = plan(windows.ordered(skewed.select("id", "a"), [], ["a desc", "id"], row_number="rn", group_limit=40))
-    rows = [line for line in p.splitlines() if "Exchange SinglePartition" in line]
-    assert all("count" in p for _ in rows) and "hashpartitioning(__slice" in p
+def test_empty_table_is_ordered(skewed):
+    assert windows.ordered(skewed.limit(0), ["g"], ["a"], key=["id"], row_number="rn", lag={"p": "a"}, size="n").collect() == []
 
 
 def test_top_rows_are_cut_before_the_shuffle(skewed):
@@ -77,21 +84,35 @@ def _brute_pairs(left, right):
     return pairs | lone_l | {(None, r[0]) for r in right if r[0] not in {p[1] for p in pairs}}
 
 
-def test_prefix_match_both_paths_equal_brute_force(spark):
+def test_prefix_match_equals_brute_force(spark):
     names = ["Ajax", "AJAX Amsterdam", "PSV", "psv eindhoven", "Feyenoord", "", None, "FC", "The Ajax", "Real%", "Real_Madrid"]
     rnd = random.Random(3)
     left = [(i, rnd.choice(["d1", "d2", None]), rnd.choice(names)) for i in range(60)]
     right = [(100 + i, rnd.choice(["d1", "d3", None]), rnd.choice(names)) for i in range(60)]
     l = spark.createDataFrame(left, "id int, d string, name string")
     r = spark.createDataFrame(right, "rid int, d string, name string")
-    for limit in (10**6, 1):
-        m = joins.prefix_match(l, r, ["d"], "name", ("id", "rid"), pair_limit=limit)
-        got = m.select("l.id", "r.rid").collect()
-        assert {tuple(x) for x in got} == _brute_pairs(left, right)
-        assert len(got) == len(_brute_pairs(left, right))
+    m = joins.prefix_match(l, r, ["d"], "name")
+    got = m.select("l.id", "r.rid").collect()
+    assert {tuple(x) for x in got} == _brute_pairs(left, right)
+    assert len(got) == len(_brute_pairs(left, right))
     assert joins.ambiguous_pairs(m, ("id", "rid")).filter("partners > 1").count() > 0
 
 
+def test_prefix_match_with_null_and_repeated_ids(spark):
+    left = spark.createDataFrame([(1, "A", "Ajax"), (1, "B", "Boavista"), (None, "A", "Ajax")], "id int, d string, name string")
+    right = spark.createDataFrame([("r1", "A", "Ajax FC"), ("r2", "A", "PSV")], "rid string, d string, name string")
+    got = joins.prefix_match(left, right, ["d"], "name").select("l.id", "l.d", "r.rid").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "A", "r1"), (None, "A", "r1"), (1, "B", None), (None, None, "r2")], key=str)
+
+
+def test_previous_version_reads_the_history_once(spark, tmp_path):
+    rows = [("a", 1, False, "h1", 10), ("a", 2, False, "h2", 20), ("a", 3, True, "h3", 30), ("b", 1, True, "h4", 40), (None, 1, False, "h5", 50), (None, 2, True, "h6", 60), ("c", 1, False, "h7", 70)]
+    spark.createDataFrame(rows, "k string, valid_from int, is_current boolean, record_hash string, v int").write.parquet(str(tmp_path / "h"))
+    out = joins.previous_version(spark.read.parquet(str(tmp_path / "h")), "k", {"prev": "v"})
+    assert sorted(((r.k, r.v, r.prev) for r in out.collect()), key=str) == sorted([("a", 30, 20), ("b", 40, None), (None, 60, None)], key=str)
+    assert plan(out).split("Initial Plan")[-1].count("FileScan") == 1
+
+
 def test_orphans_and_missing_parents(spark):
     child = spark.createDataFrame([(1, 10, 11), (2, 10, 99), (3, None, 10)], "id int, a int, b int")
     parent = spark.createDataFrame([(10,), (11,), (11,)], "p int")
@@ -170,10 +191,3 @@ def test_sql_rules_report_errors_without_stopping(spark):
     s = quality.summary(rows).first()
     assert (s.total, s.passed, s.failed, s.errors, s.pass_rate) == (3, 1, 1, 1, 33.3)
     assert quality.failing_rows(spark, rules["bad"]).count() == 1
-
-
-def test_a_known_bound_saves_the_measuring_job(spark, skewed):
-    before = spark.sparkContext.statusTracker()
-    n = len(before.getJobIdsForGroup(None))
-    windows.ordered(skewed, ["g"], ["id"], row_number="rn", biggest=3000)
-    assert len(before.getJobIdsForGroup(None)) == n

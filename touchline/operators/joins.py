@@ -6,14 +6,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.functions.text import contains_prefix
-from touchline.operators.windows import dedup_latest, first_per_group
+from touchline.operators.windows import dedup_latest
 
 PREFIX = 5
-PAIR_LIMIT = 1_000_000  # candidate pairs one (code, date) bucket may compare directly
 
 
 def join_role(fact: DataFrame, dim: DataFrame, on: tuple[str, str], take: Mapping[str, str]) -> DataFrame:
@@ -67,11 +65,16 @@ def new_or_changed(batch: DataFrame, history: DataFrame, keys: Sequence[str], ha
 
 
 def previous_version(history: DataFrame, key: str, take: Mapping[str, str]) -> DataFrame:
-    """Current versions with columns of the latest closed version of the same key."""
-    closed = history.filter(~F.col("is_current"))
-    prev = first_per_group(closed, [key], ["valid_from desc", "record_hash"])
-    prev = prev.select(key, *[F.col(c).alias(n) for n, c in take.items()])
-    return history.filter("is_current").join(prev, key, "left")
+    """Current versions with columns of the latest closed version of the same key.
+
+    The history is read and shuffled once: closed versions are ordered before the current one of their key, and each
+    current row looks at the row before it.  Several current rows of a key all get the same closed version.
+    """
+    closed = F.when(~F.col("is_current"), F.struct(F.col("valid_from").alias("__at"), *[F.col(c).alias(f"__p{i}") for i, c in enumerate(take.values())]))
+    w = Window.partitionBy(key).orderBy("is_current", "valid_from", F.col("record_hash").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev = history.withColumn("__prev", F.last(closed, ignorenulls=True).over(w)).filter("is_current")
+    known = F.col(key).isNotNull()
+    return prev.select(*history.columns, *[F.when(known, F.col(f"__prev.__p{i}")).alias(n) for i, n in enumerate(take)])
 
 
 def enrich(base: DataFrame, tables: Mapping[str, DataFrame], keys: Sequence[str], columns: Mapping[str, Sequence[str]], latest_by: str) -> DataFrame:
@@ -82,82 +85,50 @@ def enrich(base: DataFrame, tables: Mapping[str, DataFrame], keys: Sequence[str]
     return base
 
 
-def _either_prefix(a: Column, b: Column) -> Column:
-    return contains_prefix(a, b, PREFIX) | contains_prefix(b, a, PREFIX)
-
-
-def _grams(name: Column) -> Column:
-    """Every substring of 0 to PREFIX characters: what a prefix could match."""
-    low = F.lower(name)
-    starts = F.sequence(F.lit(1), F.greatest(F.length(low), F.lit(1)))
-    grams = F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(0), F.lit(PREFIX)), lambda n: F.substring(low, i, n)))
-    return F.array_distinct(F.flatten(grams))
+def _name_pairs(left: DataFrame, right: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """Names of both sides (columns scope, ``__ln`` and ``__rn``) of which one holds the first characters of the other.
 
-
-def prefix_match(
-    left: DataFrame, right: DataFrame, equal: Sequence[str], name: str, ids: tuple[str, str], *, pair_limit: int = PAIR_LIMIT
-) -> DataFrame:
-    """Full outer join on ``equal`` columns plus "one name holds the other's prefix".
-
-    Output: structs ``l`` and ``r`` (NULL where unmatched).  Buckets of the equal columns
-    are normally small and are compared inside one sort-merge join.  A bucket with more
-    than ``pair_limit`` candidate pairs, or as many rows on one side, is matched on
-    (equal, substring) instead: that yields true matches only and spreads over the
-    substrings.  Whether there is such a bucket is asked first, on pre-aggregated counts.
-    Rows with a NULL among the equal columns cannot match and stay out of every shuffle.
+    Works on distinct names: a name's substrings are met with the other side's heads by equality, once in each
+    direction.  The head of an empty name is empty and stands in every name, so empty names meet their whole scope.
     """
-    k = range(len(equal))
-
-    def side(df: DataFrame, s: str) -> tuple[DataFrame, DataFrame]:
-        whole = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in equal])
-        keyed = df.filter(whole).select(*[F.col(x).alias(f"__{s}{i}") for i, x in enumerate(equal)], F.struct("*").alias(s))
-        return keyed, df.filter(~whole).select(F.struct("*").alias(s))
+    def names(df: DataFrame, n: str) -> DataFrame:
+        return df.select(*scope, n).distinct()
 
-    (l, l_null), (r, r_null) = side(left, "l"), side(right, "r")
-    null_l, null_r = F.lit(None).cast(l.schema["l"].dataType).alias("l"), F.lit(None).cast(r.schema["r"].dataType).alias("r")
+    def heads(df: DataFrame, n: str) -> DataFrame:
+        return df.filter(F.col(n) != "").withColumn("__part", F.lower(F.substring(n, 1, PREFIX)))
 
-    def alone(l_rows: DataFrame, r_rows: DataFrame) -> DataFrame:
-        return l_rows.select("l", null_r).unionByName(r_rows.select(null_l, "r"))
+    def parts(df: DataFrame, n: str) -> DataFrame:
+        low = F.lower(n)
+        grams = F.transform(F.sequence(F.lit(1), F.length(low)), lambda i: F.transform(F.sequence(F.lit(1), F.lit(PREFIX)), lambda k: F.substring(low, i, k)))
+        return df.filter(F.col(n) != "").withColumn("__part", F.explode(F.array_distinct(F.flatten(grams))))
 
-    def sizes(df: DataFrame, s: str) -> DataFrame:
-        return df.groupBy(*[F.col(f"__{s}{i}").alias(f"__h{i}") for i in k]).agg(F.count(F.lit(1)).alias(f"__n{s}"))
+    l, r, on = names(left, "__ln"), names(right, "__rn"), [*scope, "__part"]
+    out = [*scope, "__ln", "__rn"]
+    found = [parts(l, "__ln").join(heads(r, "__rn"), on), heads(l, "__ln").join(parts(r, "__rn"), on),
+             l.filter("__ln = ''").join(r, list(scope)), l.join(r.filter("__rn = ''"), list(scope))]
+    return reduce(DataFrame.unionByName, [f.select(*out) for f in found]).distinct()
 
-    keys = [f"__h{i}" for i in k]
-    nl, nr = F.coalesce("__nl", F.lit(0)), F.coalesce("__nr", F.lit(0))
-    hot = sizes(l, "l").join(sizes(r, "r"), keys, "full_outer").filter(
-        (nl * nr > pair_limit) | (nl > pair_limit) | (nr > pair_limit)).select(*keys)
 
-    on = reduce(lambda a, b: a & b, [F.col(f"__l{i}") == F.col(f"__r{i}") for i in k])
-    on = on & _either_prefix(F.col("l")[name], F.col("r")[name])
-    if hot.isEmpty():
-        return l.join(r, on, "full_outer").select("l", "r").unionByName(alone(l_null, r_null))
+def prefix_match(left: DataFrame, right: DataFrame, equal: Sequence[str], name: str) -> DataFrame:
+    """Full outer join on ``equal`` columns plus "one name holds the other's first characters".
 
-    def split(df: DataFrame, s: str, how: str) -> DataFrame:
-        same = reduce(lambda a, b: a & b, [F.col(f"__{s}{i}") == F.col(f"__h{i}") for i in k])
-        return df.join(hot, same, how)
-
-    cold = split(l, "l", "left_anti").join(split(r, "r", "left_anti"), on, "full_outer").select("l", "r")
-
-    hl = split(l, "l", "left_semi").withColumn("__lid", F.col("l")[ids[0]])
-    hr = split(r, "r", "left_semi").withColumn("__rid", F.col("r")[ids[1]])
-    token = "__token"
-
-    def named(df: DataFrame, s: str, text: Column) -> DataFrame:
-        return df.select(*[F.col(f"__{s}{i}").alias(f"__k{i}") for i in k], f"__{s}id", text.alias(token))
-
-    def heads(df: DataFrame, s: str) -> DataFrame:
-        return named(df, s, F.lower(F.substring(F.col(s)[name], 1, PREFIX)))
-
-    def parts(df: DataFrame, s: str) -> DataFrame:
-        return named(df, s, F.explode(_grams(F.col(s)[name])))
-
-    cols = [f"__k{i}" for i in k] + [token]
-    found = (parts(hl, "l").join(heads(hr, "r"), cols).unionByName(heads(hl, "l").join(parts(hr, "r"), cols))
-             .select("__lid", "__rid").distinct())
-    matched = found.join(hl.select("__lid", "l"), "__lid").join(hr.select("__rid", "r"), "__rid").select("l", "r")
-    lone = alone(hl.join(found, "__lid", "left_anti"), hr.join(found, "__rid", "left_anti"))
-    return cold.unionByName(matched).unionByName(lone).unionByName(alone(l_null, r_null))
+    Output: structs ``l`` and ``r`` (NULL where unmatched).  Names are matched, not rows: the pairs of names that fit
+    are found per value of the first equal column, brought to the distinct (equal columns, name) of both sides, and
+    rows are then joined to them by equality.  Row ids play no part, so they may repeat or be NULL.  A row with a NULL
+    name or a NULL among the equal columns has no partner and stays out of the matching.
+    """
+    keys = [f"__k{i}" for i in range(len(equal))]
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        return df.select(*[F.col(x).alias(k) for x, k in zip(equal, keys)], F.col(name).alias(f"__{s}n"), F.struct("*").alias(s))
+
+    l, r = side(left, "l"), side(right, "r")
+    l_keys, r_keys = (df.select(*keys, n).dropna().distinct() for df, n in ((l, "__ln"), (r, "__rn")))
+    pairs = _name_pairs(l_keys, r_keys, keys[:1])
+    fits = l_keys.join(pairs, [keys[0], "__ln"]).join(r_keys, [*keys, "__rn"]).select(*keys, "__ln", "__rn")
+    null_l = F.lit(None).cast(l.schema["l"].dataType).alias("l")
+    from_left = l.join(fits, [*keys, "__ln"], "left").join(r, [*keys, "__rn"], "left").select("l", "r")
+    return from_left.unionByName(r.join(fits, [*keys, "__rn"], "left_anti").select(null_l, "r"))
 
 
 def ambiguous_pairs(matched: DataFrame, ids: tuple[str, str]) -> DataFrame:

@@ -1,29 +1,24 @@
 """Ranking, lag and latest-row operators that survive a hot partition key.
 
 A plain ``row_number() OVER (PARTITION BY k ORDER BY ...)`` sends every row of one
-``k`` through one task.  :func:`ordered` measures the largest group first.  Small
-groups take the plain window.  Otherwise rows are cut into ordered slices (splitters
-from a bounded sample of the sort keys), numbered per slice, and shifted by the row
-counts of the earlier slices; the shift table has at most two rows per splitter, so
-it is safe to broadcast whatever the data size.
+``k`` through one task.  :func:`ordered` sorts all rows by (k, order) instead, which
+Spark does in evenly sized ranges, stores them with their place, and derives ranks,
+group sizes and previous rows from the places by aggregation and equality joins.
+There is one plan for every size; no task holds a group.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from math import ceil
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-GROUP_LIMIT = 1_000_000   # largest group a single task may order
-SAMPLE_PER_SLICE = 24     # sampled keys per slice: bounds what the driver sees
-MAX_SLICES = 4_096
-_B, _N, _SHIFT, _RN = "__slice", "__n", "__shift", "__rn"
+from touchline.session import stored
+
+_RN = "__rn"
+_PLACE_BITS = 33  # monotonically_increasing_id(): the task's number above, the row's place below
 
 
 def parse_order(order_by: Sequence[str]) -> list[tuple[str, bool]]:
@@ -39,168 +34,62 @@ def order_columns(order_by: Sequence[str]) -> list[Column]:
     return [F.col(n).desc() if d else F.col(n).asc() for n, d in parse_order(order_by)]
 
 
-class GroupSizes(NamedTuple):
-    biggest: int
-    rows: int
-
-
-def group_sizes(df: DataFrame, partition_by: Sequence[str]) -> GroupSizes:
-    """Largest group and total rows: one pre-aggregated job over the key columns."""
-    if not partition_by:
-        n = df.count()
-        return GroupSizes(n, n)
-    row = df.groupBy(*partition_by).count().agg(F.max("count"), F.sum("count")).first()
-    return GroupSizes(row[0] or 0, row[1] or 0)
-
-
 def ordered(
     df: DataFrame,
     partition_by: Sequence[str],
     order_by: Sequence[str],
     *,
+    key: Sequence[str],
     row_number: str | None = None,
     lag: Mapping[str, str] | None = None,
     size: str | None = None,
-    group_limit: int = GROUP_LIMIT,
-    biggest: int | None = None,
-    rows: int | None = None,
 ) -> DataFrame:
-    """Add row number, previous-row values and group size under one ordering.
+    """Add row number (LONG), previous-row values and group size (LONG) under one ordering.
 
-    ``order_by`` must be unique within a group: end it with a key.  ``lag`` maps new
-    column name to source column.  ``biggest`` passes a known bound of the largest group (and
-    ``rows`` the total, see :func:`group_sizes`) and saves the measuring job.
+    ``key`` names the columns that tell rows apart; they end the order, so it is total.  ``lag`` maps new column
+    name to source column.  ``df`` is evaluated once.
     """
     lag = dict(lag or {})
-    if biggest is None:
-        biggest, rows = group_sizes(df, partition_by)
-    if biggest <= group_limit:
-        return _plain(df, partition_by, order_by, row_number, lag, size)
-    if rows is None:
-        rows = df.count()
-    return _sliced(df, partition_by, order_by, row_number, lag, size, group_limit, rows)
-
-
-def ranks(df: DataFrame, partition_by: Sequence[str], orders: Mapping[str, Sequence[str]], *, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """Several rankings over one partitioning: measured once, shuffled once when small."""
-    sizes = group_sizes(df, partition_by)
-    for name, order_by in orders.items():
-        df = ordered(df, partition_by, order_by, row_number=name, group_limit=group_limit, biggest=sizes.biggest, rows=sizes.rows)
-    return df
-
-
-def _plain(df, partition_by, order_by, row_number, lag, size):
-    group = Window.partitionBy(*partition_by)
-    w = group.orderBy(*order_columns(order_by))
+    names = [n for n, _ in parse_order(order_by)]
+    order = [F.col(p).asc() for p in partition_by] + order_columns([*order_by, *(k for k in key if k not in names)])
+    table = stored(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()))
+    task = F.shiftright("__at", _PLACE_BITS)
+    # One row per task of the sort: its number of rows before and in all.
+    tasks = table.groupBy(task.alias("__task")).agg(F.count(F.lit(1)).alias("__n"))
+    run = Window.orderBy("__task")
+    tasks = tasks.select("__task", (F.sum("__n").over(run) - F.col("__n")).alias("__before"), F.sum("__n").over(Window.partitionBy()).alias("__total"))
+    at = table.withColumn("__task", task).join(tasks, "__task").withColumn("__g", F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)))
+    if partition_by:
+        at = group_value(at, partition_by, __start=F.min("__g"), __size=F.count(F.lit(1)))
+    else:
+        at = at.withColumns({"__start": F.lit(0).cast("long"), "__size": F.col("__total")})
+    first = F.col("__g") == F.col("__start")
     new = {}
     if row_number:
-        new[row_number] = F.row_number().over(w)
-    for name, src in lag.items():
-        new[name] = F.lag(src).over(w)
+        new[row_number] = F.col("__g") - F.col("__start") + 1
+    if lag:
+        before = at.select((F.col("__g") + 1).alias("__next"), *[F.col(s).alias(f"__last_{i}") for i, s in enumerate(lag.values())])
+        at = at.join(before, F.col("__g") == F.col("__next"), "left")
+        new |= {name: F.when(~first, F.col(f"__last_{i}")) for i, name in enumerate(lag)}
     if size:
-        new[size] = F.count(F.lit(1)).over(group)
-    return df.withColumns(new)
+        new[size] = F.col("__size")
+    return at.withColumns(new).select(*[c for c in df.columns if c not in new], *new)
 
 
-def _precedes(a: Column, b: Column, names: Sequence[tuple[str, bool]]) -> Column:
-    """``a`` sorts before or level with ``b``; NULL is the smallest value, as in Spark."""
-    def smaller(x: Column, y: Column) -> Column:
-        return (x.isNull() & y.isNotNull()) | F.coalesce(x < y, F.lit(False))
+def ranks(df: DataFrame, key: Sequence[str], rankings: Mapping[str, tuple[Sequence[str], Sequence[str]]]) -> DataFrame:
+    """Several rankings (name to partition columns and order) of one table with the unique ``key``.
 
-    out = F.lit(True)
-    for name, desc in reversed(names):
-        x, y = a[name], b[name]
-        first = smaller(y, x) if desc else smaller(x, y)
-        out = first | (x.eqNullSafe(y) & out)
-    return out
-
-
-def _splitters(df: DataFrame, names: Sequence[tuple[str, bool]], slices: int, rows: int) -> list:
-    """Slice borders from a sample whose size depends on ``slices`` only."""
-    keys = df.select(*[n for n, _ in names])
-    want = slices * SAMPLE_PER_SLICE
-    sample = keys.sample(min(1.0, want / max(rows, 1)), seed=17) if want < rows else keys
-    picked = sample.orderBy(*[F.col(n).desc() if d else F.col(n).asc() for n, d in names]).limit(2 * want).collect()
-    step = max(1, len(picked) // slices)
-    return list(dict.fromkeys(picked[step::step]))
-
-
-def _slice_of(df: DataFrame, names: Sequence[tuple[str, bool]], borders: list) -> Column:
-    """Number of borders at or before the row's key, by binary search in a literal array.
-
-    Borders travel as one JSON literal.  One that does not come back unchanged is dropped:
-    any ordered subset of borders cuts the rows correctly.
+    The table is evaluated and stored once; each ranking sorts only the columns it needs, and the ranks are joined by key.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    schema = T.ArrayType(T.StructType([T.StructField(n, types[n]) for n, _ in names]))
-
-    def literal(rows: list) -> Column:
-        return F.from_json(F.lit(json.dumps([{n: r[n] for n, _ in names} for r in rows], default=str)), schema)
-
-    if borders:
-        back = df.sparkSession.range(1).select(literal(borders)).first()[0]
-        borders = [r for r, same in zip(borders, back) if tuple(r) == tuple(same)]
-    if not borders:
-        return F.lit(0)
-    array = literal(borders)
-    key = F.struct(*[F.col(n).alias(n) for n, _ in names])
-    steps = [1 << b for b in range(len(borders).bit_length() - 1, -1, -1)]
-
-    def advance(at: Column, step: Column) -> Column:
-        ahead = at + step
-        return F.when((ahead <= len(borders)) & _precedes(F.get(array, ahead - 1), key, names), ahead).otherwise(at)
-
-    return F.reduce(F.array(*[F.lit(x) for x in steps]), F.lit(0), advance)
-
-
-def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
-def _sliced(df, partition_by, order_by, row_number, lag, size, group_limit, rows):
-    names = [(p, False) for p in partition_by] + parse_order(order_by)
-    slices = min(MAX_SLICES, max(2, ceil(2 * rows / max(group_limit, 1))))
-    borders = _splitters(df, names, slices, rows)
-    tagged = df.withColumn(_B, _slice_of(df, names, borders))
-    cell = [*partition_by, _B]
-    group = Window.partitionBy(*cell)
-    w = group.orderBy(*order_columns(order_by))
-
-    # Per-cell row count and, for lags, the values of its last row.
-    counts = tagged.groupBy(*cell).agg(F.count(F.lit(1)).alias(_N))
-    if lag:
-        reverse = [f"{n} {'asc' if d else 'desc'}" for n, d in parse_order(order_by)]
-        last = first_per_group(tagged.select(*{*cell, *lag.values(), *[n for n, _ in names]}), cell, reverse)
-        last = last.select(*cell, *[F.col(s).alias(f"__last_{i}") for i, s in enumerate(lag.values())])
-        counts = counts.join(last, _same(counts, last, cell), "inner").select(counts["*"], *[last[f"__last_{i}"] for i in range(len(lag))])
-
-    # Cells of one group are at most one more than the borders, so this window is small.
-    across = Window.partitionBy(*partition_by)
-    run = across.orderBy(_B)
-    edge = counts.withColumns({
-        _SHIFT: F.sum(_N).over(run) - F.col(_N),
-        "__total": F.sum(_N).over(across),
-        "__cells": F.count(F.lit(1)).over(across),
-        **{f"__before_{i}": F.lag(f"__last_{i}").over(run) for i in range(len(lag))},
-    }).filter("__cells > 1").select(
-        *[F.col(c).alias(f"__e_{c}") for c in cell], _SHIFT, "__total", *[f"__before_{i}" for i in range(len(lag))])
-
-    local = tagged.withColumns({
-        _RN: F.row_number().over(w),
-        **{name: F.lag(src).over(w) for name, src in lag.items()},
-        **({size: F.count(F.lit(1)).over(group)} if size else {}),
-    })
-    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__e_{c}")) for c in cell])
-    out = local.join(F.broadcast(edge), on, "left")  # at most two rows per border
-    new = {}
-    if row_number:
-        new[row_number] = F.col(_RN) + F.coalesce(F.col(_SHIFT), F.lit(0)).cast("int")
-    for i, name in enumerate(lag):
-        new[name] = F.when(F.col(_RN) == 1, F.col(f"__before_{i}")).otherwise(F.col(name))
-    if size:
-        new[size] = F.coalesce(F.col("__total"), F.col(size))
-    keep = [c for c in df.columns if c not in new] + list(new)
-    return out.withColumns(new).select(*keep)
+    base = stored(df)
+    out = base
+    for name, (partition_by, order_by) in rankings.items():
+        needed = dict.fromkeys([*key, *partition_by, *(n for n, _ in parse_order(order_by))])
+        rank = ordered(base.select(*needed), partition_by, order_by, key=key, row_number=name)
+        rank = rank.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(key)], name)
+        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r{i}")) for i, k in enumerate(key)])
+        out = out.join(rank, on, "left").drop(*[f"__r{i}" for i in range(len(key))])
+    return out
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -18,9 +18,9 @@ from touchline.functions.numeric import age_in, exact_sum, minus, per90, plus, q
 from touchline.functions.text import surrogate_key
 from touchline.operators.aggregates import mean, ordered_text, share_where
 from touchline.operators.filters import finished
-from touchline.operators.joins import PAIR_LIMIT, join_role, left_on, prefix_match, previous_version
+from touchline.operators.joins import join_role, left_on, prefix_match, previous_version
 from touchline.operators.sides import two_sided
-from touchline.operators.windows import GROUP_LIMIT, group_sizes, last_n, ordered, ranks
+from touchline.operators.windows import last_n, ordered, ranks
 
 c = F.col
 _SIDES = ("home", "away")
@@ -70,10 +70,9 @@ def match_results_basic(matches: DataFrame) -> DataFrame:
     return m.select(*base, *[e.alias(n) for n, e in derived.items()])
 
 
-def matches_with_xg(matches: DataFrame, xg_matches: DataFrame, *, pair_limit: int = PAIR_LIMIT) -> DataFrame:
+def matches_with_xg(matches: DataFrame, xg_matches: DataFrame) -> DataFrame:
     """Finished matches of both sources, paired on competition, day and home-name prefix."""
-    pairs = prefix_match(matches, xg_matches, ["competition_code", "match_date"], "home_team_name",
-                         ("match_id", "match_key"), pair_limit=pair_limit)
+    pairs = prefix_match(matches, xg_matches, ["competition_code", "match_date"], "home_team_name")
     l, r = c("l"), c("r")
 
     def first(name: str) -> Column:
@@ -167,7 +166,7 @@ def dim_teams_basic(teams: DataFrame, standings: DataFrame) -> DataFrame:
     )
 
 
-def competition_standings(teams: DataFrame, *, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def competition_standings(teams: DataFrame) -> DataFrame:
     """League table; the last three places are the relegation zone."""
     rename = {
         "played": "total_matches_played", "won": "total_wins", "drawn": "total_draws", "lost": "total_losses",
@@ -178,8 +177,8 @@ def competition_standings(teams: DataFrame, *, group_limit: int = GROUP_LIMIT) -
         "points_per_game", "avg_goals_scored_per_match", "avg_goals_conceded_per_match",
         *[f"{v}_{n}" for v in _SIDES for n in ("wins", "draws", "losses")],
     )
-    t = ordered(t, ["competition_name"], ["points desc", "goal_difference desc", "goals_for desc", "team_id"],
-                row_number="position", size="__last", group_limit=group_limit)
+    t = ordered(t, ["competition_name"], ["points desc", "goal_difference desc", "goals_for desc"], key=["team_id"],
+                row_number="position", size="__last")
     zone = ladder([(c("position") <= n, z) for n, z in K.ZONE_TOP] + [(c("position") >= c("__last") - 2, K.ZONE_BOTTOM)], K.ZONE_MIDDLE)
     return t.withColumn("zone", zone).drop("__last")
 
@@ -408,33 +407,31 @@ _WHO = ["player_name", "team_name", "nationality", "position", "position_categor
         "competition_name", "competition_code", "season"]
 
 
-def top_scorers(performance: DataFrame, *, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def top_scorers(performance: DataFrame) -> DataFrame:
     p = performance.filter(c("goals") > 0).select(
         "player_season_key", *_WHO, "matches_played", "starts", "minutes", "nineties", "goals", "non_penalty_goals", "penalty_goals",
         "goals_per90", "xg", "goals_minus_xg", "shots", "shots_on_target", "shot_conversion_pct", "shots_per_goal", "assists",
         "goal_contributions", ratio("minutes", "goals", 0).alias("minutes_per_goal"))
-    return _ranked(p, ["goals desc", "assists desc", "minutes", "player_season_key"], group_limit).withColumn(
+    return _ranked(p, ["goals desc", "assists desc", "minutes"]).withColumn(
         "golden_boot_status", at_most("rank_in_competition", K.SCORER_STATUS, K.SCORER_STATUS_REST))
 
 
-def top_assisters(performance: DataFrame, *, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def top_assisters(performance: DataFrame) -> DataFrame:
     p = performance.filter((c("assists") > 0) | (c("key_passes") >= 10)).select(
         "player_season_key", *_WHO, "matches_played", "starts", "minutes", "nineties", "assists", "assists_per90", "xa",
         "assists_minus_xa", "key_passes", "key_passes_per90", "passes_into_final_third", "passes_into_penalty_area",
         "progressive_passes", "progressive_passes_per90", "sca", "sca_per90", "gca", "gca_per90", "goals", "goal_contributions",
         ratio("minutes", "assists", 0).alias("minutes_per_assist"),
         per90(c("key_passes") + c("passes_into_penalty_area"), "nineties").alias("chance_creation_per90"))
-    return _ranked(p, ["assists desc", "key_passes desc", "minutes", "player_season_key"], group_limit).withColumn(
+    return _ranked(p, ["assists desc", "key_passes desc", "minutes"]).withColumn(
         "playmaker_status", at_most("rank_in_competition", K.ASSISTER_STATUS, K.ASSISTER_STATUS_REST))
 
 
-def _ranked(p: DataFrame, order: list[str], group_limit: int) -> DataFrame:
-    sizes = group_sizes(p, ["competition_name"])
-    p = ordered(p, ["competition_name"], order, row_number="rank_in_competition", group_limit=group_limit, biggest=sizes.biggest, rows=sizes.rows)
-    return ordered(p, [], order, row_number="overall_rank", group_limit=group_limit, biggest=sizes.rows, rows=sizes.rows)
+def _ranked(p: DataFrame, order: list[str]) -> DataFrame:
+    return ranks(p, ["player_season_key"], {"rank_in_competition": (["competition_name"], order), "overall_rank": ([], order)})
 
 
-def player_xg_analysis(performance: DataFrame, *, min_minutes: int = 450, group_limit: int = GROUP_LIMIT) -> DataFrame:
+def player_xg_analysis(performance: DataFrame, *, min_minutes: int = 450) -> DataFrame:
     p = performance.filter((c("minutes") >= min_minutes) & ((c("xg") > 0) | (c("xa") > 0)))
     g, a = minus("goals", "xg"), minus("assists", "xa")
     xg, xa = units("xg"), units("xa")
@@ -450,11 +447,11 @@ def player_xg_analysis(performance: DataFrame, *, min_minutes: int = 450, group_
         at_least(a, K.CREATIVE_CATEGORY, K.CATEGORY_REST).alias("creative_category"),
         skill.alias("skill_luck_index"),
     )
-    return ranks(p, ["competition_name"], {
-        "finishing_rank": ["goals_minus_xg desc", "player_season_key"],
-        "creating_rank": ["assists_minus_xa desc", "player_season_key"],
-        "overall_overperformance_rank": ["total_overperformance desc", "player_season_key"],
-    }, group_limit=group_limit)
+    return ranks(p, ["player_season_key"], {
+        "finishing_rank": (["competition_name"], ["goals_minus_xg desc"]),
+        "creating_rank": (["competition_name"], ["assists_minus_xa desc"]),
+        "overall_overperformance_rank": (["competition_name"], ["total_overperformance desc"]),
+    })
 
 
 def player_form(history: DataFrame, *, min_matches: int = 3) -> DataFrame:
@@ -487,14 +484,11 @@ def player_form(history: DataFrame, *, min_matches: int = 3) -> DataFrame:
     )
 
 
-def standing_history(history: DataFrame, *, group_limit: int = GROUP_LIMIT, max_versions: int | None = None) -> DataFrame:
-    """Every standings version with the change since the version before it.
-
-    ``max_versions`` is a known bound of versions per team (the number of loads).
-    """
+def standing_history(history: DataFrame) -> DataFrame:
+    """Every standings version with the change since the version before it."""
     before = {"previous_position": "position", "previous_points": "points", "__previous_matches": "matches_played"}
-    s = ordered(history, ["team_name", "competition_name", "season"], ["valid_from", "standing_key"],
-                row_number="snapshot_number", lag=before, size="total_snapshots", group_limit=group_limit, biggest=max_versions)
+    s = ordered(history, ["team_name", "competition_name", "season"], ["valid_from"], key=["standing_key"],
+                row_number="snapshot_number", lag=before, size="total_snapshots")
     change = F.coalesce("previous_position", "position") - c("position")
     gained = c("points") - zero("previous_points")
     played = c("matches_played") - zero("__previous_matches")

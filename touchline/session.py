@@ -11,8 +11,9 @@ import os
 import shutil
 import tempfile
 import zipfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
@@ -71,15 +72,30 @@ def get_session(app: str = "touchline", **overrides: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_scratch: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for written tables that cut lineage.
 
     A cluster names it in ``spark.checkpoint.dir``.  Only a local master may fall
-    back to a temporary folder; elsewhere a missing setting is an error.
+    back to a temporary folder, one for the process and gone with it; elsewhere a
+    missing setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="touchline-", dir=os.environ.get("TMPDIR", "/tmp"))
-    raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
+    if not _scratch:
+        _scratch.append(tempfile.mkdtemp(prefix="touchline-", dir=os.environ.get("TMPDIR", "/tmp")))
+        atexit.register(shutil.rmtree, _scratch[0], ignore_errors=True)
+    return _scratch[0]
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, cut from its lineage, safe from lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/touchline-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
