@@ -124,8 +124,12 @@ def append_versions(batch: DataFrame, classified: DataFrame, keys: Sequence[str]
 
 def upsert_type1(target: DataFrame, batch: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
     """Merge without history: matched rows take ``update_cols`` from the batch, new keys
-    are inserted whole, the rest stays."""
-    new = batch.select(*[F.col(k).alias(f"__n{i}") for i, k in enumerate(keys)], F.struct(*target.columns).alias("new"))
+    are inserted whole, the rest stays.  A key that the batch holds more than once is an
+    error, as in a merge."""
+    twice = F.raise_error(F.concat(F.lit("several batch rows for key "), F.to_json(F.struct(*keys))))
+    per_key = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.first(F.struct(*target.columns)).alias("new"))
+    new = per_key.select(*[F.col(k).alias(f"__n{i}") for i, k in enumerate(keys)],
+                         F.when(F.col("__rows") > 1, twice).otherwise(F.col("new")).alias("new"))
     old = target.select(*[F.col(k).alias(f"__o{i}") for i, k in enumerate(keys)], F.struct("*").alias("old"))
     on = reduce(lambda a, b: a & b, [F.col(f"__n{i}") == F.col(f"__o{i}") for i in range(len(keys))])
 

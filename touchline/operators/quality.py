@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,19 +170,17 @@ def run_suite(df: DataFrame, layer: str, table: str, checks: Iterable, now, pare
 
 def run_rule(spark: SparkSession, name: str, query: str, now, run_id: str, *, should_be_empty: bool = True) -> DataFrame:
     """One SQL rule as one result row; the rows it returns are counted, not fetched.
-    A query that does not analyse is an ERROR result."""
-    def row(status: Column, details: Column) -> list[Column]:
-        return [F.lit(name).alias("test_name"), status.alias("status"), details.alias("details"),
-                F.lit(now).cast("timestamp").alias("timestamp"), F.lit(run_id).alias("run_id")]
 
+    The rule runs at once.  A query that does not analyse or fails while it runs is an ERROR result of this rule.
+    """
     try:
-        found = spark.sql(query)
-    except AnalysisException as e:
-        return spark.range(1).select(*row(F.lit(ERROR), F.lit(str(e)[:100])))
-    n = F.col("n")
-    ok = n == 0 if should_be_empty else n > 0
-    trouble = F.concat(n.cast("string"), F.lit(" failures")) if should_be_empty else F.lit("No data found")
-    return found.agg(_n().alias("n")).select(*row(F.when(ok, PASS).otherwise(FAIL), F.when(ok, "OK").otherwise(trouble)))
+        n = spark.sql(query).count()
+        ok = n == 0 if should_be_empty else n > 0
+        status, details = (PASS, "OK") if ok else (FAIL, f"{n} failures" if should_be_empty else "No data found")
+    except PySparkException as e:
+        status, details = ERROR, str(e)[:100]
+    return spark.createDataFrame([(name, status, details, run_id)], "test_name string, status string, details string, run_id string").select(
+        "test_name", "status", "details", F.lit(now).cast("timestamp").alias("timestamp"), "run_id")
 
 
 def failing_rows(spark: SparkSession, query: str, n: int = 5) -> DataFrame:

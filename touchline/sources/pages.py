@@ -16,43 +16,61 @@ from touchline.sources.payloads import enforce
 
 
 class _Cells(HTMLParser):
-    """Collects the text of cells, per row, per table, for one page."""
+    """Collects the text of cells, per row, per table, for one page.
+
+    Tables are numbered in the order they open.  A table inside a cell gives rows of its own and leaves the outer row,
+    cell and numbering as they were; its text is no part of the outer cell.
+    """
 
     def __init__(self, table_tag: str | None, row_tag: str, cell_tags: frozenset[str]):
         super().__init__(convert_charrefs=True)
         self.table_tag, self.row_tag, self.cell_tags = table_tag, row_tag, cell_tags
-        self.table, self.row, self.cells, self.text, self.rows = -1, -1, None, None, []
+        self.tables, self.rows = 0, []
+        self.open = [] if table_tag else [self._fresh()]
+
+    def _fresh(self) -> dict:
+        self.tables += 1
+        return {"table": self.tables - 1, "row": -1, "cells": None, "text": None}
+
+    def _end_cell(self, at: dict):
+        if at["text"] is not None and at["cells"] is not None:
+            at["cells"].append("".join(at["text"]).strip())
+        at["text"] = None
 
-    def _end_cell(self):
-        if self.text is not None and self.cells is not None:
-            self.cells.append("".join(self.text).strip())
-        self.text = None
+    def _end_row(self, at: dict):
+        self._end_cell(at)
+        if at["cells"] is not None:
+            self.rows.append((at["table"], at["row"], at["cells"]))
+        at["cells"] = None
 
-    def _end_row(self):
-        self._end_cell()
-        if self.cells is not None:
-            self.rows.append((max(self.table, 0), self.row, self.cells))
-        self.cells = None
+    def finish(self):
+        while self.open:
+            self._end_row(self.open.pop())
 
     def handle_starttag(self, tag, attrs):
         if tag == self.table_tag:
-            self.table, self.row = self.table + 1, -1
-        elif tag == self.row_tag:
-            self._end_row()
-            self.row, self.cells = self.row + 1, []
-        elif tag in self.cell_tags and self.cells is not None:
-            self._end_cell()
-            self.text = []
+            self.open.append(self._fresh())
+        elif self.open and tag == self.row_tag:
+            at = self.open[-1]
+            self._end_row(at)
+            at["row"], at["cells"] = at["row"] + 1, []
+        elif self.open and tag in self.cell_tags and self.open[-1]["cells"] is not None:
+            self._end_cell(self.open[-1])
+            self.open[-1]["text"] = []
 
     def handle_endtag(self, tag):
+        if not self.open:
+            return
         if tag in self.cell_tags:
-            self._end_cell()
-        elif tag in (self.row_tag, self.table_tag):
-            self._end_row()
+            self._end_cell(self.open[-1])
+        elif tag == self.row_tag:
+            self._end_row(self.open[-1])
+        elif tag == self.table_tag:
+            self._end_row(self.open.pop())
 
     def handle_data(self, data):
-        if self.text is not None:
-            self.text.append(data)
+        if self.open and self.open[-1]["text"] is not None:
+            self.open[-1]["text"].append(data)
 
 
 def html_rows(
@@ -69,7 +87,7 @@ def html_rows(
             for u, text in zip(batch["u"], batch["h"]):
                 parser = _Cells(table_tag, row_tag, tags)
                 parser.feed(text or "")
-                parser._end_row()
+                parser.finish()
                 out.extend((u, *row) for row in parser.rows)
             yield pd.DataFrame(out, columns=["url", "table_no", "row_no", "cells"])
 
@@ -100,14 +118,14 @@ def flatten_header(*levels: Sequence[str]) -> list[str]:
 
 def find_column(
     columns: Sequence[str], *, exact: Sequence[str] = (), suffix: Sequence[str] = (), contains: Sequence[str] = (),
-    without: Sequence[str] = (),
+    any_of: Sequence[str] = (), without: Sequence[str] = (),
 ) -> str | None:
-    """First column, in table order, that equals, ends with, or holds *all* given parts
-    and none of ``without``."""
+    """First column, in table order, that equals, ends with, holds *all* of ``contains``
+    or *one* of ``any_of``, and none of ``without``."""
     def fits(c: str) -> bool:
         if any(w in c for w in without):
             return False
-        return c in exact or any(c.endswith(s) for s in suffix) or (bool(contains) and all(p in c for p in contains))
+        return c in exact or any(c.endswith(s) for s in suffix) or (bool(contains) and all(p in c for p in contains)) or any(p in c for p in any_of)
 
     return next((c for c in columns if fits(c)), None)
 
@@ -143,7 +161,7 @@ STANDARD = [
     ("matches_played", "int", _ends("MP")), ("starts", "int", _ends("Starts")), ("minutes", "int", _ends("Min")),
     ("nineties", "double", {"contains": ("90s",)}),
     ("goals", "int", _ends("Gls")), ("assists", "int", _ends("Ast")),
-    ("goals_assists", "int", {"contains": ("G+A",)}), ("non_penalty_goals", "int", {"contains": ("G-PK",)}),
+    ("goals_assists", "int", {"any_of": ("G+A", "G-A")}), ("non_penalty_goals", "int", {"contains": ("G-PK",)}),
     ("penalty_goals", "int", _ends("PK")), ("penalty_attempts", "int", {"contains": ("PKatt",)}),
     ("yellow_cards", "int", _ends("CrdY")), ("red_cards", "int", _ends("CrdR")),
     ("xg", "double", _ends("xG")), ("npxg", "double", {"contains": ("npxG",)}),

@@ -1,24 +1,31 @@
 """Tables by name or by path, and history tables written one batch at a time.
 
-A history table is a folder of batch folders::
+A history table is a folder of load attempts and a small table of commits::
 
-    <root>/<table>/batch=<id>/versions=open|closed/*.parquet
+    <root>/<table>/attempt=<batch>-<n>/versions=open|closed/bucket=<k>/*.parquet
+    <root>/<table>/commits/*.parquet
 
-Each batch writes its complete current set and only the versions it closed.  Readers
-take the closed versions of all committed batches and the current set of the newest.
-Nothing that is being read is ever overwritten, closed history is written once, and
-re-running a failed batch replaces that batch's folder only.
+Rows are dealt into buckets by a hash of the business key.  A batch writes the closed versions it adds and the open set
+of those buckets only in which something changed; a row in ``commits``, written last, makes the attempt visible and says
+which buckets' open sets it replaced.  Readers take the closed versions of all committed attempts and each bucket's open
+set from its newest one.  No file is ever overwritten: an attempt that failed, or was repeated, is simply not read.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.operators import changes
 from touchline.operators.sides import stack_all
+from touchline.session import stored
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -66,59 +73,83 @@ def row_counts(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
 
 
 # --- history tables ---------------------------------------------------------------
-def _committed(spark: SparkSession, path: str) -> list[str]:
-    """Batch ids with a success marker, oldest first (metadata calls only)."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
+BUCKETS = 64
+_COMMITS = "batch_id string, seq long, attempt string, columns string, n_buckets int, buckets array<int>"
+
+
+def _commits(spark: SparkSession, path: str, before: str | None = None) -> list[Row]:
+    """Valid commits, oldest batch first: the last one of each batch.  One row per load."""
+    try:
+        rows = spark.read.schema(_COMMITS).parquet(f"{path}/commits").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return []
-    found = [s.getPath() for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith("batch=")]
-    done = [p for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(p.getName().split("=", 1)[1] for p in done)
+    last = {r.batch_id: r for r in sorted(rows, key=lambda r: r.seq)}
+    return [last[b] for b in sorted(last) if before is None or b < before]
 
 
 def batch_count(spark: SparkSession, path: str) -> int:
     """Loads so far: no key can have more versions than this."""
-    return len(_committed(spark, path))
+    return len(_commits(spark, path))
+
+
+def _read(spark: SparkSession, path: str, commits: Sequence[Row]) -> DataFrame:
+    """All versions with their ``bucket``.  The schema is known from the commits, so nothing is inferred from files."""
+    fields: dict[str, T.StructField] = {}
+    owner: dict[int, str] = {}
+    for r in commits:
+        fields |= {f.name: f for f in T.StructType.fromJson(json.loads(r.columns)).fields}
+        owner |= dict.fromkeys(r.buckets, r.attempt)
+    schema = T.StructType([*fields.values(), T.StructField("attempt", T.StringType()), T.StructField("versions", T.StringType()), T.StructField("bucket", T.IntegerType())])
+    wrote = [r.attempt for r in commits if r.buckets]
+    if not wrote:
+        return spark.createDataFrame([], schema).withColumn("is_current", F.lit(True)).drop("attempt", "versions")
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/attempt={a}" for a in wrote])
+    newest = [(F.col("attempt") == a) & F.col("bucket").isin([b for b, o in owner.items() if o == a]) for a in dict.fromkeys(owner.values())]
+    is_open = F.col("versions") == "open"
+    return rows.filter(~is_open | reduce(lambda a, b: a | b, newest)).withColumn("is_current", is_open).drop("attempt", "versions")
 
 
-def read_history(spark: SparkSession, path: str, *, before: str | None = None, merge_schema: bool = False) -> DataFrame | None:
+def read_history(spark: SparkSession, path: str, *, before: str | None = None) -> DataFrame | None:
     """All versions, or None when no batch is committed (``before`` hides later batches).
 
-    ``is_current`` is computed from the folder name, so a filter on it prunes folders.
-    ``merge_schema`` reads tables whose columns grew over time.
+    ``is_current`` is computed from the folder name, so a filter on it prunes folders.  Columns that older batches did
+    not have are NULL there.
     """
-    ids = [i for i in _committed(spark, path) if before is None or i < before]
-    if not ids:
-        return None
-    folders = [f"{path}/batch={i}" for i in ids]
-    rows = spark.read.option("basePath", path).option("mergeSchema", str(merge_schema).lower()).parquet(*folders)
-    is_open = F.col("versions") == "open"
-    keep = ~is_open | (F.col("batch") == ids[-1])
-    return rows.filter(keep).withColumn("is_current", is_open).drop("batch", "versions", "action")
+    commits = _commits(spark, path, before)
+    return _read(spark, path, commits).drop("bucket") if commits else None
 
 
-def load_batch(spark: SparkSession, path: str, config: changes.TableConfig, source: DataFrame, batch_id: str, ts) -> DataFrame:
+def load_batch(spark: SparkSession, path: str, config: changes.TableConfig, source: DataFrame, batch_id: str, ts, *, buckets: int = BUCKETS) -> DataFrame:
     """Apply one batch to a history table and return its statistics row.
 
-    ``batch_id`` must sort by time and never look like a number (``b20240115``).  A
-    batch older than the newest committed one is refused; repeating a batch is safe.
+    ``batch_id`` must sort by time.  A batch older than the newest committed one is refused; repeating a batch is safe.
+    What is written grows with the buckets that the batch changes; keys and hashes of the current set are compared first.
+    ``buckets`` counts for the first load only, later ones keep its number.
     """
-    newest = max(_committed(spark, path), default=None)
-    if newest is not None and batch_id < newest:
-        raise ValueError(f"batch {batch_id} is older than committed batch {newest}")
-    batch = changes.prepare(config.transform(source), config.keys, config.hash_cols, ts, config.latest_by)
-    history = read_history(spark, path, before=batch_id)
-    current = history.filter("is_current") if history is not None else batch.limit(0)
-    touched = changes.apply_batch(batch, current, config.keys, ts, deletes=config.deletes)
-    target = f"{path}/batch={batch_id}"
-    parted = touched.withColumn("versions", F.when(F.col("is_current"), "open").otherwise("closed")).drop("is_current")
-    parted.write.mode("overwrite").partitionBy("versions").parquet(target)
-    written = spark.read.parquet(target)
-    n = {a: F.count_if((F.col("action") == a) & (F.col("versions") == "open")) for a in ("INSERT", "UPDATE", "UNCHANGED")}
-    gone = F.count_if(F.col("action") == "DELETE")
-    return written.agg(
-        n["INSERT"].alias("new_records"), n["UPDATE"].alias("updated_records"),
-        n["UNCHANGED"].alias("unchanged_records"), gone.alias("deleted_records"),
-    ).select(F.lit(config.target).alias("table_name"), "*")
+    known = _commits(spark, path)
+    if known and batch_id < known[-1].batch_id:
+        raise ValueError(f"batch {batch_id} is older than committed batch {known[-1].batch_id}")
+    n = known[0].n_buckets if known else buckets
+    bucket = F.pmod(F.xxhash64(*config.keys), F.lit(n)).cast("int")
+    batch = stored(changes.prepare(config.transform(source), config.keys, config.hash_cols, ts, config.latest_by).withColumn("bucket", bucket))
+    earlier = [r for r in known if r.batch_id < batch_id]
+    current = _read(spark, path, earlier).filter("is_current") if earlier else batch.limit(0)
+    current = current.select(*[F.col(f.name) if f.name in current.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema.fields])
+    # At most four rows per bucket.
+    found = changes.classify(batch, current, config.keys).groupBy(bucket.alias("bucket"), "action").count().collect()
+    writes = ("INSERT", "UPDATE", "DELETE") if config.deletes == "close" else ("INSERT", "UPDATE")
+    touched = sorted({r.bucket for r in found if r.action in writes})
+    seq = max((r.seq for r in spark.read.schema(_COMMITS).parquet(f"{path}/commits").select("seq").collect()), default=0) + 1 if known else 1
+    attempt = f"{batch_id}-{uuid4().hex[:12]}"
+    if touched:
+        here = F.col("bucket").isin(touched)
+        rows = changes.apply_batch(batch.filter(here), current.filter(here), config.keys, ts, deletes=config.deletes).drop("action")
+        rows = rows.withColumn("versions", F.when(F.col("is_current"), "open").otherwise("closed")).drop("is_current")
+        rows.write.partitionBy("versions", "bucket").parquet(f"{path}/attempt={attempt}")
+    columns = T.StructType([f for f in batch.schema.fields if f.name not in ("bucket", "is_current")]).json()
+    commit = spark.createDataFrame([(batch_id, seq, attempt, columns, n, touched)], _COMMITS)
+    commit.coalesce(1).write.mode("append").parquet(f"{path}/commits")
+    total = {a: sum(r["count"] for r in found if r.action == a) for a in ("INSERT", "UPDATE", "UNCHANGED", "DELETE")}
+    return spark.createDataFrame([(config.target, *total.values())], "table_name string, new_records long, updated_records long, unchanged_records long, deleted_records long")
