@@ -225,10 +225,12 @@ class _Join:
         found = self.distances(around.filter("compare").select("x", F.col("p").alias("y")))
         known = around.drop("d").join(found.select("x", F.col("y").alias("p"), "d", "linked"), ["x", "p"], "left")
         linked = F.coalesce("linked", F.lit(False))
-        known = known.withColumns({"d": F.when(F.col("x") == F.col("p"), 0.0).otherwise(F.col("d")), "outside": F.col("outside") & (F.col("x") != F.col("p")) & ~linked})
-        known = written(known.select("t", "x", "n", "rare", "place", "d", "outside"), self.spark)
+        known = known.withColumn("outside", F.col("outside") & ~linked)
+        # The pivot has met, or can't link with, every member: it leaves its region, and with it most regions of two.
+        known = written(known.filter("x <> p").select("t", "x", "n", "rare", "place", "d", "outside"), self.spark)
         # Inner points nearer to the pivot than the nearest outside point less the radius can't reach any.
-        reach = known.filter("outside").groupBy("t").agg((F.min(F.coalesce("d", F.lit(0.0))) - self.radius).alias("reach"))
+        nearest = F.min(F.when(F.col("outside"), F.coalesce("d", F.lit(0.0))))
+        reach = known.groupBy("t").agg((nearest - self.radius).alias("reach"), F.count("*").alias("m")).filter("m > 1 and reach is not null").select("t", "reach")
         rest = known.join(reach, "t").filter(F.col("outside") | F.col("d").isNull() | (F.col("d") >= F.col("reach"))).drop("reach")
         return found.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")), rest
 
