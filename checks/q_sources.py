@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.fixtures import table
 from checks.registry import query
-from checks.sql import CODE, sql
+from checks.sql import CODE, sql, units
 from touchline.functions.text import tolerant_double, tolerant_int
 from touchline.session import shared_dir
 from touchline.sources import pages, payloads, schemas, tables
@@ -182,3 +182,55 @@ def s17(spark, sf):
             .when(k % 4 == 2, "nan").otherwise(c("o_orderpriority")))
     df = table(spark, sf, "orders").select("o_orderkey", text.alias("t"))
     return df.select("o_orderkey", tolerant_int("t").alias("as_int"), tolerant_double("t").alias("as_double"))
+
+
+# --- page tables to bronze -----------------------------------------------------------
+def _html(page: list[str], rows, header: str, cells: list, order: str):
+    """One page per ``page`` columns (joined to its url): a decoy table with a nested one, then the table itself."""
+    row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), F.coalesce(x, F.lit("")), F.lit("</td>")) for x in cells], F.lit("</tr>"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), row.alias("r")))), lambda x: x["r"]), "")
+    decoy = "<table><tr><th>Menu</th><th><table><tr><td>inner</td></tr></table></th></tr><tr><td>a</td></tr></table>"
+    return rows.groupBy(F.concat_ws("|", *page).alias("url")).agg(F.concat(F.lit(f"<html>{decoy}<table>{header}"), body, F.lit("</table></html>")).alias("html"))
+
+
+def _page_table(found, word, header, header_rows=1):
+    body = pages.table_columns(pages.pick_table(pages.html_rows(found), word), header, header_rows)
+    url = F.split("url", r"\|")
+    return body.withColumns({"competition_name": url[0], "season": url[1]})
+
+
+def _heads(*names):
+    return "<tr>" + "".join(f"<th>{n}</th>" for n in names) + "</tr>"
+
+
+_SCHEDULE = ["Wk", "Date", "Time", "Home", "xG", "Score", "xG", "Away", "Attendance", "Venue", "Referee"]
+
+
+@query("m7_bronze_xg_matches", sql(f"""
+SELECT 'fbref' AS source, competition_name, season, matchweek, match_date, match_time, home_team_name, away_team_name,
+  CAST(home_score AS VARCHAR) AS home_score, CAST(away_score AS VARCHAR) AS away_score, {units('home_xg_c')} AS home_xg, {units('away_xg_c')} AS away_xg,
+  attendance, venue, referee, '{fx.LOADED}' AS ingest_timestamp FROM b_xg"""))
+def m7(spark, sf):
+    """Schedule pages, one per competition, season and day, with the header xG twice."""
+    m = fx.bronze_xg_matches(spark, sf)
+    score = F.when(c("home_score").isNotNull(), F.concat_ws("–", "home_score", "away_score"))
+    cells = [c("matchweek"), c("match_date"), c("match_time"), c("home_team_name"), c("home_xg").cast("string"), score, c("away_xg").cast("string"), c("away_team_name"),
+             c("attendance"), c("venue"), c("referee")]
+    found = _html(["competition_name", "season", "match_date"], m, _heads(*_SCHEDULE), cells, "home_team_name")
+    return pages.match_rows(_page_table(found, "Home", pages.unique_header(_SCHEDULE)), batch_ts=fx.LOADED)
+
+
+_LEVELS = (["", "", "", "", "", "", "", "", "", "", "Expected", "Expected"], ["Rk", "Squad", "MP", "W", "D", "L", "GF", "GA", "GD", "Pts", "xG", "xGA"])
+
+
+@query("m8_bronze_xg_standings", sql(f"""
+SELECT 'fbref' AS source, competition_name, CAST(season AS VARCHAR) AS season, position, team_name, CAST(p AS INTEGER) AS matches_played, CAST(w AS INTEGER) AS wins, CAST(d AS INTEGER) AS draws,
+  CAST(p - w - d AS INTEGER) AS losses, CAST(gf AS INTEGER) AS goals_for, CAST(ga AS INTEGER) AS goals_against, CAST(gd AS INTEGER) AS goal_difference, CAST(pts AS INTEGER) AS points,
+  {units('xg')} AS xg, {units('xga')} AS xga, '{fx.LOADED}' AS ingest_timestamp FROM st_base"""))
+def m8(spark, sf):
+    """Standings pages with a header of two levels."""
+    s = fx.bronze_xg_standings(spark, sf)
+    cells = [c(n).cast("string") for n in ("position", "team_name", "matches_played", "wins", "draws", "losses", "goals_for", "goals_against", "goal_difference", "points", "xg", "xga")]
+    found = _html(["competition_name", "season", "ingest_timestamp"], s, "".join(map(lambda r: _heads(*r), _LEVELS[::-1])), cells, "team_name")
+    header = pages.flatten_header(*_LEVELS)
+    return pages.standing_rows(_page_table(found, "Squad", header, header_rows=2), batch_ts=fx.LOADED)

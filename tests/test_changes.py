@@ -147,3 +147,54 @@ def test_version_keys_are_unique(spark, sf):
     h = silver.with_version_key("stg_players", fx.player_history(spark, sf))
     assert h.count() == h.select("player_version_key").distinct().count()
     assert h.filter(F.col("is_current")).count() == h.select("player_season_key").distinct().count()
+
+
+def test_an_empty_first_load_is_a_load(spark, tmp_path):
+    path = str(tmp_path / "h")
+    none = rows(spark, ("a", "1")).limit(0)
+    assert tables.load_batch(spark, path, CONFIG, none, "b1", T[0]).first().new_records == 0
+    assert tables.read_history(spark, path).count() == 0
+    tables.load_batch(spark, path, CONFIG, rows(spark, ("a", "1")), "b2", T[1])
+    tables.load_batch(spark, path, CONFIG, none, "b3", T[2])
+    assert tables.read_history(spark, path).filter("is_current").count() == 1 and tables.batch_count(spark, path) == 3
+
+
+def test_loads_do_not_depend_on_the_overwrite_mode(spark, tmp_path):
+    path = str(tmp_path / "h")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for batch, at, value in (("b1", T[0], "1"), ("b2", T[1], "2"), ("b2", T[1], "2"), ("b3", T[2], "3")):
+            tables.load_batch(spark, path, CONFIG, rows(spark, ("a", value)), batch, at)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    history = tables.read_history(spark, path)
+    assert history.count() == 3 and history.filter("is_current").count() == 1
+
+
+def test_unchanged_buckets_are_not_written_again(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "h")
+    many = [(f"k{i}", "1") for i in range(200)]
+    tables.load_batch(spark, path, CONFIG, rows(spark, *many), "b1", T[0])
+    tables.load_batch(spark, path, CONFIG, rows(spark, *many[1:], ("k0", "2")), "b2", T[1])
+    second = next(d for d in os.listdir(path) if d.startswith("attempt=b2"))
+    assert len([d for d in os.listdir(f"{path}/{second}/versions=open") if d.startswith("bucket=")]) == 1
+    assert tables.read_history(spark, path).filter("is_current").count() == 200
+    tables.load_batch(spark, path, CONFIG, rows(spark, *many[1:], ("k0", "2")), "b3", T[2])
+    assert not any(d.startswith("attempt=b3") for d in os.listdir(path))
+
+
+def test_repeated_merge_keys_are_refused(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    batch = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    with pytest.raises(Exception, match="several batch rows"):
+        changes.upsert_type1(target, batch, ["k"], ["v"]).collect()
+
+
+def test_a_rule_that_fails_while_it_runs_is_its_own_error(spark):
+    from touchline.operators import quality
+
+    spark.createDataFrame([("x",)], "s string").createOrReplaceTempView("run_time_t")
+    got = [quality.run_rule(spark, n, q, T[0], "r").first().status for n, q in (("bad cast", "SELECT * FROM run_time_t WHERE cast(s AS int) = 1"), ("ok", "SELECT * FROM run_time_t WHERE s = 'y'"))]
+    assert got == [quality.ERROR, quality.PASS]

@@ -97,3 +97,16 @@ def test_incremental_load_takes_new_files_only(spark, tmp_path):
     load_new_payloads(*args)   # nothing new
     h = tables.read_history(spark, table)
     assert sorted((r.match_id, r.home_goals, r.is_current) for r in h.collect()) == [(1, 2, True), (2, 0, False), (2, 2, True)]
+
+
+def test_nested_tables_keep_their_numbers(spark):
+    html = ("<table><tr><td>a</td></tr><tr><td>x<table><tr><td>in</td></tr></table>y</td><td>z</td></tr><tr><td>b</td></tr></table>"
+            "<table><tr><td>c</td></tr></table>")
+    df = spark.createDataFrame([("u", html)], "url string, html string")
+    got = {(r.table_no, r.row_no, tuple(r.cells)) for r in pages.html_rows(df).collect()}
+    assert got == {(0, 0, ("a",)), (1, 0, ("in",)), (0, 1, ("xy", "z")), (0, 2, ("b",)), (2, 0, ("c",))}
+
+
+def test_one_of_several_parts():
+    assert pages.find_column(["x", "Per_G-A", "G+A"], any_of=("G+A", "G-A")) == "Per_G-A"
+    assert pages.unique_header(["xG", "a", "xG", "xG"]) == ["xG", "a", "xG.1", "xG.2"]

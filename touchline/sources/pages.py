@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.text import nonblank, slug, tolerant_double, tolerant_int
+from touchline.functions.text import nonblank, score_part, slug, tolerant_double, tolerant_int
 from touchline.operators.joins import enrich
 from touchline.sources import schemas
 from touchline.sources.payloads import enforce
@@ -116,6 +116,17 @@ def flatten_header(*levels: Sequence[str]) -> list[str]:
     return ["_".join(str(p) for p in parts).strip() for parts in zip(*levels, strict=True)]
 
 
+def unique_header(header: Sequence[str]) -> list[str]:
+    """Header names with ``.1``, ``.2``, … after repeated ones, as page readers name them."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in header:
+        n = seen.get(name, 0)
+        out.append(f"{name}.{n}" if n else name)
+        seen[name] = n + 1
+    return out
+
+
 def find_column(
     columns: Sequence[str], *, exact: Sequence[str] = (), suffix: Sequence[str] = (), contains: Sequence[str] = (),
     any_of: Sequence[str] = (), without: Sequence[str] = (),
@@ -218,3 +229,35 @@ def player_stats(
     # fixed values: source and table names stored with each row
     stamped = wide.withColumns({"source": F.lit("fbref"), "stat_type": F.lit("standard"), "ingest_timestamp": F.lit(batch_ts)})
     return enforce(stamped, schemas.PLAYER_STATS)
+
+
+# fixed values: headers of match and standings tables, (bronze column, kind, header)
+MATCHES = [
+    ("matchweek", "string", "Wk"), ("match_date", "string", "Date"), ("match_time", "string", "Time"), ("home_team_name", "string", "Home"),
+    ("away_team_name", "string", "Away"), ("home_xg", "double", "xG"), ("away_xg", "double", "xG.1"), ("attendance", "string", "Attendance"),
+    ("venue", "string", "Venue"), ("referee", "string", "Referee"),
+]
+STANDINGS = [
+    ("position", "int", "Rk"), ("team_name", "string", "Squad"), ("matches_played", "int", "MP"), ("wins", "int", "W"), ("draws", "int", "D"), ("losses", "int", "L"),
+    ("goals_for", "int", "GF"), ("goals_against", "int", "GA"), ("goal_difference", "int", "GD"), ("points", "int", "Pts"), ("xg", "double", "xG"), ("xga", "double", "xGA"),
+]
+
+
+def _page_rows(df: DataFrame, spec: Sequence[tuple[str, str, str]]) -> list[Column]:
+    """Typed columns; text that is missing is empty, figures that are missing or unusable are NULL."""
+    cast = {"int": tolerant_int, "double": tolerant_double, "string": lambda x: F.coalesce(x.cast("string"), F.lit(""))}
+    return [cast[kind](resolve_column(df, **_ends(header))).alias(name) for name, kind, header in spec]
+
+
+def match_rows(table: DataFrame, *, batch_ts: str, page_keys: Sequence[str] = ("competition_name", "season")) -> DataFrame:
+    """Bronze match rows of the second source from its schedule tables (see :func:`table_columns`)."""
+    score = resolve_column(table, **_ends("Score"))
+    goals = [score_part(score, i).alias(n) for i, n in enumerate(("home_score", "away_score"))]
+    out = table.select(*page_keys, *_page_rows(table, MATCHES), *goals)
+    return enforce(out.withColumns({"source": F.lit("fbref"), "ingest_timestamp": F.lit(batch_ts)}), schemas.XG_MATCHES)
+
+
+def standing_rows(table: DataFrame, *, batch_ts: str, page_keys: Sequence[str] = ("competition_name", "season")) -> DataFrame:
+    """Bronze standings rows of the second source; headers of one or of two joined levels."""
+    out = table.select(*page_keys, *_page_rows(table, STANDINGS))
+    return enforce(out.withColumns({"source": F.lit("fbref"), "ingest_timestamp": F.lit(batch_ts)}), schemas.XG_STANDINGS)
