@@ -198,3 +198,23 @@ def test_a_rule_that_fails_while_it_runs_is_its_own_error(spark):
     spark.createDataFrame([("x",)], "s string").createOrReplaceTempView("run_time_t")
     got = [quality.run_rule(spark, n, q, T[0], "r").first().status for n, q in (("bad cast", "SELECT * FROM run_time_t WHERE cast(s AS int) = 1"), ("ok", "SELECT * FROM run_time_t WHERE s = 'y'"))]
     assert got == [quality.ERROR, quality.PASS]
+
+
+def test_the_payload_line_runs_all_rules_and_finds_planted_faults(spark, sf, tmp_path):
+    raw = fx.fx_matches(spark, sf).withColumn("match_date", F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    teams = fx.bronze_teams(spark, sf).filter(F.col("ingest_timestamp") == fx.LOADED).drop("competition_name")
+    league = F.struct(F.lit("PL").alias("competition_code"), F.lit("Premier League").alias("competition_name"))
+    teams = teams.withColumn("l", league).select("*", "l.*").filter("team_id <> 3")
+    standings = fx.bronze_standings(spark, sf)
+    keys = ["team_id", "competition_code"]
+    latest = standings.join(standings.groupBy(*keys).agg(F.max("ingest_timestamp").alias("ingest_timestamp")), [*keys, "ingest_timestamp"], "left_semi")
+    latest = latest.withColumn("points", F.when(F.col("team_id") == 5, 999).otherwise(F.col("points")))
+    raw = raw.withColumn("home_score", F.when(F.col("match_id") % 50 == 0, 90).otherwise(F.col("home_score")))
+    bronze = {"stg_matches": raw, "stg_teams": teams, "stg_standings": latest, "stg_fbref_matches": fx.bronze_xg_matches(spark, sf)}
+    out = medallion.run_payloads(spark, str(tmp_path), bronze, "b20240101", "2024-01-01 00:00:00", now="2024-01-03 00:00:00")
+    got = {r.test_name: (r.status, r.details) for r in out["rules"].collect()}
+    assert len(got) == 21 and not [n for n, (s, _) in got.items() if "ERROR" in s], got
+    failed = {n for n, (s, _) in got.items() if "FAIL" in s}
+    planted = {"stg_matches.valid_goals_range", "stg_standings.valid_points_range", "ref_integrity.matches_have_valid_home_team", "ref_integrity.matches_have_valid_away_team"}
+    assert planted <= failed and "stg_teams.team_id_not_null" not in failed and "freshness.data_not_stale" not in failed
+    assert set(medallion.PAYLOAD_MARTS) <= set(out) and out["dim_teams"].filter("current_position IS NOT NULL").count() > 0

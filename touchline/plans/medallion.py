@@ -36,6 +36,16 @@ MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "agg_standing_history": (gold.standing_history, ("standings_history",)),
 }
 
+# The payload line: matches, teams and standings as the first source sends them, with the second source's matches beside it.
+PAYLOAD_CONFIGS = {**silver.PAYLOAD_CONFIGS, "stg_fbref_matches": silver.CONFIGS["stg_fbref_matches"]}
+PAYLOAD_MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "fct_match_results": (gold.match_results_basic, ("stg_matches",)),
+    "dim_teams": (gold.dim_teams_basic, ("stg_teams", "stg_standings")),
+    "head_to_head_basic": (gold.head_to_head_basic, ("fct_match_results",)),
+    "agg_head_to_head": MARTS["agg_head_to_head"],
+    "agg_team_form": MARTS["agg_team_form"],
+}
+
 
 def load_silver(spark: SparkSession, root: str, bronze: Mapping[str, DataFrame], batch_id: str, ts,
                 configs: Mapping[str, TableConfig] = silver.CONFIGS) -> DataFrame:
@@ -43,10 +53,10 @@ def load_silver(spark: SparkSession, root: str, bronze: Mapping[str, DataFrame],
     return stack_all([tables.load_batch(spark, f"{root}/silver/{name}", configs[name], rows, batch_id, ts) for name, rows in bronze.items()])
 
 
-def silver_inputs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def silver_inputs(spark: SparkSession, root: str, configs: Mapping[str, TableConfig] = silver.CONFIGS) -> dict[str, DataFrame]:
     """History and current frames of every loaded silver table."""
     out: dict[str, DataFrame] = {}
-    for name in silver.CONFIGS:
+    for name in configs:
         history = tables.read_history(spark, f"{root}/silver/{name}")
         if history is not None:
             out[name] = history.filter("is_current")
@@ -57,11 +67,11 @@ def silver_inputs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return out
 
 
-def build_gold(spark: SparkSession, root: str, batch_id: str, ts) -> dict[str, DataFrame]:
+def build_gold(spark: SparkSession, root: str, batch_id: str, ts, marts: Mapping = MARTS, configs: Mapping[str, TableConfig] = silver.CONFIGS) -> dict[str, DataFrame]:
     """Write every mart whose inputs exist under ``gold/<mart>/batch=<id>``."""
-    frames = silver_inputs(spark, root)
+    frames = silver_inputs(spark, root, configs)
     built: dict[str, DataFrame] = {}
-    for mart, (make, needs) in MARTS.items():
+    for mart, (make, needs) in marts.items():
         if all(n in frames for n in needs):
             path = f"{root}/gold/{mart}/batch={batch_id}"
             out = make(*[frames[n] for n in needs]).withColumn("transformed_at", F.lit(ts).cast("timestamp"))
@@ -84,3 +94,18 @@ def run(spark: SparkSession, root: str, bronze: Mapping[str, DataFrame], batch_i
     stats = load_silver(spark, root, bronze, batch_id, ts)
     marts = build_gold(spark, root, batch_id, ts)
     return {"statistics": stats, **marts, "data_quality": check_quality(spark, root, marts, batch_id, ts)}
+
+
+def run_payloads(spark: SparkSession, root: str, bronze: Mapping[str, DataFrame], batch_id: str, ts, *, now=None, max_days: int = 7) -> dict[str, DataFrame]:
+    """The whole payload line: history, its marts, and the SQL rules over what was written.  Returns them by name.
+
+    Every table is registered as a temporary view of its name, histories whole, so the rules see what the load produced.
+    """
+    stats = load_silver(spark, root, bronze, batch_id, ts, PAYLOAD_CONFIGS)
+    marts = build_gold(spark, root, batch_id, ts, PAYLOAD_MARTS, PAYLOAD_CONFIGS)
+    inputs = silver_inputs(spark, root, PAYLOAD_CONFIGS)
+    for name, frame in {**{n: inputs[f"{n}:history"] for n in PAYLOAD_CONFIGS if n in inputs}, **marts}.items():
+        frame.createOrReplaceTempView(name)
+    now = ts if now is None else now
+    rules = suites.run_sql_rules(spark, suites.sql_rules(str(now), "", "", max_days), now, batch_id)
+    return {"statistics": stats, **marts, "rules": rules}

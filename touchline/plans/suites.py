@@ -125,9 +125,9 @@ def _no_parent(name: str, child: str, key: str, parent: str, parent_key: str) ->
 
 
 def sql_rules(now: str, silver: str = "silver", gold: str = "gold", max_days: int = 7) -> dict[str, str]:
-    """Rule name -> query.  ``silver`` and ``gold`` are schema names."""
-    m, t, s = f"{silver}.stg_matches", f"{silver}.stg_teams", f"{silver}.stg_standings"
-    f, d, form, h2h = f"{gold}.fct_match_results", f"{gold}.dim_teams", f"{gold}.agg_team_form", f"{gold}.agg_head_to_head"
+    """Rule name -> query.  ``silver`` and ``gold`` are schema names, or empty for views."""
+    m, t, s = (f"{silver}.{n}".lstrip(".") for n in ("stg_matches", "stg_teams", "stg_standings"))
+    f, d, form, h2h = (f"{gold}.{n}".lstrip(".") for n in ("fct_match_results", "dim_teams", "agg_team_form", "agg_head_to_head"))
     codes = ", ".join(f"'{x}'" for x in _CODES)
 
     def stale(table: str) -> str:
