@@ -140,14 +140,21 @@ def _suite(spark, sf, now=NOW):
     return q.run_suite(orders(spark, sf), "Test", "orders", [q.not_null("o_orderkey", "note"), q.unique("o_orderkey"), q.in_range("o_totalprice", 0, 10)], now)
 
 
-@query("q12_summary", "SELECT count(*) * 0 + 4 AS total, count(*) * 0 + 2 AS passed, count(*) * 0 + 2 AS failed, count(*) * 0 AS errors, 50.0::DOUBLE AS pass_rate FROM orders")
+# Failed rows of each check of the suite above.
+_FOUND = """(SELECT count(*) AS n FROM orders WHERE o_orderkey IS NULL UNION ALL SELECT count(*) FROM orders WHERE o_orderkey % 50 = 0
+  UNION ALL SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING count(*) > 1) UNION ALL SELECT count(*) FROM orders WHERE o_totalprice NOT BETWEEN 0 AND 10)"""
+
+
+@query("q12_summary", f"""
+SELECT count(*) AS total, count(*) FILTER (n = 0) AS passed, count(*) FILTER (n > 0) AS failed, count(*) FILTER (n IS NULL) AS errors,
+  round(100.0 * count(*) FILTER (n = 0) / count(*), 1)::DOUBLE AS pass_rate FROM {_FOUND}""")
 def q12(spark, sf):
     return q.summary(_suite(spark, sf))
 
 
-@query("q13_history_trend", """
-SELECT day AS check_date, 'Test' AS layer, count(*) * 0 + 4 AS total_checks, count(*) * 0 + 2 AS passed, count(*) * 0 + 2 AS failed, 50.0::DOUBLE AS pass_rate
-FROM orders, (VALUES (DATE '2024-01-02'), (DATE '2024-01-03')) d(day) GROUP BY day""")
+@query("q13_history_trend", f"""
+SELECT day AS check_date, 'Test' AS layer, count(*) AS total_checks, count(*) FILTER (n = 0) AS passed, count(*) FILTER (n > 0) AS failed,
+  round(100.0 * count(*) FILTER (n = 0) / count(*), 1)::DOUBLE AS pass_rate FROM {_FOUND}, (VALUES (DATE '2024-01-02'), (DATE '2024-01-03')) d(day) GROUP BY day""")
 def q13(spark, sf):
     path = f"{shared_dir(spark)}/data_quality_history-{uuid4().hex}"
     for now in (NOW, DAY_AFTER):
@@ -155,8 +162,9 @@ def q13(spark, sf):
     return q.trend(tables.scan_table(spark, path), F.to_date("check_timestamp").alias("check_date"), "layer")
 
 
-@query("q13_trend_per_run", """
-SELECT run_id, 3 + count(*) * 0 AS total_checks, 1 + count(*) * 0 AS passed, 1 + count(*) * 0 AS failed, 33.3::DOUBLE AS pass_rate FROM orders, (VALUES ('r1'), ('r2')) r(run_id) GROUP BY run_id""")
+@query("q13_trend_per_run", f"""
+SELECT r.run_id, count(*) AS total_checks, count(*) FILTER (status LIKE '%PASS') AS passed, count(*) FILTER (status LIKE '%FAIL') AS failed,
+  round(100.0 * count(*) FILTER (status LIKE '%PASS') / count(*), 1)::DOUBLE AS pass_rate FROM ({_RULES}) q, (VALUES ('r1'), ('r2')) r(run_id) GROUP BY r.run_id""")
 def q13_runs(spark, sf):
     rules = _rules(spark, sf)
     return q.trend(rules.unionByName(rules.withColumn("run_id", F.lit("r2"))), "run_id")
