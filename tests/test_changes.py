@@ -218,3 +218,6 @@ def test_the_payload_line_runs_all_rules_and_finds_planted_faults(spark, sf, tmp
     planted = {"stg_matches.valid_goals_range", "stg_standings.valid_points_range", "ref_integrity.matches_have_valid_home_team", "ref_integrity.matches_have_valid_away_team"}
     assert planted <= failed and "stg_teams.team_id_not_null" not in failed and "freshness.data_not_stale" not in failed
     assert set(medallion.PAYLOAD_MARTS) <= set(out) and out["dim_teams"].filter("current_position IS NOT NULL").count() > 0
+    bad = {(r.table_name, r.check_name) for r in out["data_quality"].filter("NOT passed").collect()}
+    assert ("stg_standings", "RANGE: points in [0, 150]") in bad and ("stg_matches", "RANGE: home_goals in [0, 20]") in bad
+    assert not any("UNIQUE" in name or "SINGLE CURRENT" in name for _, name in bad)

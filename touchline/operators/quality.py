@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.filters import not_in_list
-from touchline.operators.joins import orphan_keys
 
 # fixed values: result texts
 PASS, FAIL, ERROR = "✅ PASS", "❌ FAIL", "⚠️ ERROR"
@@ -131,10 +130,12 @@ def _branch(df: DataFrame, i: int, c: Check, parents: Mapping[str, DataFrame]) -
         sizes = scoped.groupBy(*c.cols).agg(F.count_distinct(c.options["distinct"]).alias("n"))
         counts = sizes.agg(_n().alias("checked"), F.count_if(~F.col("n").between(c.options["lo"], c.options["hi"])).alias("failed"))
     else:
-        lost = orphan_keys(scoped, parents[c.options["parent"]], c.cols[0], c.options["parent_col"])
-        failed = lost.agg(F.lit(0).cast("long").alias("checked"), F.coalesce(F.sum("rows"), F.lit(0)).alias("failed"))
-        total = scoped.agg(_n().alias("checked"), F.lit(0).cast("long").alias("failed"))
-        counts = failed.unionByName(total).agg(F.sum("checked").alias("checked"), F.sum("failed").alias("failed"))
+        # One pass over the child, pre-aggregated per key.
+        per_key = scoped.groupBy(F.col(c.cols[0]).alias("__key")).agg(_n().alias("rows"))
+        parent = parents[c.options["parent"]].select(F.col(c.options["parent_col"]).alias("__parent")).distinct()
+        lost = F.sum(F.when(F.col("__parent").isNull(), F.col("rows")))
+        counts = per_key.join(parent, F.col("__key") == F.col("__parent"), "left").agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("checked"), F.coalesce(lost, F.lit(0)).alias("failed"))
     return counts.select(F.lit(i).alias("ix"), "checked", "failed")
 
 

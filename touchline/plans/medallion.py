@@ -97,15 +97,16 @@ def run(spark: SparkSession, root: str, bronze: Mapping[str, DataFrame], batch_i
 
 
 def run_payloads(spark: SparkSession, root: str, bronze: Mapping[str, DataFrame], batch_id: str, ts, *, now=None, max_days: int = 7) -> dict[str, DataFrame]:
-    """The whole payload line: history, its marts, and the SQL rules over what was written.  Returns them by name.
+    """The whole payload line: history, its marts, and the rules and suites over what was written.  Returns them by name.
 
     Every table is registered as a temporary view of its name, histories whole, so the rules see what the load produced.
     """
     stats = load_silver(spark, root, bronze, batch_id, ts, PAYLOAD_CONFIGS)
     marts = build_gold(spark, root, batch_id, ts, PAYLOAD_MARTS, PAYLOAD_CONFIGS)
     inputs = silver_inputs(spark, root, PAYLOAD_CONFIGS)
-    for name, frame in {**{n: inputs[f"{n}:history"] for n in PAYLOAD_CONFIGS if n in inputs}, **marts}.items():
+    histories = {n: inputs[f"{n}:history"] for n in PAYLOAD_CONFIGS if n in inputs}
+    for name, frame in {**histories, **marts}.items():
         frame.createOrReplaceTempView(name)
     now = ts if now is None else now
     rules = suites.run_sql_rules(spark, suites.sql_rules(str(now), "", "", max_days), now, batch_id)
-    return {"statistics": stats, **marts, "rules": rules}
+    return {"statistics": stats, **marts, "rules": rules, "data_quality": suites.run_suites(histories, now, suites.PAYLOAD_SUITES)}

@@ -95,14 +95,22 @@ GOLD = {
         q.accepted("table_zone", [t for _, t in K.SNAPSHOT_ZONES_TOP + K.SNAPSHOT_ZONES_BOTTOM] + [K.ZONE_MIDDLE]),
     ],
 }
+# The payload line: tables keyed by team and competition.
+PAYLOAD = {
+    "stg_matches": [*q.not_null("match_id", "competition_code", "home_team_id", "away_team_id"), q.unique("match_id", where="is_current"), *q.scd2("match_id"),
+                    q.accepted("competition_code", _CODES), q.in_range("home_goals", 0, 20, where="is_finished"), q.in_range("away_goals", 0, 20, where="is_finished")],
+    "stg_teams": [*q.not_null("team_id", "team_name"), q.unique("team_id", "competition_code", where="is_current"), *q.scd2("team_id", "competition_code")],
+    "stg_standings": [*q.not_null("team_id", "position", "points"), q.in_range("position", 1, 20), q.in_range("points", 0, 150), *q.scd2("team_id", "competition_code")],
+}
+PAYLOAD_SUITES = {t: ("Silver", c) for t, c in PAYLOAD.items()}
 SUITES = {**{t: ("Silver", c) for t, c in SILVER.items()}, **{t: ("Gold", c) for t, c in GOLD.items()}}
 
 
-def run_suites(tables: Mapping[str, DataFrame], now) -> DataFrame:
+def run_suites(tables: Mapping[str, DataFrame], now, suites: Mapping[str, tuple[str, list]] = SUITES) -> DataFrame:
     """Every suite whose table is given, as one query.  Parents of foreign keys are looked
     up among the tables; a history parent counts with its current rows."""
     parents = {n: (t.filter("is_current") if "is_current" in t.columns else t) for n, t in tables.items()}
-    return stack_all([q.run_suite(tables[n], layer, n, checks, now, parents) for n, (layer, checks) in SUITES.items() if n in tables])
+    return stack_all([q.run_suite(tables[n], layer, n, checks, now, parents) for n, (layer, checks) in suites.items() if n in tables])
 
 
 # --- the same kind of rules as SQL over named tables: a rule passes when it returns no rows ---
