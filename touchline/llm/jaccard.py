@@ -11,8 +11,9 @@ since two sets within r of each other share one of these.  Any order of the shin
 
 *Recursion.*  A region's pivot is then its most central text, the one with the smallest share of rare shingles.  Distances
 to it link the points within r; the others stay outside, with those inner points that the triangle inequality leaves in
-reach of them (d(x, p) >= d(y, p) - r) as border, and form the next region.  After ``rounds`` levels the outside of what is
-left, where more than one component remains, is compared within the windows directly.  Points already known to be connected
+reach of them (d(x, p) >= d(y, p) - r) as border, and form the next region, which is divided again while it has more than ``LEAF``
+members (``rounds`` times at most).  The outside of what is left, where more than one component remains, is compared
+within the windows directly.  Points already known to be connected
 are not compared again, so a group of near copies costs links to its centre and not all its pairs; no link between
 different components is lost.
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from touchline.llm.common import Words, chunks, combine, mix, most_frequent, plain, text_arrays, written
 from touchline.llm.components import components
 
-WIDTH, PERCENT, ROUNDS = 4, 85, 2
+WIDTH, PERCENT, ROUNDS, LEAF = 4, 85, 4, 32
 HOT = 1 << 20
 HOLD = 1 << 22
 """Shingles a task holds while it looks for repeated ones."""
@@ -223,14 +224,16 @@ class _Join:
         around = members.join(pivots, "t").withColumn("compare", (F.col("x") != F.col("p")) & near & _can_link(F.col("n"), F.col("p_n"), F.col("place"), F.col("p_place"), self.percent))
         around = written(around, self.spark)
         found = self.distances(around.filter("compare").select("x", F.col("p").alias("y")))
-        known = around.drop("d").join(found.select("x", F.col("y").alias("p"), "d", "linked"), ["x", "p"], "left")
-        linked = F.coalesce("linked", F.lit(False))
-        known = known.withColumn("outside", F.col("outside") & ~linked)
+        # Only members that were to be compared need to look for their distance.
+        columns = ["t", "x", "p", "n", "rare", "place", "outside"]
+        met = around.filter("compare").select(*columns).join(found.select("x", F.col("y").alias("p"), "d", "linked"), ["x", "p"], "left")
+        met = met.withColumn("outside", F.col("outside") & ~F.coalesce("linked", F.lit(False))).select(*columns, "d")
+        known = met.unionByName(around.filter("not compare").select(*columns, F.lit(None).cast("double").alias("d")))
         # The pivot has met, or can't link with, every member: it leaves its region, and with it most regions of two.
         known = written(known.filter("x <> p").select("t", "x", "n", "rare", "place", "d", "outside"), self.spark)
         # Inner points nearer to the pivot than the nearest outside point less the radius can't reach any.
         nearest = F.min(F.when(F.col("outside"), F.coalesce("d", F.lit(0.0))))
-        reach = known.groupBy("t").agg((nearest - self.radius).alias("reach"), F.count("*").alias("m")).filter("m > 1 and reach is not null").select("t", "reach")
+        reach = known.groupBy("t").agg((nearest - self.radius).alias("reach"), F.count("*").alias("m")).filter("m > 1 and reach is not null").select("t", "reach", "m")
         rest = known.join(reach, "t").filter(F.col("outside") | F.col("d").isNull() | (F.col("d") >= F.col("reach"))).drop("reach")
         return found.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")), rest
 
@@ -264,11 +267,17 @@ def _classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, w
     members = points.filter(F.size("prefix") > 0).select("x", "n", "rare", "prefix").mapInArrow(_shared_members(_bitmap(spark, several, "t")), "t bigint, x bigint, n bigint, rare int, place int")
     members = written(members.withColumns({"d": F.lit(None).cast("double"), "outside": F.lit(True)}), spark)
     work, links = _Join(spark, texts, points, width, percent), None
-    for _ in range(rounds):
-        found, members = work.divide(members)
+    left = None
+    for depth in range(max(rounds, 1)):
+        if depth and members.isEmpty():
+            break
+        found, rest = work.divide(members)
+        rest = written(rest, spark)
         links = found if links is None else links.unionAll(found)
-        members = written(members, spark)
-    links = links.unionAll(work.leaves(members, links))
+        small = rest.filter(F.col("m") <= LEAF).drop("m")
+        left = small if left is None else left.unionByName(small)
+        members = rest.filter(F.col("m") > LEAF).drop("m")
+    links = links.unionAll(work.leaves(left.unionByName(members), links))
     groups = components(spark, links)
     same = points.filter("n > 0").groupBy("x").agg(F.min("id").alias("first"))
     joined = same.join(groups.withColumnRenamed("node", "x"), "x", "left").withColumn("g", F.coalesce("least", "x"))
