@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from touchline.llm.common import chunks, text_arrays
 from touchline.llm.pretokens import Segments, split_special
 
-KEEP_WORDS = 1_000_000
+KEEP_WORDS = 250_000
 """Encoded pre-tokens a worker remembers before it starts afresh."""
 _END = 0x1000
 
@@ -110,7 +110,7 @@ class Codec:
     def fits(self, left: int, right: int) -> bool:
         known = self.compatible.get((left, right))
         if known is None:
-            if len(self.compatible) > 4 * KEEP_WORDS:
+            if len(self.compatible) > 2 * KEEP_WORDS:
                 self.compatible.clear()
             known = self.compatible[left, right] = self._joins(left, right, 1 << 60)
         return known
