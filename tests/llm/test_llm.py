@@ -169,6 +169,23 @@ def test_jaccard_join_equals_brute_force(spark, seed, rounds, hot, percent):
     assert got == brute_components(list(enumerate(docs)), 4, percent)
 
 
+@pytest.mark.parametrize("leaf,satellites", [(32, 17), (2, 2)])
+def test_jaccard_join_links_points_of_different_pivots(spark, monkeypatch, leaf, satellites):
+    # Two groups of near copies a family, held together by one link between members that are no centres.
+    docs = []
+    for k in range(6):
+        base = [f"f{k}w{i}" for i in range(43)]
+        tail, head, other = ([f"f{k}{c}{i}" for i in range(3)] for c in "xyz")
+        x, y, centre = base[:-3] + tail, head + base[3:-3] + tail, head + base[3:-3] + other
+        docs += [base, x, y, centre, *(c[:-1] + [f"f{k}s{i}"] for c in (base, centre) for i in range(satellites))]
+    docs = [" ".join(d) for d in docs]
+    random.Random(1).shuffle(docs)
+    monkeypatch.setattr(jaccard, "LEAF", leaf)
+    want = brute_components(list(enumerate(docs)), 4, 85)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(spark, frame(spark, docs), hot=0).collect()}
+    assert len({c for _, c in want.values()}) == 6 and got == want
+
+
 def test_jaccard_join_on_awkward_rows(spark, awkward, nothing):
     out = jaccard.join(spark, awkward).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == sorted(

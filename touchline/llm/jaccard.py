@@ -10,12 +10,13 @@ since two sets within r of each other share one of these.  Any order of the shin
 ``hot`` most repeated ones (at most 2^20 entries, 16 MB) only keeps regions small.
 
 *Recursion.*  A region's pivot is then its most central text, the one with the smallest share of rare shingles.  Distances
-to it link the points within r; the others stay outside, with those inner points that the triangle inequality leaves in
-reach of them (d(x, p) >= d(y, p) - r) as border, and form the next region, which is divided again while it has more than ``LEAF``
-members (``rounds`` times at most).  The outside of what is left, where more than one component remains, is compared
-within the windows directly.  Points already known to be connected
-are not compared again, so a group of near copies costs links to its centre and not all its pairs; no link between
-different components is lost.
+to it link the points within r, which keep the level they linked at; the others stay outside.  Points linked at the same
+level are connected by its pivot.  All points that are not linked to the newest pivot, with those of its points that the
+triangle inequality leaves in reach of them (d(x, p) >= d(y, p) - r), form the next region, which is divided again while
+it has points outside and more than ``LEAF`` members (``rounds`` times at most).  What is left, where more than one
+component remains, is compared within the windows directly: all pairs of different components, whether outside or linked
+to pivots of different levels.  Points already known to be connected are not compared again, so a group of near copies
+costs links to its centre and not all its pairs; no link between different components is lost.
 
 Shingles are 64-bit hashes.  The result has one row per input row, with repeated rows kept.  NULL and empty texts have an
 empty set, link with nothing and are their own component.  Rows with a NULL id take part; component_id is the least id that
@@ -216,37 +217,44 @@ class _Join:
         return written(both.select("x", "y", common.alias("common"), (F.size("gx") + F.size("gy") - common).alias("all"))
                        .select("x", "y", (1 - F.col("common") / F.col("all")).alias("d"), (100 * F.col("common") >= self.percent * F.col("all")).alias("linked")), self.spark)
 
-    def divide(self, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """One level: links to each region's pivot, and the members of the next regions."""
+    def divide(self, members: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+        """One level: links to each region's pivot, and the members of the next regions.
+
+        A member's ``level`` is the last one at which it linked to its region's pivot, 0 while it is outside.  Regions of
+        the result have members outside (``open``) or members of several levels.
+        """
         centre = F.min(F.struct("rare", F.col("x").alias("p"), F.col("n").alias("p_n"), F.col("place").alias("p_place"), F.col("d").alias("p_d")))
-        pivots = members.filter("outside").groupBy("t").agg(centre.alias("c")).select("t", "c.p", "c.p_n", "c.p_place", "c.p_d")
+        pivots = members.filter("level = 0").groupBy("t").agg(centre.alias("c")).select("t", "c.p", "c.p_n", "c.p_place", "c.p_d")
         near = F.coalesce(F.abs(F.col("d") - F.col("p_d")) <= self.radius, F.lit(True))
         around = members.join(pivots, "t").withColumn("compare", (F.col("x") != F.col("p")) & near & _can_link(F.col("n"), F.col("p_n"), F.col("place"), F.col("p_place"), self.percent))
         around = written(around, self.spark)
         found = self.distances(around.filter("compare").select("x", F.col("p").alias("y")))
         # Only members that were to be compared need to look for their distance.
-        columns = ["t", "x", "p", "n", "rare", "place", "outside"]
+        columns = ["t", "x", "p", "n", "rare", "place", "level"]
         met = around.filter("compare").select(*columns).join(found.select("x", F.col("y").alias("p"), "d", "linked"), ["x", "p"], "left")
-        met = met.withColumn("outside", F.col("outside") & ~F.coalesce("linked", F.lit(False))).select(*columns, "d")
+        met = met.withColumn("level", F.when(F.col("linked"), F.lit(level)).otherwise(F.col("level"))).select(*columns, "d")
         known = met.unionByName(around.filter("not compare").select(*columns, F.lit(None).cast("double").alias("d")))
         # The pivot has met, or can't link with, every member: it leaves its region, and with it most regions of two.
-        known = written(known.filter("x <> p").select("t", "x", "n", "rare", "place", "d", "outside"), self.spark)
-        # Inner points nearer to the pivot than the nearest outside point less the radius can't reach any.
-        nearest = F.min(F.when(F.col("outside"), F.coalesce("d", F.lit(0.0))))
-        reach = known.groupBy("t").agg((nearest - self.radius).alias("reach"), F.count("*").alias("m")).filter("m > 1 and reach is not null").select("t", "reach", "m")
-        rest = known.join(reach, "t").filter(F.col("outside") | F.col("d").isNull() | (F.col("d") >= F.col("reach"))).drop("reach")
+        known = written(known.filter("x <> p").select("t", "x", "n", "rare", "place", "d", "level"), self.spark)
+        # Points of this pivot nearer to it than the nearest of the others less the radius can't reach any of them.
+        nearest = F.min(F.when(F.col("level") != level, F.coalesce("d", F.lit(0.0))))
+        reach = known.groupBy("t").agg((nearest - self.radius).alias("reach"), F.count("*").alias("m"), F.min("level").alias("low"), F.max("level").alias("high"))
+        reach = reach.filter("m > 1 and (low = 0 or low < high)").select("t", "reach", "m", (F.col("low") == 0).alias("open"))
+        rest = known.join(reach, "t").filter((F.col("level") != level) | F.col("d").isNull() | (F.col("d") >= F.col("reach"))).drop("reach")
         return found.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")), rest
 
     def leaves(self, members: DataFrame, links: DataFrame) -> DataFrame:
-        """Links between points outside and others of their region that are in no common component yet."""
+        """Links between members of a region that are in no common component yet."""
         groups = components(self.spark, links)
         labelled = members.join(groups.withColumnRenamed("node", "x"), "x", "left").withColumn("group", F.coalesce("least", "x")).drop("least")
         labelled = written(labelled, self.spark)
-        mixed = labelled.groupBy("t").agg(F.min("group").alias("g1"), F.max("group").alias("g2")).filter("g1 <> g2").select("t")
+        # Of two members of different groups at least one is not in the region's main group, that of a pivot if it had any links.
+        main = F.coalesce(F.max(F.when(F.col("level") > 0, F.col("group"))), F.min("group")).alias("main")
+        mixed = labelled.groupBy("t").agg(main, F.min("group").alias("g1"), F.max("group").alias("g2")).filter("g1 <> g2").select("t", "main")
         labelled = labelled.join(mixed, "t")
-        a, b = labelled.filter("outside").alias("a"), labelled.alias("b")
+        a, b = labelled.filter("group <> main").alias("a"), labelled.alias("b")
         triangle = F.coalesce(F.abs(F.col("a.d") - F.col("b.d")) <= self.radius, F.lit(True))
-        pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.group") != F.col("b.group")) & (~F.col("b.outside") | (F.col("a.x") < F.col("b.x"))) & triangle
+        pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.group") != F.col("b.group")) & ((F.col("b.group") == F.col("b.main")) | (F.col("a.x") < F.col("b.x"))) & triangle
                        & _can_link(F.col("a.n"), F.col("b.n"), F.col("a.place"), F.col("b.place"), self.percent))
         found = self.distances(pairs.select(F.col("a.x").alias("x"), F.col("b.x").alias("y")))
         return found.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -265,18 +273,19 @@ def _classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, w
     points = written(points, spark)
     several = points.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count("*").alias("m")).filter("m > 1")
     members = points.filter(F.size("prefix") > 0).select("x", "n", "rare", "prefix").mapInArrow(_shared_members(_bitmap(spark, several, "t")), "t bigint, x bigint, n bigint, rare int, place int")
-    members = written(members.withColumns({"d": F.lit(None).cast("double"), "outside": F.lit(True)}), spark)
+    members = written(members.withColumns({"d": F.lit(None).cast("double"), "level": F.lit(0)}), spark)
     work, links = _Join(spark, texts, points, width, percent), None
     left = None
     for depth in range(max(rounds, 1)):
         if depth and members.isEmpty():
             break
-        found, rest = work.divide(members)
+        found, rest = work.divide(members, depth + 1)
         rest = written(rest, spark)
         links = found if links is None else links.unionAll(found)
-        small = rest.filter(F.col("m") <= LEAF).drop("m")
+        # Pivots come from outside: a region without is not divided again.
+        small = rest.filter((F.col("m") <= LEAF) | ~F.col("open")).drop("m", "open")
         left = small if left is None else left.unionByName(small)
-        members = rest.filter(F.col("m") > LEAF).drop("m")
+        members = rest.filter((F.col("m") > LEAF) & F.col("open")).drop("m", "open")
     links = links.unionAll(work.leaves(left.unionByName(members), links))
     groups = components(spark, links)
     same = points.filter("n > 0").groupBy("x").agg(F.min("id").alias("first"))
