@@ -15,6 +15,7 @@ from touchline.llm.common import plain, table, written
 from touchline.session import configure
 
 VOCABULARY = "word_bpe_49k.json"
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +37,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of linked ones, that of the least id."""
+    """Keep one document of each group of linked ones, that of the least id; sets of five words link from 0.8 on."""
     configure(spark)
-    return jaccard.unique(spark, docs)
+    return jaccard.unique(spark, docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

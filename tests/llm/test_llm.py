@@ -492,6 +492,17 @@ def test_pipeline_stages_equal_brute_force(spark, sf):
     assert all(r.n_tokens == len(r.ids) and list(r.ids) == library.encode(r.text, add_special_tokens=False).ids for r in coded.collect())
 
 
+def test_pipeline_links_five_word_sets_from_080(spark, sf):
+    r = random.Random(9)
+    docs = []
+    for longer in (15, 18, 20, 23, 25, 30):
+        base = [f"w{r.randint(0, 10**6)}" for _ in range(100)]
+        docs += [" ".join(base), " ".join(base + [f"e{r.randint(0, 10**6)}" for _ in range(longer)])]
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, frame(spark, docs), sf)
+    want = sorted(d for d, (_, c) in brute_components(list(enumerate(docs)), 5, 80).items() if c == d)
+    assert want == [0, 2, 4, 6, 8, 9, 10, 11] and ids(kept) == want
+
+
 def test_pipeline_on_awkward_rows_and_whole(spark, awkward, nothing, sf):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, awkward, sf).columns == awkward.columns
