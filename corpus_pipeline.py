@@ -15,15 +15,26 @@ from touchline.llm.common import plain, table, written
 from touchline.session import configure
 
 VOCABULARY = "word_bpe_49k.json"
+LEAST_SCORE = 0.45
 NEAR_WIDTH, NEAR_PERCENT = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a recognisable language (``und``)."""
+    """Drop documents without a letter (``und``), and those that the network takes for none of the languages it learned.
+
+    These have at least one full window and a best mean probability below ``LEAST_SCORE``; shorter texts say too little.
+    All documents pass if there is nothing to learn from.
+    """
     configure(spark)
     renamed, names, at = plain(docs)
-    found = langid.identify(spark, renamed, renamed, ~langid.held_out(at["doc_id"]), keep=names, id_col=at["doc_id"], text_col=at["text"], lang_col=at["lang"])
-    return found.filter(F.col("lang_pred") != "und").select(*names).toDF(*docs.columns)
+    columns = {"id_col": at["doc_id"], "text_col": at["text"], "lang_col": at["lang"]}
+    learned = ~langid.held_out(at["doc_id"])
+    model = langid.fit(spark, renamed, learned, **columns)
+    if model[1] is None:
+        return docs
+    found = langid.identify(spark, renamed, renamed, learned, keep=names, model=model, **columns)
+    sure = (F.col("score") >= LEAST_SCORE) | (F.octet_length(at["text"]) < langid.WINDOW)
+    return found.filter((F.col("lang_pred") != "und") & sure).select(*names).toDF(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

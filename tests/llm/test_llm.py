@@ -492,6 +492,21 @@ def test_pipeline_stages_equal_brute_force(spark, sf):
     assert all(r.n_tokens == len(r.ids) and list(r.ids) == library.encode(r.text, add_special_tokens=False).ids for r in coded.collect())
 
 
+def test_pipeline_language_stage_follows_the_network(spark):
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    docs = spark.read.parquet(f"{BIG}/documents.parquet")
+    r = random.Random(3)
+    letters = lambda low, high: " ".join("".join(chr(r.randint(low, high)) for _ in range(r.randint(2, 9))) for _ in range(500))
+    junk = [letters(*span) for span in [(0x61, 0x7A), (0x430, 0x44F), (0x4E00, 0x9FFF)] for _ in range(5)]
+    planted = spark.createDataFrame([(10**7 + i, t, None, "s", len(t)) for i, t in enumerate(junk)], "doc_id long, text string, lang string, source string, n_chars int")
+    kept = set(ids(stage(spark, docs.unionByName(planted.select(*(F.col(f.name).cast(f.dataType) for f in docs.schema))), BIG)))
+    clean = {x.doc_id for x in spark.read.parquet(f"{BIG}/labels.parquet").filter("quality = 1").select("doc_id").collect()}
+    assert clean <= kept and not any(i >= 10**7 for i in kept) and len(kept) > 0.97 * docs.count()
+    # Nothing to learn from: all stay.
+    few = docs.limit(20).withColumn("lang", F.lit(None).cast("string"))
+    assert stage(spark, few, BIG).count() == 20
+
+
 def test_pipeline_links_five_word_sets_from_080(spark, sf):
     r = random.Random(9)
     docs = []

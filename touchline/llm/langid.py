@@ -186,9 +186,9 @@ def _predict(model, names):
 
 
 def identify(spark: SparkSession, docs: DataFrame, train: DataFrame, may_learn: Column, keep: list[str] = ("doc_id",), id_col: str = "doc_id",
-             text_col: str = "text", lang_col: str = "lang", **sample) -> DataFrame:
-    """The ``keep`` columns of ``docs``, lang_pred and score, by a network trained on ``train`` where ``may_learn``."""
-    model = spark.sparkContext.broadcast(fit(spark, train, may_learn, id_col, text_col, lang_col, **sample))
+             text_col: str = "text", lang_col: str = "lang", model: tuple | None = None, **sample) -> DataFrame:
+    """The ``keep`` columns of ``docs``, lang_pred and score, by a network trained on ``train`` where ``may_learn``, or ``model`` from ``fit``."""
+    model = spark.sparkContext.broadcast(model or fit(spark, train, may_learn, id_col, text_col, lang_col, **sample))
     kept = docs.select(*keep)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "lang_pred string", "score double"])
     return docs.select(*keep, F.col(text_col).alias("li_text")).mapInArrow(_predict(model, [*kept.columns, "lang_pred", "score"]), schema)
