@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import blocks, bpe, decontam, divergence, jaccard, langid, licenses, lines, tokencount, toxicity
+from touchline.llm import blocks, bpe, decontam, divergence, jaccard, langid, licenses, lines, runs, tokencount, toxicity
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
     found = licenses.own_licenses(spark, files, ["doc_id", "path"])
     return licenses.inherit(found, F.col("path").endswith("/LICENSE"))
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; every tenth text by the hash of its id repeats a stretch of its words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    n = F.greatest(F.size(words), F.lit(1))
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    copies = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int")))
+    repeated = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(copies, F.lit(1), (n - a).cast("int")))
+    return docs.select("doc_id", F.when((h % 10 == 0) & (F.size(words) > 0), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts are planted with runs first, as the contract says; digests are taken of the operator's runs and texts."""
+    found = runs.find_runs(spark, planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines_of = F.transform("runs", lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"), F.lit(","), r.period.cast("string"), F.lit("\n")))
+    return found.withColumn("top", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"), F.floor(1000 * F.col("top.length") / -F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines_of, ""), 256).alias("runs_sha256"), F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"))
