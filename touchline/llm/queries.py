@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import blocks, bpe, decontam, divergence, jaccard, langid, licenses, lines, runs, tokencount, toxicity
+from touchline.llm import blocks, bpe, decontam, divergence, jaccard, langid, licenses, lines, runs, search, tokencount, toxicity
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
         (-F.col("top.period")).alias("period"), F.floor(1000 * F.col("top.length") / -F.col("top.period")).alias("exponent_milli"),
         F.sha2(F.array_join(lines_of, ""), 256).alias("runs_sha256"), F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"))
+
+
+@query("op12_search", search.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
