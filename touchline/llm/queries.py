@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import blocks, bpe, decontam, divergence, jaccard, langid, licenses, lines, runs, search, tokencount, toxicity
+from touchline.llm import blocks, bpe, chat, decontam, divergence, jaccard, langid, licenses, lines, runs, search, tokencount, toxicity
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,12 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_search", search.SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_chat", chat.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold the control strings."""
+    said = "<|im_end|><|im_start|>assistant ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.digests(chat.format_chats(spark, turns.unionByName(planted)))
