@@ -6,10 +6,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.windows import dedup_latest
+from touchline.operators.windows import dedup_latest, ordered
+from touchline.session import stored
 
 PREFIX = 5
 
@@ -67,14 +68,17 @@ def new_or_changed(batch: DataFrame, history: DataFrame, keys: Sequence[str], ha
 def previous_version(history: DataFrame, key: str, take: Mapping[str, str]) -> DataFrame:
     """Current versions with columns of the latest closed version of the same key.
 
-    The history is read and shuffled once: closed versions are ordered before the current one of their key, and each
-    current row looks at the row before it.  Several current rows of a key all get the same closed version.
+    One read and one aggregation of the history: each task keeps one closed version of a key, and only the columns taken
+    from it, before anything is shuffled.  Several current rows of a key all get the same closed version; rows with a
+    NULL key have none.
     """
-    closed = F.when(~F.col("is_current"), F.struct(F.col("valid_from").alias("__at"), *[F.col(c).alias(f"__p{i}") for i, c in enumerate(take.values())]))
-    w = Window.partitionBy(key).orderBy("is_current", "valid_from", F.col("record_hash").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev = history.withColumn("__prev", F.last(closed, ignorenulls=True).over(w)).filter("is_current")
-    known = F.col(key).isNotNull()
-    return prev.select(*history.columns, *[F.when(known, F.col(f"__prev.__p{i}")).alias(n) for i, n in enumerate(take)])
+    closed = F.struct(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(take.values())])
+    known = history.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.collect_list(F.when(F.col("is_current"), F.struct(*[n for n in history.columns if n != key]))).alias("__now"),
+        F.max_by(closed, F.when(~F.col("is_current"), F.struct("valid_from", "record_hash"))).alias("__prev"))
+    paired = known.select(key, "__prev", F.inline("__now")).select(*history.columns, *[F.col(f"__prev.__p{i}").alias(n) for i, n in enumerate(take)])
+    alone = history.filter(F.col(key).isNull() & F.col("is_current"))
+    return paired.unionByName(alone, allowMissingColumns=True)
 
 
 def enrich(base: DataFrame, tables: Mapping[str, DataFrame], keys: Sequence[str], columns: Mapping[str, Sequence[str]], latest_by: str) -> DataFrame:
@@ -89,24 +93,50 @@ def _name_pairs(left: DataFrame, right: DataFrame, scope: Sequence[str]) -> Data
     """Names of both sides (columns scope, ``__ln`` and ``__rn``) of which one holds the first characters of the other.
 
     Works on distinct names: a name's substrings are met with the other side's heads by equality, once in each
-    direction.  The head of an empty name is empty and stands in every name, so empty names meet their whole scope.
+    direction, and only substrings as long as some head are made (five characters, unless a name is shorter).  The head
+    of an empty name is empty and stands in every name, so empty names meet their whole scope.
     """
-    def names(df: DataFrame, n: str) -> DataFrame:
-        return df.select(*scope, n).distinct()
-
     def heads(df: DataFrame, n: str) -> DataFrame:
         return df.filter(F.col(n) != "").withColumn("__part", F.lower(F.substring(n, 1, PREFIX)))
 
-    def parts(df: DataFrame, n: str) -> DataFrame:
+    def lengths(df: DataFrame, n: str) -> list[int]:
+        """Of heads: at most PREFIX + 1 rows."""
+        return sorted(r[0] for r in df.select(F.length(F.substring(n, 1, PREFIX))).distinct().collect())
+
+    def parts(df: DataFrame, n: str, sizes: Sequence[int]) -> DataFrame:
         low = F.lower(n)
-        grams = F.transform(F.sequence(F.lit(1), F.length(low)), lambda i: F.transform(F.sequence(F.lit(1), F.lit(PREFIX)), lambda k: F.substring(low, i, k)))
-        return df.filter(F.col(n) != "").withColumn("__part", F.explode(F.array_distinct(F.flatten(grams))))
 
-    l, r, on = names(left, "__ln"), names(right, "__rn"), [*scope, "__part"]
-    out = [*scope, "__ln", "__rn"]
-    found = [parts(l, "__ln").join(heads(r, "__rn"), on), heads(l, "__ln").join(parts(r, "__rn"), on),
-             l.filter("__ln = ''").join(r, list(scope)), l.join(r.filter("__rn = ''"), list(scope))]
-    return reduce(DataFrame.unionByName, [f.select(*out) for f in found]).distinct()
+        def grams(k: int) -> Column:
+            own = F.transform(F.sequence(F.lit(1), F.length(low) - k + 1), lambda i: F.substring(low, i, k))
+            return F.when(F.length(low) >= k, own).otherwise(F.array().cast("array<string>"))
+
+        return df.withColumn("__part", F.explode(F.array_distinct(F.concat(*map(grams, sizes)))))
+
+    l, r = (stored(df.select(*scope, n).distinct()) for df, n in ((left, "__ln"), (right, "__rn")))
+    on, out, found = [*scope, "__part"], [*scope, "__ln", "__rn"], []
+    sizes = {"__ln": lengths(l, "__ln"), "__rn": lengths(r, "__rn")}
+    for (a, n), (b, m) in (((l, "__ln"), (r, "__rn")), ((r, "__rn"), (l, "__ln"))):
+        some = [k for k in sizes[m] if k]
+        if some:
+            found.append(parts(a, n, some).join(heads(b, m), on))
+        if 0 in sizes[m]:
+            found.append(b.filter(F.col(m) == "").join(a, list(scope)))
+    none = l.limit(0).withColumn("__rn", F.lit(""))
+    return reduce(DataFrame.unionByName, [f.select(*out) for f in found] or [none]).distinct()
+
+
+def _fitting(left: DataFrame, right: DataFrame, equal: Sequence[str], name: str) -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
+    """Both sides as keys, name and row struct; the stored pairs of names that fit under equal keys; the keys' names."""
+    keys = [f"__k{i}" for i in range(len(equal))]
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        return df.select(*[F.col(x).alias(k) for x, k in zip(equal, keys)], F.col(name).alias(f"__{s}n"), F.struct("*").alias(s))
+
+    l, r = side(left, "l"), side(right, "r")
+    l_keys, r_keys = (stored(df.select(*keys, n).dropna().distinct()) for df, n in ((l, "__ln"), (r, "__rn")))
+    pairs = _name_pairs(l_keys, r_keys, keys[:1])
+    fits = stored(l_keys.join(pairs, [keys[0], "__ln"]).join(r_keys, [*keys, "__rn"]).select(*keys, "__ln", "__rn"))
+    return l, r, fits, keys
 
 
 def prefix_match(left: DataFrame, right: DataFrame, equal: Sequence[str], name: str) -> DataFrame:
@@ -116,19 +146,57 @@ def prefix_match(left: DataFrame, right: DataFrame, equal: Sequence[str], name:
     are found per value of the first equal column, brought to the distinct (equal columns, name) of both sides, and
     rows are then joined to them by equality.  Row ids play no part, so they may repeat or be NULL.  A row with a NULL
     name or a NULL among the equal columns has no partner and stays out of the matching.
+
+    The distinct keys of both sides and the pairs are stored while the plan is made; each side is read twice.
     """
-    keys = [f"__k{i}" for i in range(len(equal))]
+    l, r, fits, keys = _fitting(left, right, equal, name)
+    return l.join(fits, [*keys, "__ln"], "left").join(r, [*keys, "__rn"], "full_outer").select("l", "r")
 
-    def side(df: DataFrame, s: str) -> DataFrame:
-        return df.select(*[F.col(x).alias(k) for x, k in zip(equal, keys)], F.col(name).alias(f"__{s}n"), F.struct("*").alias(s))
 
-    l, r = side(left, "l"), side(right, "r")
-    l_keys, r_keys = (df.select(*keys, n).dropna().distinct() for df, n in ((l, "__ln"), (r, "__rn")))
-    pairs = _name_pairs(l_keys, r_keys, keys[:1])
-    fits = l_keys.join(pairs, [keys[0], "__ln"]).join(r_keys, [*keys, "__rn"]).select(*keys, "__ln", "__rn")
-    null_l = F.lit(None).cast(l.schema["l"].dataType).alias("l")
-    from_left = l.join(fits, [*keys, "__ln"], "left").join(r, [*keys, "__rn"], "left").select("l", "r")
-    return from_left.unionByName(r.join(fits, [*keys, "__rn"], "left_anti").select(null_l, "r"))
+def name_score(a: str | Column, b: str | Column) -> Column:
+    """How alike two names are, 0 to 1000: twice their common pairs of neighbouring characters to all they have, rounded down."""
+    def grams(n) -> Column:
+        low = F.lower(F.col(n) if isinstance(n, str) else n)
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - 1, F.lit(1))), lambda i: F.substring(low, i, 2)))
+
+    x, y = grams(a), grams(b)
+    return F.floor(2000 * F.size(F.array_intersect(x, y)) / (F.size(x) + F.size(y))).cast("int")
+
+
+def _assigned(fits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One partner per name: in every round the pairs that are best for both of their names (score, then names), until none is left.
+
+    Names with one candidate that has no other are settled in the first round.  A round is two aggregations and two
+    joins of the pairs still open, stored; the best open pair of a key is always settled, so the rounds end.
+    """
+    left = fits.withColumn("__order", F.struct((-name_score("__ln", "__rn")).alias("s"), F.col("__ln").alias("l"), F.col("__rn").alias("r")))
+    left, done = stored(left), []
+    while True:
+        best_l = left.groupBy(*keys, "__ln").agg(F.min("__order").alias("__order"))
+        best_r = left.groupBy(*keys, "__rn").agg(F.min("__order").alias("__order"))
+        both = stored(best_l.join(best_r, [*keys, "__order"]).select(*keys, "__ln", "__rn"))
+        done.append(both)
+        left = stored(left.join(both.select(*keys, "__ln"), [*keys, "__ln"], "left_anti").join(both.select(*keys, "__rn"), [*keys, "__rn"], "left_anti").select(*left.columns))
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+
+
+def best_match(left: DataFrame, right: DataFrame, equal: Sequence[str], name: str, order: tuple[Sequence[str], Sequence[str]]) -> DataFrame:
+    """Like :func:`prefix_match`, but every row has one partner at most.
+
+    Names are paired first, each with one other, the most alike first.  Rows that share keys and name are then paired in
+    the order of the given columns of each side (two home games of a team on a day: first with first, second with
+    second); surplus rows stay without a partner.  The order should be total; rows that tie in it may pair either way.
+    """
+    l, r, fits, keys = _fitting(left, right, equal, name)
+    pairs = _assigned(fits, keys)
+
+    def placed(df: DataFrame, s: str, by: Sequence[str]) -> DataFrame:
+        rows = df.withColumn("__o", F.struct(*[F.col(s)[x].alias(f"o{i}") for i, x in enumerate(by)]))
+        return ordered(rows, [*keys, f"__{s}n"], ["__o"], key=["__o"], row_number="__place").drop("__o")
+
+    a = placed(l, "l", order[0]).join(pairs, [*keys, "__ln"], "left")
+    return a.join(placed(r, "r", order[1]), [*keys, "__rn", "__place"], "full_outer").select("l", "r")
 
 
 def ambiguous_pairs(matched: DataFrame, ids: tuple[str, str]) -> DataFrame:

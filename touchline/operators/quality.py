@@ -1,8 +1,9 @@
-"""Declarative data-quality checks.
+"""Declarative data-quality checks, a whole suite in one scan of its table.
 
-All row-level rules of a table are counted in one aggregation pass.  Uniqueness and
-foreign keys need their own grouping and are joined in as extra branches of the same
-query, so a suite is one DataFrame and one job.
+Every row becomes a few small entries: one with the outcome of all row rules as bits, one per grouping rule with the
+rule's number and the row's key, and one per broken row rule where samples are wanted.  Entries are pre-aggregated in each
+task and meet in one exchange, together with the keys of foreign-key parents; group-size rules need a second, small one.
+A suite is one DataFrame and one job.
 """
 
 from __future__ import annotations
@@ -106,50 +107,143 @@ def _n() -> Column:
     return F.count(F.lit(1))
 
 
-def _row_counts(df: DataFrame, checks: list[tuple[int, Check]], now: Column) -> DataFrame:
-    """One pass over the table, one output row per check."""
-    aggs, rows = [], []
-    for i, c in checks:
-        if c.kind == "fresh":
-            age = (F.unix_micros(now) - F.unix_micros(F.max(c.cols[0]))) / F.lit(3_600_000_000.0)
-            aggs += [F.lit(0).cast("long").alias(f"n{i}"), F.when(age <= c.options["hours"], 0).otherwise(1).cast("long").alias(f"f{i}")]
-        else:
-            scope = F.expr(c.where) if c.where else F.lit(True)
-            seen = scope & c.scope() if c.scope else scope
-            aggs += [F.count_if(seen).alias(f"n{i}"), F.count_if(scope & c.bad()).alias(f"f{i}")]
-        rows.append(F.struct(F.lit(i).alias("ix"), F.col(f"n{i}").alias("checked"), F.col(f"f{i}").alias("failed")))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
-
-
-def _branch(df: DataFrame, i: int, c: Check, parents: Mapping[str, DataFrame]) -> DataFrame:
-    scoped = df.filter(c.where) if c.where else df
-    if c.kind == "unique":
-        per_key = scoped.groupBy(*c.cols).agg(_n().alias("n"))
-        counts = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("checked"), F.count_if(F.col("n") > 1).alias("failed"))
-    elif c.kind == "group":
-        sizes = scoped.groupBy(*c.cols).agg(F.count_distinct(c.options["distinct"]).alias("n"))
-        counts = sizes.agg(_n().alias("checked"), F.count_if(~F.col("n").between(c.options["lo"], c.options["hi"])).alias("failed"))
-    else:
-        # One pass over the child, pre-aggregated per key.
-        per_key = scoped.groupBy(F.col(c.cols[0]).alias("__key")).agg(_n().alias("rows"))
-        parent = parents[c.options["parent"]].select(F.col(c.options["parent_col"]).alias("__parent")).distinct()
-        lost = F.sum(F.when(F.col("__parent").isNull(), F.col("rows")))
-        counts = per_key.join(parent, F.col("__key") == F.col("__parent"), "left").agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("checked"), F.coalesce(lost, F.lit(0)).alias("failed"))
-    return counts.select(F.lit(i).alias("ix"), "checked", "failed")
+MOST_SAMPLES = 5
+_SAMPLE_BUCKETS = 2   # hex digits of a sample's MD5: 256 candidates per rule and task
+_BITS = 30            # row rules per entry: two bits each in a LONG
+
+
+def sampled(text: Column) -> Column:
+    """A sample as its MD5 and text; samples of a rule are the least MD5 of each bucket (its first digits), the least of these first."""
+    return F.concat(F.md5(text), text)
+
+
+def _bucket(sample: Column) -> Column:
+    return F.substring(sample, 1, _SAMPLE_BUCKETS)
+
+
+def _least(samples: Column) -> Column:
+    return F.transform(F.slice(F.array_sort(samples), 1, MOST_SAMPLES), lambda x: F.substring(x, 33, 2**31 - 1))
+
 
+def _text(cols: Sequence[Column]) -> Column:
+    """Key columns as text; equal keys and no others give equal texts, NULLs included."""
+    return F.to_json(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)]))
 
-def run_suite(df: DataFrame, layer: str, table: str, checks: Iterable, now, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Results of every check of one table.  ``now`` is a timestamp, never the driver's clock."""
+
+def _common_type(a: DataFrame, b: DataFrame, cols: tuple[str, str]) -> str:
+    """The type in which Spark compares two columns."""
+    types = [df.select(n).schema[0].dataType for df, n in zip((a, b), cols)]
+    both = F.coalesce(*[F.lit(None).cast(t) for t in types])
+    return types[0].simpleString() if types[0] == types[1] else a.sparkSession.range(0).select(both).schema[0].dataType.simpleString()
+
+
+def _entries(df: DataFrame, numbered: Sequence[tuple[int, Check]], parents: Mapping[str, DataFrame], sample_by: Sequence[str] | None) -> DataFrame:
+    """Entries of the table and of its parents: (ix, key, member, sample, at, parent).
+
+    ``ix`` is the rule's number; -1 - k stands for the k-th block of row rules, whose outcomes are the bits of ``key``.
+    """
+    none = F.lit(None).cast("string")
+
+    def entry(ix: int, key: Column = none, member: Column = none, sample: Column = none, at: Column | None = None) -> Column:
+        at = F.lit(None).cast("timestamp") if at is None else at
+        return F.struct(F.lit(ix).alias("ix"), key.alias("key"), member.alias("member"), sample.alias("sample"), at.alias("at"), F.lit(False).alias("parent"))
+
+    entries, bits, broken = [], [], []
+    found = F.to_json(F.struct(*sample_by)) if sample_by else None
+    lookups = []
+    for i, c in numbered:
+        scope = F.expr(c.where) if c.where else F.lit(True)
+        if c.kind == "row":
+            seen = F.coalesce(scope & c.scope() if c.scope else scope, F.lit(False))
+            bad = F.coalesce(scope & c.bad(), F.lit(False))
+            bits.append((i, seen, bad))
+            if sample_by:
+                broken.append(F.when(bad, entry(i, _bucket(sampled(found)), sample=sampled(found))))
+        elif c.kind == "fresh":
+            entries.append(entry(i, at=F.col(c.cols[0]).cast("timestamp")))
+        else:
+            cols, member = [F.col(n) for n in c.cols], none
+            if c.kind == "group":
+                one = F.col(c.options["distinct"])
+                member = F.when(one.isNotNull(), _text([one]))
+            elif c.kind == "fk":
+                parent = parents[c.options["parent"]]
+                kind = _common_type(df, parent, (c.cols[0], c.options["parent_col"]))
+                cols = [cols[0].cast(kind)]
+                known = parent.filter(F.col(c.options["parent_col"]).isNotNull()).select(_text([F.col(c.options["parent_col"]).cast(kind)]).alias("key"))
+                lookups.append(known.select(F.lit(i).alias("ix"), "key", none.alias("member"), none.alias("sample"), F.lit(None).cast("timestamp").alias("at"), F.lit(True).alias("parent")))
+            entries.append(F.when(scope, entry(i, _text(cols), member)))
+    for k in range(0, len(bits), _BITS):
+        block = [F.when(seen, 1 << 2 * j).otherwise(0) + F.when(bad, 2 << 2 * j).otherwise(0) for j, (_, seen, bad) in enumerate(bits[k: k + _BITS])]
+        entries.append(entry(-1 - k // _BITS, reduce(lambda a, b: a + b, block, F.lit(0).cast("long")).cast("string")))
+    own = df.select(F.inline(F.array_compact(F.array(*entries, *broken))))
+    return reduce(DataFrame.unionByName, lookups, own)
+
+
+def _suite_counts(df: DataFrame, numbered: Sequence[tuple[int, Check]], parents: Mapping[str, DataFrame], now: Column, sample_by: Sequence[str] | None) -> DataFrame:
+    """ix, checked, failed and samples of every check, also of those that no row concerns."""
+    of_kind = {k: [i for i, c in numbered if c.kind == k] for k in ("row", "unique", "fk", "group", "fresh")}
+    groups = [(i, c) for i, c in numbered if c.kind == "group"]
+    row_blocks = [of_kind["row"][k: k + _BITS] for k in range(0, len(of_kind["row"]), _BITS)]
+    per_key = _entries(df, numbered, parents, sample_by).groupBy("ix", "key", "member").agg(
+        F.count_if(~F.col("parent")).alias("rows"), F.min("sample").alias("sample"), F.max("at").alias("at"), F.max("parent").alias("parent"))
+    if groups:
+        per_key = per_key.groupBy("ix", "key").agg(F.sum("rows").alias("rows"), F.count("member").alias("members"), F.min("sample").alias("sample"), F.max("at").alias("at"), F.max("parent").alias("parent"))
+    else:
+        per_key = per_key.withColumn("members", F.lit(0).cast("long"))
+    rows, ix = F.col("rows"), F.col("ix")
+    zero = F.lit(0).cast("long")
+
+    def count(i: Column, checked: Column, failed: Column, sample: Column) -> Column:
+        return F.struct(i.cast("int").alias("ix"), checked.cast("long").alias("checked"), failed.cast("long").alias("failed"), sample.cast("string").alias("sample"))
+
+    none = F.lit(None)
+    key_sample = sampled(F.col("key")) if sample_by else none
+    cases = []
+    for k, block in enumerate(row_blocks):
+        flags = F.col("key").cast("long")
+        outcome = [count(F.lit(i), F.when(flags.bitwiseAND(F.lit(1 << 2 * j)) != 0, rows).otherwise(0), F.when(flags.bitwiseAND(F.lit(2 << 2 * j)) != 0, rows).otherwise(0), none) for j, i in enumerate(block)]
+        cases.append((ix == -1 - k, F.array(*outcome)))
+    if of_kind["row"] and sample_by:
+        cases.append((ix.isin(of_kind["row"]), F.array(count(ix, zero, zero, F.col("sample")))))
+    if of_kind["unique"]:
+        bad = rows > 1
+        cases.append((ix.isin(of_kind["unique"]), F.array(count(ix, rows, bad.cast("long"), F.when(bad, key_sample)))))
+    if of_kind["fk"]:
+        bad = ~F.col("parent") & (rows > 0)
+        cases.append((ix.isin(of_kind["fk"]), F.array(count(ix, rows, F.when(bad, rows).otherwise(0), F.when(bad, key_sample)))))
+    for i, c in groups:
+        bad = ~F.col("members").between(c.options["lo"], c.options["hi"])
+        cases.append((ix == i, F.array(count(ix, F.lit(1), bad.cast("long"), F.when(bad, key_sample)))))
+    for i, c in numbered:
+        if c.kind == "fresh":
+            age = (F.unix_micros(now) - F.unix_micros(F.col("at"))) / F.lit(3_600_000_000.0)
+            late = F.when(age <= c.options["hours"], 0).otherwise(1)
+            cases.append((ix == i, F.array(count(ix, zero, late, none))))
+    outcome = reduce(lambda rest, case: F.when(case[0], case[1]).otherwise(rest), cases, F.array().cast("array<struct<ix:int,checked:bigint,failed:bigint,sample:string>>"))
+    counts = per_key.select(F.inline(outcome))
+    # A check that no row concerns has checked nothing; without any row nothing is fresh.
+    spark = df.sparkSession
+    nothing = spark.range(len(numbered)).select(F.col("id").cast("int").alias("ix"), zero.alias("checked"), zero.alias("failed"), none.cast("string").alias("sample"))
+    counts = counts.unionByName(nothing)
+    per_bucket = counts.groupBy("ix", _bucket(F.col("sample")).alias("bucket")).agg(
+        F.sum("checked").alias("checked"), F.sum("failed").alias("failed"), F.min("sample").alias("sample"), _n().alias("entries"))
+    out = per_bucket.groupBy("ix").agg(F.sum("checked").alias("checked"), F.sum("failed").alias("failed"), F.sum("entries").alias("entries"), _least(F.collect_list("sample")).alias("samples"))
+    never = ix.isin(of_kind["fresh"]) & (F.col("entries") == 1)
+    return out.select("ix", "checked", F.when(never, 1).otherwise(F.col("failed")).cast("long").alias("failed"), "samples")
+
+
+def run_suite(df: DataFrame, layer: str, table: str, checks: Iterable, now, parents: Mapping[str, DataFrame] | None = None, *, sample_by: Sequence[str] | None = None) -> DataFrame:
+    """Results of every check of one table.  ``now`` is a timestamp, never the driver's clock.
+
+    ``sample_by`` names columns that tell rows apart and adds ``samples``: at most five failing rows of a row rule (these
+    columns as JSON) or failing keys of a grouping rule (``k0``, ``k1``, …), chosen as :func:`sampled` says.
+    """
     flat: list[Check] = []
     for c in checks:
         flat.extend(c if isinstance(c, list) else [c])
     at = F.lit(now).cast("timestamp")
-    numbered = list(enumerate(flat))
-    one_pass = [(i, c) for i, c in numbered if c.kind in ("row", "fresh")]
-    parts = [_row_counts(df, one_pass, at)] if one_pass else []
-    parts += [_branch(df, i, c, parents or {}) for i, c in numbered if c.kind not in ("row", "fresh")]
-    counts = reduce(lambda a, b: a.unionByName(b), parts)
+    counts = _suite_counts(df, list(enumerate(flat)), parents or {}, at, sample_by)
 
     def text(values: Sequence[str]) -> Column:
         return F.get(F.array(*[F.lit(v) for v in values]), F.col("ix"))
@@ -166,22 +260,36 @@ def run_suite(df: DataFrame, layer: str, table: str, checks: Iterable, now, pare
         F.col("checked").alias("records_checked"),
         F.col("failed").alias("records_failed"),
         at.alias("check_timestamp"),
+        *(["samples"] if sample_by else []),
     )
 
 
-def run_rule(spark: SparkSession, name: str, query: str, now, run_id: str, *, should_be_empty: bool = True) -> DataFrame:
-    """One SQL rule as one result row; the rows it returns are counted, not fetched.
+def run_rule(spark: SparkSession, name: str, query: str, now, run_id: str, *, should_be_empty: bool = True, samples: bool = False) -> DataFrame:
+    """One SQL rule as one result row; ``samples`` adds at most five of its rows, as JSON, found while they are counted.
 
     The rule runs at once.  A query that does not analyse or fails while it runs is an ERROR result of this rule.
     """
+    kept: list[str] = []
     try:
-        n = spark.sql(query).count()
+        n, kept = _rule_rows(spark.sql(query), samples)
         ok = n == 0 if should_be_empty else n > 0
         status, details = (PASS, "OK") if ok else (FAIL, f"{n} failures" if should_be_empty else "No data found")
     except PySparkException as e:
         status, details = ERROR, str(e)[:100]
-    return spark.createDataFrame([(name, status, details, run_id)], "test_name string, status string, details string, run_id string").select(
-        "test_name", "status", "details", F.lit(now).cast("timestamp").alias("timestamp"), "run_id")
+    added = ", samples array<string>" if samples else ""
+    row = (name, status, details, run_id, kept) if samples else (name, status, details, run_id)
+    return spark.createDataFrame([row], f"test_name string, status string, details string, run_id string{added}").select(
+        "test_name", "status", "details", F.lit(now).cast("timestamp").alias("timestamp"), "run_id", *(["samples"] if samples else []))
+
+
+def _rule_rows(rows: DataFrame, samples: bool) -> tuple[int, list[str]]:
+    """(number of rows, samples of them): one pass, one row per bucket and task."""
+    if not samples:
+        return rows.count(), []
+    some = rows.select(sampled(F.to_json(F.struct("*"))).alias("sample"))
+    found = some.groupBy(_bucket(F.col("sample")).alias("bucket")).agg(_n().alias("n"), F.min("sample").alias("sample"))
+    got = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), _least(F.collect_list("sample")).alias("samples")).first()
+    return got.n, got.samples
 
 
 def failing_rows(spark: SparkSession, query: str, n: int = 5) -> DataFrame:

@@ -77,19 +77,19 @@ def ordered(
 
 
 def ranks(df: DataFrame, key: Sequence[str], rankings: Mapping[str, tuple[Sequence[str], Sequence[str]]]) -> DataFrame:
-    """Several rankings (name to partition columns and order) of one table with the unique ``key``.
+    """Several rankings (name to partition columns and order) of one table; ``key`` breaks ties.
 
-    The table is evaluated and stored once; each ranking sorts only the columns it needs, and the ranks are joined by key.
+    The table is evaluated and stored once; each ranking sorts only the columns it needs, and the ranks are joined by the
+    row's place in the stored table, so rows that share a key are each ranked for themselves.
     """
-    base = stored(df)
+    base = stored(df.withColumn("__row", F.monotonically_increasing_id()))
     out = base
     for name, (partition_by, order_by) in rankings.items():
-        needed = dict.fromkeys([*key, *partition_by, *(n for n, _ in parse_order(order_by))])
-        rank = ordered(base.select(*needed), partition_by, order_by, key=key, row_number=name)
-        rank = rank.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(key)], name)
-        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r{i}")) for i, k in enumerate(key)])
-        out = out.join(rank, on, "left").drop(*[f"__r{i}" for i in range(len(key))])
-    return out
+        needed = dict.fromkeys([*key, *partition_by, *(n for n, _ in parse_order(order_by)), "__row"])
+        rank = ordered(base.select(*needed), partition_by, order_by, key=[*key, "__row"], row_number=name)
+        rank = rank.select(F.col("__row").alias("__ranked"), name)
+        out = out.join(rank, F.col("__row") == F.col("__ranked"), "left").drop("__ranked")
+    return out.drop("__row")
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -165,5 +165,5 @@ def sql_rules(now: str, silver: str = "silver", gold: str = "gold", max_days: in
     ])
 
 
-def run_sql_rules(spark: SparkSession, rules: Mapping[str, str], now, run_id: str) -> DataFrame:
-    return stack_all([q.run_rule(spark, name, text, now, run_id) for name, text in rules.items()])
+def run_sql_rules(spark: SparkSession, rules: Mapping[str, str], now, run_id: str, *, samples: bool = False) -> DataFrame:
+    return stack_all([q.run_rule(spark, name, text, now, run_id, samples=samples) for name, text in rules.items()])

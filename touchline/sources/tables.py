@@ -1,31 +1,35 @@
-"""Tables by name or by path, and history tables written one batch at a time.
+"""Tables by name or by path, and history tables that only ever grow.
 
 A history table is a folder of load attempts and a small table of commits::
 
-    <root>/<table>/attempt=<batch>-<n>/versions=open|closed/bucket=<k>/*.parquet
+    <root>/<table>/attempt=<batch>-<n>/versions=open|tail|closed/*.parquet
     <root>/<table>/commits/*.parquet
 
-Rows are dealt into buckets by a hash of the business key.  A batch writes the closed versions it adds and the open set
-of those buckets only in which something changed; a row in ``commits``, written last, makes the attempt visible and says
-which buckets' open sets it replaced.  Readers take the closed versions of all committed attempts and each bucket's open
-set from its newest one.  No file is ever overwritten: an attempt that failed, or was repeated, is simply not read.
+A batch appends what it changes and nothing else: its new versions, and marks for keys that it no longer holds.  When a
+version ends isn't written; it follows, on reading, from the next version of its key.  The first load is the table's
+*base*, later batches are its *tail*: base rows meet the next version of their key by one join with the tail's keys, the
+tail is put in order by one aggregation per key.  Once the tail has more rows than the base has open ones, the next load
+settles it first: ended versions go to a closed part with their end, the open ones become the new base.
+
+A row in ``commits``, written last, makes an attempt visible.  No file is ever overwritten or removed, so an attempt that
+failed or was repeated is simply not read, and a table can be read as it was at any time from the base and tail of then.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.operators import changes
 from touchline.operators.sides import stack_all
-from touchline.session import stored
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -73,83 +77,238 @@ def row_counts(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
 
 
 # --- history tables ---------------------------------------------------------------
-BUCKETS = 64
-_COMMITS = "batch_id string, seq long, attempt string, columns string, n_buckets int, buckets array<int>"
-
-
-def _commits(spark: SparkSession, path: str, before: str | None = None) -> list[Row]:
-    """Valid commits, oldest batch first: the last one of each batch.  One row per load."""
+# What a row of a batch says about its key: a new version; its end; not in the batch, yet still current; back unchanged.
+NEW, END, MISSING, BACK = "new", "end", "missing", "back"
+_COMMITS = ("batch_id string, seq long, kind string, attempt string, columns string, keys array<string>, at timestamp, "
+            "rows long, origin string")
+_DERIVED = ("valid_to", "transformed_at", "is_current")
+FEW_ROWS = 100_000
+"""An attempt of at most so many rows is written again as one file, if it has come in several."""
+
+
+@dataclass(frozen=True)
+class _Known:
+    """The commits that make up a table: base, tail (oldest first) and settled parts."""
+
+    batches: list[Row]
+    base: Row
+    tail: list[Row]
+    settled: list[Row]
+
+    @property
+    def keys(self) -> list[str]:
+        return self.batches[-1].keys
+
+    def fields(self) -> list[T.StructField]:
+        """All columns that any batch wrote, in order of appearance; a later type wins."""
+        out: dict[str, T.StructField] = {}
+        for r in self.batches:
+            out |= {f.name: f for f in T.StructType.fromJson(json.loads(r.columns)).fields}
+        return list(out.values())
+
+
+def _log(spark: SparkSession, path: str) -> list[Row]:
+    """Every commit: a row a load, and one for each time the tail was settled."""
     try:
-        rows = spark.read.schema(_COMMITS).parquet(f"{path}/commits").collect()
+        return sorted(spark.read.schema(_COMMITS).parquet(f"{path}/commits").collect(), key=lambda r: r.seq)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
-    last = {r.batch_id: r for r in sorted(rows, key=lambda r: r.seq)}
-    return [last[b] for b in sorted(last) if before is None or b < before]
+
+
+def _known(log: Sequence[Row], before: str | None = None, at=None) -> _Known | None:
+    """The table as of the batches before ``before``, or of those loaded at ``at`` or earlier.
+
+    The last commit of a batch counts.  A settled base counts unless one of its batches was loaded again after it.
+    """
+    last = {r.batch_id: r for r in log if r.kind == "batch"}
+    batches = [last[b] for b in sorted(last) if (before is None or b < before) and (at is None or last[b].at <= at)]
+    if not batches:
+        return None
+    settled = [c for c in log if c.kind == "settled" and c.batch_id <= batches[-1].batch_id
+               and all(r.seq < c.seq for b, r in last.items() if b <= c.batch_id)]
+    base = settled[-1] if settled else batches[0]
+    return _Known(batches, base, [b for b in batches if b.batch_id > base.batch_id and b.rows], settled)
 
 
 def batch_count(spark: SparkSession, path: str) -> int:
     """Loads so far: no key can have more versions than this."""
-    return len(_commits(spark, path))
-
-
-def _read(spark: SparkSession, path: str, commits: Sequence[Row]) -> DataFrame:
-    """All versions with their ``bucket``.  The schema is known from the commits, so nothing is inferred from files."""
-    fields: dict[str, T.StructField] = {}
-    owner: dict[int, str] = {}
-    for r in commits:
-        fields |= {f.name: f for f in T.StructType.fromJson(json.loads(r.columns)).fields}
-        owner |= dict.fromkeys(r.buckets, r.attempt)
-    schema = T.StructType([*fields.values(), T.StructField("attempt", T.StringType()), T.StructField("versions", T.StringType()), T.StructField("bucket", T.IntegerType())])
-    wrote = [r.attempt for r in commits if r.buckets]
-    if not wrote:
-        return spark.createDataFrame([], schema).withColumn("is_current", F.lit(True)).drop("attempt", "versions")
-    rows = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/attempt={a}" for a in wrote])
-    newest = [(F.col("attempt") == a) & F.col("bucket").isin([b for b, o in owner.items() if o == a]) for a in dict.fromkeys(owner.values())]
-    is_open = F.col("versions") == "open"
-    return rows.filter(~is_open | reduce(lambda a, b: a | b, newest)).withColumn("is_current", is_open).drop("attempt", "versions")
+    known = _known(_log(spark, path))
+    return len(known.batches) if known else 0
+
+
+def batch_of(spark: SparkSession, path: str, origin: str) -> str | None:
+    """The batch that was loaded from ``origin``."""
+    return next((r.batch_id for r in reversed(_log(spark, path)) if r.origin == origin), None)
+
+
+def _files(spark: SparkSession, path: str, attempts: Sequence[Row], part: str, schema: T.StructType) -> DataFrame:
+    """The rows of one part of some attempts.  The schema is known, so nothing is inferred from files."""
+    at = [f"{path}/attempt={r.attempt}/versions={part}" for r in attempts if r.rows]
+    return spark.read.schema(schema).parquet(*at) if at else spark.createDataFrame([], schema)
+
+
+def _events(spark: SparkSession, path: str, known: _Known) -> tuple[DataFrame, DataFrame]:
+    """(base rows, tail rows): business columns, record_hash, valid_from, ``__kind`` and ``__batch``."""
+    schema = T.StructType([*known.fields(), T.StructField("__kind", T.StringType()), T.StructField("__batch", T.StringType())])
+    return _files(spark, path, [known.base], "open", schema), _files(spark, path, known.tail, "tail", schema)
+
+
+def _derive(base: DataFrame, tail: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Versions with ``valid_to``, and in ``__kind`` whether the newest one's key is missing from its batch."""
+    names = [n for n in base.columns if n not in ("__kind", "__batch")]
+    if tail is None:
+        return base.select(*names, F.lit(None).cast("timestamp").alias("valid_to"), "__kind")
+    rows = F.struct(*[n for n in names if n not in keys])
+    # One event of a key and batch, so a key's list is as long as the tail has batches at most.
+    per_key = tail.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__batch", "__kind", "valid_from", rows.alias("row")))).alias("e"))
+    per_key = per_key.withColumn("steps", F.filter("e", lambda x: x["__kind"].isin(NEW, END)))
+    state = F.element_at("e", -1)["__kind"]
+    versions = F.transform("steps", lambda x, i: F.struct(x["__kind"].alias("kind"), x["row"].alias("row"), F.get("steps", i + 1)["valid_from"].alias("valid_to")))
+    added = per_key.select(*keys, state.alias("__kind"), F.inline(F.filter(versions, lambda v: v["kind"] == NEW)))
+    added = added.select(*[F.col(n) if n in keys else F.col("row")[n].alias(n) for n in names], "valid_to", "__kind")
+    ends = per_key.select(*[F.col(k).alias(f"__e{i}") for i, k in enumerate(keys)], F.get("steps", F.lit(0))["valid_from"].alias("valid_to"), state.alias("__state"))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__e{i}") for i, k in enumerate(keys)])
+    old = base.join(ends, on, "left").select(*names, "valid_to", F.coalesce("__state", "__kind").alias("__kind"))
+    return old.unionByName(added)
+
+
+def _state(base: DataFrame, tail: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Key, ``record_hash`` and last event of every key; narrow columns only."""
+    cols = [*keys, "record_hash", "__kind", "__batch"]
+    if tail is None:
+        return base.select(*cols[:-1])
+    last = F.max_by(F.struct("record_hash", "__kind"), "__batch").alias("s")
+    return base.select(*cols).unionByName(tail.select(*cols)).groupBy(*keys).agg(last).select(*keys, "s.record_hash", "s.__kind")
+
+
+def _read(spark: SparkSession, path: str, known: _Known, *, closed: bool = True) -> DataFrame:
+    base, tail = _events(spark, path, known)
+    open_ = _derive(base, tail if known.tail else None, known.keys).drop("__kind")
+    fields = [f for f in known.fields() if f.name in open_.columns]
+    rows = open_
+    if closed and known.settled:
+        schema = T.StructType([*fields, T.StructField("valid_to", T.TimestampType())])
+        rows = open_.unionByName(_files(spark, path, known.settled, "closed", schema).filter(F.col("valid_to").isNotNull()))
+    out = rows.withColumns({"transformed_at": F.coalesce("valid_to", "valid_from"), "is_current": F.col("valid_to").isNull()})
+    return out.select(*[f.name for f in fields if f.name != "valid_from"], "valid_from", *_DERIVED)
 
 
 def read_history(spark: SparkSession, path: str, *, before: str | None = None) -> DataFrame | None:
     """All versions, or None when no batch is committed (``before`` hides later batches).
 
-    ``is_current`` is computed from the folder name, so a filter on it prunes folders.  Columns that older batches did
-    not have are NULL there.
+    Columns that older batches did not have are NULL there.
     """
-    commits = _commits(spark, path, before)
-    return _read(spark, path, commits).drop("bucket") if commits else None
+    known = _known(_log(spark, path), before)
+    return _read(spark, path, known) if known else None
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame | None:
+    """Versions in force after the newest batch; closed parts aren't read."""
+    known = _known(_log(spark, path))
+    return _read(spark, path, known, closed=False).filter("is_current") if known else None
 
 
-def load_batch(spark: SparkSession, path: str, config: changes.TableConfig, source: DataFrame, batch_id: str, ts, *, buckets: int = BUCKETS) -> DataFrame:
+def read_as_of(spark: SparkSession, path: str, ts) -> DataFrame | None:
+    """Versions in force at ``ts``, as they were known then (``valid_to`` is NULL).
+
+    Reads the base of that time and the tail up to it: neither closed parts nor attempts of later batches are opened.
+    """
+    at = spark.range(1).select(F.lit(ts).cast("timestamp").alias("at")).first().at
+    known = _known(_log(spark, path), at=at)
+    return _read(spark, path, known, closed=False).filter("is_current") if known else None
+
+
+def _commit(spark: SparkSession, path: str, batch_id: str, seq: int, kind: str, attempt: str, columns: str, keys: Sequence[str], ts, rows: int, origin: str | None) -> None:
+    row = spark.range(1).select(
+        F.lit(batch_id).alias("batch_id"), F.lit(seq).cast("long").alias("seq"), F.lit(kind).alias("kind"), F.lit(attempt).alias("attempt"), F.lit(columns).alias("columns"),
+        F.array(*map(F.lit, keys)).alias("keys"), F.lit(ts).cast("timestamp").alias("at"), F.lit(rows).cast("long").alias("rows"), F.lit(origin).cast("string").alias("origin"))
+    row.coalesce(1).write.mode("append").parquet(f"{path}/commits")
+
+
+def _write(spark: SparkSession, path: str, batch_id: str, part: str, rows: DataFrame) -> tuple[str, int]:
+    """Write an attempt; a small one that came in several files is written again as one.  (attempt, rows)."""
+    def attempt() -> tuple[str, str]:
+        name = f"{batch_id}-{uuid4().hex[:12]}"
+        return name, f"{path}/attempt={name}/versions={part}"
+
+    name, at = attempt()
+    rows.write.parquet(at)
+    written = spark.read.schema(rows.schema).parquet(at)
+    n = written.count()
+    if 0 < n <= FEW_ROWS and len(written.inputFiles()) > 1:
+        name, at = attempt()
+        written.coalesce(1).write.parquet(at)
+    return name, n
+
+
+def settle(spark: SparkSession, path: str, *, before: str | None = None) -> bool:
+    """Make the versions that are open now the new base and put ended ones, with their end, into a closed part."""
+    log = _log(spark, path)
+    known = _known(log, before)
+    if known is None or not known.tail:
+        return False
+    newest = known.batches[-1]
+    base, tail = _events(spark, path, known)
+    rows = _derive(base, tail, known.keys)
+    name = f"{newest.batch_id}-settled-{uuid4().hex[:12]}"
+    rows = rows.withColumns({"__batch": F.lit(newest.batch_id), "versions": F.when(F.col("valid_to").isNull(), "open").otherwise("closed")})
+    seen = Observation()
+    rows.observe(seen, F.count_if(F.col("versions") == "open").alias("n")).write.partitionBy("versions").parquet(f"{path}/attempt={name}")
+    # Both parts must exist for their readers.
+    for part in ("open", "closed"):
+        rows.limit(0).drop("versions").write.mode("append").parquet(f"{path}/attempt={name}/versions={part}")
+    columns = T.StructType(known.fields()).json()
+    _commit(spark, path, newest.batch_id, log[-1].seq + 1, "settled", name, columns, known.keys, newest.at, max(seen.get["n"], 1), None)
+    return True
+
+
+def load_batch(spark: SparkSession, path: str, config: changes.TableConfig, source: DataFrame, batch_id: str, ts, *, origin: str | None = None) -> DataFrame:
     """Apply one batch to a history table and return its statistics row.
 
     ``batch_id`` must sort by time.  A batch older than the newest committed one is refused; repeating a batch is safe.
-    What is written grows with the buckets that the batch changes; keys and hashes of the current set are compared first.
-    ``buckets`` counts for the first load only, later ones keep its number.
+    The batch is computed once and joined once with the keys and hashes of the table; what is written grows with the
+    rows that changed.  A key that a batch lacks counts as deleted once, until it is back.
     """
-    known = _commits(spark, path)
-    if known and batch_id < known[-1].batch_id:
-        raise ValueError(f"batch {batch_id} is older than committed batch {known[-1].batch_id}")
-    n = known[0].n_buckets if known else buckets
-    bucket = F.pmod(F.xxhash64(*config.keys), F.lit(n)).cast("int")
-    batch = stored(changes.prepare(config.transform(source), config.keys, config.hash_cols, ts, config.latest_by).withColumn("bucket", bucket))
-    earlier = [r for r in known if r.batch_id < batch_id]
-    current = _read(spark, path, earlier).filter("is_current") if earlier else batch.limit(0)
-    current = current.select(*[F.col(f.name) if f.name in current.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema.fields])
-    # At most four rows per bucket.
-    found = changes.classify(batch, current, config.keys).groupBy(bucket.alias("bucket"), "action").count().collect()
-    writes = ("INSERT", "UPDATE", "DELETE") if config.deletes == "close" else ("INSERT", "UPDATE")
-    touched = sorted({r.bucket for r in found if r.action in writes})
-    seq = max((r.seq for r in spark.read.schema(_COMMITS).parquet(f"{path}/commits").select("seq").collect()), default=0) + 1 if known else 1
-    attempt = f"{batch_id}-{uuid4().hex[:12]}"
-    if touched:
-        here = F.col("bucket").isin(touched)
-        rows = changes.apply_batch(batch.filter(here), current.filter(here), config.keys, ts, deletes=config.deletes).drop("action")
-        rows = rows.withColumn("versions", F.when(F.col("is_current"), "open").otherwise("closed")).drop("is_current")
-        rows.write.partitionBy("versions", "bucket").parquet(f"{path}/attempt={attempt}")
-    columns = T.StructType([f for f in batch.schema.fields if f.name not in ("bucket", "is_current")]).json()
-    commit = spark.createDataFrame([(batch_id, seq, attempt, columns, n, touched)], _COMMITS)
-    commit.coalesce(1).write.mode("append").parquet(f"{path}/commits")
-    total = {a: sum(r["count"] for r in found if r.action == a) for a in ("INSERT", "UPDATE", "UNCHANGED", "DELETE")}
-    return spark.createDataFrame([(config.target, *total.values())], "table_name string, new_records long, updated_records long, unchanged_records long, deleted_records long")
+    if config.deletes not in ("keep", "close"):
+        raise ValueError("deletes must be 'keep' or 'close'")
+    log = _log(spark, path)
+    newest = max((r.batch_id for r in log), default=batch_id)
+    if batch_id < newest:
+        raise ValueError(f"batch {batch_id} is older than committed batch {newest}")
+    known = _known(log, before=batch_id)
+    if known and known.tail and sum(b.rows for b in known.tail) > known.base.rows:
+        settle(spark, path, before=batch_id)
+        log = _log(spark, path)
+        known = _known(log, before=batch_id)
+    keys = list(config.keys)
+    batch = changes.prepare(config.transform(source), keys, config.hash_cols, ts, config.latest_by).drop(*_DERIVED)
+    columns = T.StructType(batch.schema.fields).json()
+    stamp = {"valid_from": F.lit(ts).cast("timestamp"), "__batch": F.lit(batch_id)}
+    seen = Observation()
+    counted = {a: F.count_if(F.col("action") == a) for a in ("INSERT", "UPDATE", "UNCHANGED", "DELETE")}
+    if known is None:
+        rows = batch.withColumns({"action": F.lit("INSERT"), "__kind": F.lit(NEW)})
+    else:
+        base, tail = _events(spark, path, known)
+        state = _state(base, tail if known.tail else None, keys)
+        old = state.select(*[F.col(k).alias(f"__o{i}") for i, k in enumerate(keys)], F.struct("record_hash", "__kind").alias("old"))
+        new = batch.select(*[F.col(k).alias(f"__n{i}") for i, k in enumerate(keys)], F.struct("*").alias("new"))
+        on = reduce(lambda a, b: a & b, [F.col(f"__n{i}") == F.col(f"__o{i}") for i in range(len(keys))])
+        was, here = F.col("old.__kind"), F.col("new").isNotNull()
+        known_key = was.isNotNull() & (was != END)
+        same = F.col("new.record_hash").eqNullSafe(F.col("old.record_hash"))
+        vanished = ~here & known_key & (F.lit(config.deletes == "close") | (was != MISSING))
+        action = (F.when(here & ~known_key, "INSERT").when(here & ~same, "UPDATE").when(here, "UNCHANGED").when(vanished, "DELETE"))
+        kind = (F.when(F.col("action").isin("INSERT", "UPDATE"), NEW).when(F.col("action") == "DELETE", END if config.deletes == "close" else MISSING)
+                .when((F.col("action") == "UNCHANGED") & (was == MISSING), BACK))
+        rows = new.join(old, on, "full_outer").withColumn("action", action).withColumn("__kind", kind)
+        own = {k: F.coalesce(F.col("new")[k], F.col(f"__o{i}")) for i, k in enumerate(keys)} | {"record_hash": F.coalesce("new.record_hash", "old.record_hash")}
+        rows = rows.select(*[own.get(n, F.when(F.col("__kind") == NEW, F.col("new")[n])).alias(n) for n in batch.columns], "action", "__kind")
+    rows = rows.withColumns(stamp).observe(seen, *[v.alias(a) for a, v in counted.items()])
+    attempt, n = _write(spark, path, batch_id, "tail" if known else "open", rows.filter(F.col("__kind").isNotNull()).drop("action"))
+    _commit(spark, path, batch_id, log[-1].seq + 1 if log else 1, "batch", attempt, columns, keys, ts, n, origin)
+    found = seen.get
+    return spark.createDataFrame([(config.target, *[found[a] for a in counted])],
+                                 "table_name string, new_records long, updated_records long, unchanged_records long, deleted_records long")
