@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.fixtures import LOADED, RELOADED, SCD_HASH, table
-from checks.registry import query
+from checks.registry import SQL, query
 from checks.sql import rdiv, rh, sk, sql
 from touchline.operators import changes, filters, sides
 from touchline.plans import silver
@@ -76,6 +76,20 @@ def c6(spark, sf):
     return _plain(tables.read_history(spark, path))
 
 
+@query("c4_ends_of_appended_versions", sql(f"SELECT {_HIST} FROM scd_hist"))
+def c4_stored(spark, sf):
+    """The history of two appended loads: ends of versions follow from the next ones."""
+    return _plain(tables.read_history(spark, _stored(spark, sf, 2)[0]))
+
+
+@query("c5_settled_history", sql(f"SELECT {_HIST} FROM scd_hist"))
+def c5_settled(spark, sf):
+    """The same after the tail was settled into a new base and a closed part."""
+    path, _ = _stored(spark, sf, 2)
+    tables.settle(spark, path)
+    return _plain(tables.read_history(spark, path))
+
+
 _STATS = sql("""
 SELECT 'orders_history' AS table_name, {source}count(*) FILTER (action = 'INSERT') AS new_records, count(*) FILTER (action = 'UPDATE') AS updated_records,
   count(*) FILTER (action = 'UNCHANGED') AS unchanged_records, count(*) FILTER (action = 'DELETE') AS deleted_records FROM scd_act""")
@@ -143,24 +157,47 @@ def c12_as_of(spark, sf):
     return filters.as_of(tables.read_history(spark, path), "2024-01-15").select("k", "status")
 
 
+@query("c12_current_of_table", sql("SELECT k, status FROM scd_hist WHERE is_current"))
+def c12_table(spark, sf):
+    return tables.read_current(spark, _stored(spark, sf, 2)[0]).select("k", "status")
+
+
+@query("c12_table_as_of", sql("SELECT k, status FROM scd1"))
+def c12_table_as_of(spark, sf):
+    """Only the attempts of loads up to then are opened."""
+    return tables.read_as_of(spark, _stored(spark, sf, 2)[0], "2024-01-15").select("k", "status")
+
+
 @query("c12_read_versions", sql("SELECT team_name, competition_name, valid_from, position FROM st_hist WHERE team_name LIKE 'T01%'"))
 def c12_versions(spark, sf):
     rows = filters.versions(fx.standings_history(spark, sf), F.startswith("team_name", F.lit("T01")))
     return rows.select("team_name", "competition_name", "valid_from", "position")
 
 
-@query("c13_run_configs", sql("""
-SELECT 'stg_matches' AS table_name, count(*) AS rows, count(DISTINCT match_id) AS keys FROM s_matches UNION ALL SELECT 'stg_teams', count(*), count(DISTINCT team_id) FROM s_teams
-UNION ALL SELECT 'stg_fbref_matches', count(*), count(DISTINCT match_key) FROM s_xg
-UNION ALL SELECT 'stg_players', count(*), count(DISTINCT player_season_key) FROM s_players"""))
+_CONFIGURED = {"stg_matches": ("s_matches", "match_id", "match_status || ':' || home_goals || '-' || away_goals"), "stg_teams": ("s_teams", "team_id", "team_name || ':' || stadium_name"),
+               "stg_fbref_matches": ("s_xg", "match_key", "home_team_name || ':' || competition_code"),
+               "stg_fbref_standings": ("(SELECT * FROM s_st QUALIFY row_number() OVER (PARTITION BY standing_key ORDER BY ingested_at DESC) = 1)", "standing_key", "position || ':' || points"),
+               "stg_players": ("s_players", "player_season_key", "team_name || ':' || minutes")}
+
+
+def _run_configs(spark, sf):
+    """The first load of every configured table."""
+    sources = {"stg_matches": fx.bronze_matches, "stg_teams": fx.bronze_teams, "stg_fbref_matches": fx.bronze_xg_matches,
+               "stg_fbref_standings": fx.bronze_xg_standings, "stg_players": fx.bronze_players}
+    return {name: (config, changes.run_config(config, sources[name](spark, sf), None, LOADED)) for name, config in silver.CONFIGS.items()}
+
+
+@query("c13_run_configs", sql(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows, count(DISTINCT {k}) AS keys FROM {t}" for n, (t, k, _) in _CONFIGURED.items())))
 def c13(spark, sf):
-    sources = {"stg_matches": fx.bronze_matches, "stg_teams": fx.bronze_teams, "stg_fbref_matches": fx.bronze_xg_matches, "stg_players": fx.bronze_players}
-    out = []
-    for name, source in sources.items():
-        config = silver.CONFIGS[name]
-        history = changes.run_config(config, source(spark, sf), None, LOADED)
-        out.append(history.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(config.keys[0]).alias("keys")).select(F.lit(name).alias("table_name"), "*"))
-    return sides.stack_all(out)
+    return sides.stack_all([h.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(config.keys[0]).alias("keys")).select(F.lit(name).alias("table_name"), "*")
+                            for name, (config, h) in _run_configs(spark, sf).items()])
+
+
+@query("c13_config_rows", sql(" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, CAST({k} AS VARCHAR) AS key, {v} AS value, TIMESTAMP '{LOADED}' AS valid_from, TRUE AS is_current FROM {t}" for n, (t, k, v) in _CONFIGURED.items())))
+def c13_rows(spark, sf):
+    return sides.stack_all([h.select(F.lit(n).alias("table_name"), c(_CONFIGURED[n][1]).cast("string").alias("key"), F.expr(_CONFIGURED[n][2]).alias("value"), "valid_from", "is_current")
+                            for n, (_, h) in _run_configs(spark, sf).items()])
 
 
 @query("c14_check_scd2", sql("""
@@ -252,3 +289,50 @@ def m6(spark, sf):
     return out.select("player_name", "team_name", "nationality", "position", "age", "birth_year", "matches_played", "starts", "minutes", "goals", "assists", "penalty_goals",
                       "yellow_cards", "xg", "npxg", "shots", "shots_on_target", "shot_accuracy", "passes_completed", "passes_attempted", "key_passes", "tackles", "tackles_won",
                       "interceptions", "sca", "sca_per90", "gca", "stat_type", "competition_name", "season")
+
+
+_LEVEL = {"Unnamed": "", "x": ""}
+
+
+def _stat_pages(rows, name):
+    """Pages of at most a hundred players each.  Every page's header is one of three: two levels with column spans, one level
+    with joined names and the columns in reverse, two levels with row spans and a column that nobody asked for."""
+    heads = [(h.partition("_")[0] if "_" in h else "", h.partition("_")[2] or h, src) for h, src in _PAGE[name].items()]
+    heads = [(_LEVEL.get(up, up), low, src) for up, low, src in heads]
+
+    def cell(src):
+        return F.concat(F.lit("<td>"), F.coalesce(c(src).cast("string"), F.lit("")), F.lit("</td>"))
+
+    def th(text, more=""):
+        return f"<th{more}>{text}</th>"
+
+    groups = []
+    for up, _, _ in heads:
+        if groups and groups[-1][0] == up:
+            groups[-1][1] += 1
+        else:
+            groups.append([up, 1])
+    spans = "".join(th(up, f' colspan="{n}"') for up, n in groups)
+    two = f"<thead><tr>{spans}</tr><tr>{''.join(th(low) for _, low, _ in heads)}</tr></thead>"
+    one = f"<tr>{''.join(th(f'{up}_{low}' if up else low) for up, low, _ in heads[::-1])}</tr>"
+    tall = "".join(th(low, ' rowspan="2"') if not up else th(up) for up, low, _ in heads) + th("Rank", " rowspan=2")
+    low_row = "".join(th(low) for up, low, _ in heads if up)
+    three = f"<thead><tr>{tall}</tr><tr>{low_row}</tr></thead>"
+    part = F.floor(F.substring("player_name", 10, 9).cast("long") / 100)
+    kind = part % 3
+    wrap = [F.concat(F.lit("<tr>"), *[cell(src) for _, _, src in order], F.lit(end)) for order, end in ((heads, "</tr>"), (heads[::-1], "</tr>"), (heads, "<td>7</td></tr>"))]
+    row = F.when(kind == 0, wrap[0]).when(kind == 1, wrap[1]).otherwise(wrap[2])
+    body = F.array_join(F.array_sort(F.collect_list(row)), "")
+    pages_of = rows.withColumn("part", part.cast("string")).groupBy("competition_name", "season", "part").agg(body.alias("body"))
+    head = F.when(c("part") % 3 == 0, two).when(c("part") % 3 == 1, one).otherwise(three)
+    decoy = "<table><tr><th>Menu</th></tr><tr><td>Player</td></tr></table>"
+    return pages_of.select("competition_name", "season", "part", F.concat(F.lit(f"<html>{decoy}<table>"), head, c("body"), F.lit("</table></html>")).alias("html"))
+
+
+@query("m6_bronze_player_pages", SQL["m6_bronze_player_stats"])
+def m6_pages(spark, sf):
+    """The same tables as stored pages, whose headers differ from page to page."""
+    p = fx.bronze_players(spark, sf)
+    found = {n: _stat_pages(p.filter("minutes % 2 = 0") if n == "shooting" else p, n) for n in _PAGE}
+    out = pages.player_stats_of_pages(found, batch_ts=LOADED, parts=["part"])
+    return out.select(*m6(spark, sf).columns)

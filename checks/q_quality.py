@@ -12,7 +12,7 @@ from checks.fixtures import table
 from checks.registry import query
 from checks.sql import rdiv, sql
 from touchline.operators import quality as q
-from touchline.plans import gold, lookups, silver, suites
+from touchline.plans import gold, lookups, medallion, silver, suites
 from touchline.session import shared_dir
 from touchline.sources import tables
 
@@ -207,6 +207,87 @@ def q15_form(spark, sf):
     return suites.run_suites({"agg_team_form": form}, NOW)
 
 
+def _samples(text, source):
+    """Check SQL: of every bucket (first digits of the MD5) the text of least MD5, and of these the five least."""
+    return f"""(SELECT list_transform(list_sort(list(m))[1:5], lambda x: substr(x, 33)) FROM (SELECT min(m) AS m FROM (SELECT md5(t) || t AS m FROM (SELECT {text} AS t {source})) GROUP BY left(m, 2)))"""
+
+
+_ROW, _KEY = """'{"o_orderkey":' || o_orderkey || '}'""", """'{"k0":' || k || '}'"""
+
+
+@query("q15_suite_samples", " UNION ALL ".join(
+    f"SELECT '{name}' AS check_name, CAST(({n}) AS BIGINT) AS records_checked, CAST((SELECT count(*) {failed}) AS BIGINT) AS records_failed, coalesce({_samples(text, sampled)}, []) AS samples"
+    for name, n, failed, text, sampled in (
+        ("NOT NULL: note", _N, "FROM orders WHERE o_orderkey % 50 = 0", _ROW, "FROM orders WHERE o_orderkey % 50 = 0"),
+        ("RANGE: o_totalprice in [1000, 400000]", _N, "FROM orders WHERE o_totalprice NOT BETWEEN 1000 AND 400000", _ROW, "FROM orders WHERE o_totalprice NOT BETWEEN 1000 AND 400000"),
+        ("PATTERN: o_orderpriority", _N, "FROM orders WHERE NOT regexp_full_match(o_orderpriority, '[1-3]-[A-Z]+')", _ROW, "FROM orders WHERE NOT regexp_full_match(o_orderpriority, '[1-3]-[A-Z]+')"),
+        ("UNIQUE: o_orderkey", _N, "FROM orders WHERE FALSE", _KEY, "FROM (SELECT 1 AS k WHERE FALSE)"),
+        ("UNIQUE: half", f"{_N} WHERE o_orderstatus = 'F'", "FROM (SELECT o_orderkey // 2 AS k FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL HAVING count(*) > 1)", _KEY,
+         "FROM (SELECT o_orderkey // 2 AS k FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL HAVING count(*) > 1)"),
+        ("FK: o_custkey → rich.c_custkey", _N, "FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal <= 0)", _KEY,
+         "FROM (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal <= 0))"),
+        ("GROUP SIZE: o_orderpriority per o_custkey in [4, 5]", "SELECT count(DISTINCT o_custkey) FROM orders", "FROM (SELECT o_custkey FROM orders GROUP BY ALL HAVING count(DISTINCT o_orderpriority) < 4)", _KEY,
+         "FROM (SELECT o_custkey AS k FROM orders GROUP BY ALL HAVING count(DISTINCT o_orderpriority) < 4)"),
+    )))
+def q15_samples(spark, sf):
+    """A fault for nearly every kind of rule; one scan counts them all and keeps samples."""
+    rules = [q.not_null("note"), q.in_range("o_totalprice", 1000, 400000), q.matches("o_orderpriority", "^[1-3]-[A-Z]+$"), q.unique("o_orderkey"), q.unique("half", where="is_old"),
+             q.foreign_key("o_custkey", "rich", "c_custkey"), q.group_size(["o_custkey"], "o_orderpriority", 4, 5)]
+    out = q.run_suite(orders(spark, sf), "Test", "orders", rules, NOW, {"rich": table(spark, sf, "customer").filter("c_acctbal > 0")}, sample_by=["o_orderkey"])
+    return out.select("check_name", "records_checked", "records_failed", "samples")
+
+
+@query("q11_rule_samples", f"""
+SELECT 'notes_present' AS test_name, '❌ FAIL' AS status, (SELECT count(*) FROM orders WHERE o_orderkey % 50 = 0) || ' failures' AS details, {_samples(_ROW, "FROM orders WHERE o_orderkey % 50 = 0")} AS samples
+UNION ALL SELECT 'no_keys_missing', '✅ PASS', 'OK', []""")
+def q11_samples(spark, sf):
+    orders(spark, sf).createOrReplaceTempView("tl_orders")
+    rules = {"notes_present": "SELECT o_orderkey FROM tl_orders WHERE note IS NULL", "no_keys_missing": "SELECT o_orderkey FROM tl_orders WHERE o_orderkey IS NULL"}
+    return suites.run_sql_rules(spark, rules, NOW, "r1", samples=True).select("test_name", "status", "details", "samples")
+
+
+def payload_bronze(spark, sf):
+    """The payload line's tables with faults: a team that is missing, far too many points, far too many goals."""
+    raw = fx.fx_matches(spark, sf).withColumns({"match_date": F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+                                                "home_score": F.when(c("match_id") % 50 == 0, c("home_score") + 90).otherwise(c("home_score"))})
+    teams = fx.bronze_teams(spark, sf).filter((c("ingest_timestamp") == fx.LOADED) & (c("team_id") != 3)).drop("competition_name")
+    teams = teams.withColumns({"competition_code": F.lit("PL"), "competition_name": F.lit("Premier League")})
+    latest = fx.dedup_latest(fx.bronze_standings(spark, sf), ["team_id", "competition_code"], ["ingest_timestamp"])
+    latest = latest.withColumn("points", F.when(c("team_id") == 5, 999).otherwise(c("points")))
+    return {"stg_matches": raw, "stg_teams": teams, "stg_standings": latest, "stg_fbref_matches": fx.bronze_xg_matches(spark, sf)}
+
+
+def _payload_line(spark, sf):
+    root = f"{shared_dir(spark)}/payload-{uuid4().hex}"
+    return medallion.run_payloads(spark, root, payload_bronze(spark, sf), "b20240101", "2024-01-01 00:00:00", now=DAY_AFTER)
+
+
+_LATEST = "(SELECT * FROM st_base QUALIFY row_number() OVER (PARTITION BY team_id, competition_code ORDER BY taken DESC) = 1)"
+# Failures of every SQL rule of the line; a rule that isn't named finds none.
+_LINE_RULES = {
+    "stg_matches.match_id_not_null": None, "stg_matches.valid_competition_code": "SELECT count(DISTINCT competition_code) FROM fx WHERE competition_code = 'XX'",
+    "stg_matches.unique_current_match_id": None, "stg_matches.valid_goals_range": "SELECT count(*) FROM fx WHERE status = 'FINISHED' AND match_id % 50 = 0",
+    "stg_teams.team_id_not_null": None, "stg_teams.team_name_not_null": None,
+    "stg_standings.valid_position_range": f"SELECT count(*) FROM {_LATEST} WHERE position NOT BETWEEN 1 AND 20",
+    "stg_standings.valid_points_range": f"SELECT count(*) FROM {_LATEST} WHERE team_id = 5 OR pts > 150",
+    "fct_match_results.unique_match_id": None, "fct_match_results.valid_home_points": None, "fct_match_results.valid_away_points": None, "fct_match_results.points_add_up": None,
+    "dim_teams.unique_team_id": None, "dim_teams.valid_position": f"SELECT count(*) FROM {_LATEST} WHERE competition_code = 'PL' AND team_id <> 3 AND position NOT BETWEEN 1 AND 20",
+    "agg_team_form.valid_form_points": None, "agg_team_form.valid_form_string": None, "agg_head_to_head.positive_matches": None,
+    "ref_integrity.matches_have_valid_home_team": "SELECT count(*) FROM fx WHERE home_team_id = 3", "ref_integrity.matches_have_valid_away_team": "SELECT count(*) FROM fx WHERE away_team_id = 3",
+    "ref_integrity.all_competitions_have_standings": f"SELECT count(*) FROM fx WHERE competition_code NOT IN (SELECT competition_code FROM {_LATEST})",
+    "freshness.data_not_stale": None,
+}
+
+
+@query("payload_rules", sql(" UNION ALL ".join(
+    f"SELECT '{name}' AS test_name, CASE WHEN n = 0 THEN '✅ PASS' ELSE '❌ FAIL' END AS status, CASE WHEN n = 0 THEN 'OK' ELSE n || ' failures' END AS details, "
+    f"CAST(least(n, 1) AS INTEGER) AS has_samples FROM (SELECT ({found or 'SELECT 0'}) AS n)" for name, found in _LINE_RULES.items())))
+def payload_rules(spark, sf):
+    """The payload line over the whole tables: history, marts, and all 21 rules over what it wrote."""
+    rules = _payload_line(spark, sf)["rules"]
+    return rules.select("test_name", "status", "details", (F.size("samples") > 0).cast("int").alias("has_samples"))
+
+
 # --- R ------------------------------------------------------------------------------
 @query("r1_get_matches", sql("""
 SELECT match_id, match_date, competition_name, home_team_name, away_team_name, home_goals, away_goals FROM g_results WHERE competition_code = 'DED'

@@ -76,6 +76,49 @@ def j4_hot(spark, sf):
     return p.select(*[c(f"{s}.{n}").alias(f"{s}_{n}") for s in "lr" for n in ("id", "bucket", "name")])
 
 
+_CLUB = """SELECT {key} AS id, CASE WHEN {key} % 9 = 0 THEN NULL ELSE CAST({nation} % 5 AS {text}) END AS bucket,
+  CASE {key} % 3 WHEN 0 THEN {a} WHEN 1 THEN {b} ELSE {c} END AS name FROM {table}"""
+_HOSTS = _CLUB.format(key="s_suppkey", nation="s_nationkey", text="VARCHAR(9)", a="'Ajax Amsterdam'", b="'Ajax Cape Town'", c="'Sparta'", table="supplier")
+_GUESTS = _CLUB.format(key="c_custkey", nation="c_nationkey", text="VARCHAR(9)", a="'AFC ajax amsterdam'", b="'ajax town'", c="'Ajax'", table="customer")
+_GRAMS = "list_distinct(list_transform(generate_series(1, greatest(length({n}) - 1, 1)), lambda i: substr(lower({n}), CAST(i AS INTEGER), 2)))"
+
+
+def _rounds(n):
+    """Check SQL: n rounds of pairs that are best for both of their names."""
+    out = ["""f0 AS (SELECT DISTINCT l.bucket, l.name AS ln, r.name AS rn, -((2000 * len(list_intersect({x}, {y}))) // (len({x}) + len({y}))) AS s
+  FROM hosts l JOIN guests r ON l.bucket = r.bucket AND (contains(lower(l.name), lower(left(r.name, 5))) OR contains(lower(r.name), lower(left(l.name, 5)))))""".format(
+        x=_GRAMS.format(n="l.name"), y=_GRAMS.format(n="r.name"))]
+    for k in range(n):
+        out.append(f"""b{k} AS (SELECT bucket, ln, rn FROM (SELECT *, row_number() OVER (PARTITION BY bucket, ln ORDER BY s, ln, rn) AS i, row_number() OVER (PARTITION BY bucket, rn ORDER BY s, ln, rn) AS j FROM f{k})
+  WHERE i = 1 AND j = 1)""")
+        out.append(f"f{k + 1} AS (SELECT * FROM f{k} WHERE (bucket, ln) NOT IN (SELECT (bucket, ln) FROM b{k}) AND (bucket, rn) NOT IN (SELECT (bucket, rn) FROM b{k}))")
+    return ", ".join(out) + ", pairs AS (" + " UNION ALL ".join(f"SELECT * FROM b{k}" for k in range(n)) + ")"
+
+
+def _clubs(spark, sf):
+    left, right = (table(spark, sf, n) for n in ("supplier", "customer"))
+    return (spark.sql(_HOSTS.replace("VARCHAR(9)", "STRING").replace("FROM supplier", "FROM {t}"), t=left),
+            spark.sql(_GUESTS.replace("VARCHAR(9)", "STRING").replace("FROM customer", "FROM {t}"), t=right))
+
+
+@query("j4_one_partner", f"""
+WITH hosts AS ({_HOSTS}), guests AS ({_GUESTS}), {_rounds(4)},
+l AS (SELECT *, row_number() OVER (PARTITION BY bucket, name ORDER BY id) AS place FROM hosts), r AS (SELECT *, row_number() OVER (PARTITION BY bucket, name ORDER BY id) AS place FROM guests)
+SELECT l.id AS l_id, l.name AS l_name, r.id AS r_id, r.name AS r_name FROM l LEFT JOIN pairs p ON p.bucket = l.bucket AND p.ln = l.name
+FULL JOIN r ON r.bucket = p.bucket AND r.name = p.rn AND r.place = l.place""")
+def j4_one(spark, sf):
+    """Several names fit several others, and every name has many rows (games of one team on one day)."""
+    p = joins.best_match(*_clubs(spark, sf), ["bucket"], "name", (["id"], ["id"]))
+    return p.select(*[c(f"{s}.{n}").alias(f"{s}_{n}") for s in "lr" for n in ("id", "name")])
+
+
+@query("j4_ambiguous_pairs", f"""
+SELECT l.id, count(*) AS partners FROM ({_HOSTS}) l JOIN ({_GUESTS}) r ON l.bucket = r.bucket
+  AND (contains(lower(l.name), lower(left(r.name, 5))) OR contains(lower(r.name), lower(left(l.name, 5)))) GROUP BY l.id HAVING count(*) > 1""")
+def j4_ambiguous(spark, sf):
+    return joins.ambiguous_pairs(joins.prefix_match(*_clubs(spark, sf), ["bucket"], "name"), ("id", "id"))
+
+
 @query("j5_semi_join", sql("SELECT k, status, amount FROM scd2 WHERE k IN (SELECT k FROM scd_act WHERE action = 'UPDATE')"))
 def j5(spark, sf):
     from touchline.operators.changes import classify

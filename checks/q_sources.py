@@ -12,7 +12,7 @@ from checks.registry import query
 from checks.sql import CODE, sql, units
 from touchline.functions.text import tolerant_double, tolerant_int
 from touchline.session import shared_dir
-from touchline.sources import pages, payloads, schemas, tables
+from touchline.sources import pages, payloads, rejects, schemas, tables
 
 c = F.col
 _SCORES = "home_score_fulltime, away_score_fulltime, home_score_halftime, away_score_halftime, winner"
@@ -184,6 +184,21 @@ def s17(spark, sf):
     return df.select("o_orderkey", tolerant_int("t").alias("as_int"), tolerant_double("t").alias("as_double"))
 
 
+@query("s17_rejected_rows", """
+SELECT reason, count(*) AS rows, min(o_orderkey) AS first_key FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 2 THEN 'price: missing' WHEN 3 THEN 'price: not a number' END AS a,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'day: not a date' END AS b FROM orders), LATERAL (SELECT unnest(CASE WHEN a IS NULL AND b IS NULL THEN ['kept'] ELSE [a, b] END) AS reason) WHERE reason IS NOT NULL GROUP BY reason""")
+def s17_rejected(spark, sf):
+    """Rows whose texts can't be read go to a part of their own, with every reason."""
+    k = c("o_orderkey")
+    price = F.when(k % 4 < 2, c("o_totalprice").cast("string")).when(k % 4 == 2, " nan ").otherwise(c("o_orderpriority"))
+    rows = table(spark, sf, "orders").select("o_orderkey", price.alias("price"), F.when(k % 5 == 0, "some day").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"))
+    routed = rejects.route(rows, {"price": "double", "day": "date"}, f"{shared_dir(spark)}/routed-{uuid4().hex}")
+    counted = spark.createDataFrame(list(routed.counts.items()), "reason string, rows long")
+    first = routed.rejected.select(F.explode("reasons").alias("reason"), F.get_json_object("row", "$.o_orderkey").cast("long").alias("k"))
+    first = first.unionByName(routed.kept.select(F.lit("kept").alias("reason"), c("o_orderkey").alias("k")))
+    return counted.join(first.groupBy("reason").agg(F.min("k").alias("first_key")), "reason")
+
+
 # --- page tables to bronze -----------------------------------------------------------
 def _html(page: list[str], rows, header: str, cells: list, order: str):
     """One page per ``page`` columns (joined to its url): a decoy table with a nested one, then the table itself."""

@@ -73,12 +73,111 @@ def test_stored_history(spark, tmp_path):
         tables.load_batch(spark, path, CONFIG, one, "b1", T[0])
 
 
-def test_reading_current_rows_prunes_closed_folders(spark, tmp_path):
+def files_of(df):
+    return {f.split("/attempt=")[1] for f in df.inputFiles() if "/attempt=" in f}
+
+
+def test_reading_current_rows_opens_no_closed_part(spark, tmp_path):
     path = str(tmp_path / "t")
-    tables.load_batch(spark, path, CONFIG, rows(spark, ("a", "1")), "b1", T[0])
+    tables.load_batch(spark, path, CONFIG, rows(spark, ("a", "1"), ("b", "1")), "b1", T[0])
     tables.load_batch(spark, path, CONFIG, rows(spark, ("a", "2")), "b2", T[1])
-    p = tables.read_history(spark, path).filter("is_current")._jdf.queryExecution().executedPlan().toString()
-    assert "versions" in p[p.index("PartitionFilters"):p.index("PushedFilters")]
+    assert tables.settle(spark, path) and not tables.settle(spark, path)
+    now, everything = tables.read_current(spark, path), tables.read_history(spark, path)
+    assert any("closed" in f for f in files_of(everything)) and not any("closed" in f for f in files_of(now))
+    assert versions(everything) == [("a", "1", "2024-01", "2024-02", False), ("a", "2", "2024-02", None, True), ("b", "1", "2024-01", None, True)]
+    assert versions(now) == [("a", "2", "2024-02", None, True), ("b", "1", "2024-01", None, True)]
+
+
+def test_reading_as_of_opens_no_later_attempt(spark, tmp_path):
+    path = str(tmp_path / "t")
+    values = [("a", "1"), ("a", "2"), ("a", "3"), ("a", "4")]
+    for k, row in enumerate(values):
+        tables.load_batch(spark, path, CONFIG, rows(spark, row, *[(f"k{i}", "1") for i in range(20)]), f"b{k}", T[k])
+    tables.settle(spark, path)
+    for k, row in enumerate(values):
+        then = tables.read_as_of(spark, path, T[k][:8] + "15 00:00:00")
+        assert [tuple(r) for r in then.filter("k = 'a'").select("k", "v").collect()] == [row] and then.count() == 21
+        assert {f.split("-")[0] for f in files_of(then)} <= {f"b{j}" for j in range(k + 1)} and not any("closed" in f for f in files_of(then))
+    assert tables.read_as_of(spark, path, "2023-01-01") is None
+
+
+@pytest.mark.parametrize("deletes", ["keep", "close"])
+def test_appended_history_equals_whole_history(spark, tmp_path, deletes):
+    """Random batches, settled at random, against the history computed whole after every batch."""
+    import random
+
+    r = random.Random(deletes)
+    config = changes.TableConfig("t", lambda d: d, ("k",), ("v",), latest_by=("at",), deletes=deletes)
+    path, whole = str(tmp_path / "h"), None
+    for n, ts in enumerate(T):
+        b = rows(spark, *[(f"k{i}", str(r.randint(0, 2))) for i in range(12) if r.random() < 0.7])
+        whole = spark.createDataFrame(changes.apply_scd2(whole, changes.prepare(b, ["k"], ["v"], ts, ["at"]), ["k"], ts, deletes=deletes).collect()) if whole is not None \
+            else changes.prepare(b, ["k"], ["v"], ts, ["at"])
+        tables.load_batch(spark, path, config, b, f"b{n}", ts)
+        if r.random() < 0.4:
+            tables.settle(spark, path)
+        got = tables.read_history(spark, path)
+        assert versions(got) == versions(whole)
+        assert versions(tables.read_current(spark, path)) == [v for v in versions(whole) if v[4]]
+        assert got.filter("transformed_at <> coalesce(valid_to, valid_from)").count() == 0
+
+
+def test_a_vanished_key_counts_once_until_it_is_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    both, one = [("a", "1"), ("b", "1")], [("b", "1")]
+    stats = [tables.load_batch(spark, path, CONFIG, rows(spark, *batch), f"b{k}", ts).first() for k, (batch, ts) in enumerate(zip([both, one, one, both, one], T))]
+    assert [(s.new_records, s.updated_records, s.unchanged_records, s.deleted_records) for s in stats] == [(2, 0, 0, 0), (0, 0, 1, 1), (0, 0, 1, 0), (0, 0, 2, 0), (0, 0, 1, 1)]
+    assert versions(tables.read_history(spark, path)) == [("a", "1", "2024-01", None, True), ("b", "1", "2024-01", None, True)]
+
+
+def test_a_repeated_batch_undoes_what_was_settled_from_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.load_batch(spark, path, CONFIG, rows(spark, ("a", "1"), ("b", "1")), "b1", T[0])
+    tables.load_batch(spark, path, CONFIG, rows(spark, ("a", "wrong"), ("b", "1")), "b2", T[1])
+    tables.settle(spark, path)
+    tables.load_batch(spark, path, CONFIG, rows(spark, ("a", "2"), ("b", "1")), "b2", T[1])
+    assert versions(tables.read_history(spark, path)) == [("a", "1", "2024-01", "2024-02", False), ("a", "2", "2024-02", None, True), ("b", "1", "2024-01", None, True)]
+
+
+def test_new_columns_are_null_in_older_batches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.load_batch(spark, path, CONFIG, rows(spark, ("a", "1"), ("b", "1")), "b1", T[0])
+    tables.load_batch(spark, path, CONFIG, rows(spark, ("a", "2"), ("b", "1")).withColumn("w", F.lit(7)), "b2", T[1])
+    got = sorted((r.k, r.v, r.w) for r in tables.read_history(spark, path).collect())
+    assert got == [("a", "1", None), ("a", "2", 7), ("b", "1", None)]
+
+
+def size_of(path, attempt):
+    import os
+
+    names = [d for d in os.listdir(path) if d.startswith(f"attempt={attempt}")]
+    assert names
+    files = [[os.path.join(d, f) for d, _, fs in os.walk(f"{path}/{n}") for f in fs if f.endswith(".parquet")] for n in names]
+    return min(len(f) for f in files), max(sum(map(os.path.getsize, f)) for f in files)
+
+
+def test_what_a_batch_writes_grows_with_its_changes(spark, tmp_path):
+    path, n = str(tmp_path / "t"), 200_000
+    base = spark.range(n).select(F.concat(F.lit("k"), "id").alias("k"), F.md5(F.col("id").cast("string")).alias("v"), F.lit(0).alias("at"))
+    scattered = base.withColumn("v", F.when(F.crc32(F.col("k").cast("binary")) % 200 == 0, "changed").otherwise(F.col("v")))
+    tables.load_batch(spark, path, CONFIG, base, "b1", T[0])
+    stats = tables.load_batch(spark, path, CONFIG, scattered, "b2", T[1]).first()
+    assert 800 < stats.updated_records < 1_200 and stats.unchanged_records == n - stats.updated_records
+    (_, whole), (files, part) = size_of(path, "b1"), size_of(path, "b2")
+    assert files == 1 and part < whole / 100
+    tables.load_batch(spark, path, CONFIG, scattered, "b3", T[2])
+    assert not tables.read_history(spark, path).filter(F.col("valid_from") == T[2]).count() and tables.batch_count(spark, path) == 3
+
+
+def test_a_long_tail_is_settled_by_the_next_load(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "t")
+    for k, ts in enumerate(T):
+        tables.load_batch(spark, path, CONFIG, rows(spark, ("a", str(k)), ("b", str(k))), f"b{k}", ts)
+    assert [d for d in os.listdir(path) if "settled" in d]
+    got = versions(tables.read_history(spark, path))
+    assert len(got) == 12 and sum(v[4] for v in got) == 2
 
 
 def test_type1_merge_overwrites_listed_columns_only(spark):
@@ -171,20 +270,6 @@ def test_loads_do_not_depend_on_the_overwrite_mode(spark, tmp_path):
     assert history.count() == 3 and history.filter("is_current").count() == 1
 
 
-def test_unchanged_buckets_are_not_written_again(spark, tmp_path):
-    import os
-
-    path = str(tmp_path / "h")
-    many = [(f"k{i}", "1") for i in range(200)]
-    tables.load_batch(spark, path, CONFIG, rows(spark, *many), "b1", T[0])
-    tables.load_batch(spark, path, CONFIG, rows(spark, *many[1:], ("k0", "2")), "b2", T[1])
-    second = next(d for d in os.listdir(path) if d.startswith("attempt=b2"))
-    assert len([d for d in os.listdir(f"{path}/{second}/versions=open") if d.startswith("bucket=")]) == 1
-    assert tables.read_history(spark, path).filter("is_current").count() == 200
-    tables.load_batch(spark, path, CONFIG, rows(spark, *many[1:], ("k0", "2")), "b3", T[2])
-    assert not any(d.startswith("attempt=b3") for d in os.listdir(path))
-
-
 def test_repeated_merge_keys_are_refused(spark):
     target = spark.createDataFrame([(1, "a")], "k int, v string")
     batch = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")

@@ -191,3 +191,102 @@ def test_sql_rules_report_errors_without_stopping(spark):
     s = quality.summary(rows).first()
     assert (s.total, s.passed, s.failed, s.errors, s.pass_rate) == (3, 1, 1, 1, 33.3)
     assert quality.failing_rows(spark, rules["bad"]).count() == 1
+
+
+def _brute_assignment(left, right):
+    """Best pair of names first (score, names), each name once; rows of a pair in the order of their ids."""
+    def grams(n):
+        low = n.lower()
+        return {low[i:i + 2] for i in range(max(len(low) - 1, 1))}
+
+    def hit(a, b):
+        return b[:5].lower() in a.lower() or a[:5].lower() in b.lower()
+
+    out = []
+    for d in {r[1] for r in left + right} - {None}:
+        ln, rn = ({r[2] for r in side if r[1] == d and r[2] is not None} for side in (left, right))
+        open_ = sorted((-(2000 * len(grams(a) & grams(b)) // (len(grams(a)) + len(grams(b)))), a, b) for a in ln for b in rn if hit(a, b))
+        used_l, used_r = set(), set()
+        for _, a, b in open_:
+            if a not in used_l and b not in used_r:
+                used_l.add(a)
+                used_r.add(b)
+                pair = [sorted(r[0] for r in side if r[1:] == (d, n)) for side, n in ((left, a), (right, b))]
+                out += list(zip(*pair))
+    done_l, done_r = {p[0] for p in out}, {p[1] for p in out}
+    return sorted(out + [(r[0], None) for r in left if r[0] not in done_l] + [(None, r[0]) for r in right if r[0] not in done_r], key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_best_match_equals_brute_force(spark, seed):
+    names = ["Ajax", "AJAX Amsterdam", "Ajax Cape Town", "PSV", "psv eindhoven", "Feyenoord", "", None, "FC", "The Ajax", "Real%", "Real_Madrid", "x"]
+    r = random.Random(seed)
+    left = [(i, r.choice(["d1", "d2", None]), r.choice(names)) for i in range(50)]
+    right = [(100 + i, r.choice(["d1", "d3", "d2"]), r.choice(names)) for i in range(50)]
+    m = joins.best_match(spark.createDataFrame(left, "id int, d string, name string"), spark.createDataFrame(right, "rid int, d string, name string"), ["d"], "name", (["id"], ["rid"]))
+    assert sorted(map(tuple, m.select("l.id", "r.rid").collect()), key=repr) == _brute_assignment(left, right)
+
+
+def test_matching_of_empty_sides(spark):
+    l = spark.createDataFrame([(1, "d", "Ajax"), (2, "d", None)], "id int, d string, name string")
+    none = spark.createDataFrame([], "rid int, d string, name string")
+    for m in (joins.prefix_match(l, none, ["d"], "name"), joins.best_match(l, none, ["d"], "name", (["id"], ["rid"]))):
+        assert sorted((x.l.id, x.r) for x in m.collect()) == [(1, None), (2, None)]
+
+
+def test_ranks_do_not_multiply_rows_that_share_a_key(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2)], "k string, v int")
+    got = windows.ranks(df, ["k"], {"up": ([], ["v"]), "down": ([], ["v desc"])})
+    assert sorted((r.v, r.up) for r in got.collect()) in ([(1, 1), (1, 2), (2, 3)],) and got.filter("down = 1").first().v == 2
+
+
+def test_previous_version_keeps_one_closed_row_per_task(spark):
+    h = spark.createDataFrame([("a", 1, "2024-01-01", False), ("a", 2, "2024-02-01", False), ("a", 3, "2024-03-01", True), ("b", 9, "2024-01-01", True), (None, 5, "2024-01-01", True), (None, 4, "2023-01-01", False)],
+                              "k string, v int, valid_from string, is_current boolean").withColumn("record_hash", F.lit("h"))
+    p = joins.previous_version(h, "k", {"before": "v"})
+    assert sorted(((r.k, r.v, r.before) for r in p.collect()), key=repr) == sorted([("a", 3, 2), ("b", 9, None), (None, 5, None)], key=repr)
+    assert "Window" not in plan(p)
+
+
+def scans(df):
+    return plan(df).count("Scan parquet")
+
+
+@pytest.fixture(scope="module")
+def faulty(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("q") / "t")
+    rows = [(i, i // 2, f"g{i % 3}", None if i % 4 == 0 else i, "2024-01-01 00:00:00") for i in range(40)] + [(None, None, None, 100, None)]
+    spark.createDataFrame(rows, "id int, pair int, g string, v int, at string").withColumn("at", F.col("at").cast("timestamp")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_a_suite_scans_its_table_once_and_finds_every_kind_of_fault(spark, faulty):
+    parent = spark.createDataFrame([(i,) for i in range(0, 30)] + [(None,)], "pid long")
+    checks = [quality.not_null("v"), quality.unique("id"), quality.unique("pair"), quality.unique("g", where="v > 36"), quality.foreign_key("id", "p", "pid"), quality.group_size(["g"], "v", 10, 10), quality.in_range("v", 5, 50), quality.fresh("at", 24),
+              quality.row_rule("small", "v < 30", where="g = 'g1'"), quality.matches("g", "^g[01]$")]
+    out = quality.run_suite(faulty, "L", "t", checks, "2024-01-03", {"p": parent}, sample_by=["id"])
+    assert scans(out) == 1
+    got = {r.check_name: (r.records_checked, r.records_failed, len(r.samples)) for r in out.collect()}
+    v = [None if i % 4 == 0 else i for i in range(40)]
+    assert got["NOT NULL: v"] == (41, 10, 5) and got["UNIQUE: id"] == (41, 0, 0) and got["UNIQUE: pair"] == (41, 20, 5)
+    assert got["UNIQUE: g"][:2] == (4, 0) and got["FK: id → p.pid"][:2] == (41, 11)
+    sizes = [len({x for i, x in enumerate(v) if i % 3 == k and x is not None}) for k in range(3)] + [1]
+    assert got["GROUP SIZE: v per g in [10, 10]"][:2] == (4, sum(n != 10 for n in sizes))
+    assert got["RANGE: v in [5, 50]"][:2] == (31, sum(x is not None and x < 5 for x in v) + 1) and got["FRESHNESS: at"][:2] == (0, 1)
+    assert got["small"][:2] == (13, sum(x is not None and i % 3 == 1 and x >= 30 for i, x in enumerate(v))) and got["PATTERN: g"][:2] == (40, 13)
+    samples = {r.check_name: r.samples for r in out.collect()}
+    assert all(s.startswith('{"k0":') for s in samples["UNIQUE: pair"]) and samples["FK: id → p.pid"] and samples["NOT NULL: v"][0].startswith('{"id":')
+
+
+def test_more_row_rules_than_fit_one_entry(spark, faulty):
+    checks = [quality.row_rule(f"r{k}", f"v >= {k}") for k in range(70)]
+    got = {r.check_name: r.records_failed for r in quality.run_suite(faulty, "L", "t", checks, "2024-01-03").collect()}
+    assert got == {f"r{k}": sum(i % 4 != 0 and i < k for i in range(40)) for k in range(70)}
+
+
+def test_samples_of_a_rule_are_bounded_and_its_own(spark, faulty):
+    faulty.createOrReplaceTempView("faulty_t")
+    r = quality.run_rule(spark, "many", "SELECT id FROM faulty_t WHERE v IS NULL", "2024-01-03", "r", samples=True).first()
+    assert r.details == "10 failures" and len(r.samples) == 5 and all(int(s[6:-1]) % 4 == 0 for s in r.samples)
+    assert quality.run_rule(spark, "none", "SELECT id FROM faulty_t WHERE FALSE", "2024-01-03", "r", samples=True).first().samples == []
+    assert quality.run_rule(spark, "bad", "SELECT nothing FROM faulty_t", "2024-01-03", "r", samples=True).first().samples == []

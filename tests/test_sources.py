@@ -2,11 +2,12 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators import changes
 from touchline.plans import silver
-from touchline.sources import pages, payloads, schemas, tables
+from touchline.sources import pages, payloads, rejects, schemas, tables
 from touchline.streaming.ingest import load_new_payloads
 
 
@@ -110,3 +111,95 @@ def test_nested_tables_keep_their_numbers(spark):
 def test_one_of_several_parts():
     assert pages.find_column(["x", "Per_G-A", "G+A"], any_of=("G+A", "G-A")) == "Per_G-A"
     assert pages.unique_header(["xG", "a", "xG", "xG"]) == ["xG", "a", "xG.1", "xG.2"]
+
+
+def grid(html):
+    return list(pages._tables(html))
+
+
+def test_grids_of_spanning_cells():
+    spans = [(1, 1, False), (2, 2, False), (1, 1, False)]
+    assert pages.fill_grid([(["a", "b", "c"], spans), (["d", "e"], [(1, 1, False)] * 2), (["f"], [(1, 1, False)])]) == [["a", "b", "b", "c"], ["d", "b", "b", "e"], ["f"]]
+    assert pages.fill_grid([(["a", "b"], [(1, 1, False), (0 or 3, 1, False)]), (["c"], [(1, 1, False)]), ([], [])]) == [["a", "b"], ["c", "b"], ["", "b"]]
+    assert pages.fill_grid([]) == []
+
+
+def test_headers_are_read_from_the_page():
+    two = "<table><thead><tr><th rowspan=2>Player<th colspan='2'>Performance</tr><tr><th>Gls<th>Ast</thead><tr><td>P<td>1<td>2</table>"
+    leading = "<table><tr><th><th>Total</tr><tr><th>Player<th>Cmp</tr><tr><th>P<td>3</tr></table>"
+    plain = "<table><tr><td>Player<td>xG<td>xG</tr><tr><td>P<td>1<td>2</tr></table>"
+    assert grid(two) == [(0, ["Player_Player", "Performance_Gls", "Performance_Ast"], [["P", "1", "2"]])]
+    assert grid(leading) == [(0, ["Unnamed: 0_level_0_Player", "Total_Cmp"], [["P", "3"]])]
+    assert grid(plain) == [(0, ["Player", "xG", "xG.1"], [["P", "1", "2"]])]
+    assert grid("<table></table>") == grid(None) == grid("<tr><td>x") == []
+    assert [pages._span(x, 1000) for x in (None, "2", "0", "x", "5000", " 3 ", "-1")] == [1, 2, 1, 1, 1000, 3, 1] and pages._span("0", 65534) == 65534
+
+
+def test_every_page_is_resolved_by_its_own_header(spark):
+    html = [("a", "<table><tr><th>menu</th></tr></table><table><tr><th>Player</th><th>Gls</th></tr><tr><td>P</td><td>1</td></tr></table>"),
+            ("b", "<table><thead><tr><th colspan=2>Performance</th><th rowspan=2>Player</th></tr><tr><th>Ast</th><th>Gls</th></tr></thead><tr><td>9</td><td>2</td><td>Q</td></tr><tr><td>8</td></tr></table>"),
+            ("c", "<table><tr><th>Player</th></tr><tr><td>R</td></tr></table>"), ("d", None), ("e", "<p>none")]
+    df = spark.createDataFrame(html, "url string, html string")
+    wanted = {"who": {"contains": ("Player",)}, "goals": {"exact": ("Gls",), "suffix": ("_Gls",)}}
+    got = sorted(map(tuple, pages.page_columns(df, wanted, "Player").collect()))
+    assert got == [("a", 0, "P", "1"), ("b", 0, "Q", "2"), ("b", 1, None, None), ("c", 0, "R", None)]
+    assert pages.page_columns(df.limit(0), wanted).collect() == []
+
+
+def test_rows_go_by_reason(spark, tmp_path):
+    rows = [("1.5", "7", "2024-01-01", "a"), ("x", " ", "2024-13-01", "b"), ("nan", "99999999999", None, None), (None, "3", "2024-02-02", " "), ("2", "4.9", "2024-02-03", "c")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, d string, n string, day string, s string")
+    got = rejects.route(df, {"d": "double", "n": "int", "day": "date", "s": "string"}, str(tmp_path / "r"))
+    assert sorted((r.id, r.d, r.n, str(r.day), r.s) for r in got.kept.collect()) == [(0, 1.5, 7, "2024-01-01", "a"), (4, 2.0, 4, "2024-02-03", "c")]
+    why = {json.loads(r.row)["id"]: r.reasons for r in got.rejected.collect()}
+    assert why == {1: ["d: not a number", "n: missing", "day: not a date"], 2: ["d: missing", "n: out of range", "day: missing", "s: missing"], 3: ["d: missing", "s: missing"]}
+    assert got.counts == {"kept": 2, "d: missing": 2, "d: not a number": 1, "n: missing": 1, "n: out of range": 1, "day: missing": 1, "day: not a date": 1, "s: missing": 2}
+    some = rejects.route(df, {"d": "double", "n": "int"}, str(tmp_path / "q"), required=["n"])
+    assert some.counts == {"kept": 3, "n: missing": 1, "n: out of range": 1} and some.kept.filter("d IS NULL").count() == 1
+    assert rejects.route(df.limit(0), {"d": "double"}, str(tmp_path / "e")).counts == {"kept": 0}
+
+
+def test_tables_are_counted_from_footers(spark, sf):
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    n = tables.footer_scan(spark, f"{sf}/orders.parquet").agg(F.count(F.lit(1)).alias("n"))
+    assert "PushedAggregation: [COUNT(*)]" in n._jdf.queryExecution().executedPlan().toString().replace("PushedAggregations", "PushedAggregation")
+    assert n.first().n == spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert "FileScan" in spark.read.parquet(f"{sf}/orders.parquet")._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_scanned(df):
+    df.collect()
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            p = p.executedPlan()
+        if p.getClass().getSimpleName() == "FileSourceScanExec":
+            n += p.metrics().apply("numOutputRows").value()
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    return n
+
+
+def test_lookups_open_few_row_groups(spark, tmp_path):
+    path, n = str(tmp_path / "m"), 200_000
+    rows = spark.range(n).select((F.col("id") * 7919 % n).alias("id"), F.concat(F.lit("team "), (F.col("id") * 7919 % 500).cast("string")).alias("team"), F.md5(F.col("id").cast("string")).alias("x"))
+    tables.write_clustered(rows, path, ["team", "id"], row_group=256 * 1024)
+    found = spark.read.parquet(path).filter("team = 'team 77'")
+    assert found.count() == n / 500 and rows_scanned(spark.read.parquet(path).filter("team = 'team 77'")) < n / 20
+    assert rows_scanned(spark.read.parquet(path).filter("id = 1234")) < n / 4
+
+
+def test_a_new_checkpoint_goes_on_where_the_table_stands(spark, tmp_path):
+    config = changes.TableConfig("stg_matches", silver.matches, ("match_id",), ("match_status", "home_goals", "away_goals"), ("ingested_at",))
+    table, folder, comp = str(tmp_path / "table"), tmp_path / "in", {"id": 9, "name": "L", "code": "X"}
+    tables.load_batch(spark, table, config, payloads.flatten_matches(payloads.read_payloads(spark, str(folder), schemas.MATCH_PAYLOAD)) if folder.exists() else
+                      spark.createDataFrame([], schemas.MATCHES), "b20200101", "2020-01-01")
+    for k, score in enumerate([None, SCORE]):
+        write(folder, f"{k}.json", {"competition": comp, "matches": [match(1, score=score)]})
+        load_new_payloads(spark, str(folder), schemas.MATCH_PAYLOAD, payloads.flatten_matches, config, table, str(tmp_path / f"ckpt{k}"), files_per_batch=1)
+    assert sorted(r.home_goals for r in tables.read_current(spark, table).collect()) == [2] and tables.batch_count(spark, table) == 4
+    origins = {r.origin for r in tables._log(spark, table)} - {None}
+    assert len(origins) == 3 and {tables.batch_of(spark, table, o) is not None for o in origins} == {True}
+    closing = changes.TableConfig("t", silver.matches, ("match_id",), ("match_status",), deletes="close")
+    with pytest.raises(ValueError, match="whole"):
+        load_new_payloads(spark, str(folder), schemas.MATCH_PAYLOAD, payloads.flatten_matches, closing, table, str(tmp_path / "c"))

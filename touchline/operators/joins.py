@@ -72,13 +72,14 @@ def previous_version(history: DataFrame, key: str, take: Mapping[str, str]) -> D
     from it, before anything is shuffled.  Several current rows of a key all get the same closed version; rows with a
     NULL key have none.
     """
+    here = F.col(key).isNotNull()
+    # A row without a key is a group of its own.
+    alone = F.when(~here, F.monotonically_increasing_id()).alias("__alone")
     closed = F.struct(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(take.values())])
-    known = history.filter(F.col(key).isNotNull()).groupBy(key).agg(
+    known = history.groupBy(key, alone).agg(
         F.collect_list(F.when(F.col("is_current"), F.struct(*[n for n in history.columns if n != key]))).alias("__now"),
-        F.max_by(closed, F.when(~F.col("is_current"), F.struct("valid_from", "record_hash"))).alias("__prev"))
-    paired = known.select(key, "__prev", F.inline("__now")).select(*history.columns, *[F.col(f"__prev.__p{i}").alias(n) for i, n in enumerate(take)])
-    alone = history.filter(F.col(key).isNull() & F.col("is_current"))
-    return paired.unionByName(alone, allowMissingColumns=True)
+        F.max_by(closed, F.when(here & ~F.col("is_current"), F.struct("valid_from", "record_hash"))).alias("__prev"))
+    return known.select(key, "__prev", F.inline("__now")).select(*history.columns, *[F.col(f"__prev.__p{i}").alias(n) for i, n in enumerate(take)])
 
 
 def enrich(base: DataFrame, tables: Mapping[str, DataFrame], keys: Sequence[str], columns: Mapping[str, Sequence[str]], latest_by: str) -> DataFrame:

@@ -36,6 +36,12 @@ MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "agg_standing_history": (gold.standing_history, ("standings_history",)),
 }
 
+# Marts that are looked up by these columns are written in ranges of them.
+CLUSTERED = {
+    "fct_match_results": ("competition_code", "match_date"), "agg_competition_standings": ("competition_name", "position"),
+    "agg_head_to_head": ("team_a", "team_b"), "agg_team_form": ("competition_name", "team_name"), "agg_standing_history": ("team_name", "competition_name"),
+}
+
 # The payload line: matches, teams and standings as the first source sends them, with the second source's matches beside it.
 PAYLOAD_CONFIGS = {**silver.PAYLOAD_CONFIGS, "stg_fbref_matches": silver.CONFIGS["stg_fbref_matches"]}
 PAYLOAD_MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
@@ -59,7 +65,7 @@ def silver_inputs(spark: SparkSession, root: str, configs: Mapping[str, TableCon
     for name in configs:
         history = tables.read_history(spark, f"{root}/silver/{name}")
         if history is not None:
-            out[name] = history.filter("is_current")
+            out[name] = tables.read_current(spark, f"{root}/silver/{name}")
             out[f"{name}:history"] = history
     for alias, name in (("players_history", "stg_players"), ("standings_history", "stg_fbref_standings")):
         if f"{name}:history" in out:
@@ -75,7 +81,10 @@ def build_gold(spark: SparkSession, root: str, batch_id: str, ts, marts: Mapping
         if all(n in frames for n in needs):
             path = f"{root}/gold/{mart}/batch={batch_id}"
             out = make(*[frames[n] for n in needs]).withColumn("transformed_at", F.lit(ts).cast("timestamp"))
-            tables.write_overwrite(out, path)
+            if mart in CLUSTERED:
+                tables.write_clustered(out, path, CLUSTERED[mart])
+            else:
+                tables.write_overwrite(out, path)
             frames[mart] = built[mart] = spark.read.parquet(path)
     return built
 
@@ -108,5 +117,5 @@ def run_payloads(spark: SparkSession, root: str, bronze: Mapping[str, DataFrame]
     for name, frame in {**histories, **marts}.items():
         frame.createOrReplaceTempView(name)
     now = ts if now is None else now
-    rules = suites.run_sql_rules(spark, suites.sql_rules(str(now), "", "", max_days), now, batch_id)
+    rules = suites.run_sql_rules(spark, suites.sql_rules(str(now), "", "", max_days), now, batch_id, samples=True)
     return {"statistics": stats, **marts, "rules": rules, "data_quality": suites.run_suites(histories, now, suites.PAYLOAD_SUITES)}

@@ -27,6 +27,8 @@ SETTINGS = {
     # The JIT compiler skips methods above 8000 bytes of bytecode; wide marts exceed that
     # when fused, so let Spark split them instead of running them interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Counts, least and greatest values from Parquet footers, where a table is read for these alone (tables.footer_scan).
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 # Only settable before the session exists: call-site capture costs several JVM round
@@ -69,7 +71,9 @@ def get_session(app: str = "touchline", **overrides: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**SETTINGS, **AT_START, **overrides}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 _scratch: list[str] = []

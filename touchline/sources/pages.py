@@ -15,6 +15,12 @@ from touchline.sources import schemas
 from touchline.sources.payloads import enforce
 
 
+def _span(given: str | None, most: int) -> int:
+    """A cell's span as browsers read it: 1 if absent or no number; of rows, 0 means to the end of the table."""
+    n = int(given) if given and given.strip().isdecimal() else 1
+    return min(n, most) if n else (most if most > 1000 else 1)
+
+
 class _Cells(HTMLParser):
     """Collects the text of cells, per row, per table, for one page.
 
@@ -30,17 +36,20 @@ class _Cells(HTMLParser):
 
     def _fresh(self) -> dict:
         self.tables += 1
-        return {"table": self.tables - 1, "row": -1, "cells": None, "text": None}
+        return {"table": self.tables - 1, "row": -1, "cells": None, "text": None, "spans": None, "span": None, "head": False}
 
     def _end_cell(self, at: dict):
         if at["text"] is not None and at["cells"] is not None:
             at["cells"].append("".join(at["text"]).strip())
+            at["spans"].append(at["span"])
         at["text"] = None
 
     def _end_row(self, at: dict):
+        """Rows are (table, row, cells, span of each cell, whether all is heading)."""
         self._end_cell(at)
         if at["cells"] is not None:
-            self.rows.append((at["table"], at["row"], at["cells"]))
+            heading = at["head"] or bool(at["spans"]) and all(s[2] for s in at["spans"])
+            self.rows.append((at["table"], at["row"], at["cells"], at["spans"], heading))
         at["cells"] = None
 
     def finish(self):
@@ -53,10 +62,15 @@ class _Cells(HTMLParser):
         elif self.open and tag == self.row_tag:
             at = self.open[-1]
             self._end_row(at)
-            at["row"], at["cells"] = at["row"] + 1, []
+            at["row"], at["cells"], at["spans"] = at["row"] + 1, [], []
         elif self.open and tag in self.cell_tags and self.open[-1]["cells"] is not None:
-            self._end_cell(self.open[-1])
-            self.open[-1]["text"] = []
+            at = self.open[-1]
+            self._end_cell(at)
+            given = dict(attrs)
+            at["text"], at["span"] = [], (_span(given.get("rowspan"), 65534), _span(given.get("colspan"), 1000), tag == "th")
+        elif self.open and tag in ("thead", "tbody", "tfoot"):
+            self._end_row(self.open[-1])
+            self.open[-1]["head"] = tag == "thead"
 
     def handle_endtag(self, tag):
         if not self.open:
@@ -65,6 +79,9 @@ class _Cells(HTMLParser):
             self._end_cell(self.open[-1])
         elif tag == self.row_tag:
             self._end_row(self.open[-1])
+        elif tag == "thead":
+            self._end_row(self.open[-1])
+            self.open[-1]["head"] = False
         elif tag == self.table_tag:
             self._end_row(self.open.pop())
 
@@ -88,13 +105,94 @@ def html_rows(
                 parser = _Cells(table_tag, row_tag, tags)
                 parser.feed(text or "")
                 parser.finish()
-                out.extend((u, *row) for row in parser.rows)
+                out.extend((u, *row[:3]) for row in parser.rows)
             yield pd.DataFrame(out, columns=["url", "table_no", "row_no", "cells"])
 
     schema = "url string, table_no int, row_no int, cells array<string>"
     return pages.select(F.col(url).cast("string").alias("u"), F.col(html).alias("h")).mapInPandas(parse, schema)
 
 
+def fill_grid(rows: Sequence[tuple[Sequence[str], Sequence[tuple[int, int, bool]]]]) -> list[list[str]]:
+    """Rows of one table, given as texts and spans, with every spanning cell repeated wherever it reaches."""
+    out: list[list[str]] = []
+    hanging: dict[int, tuple[int, str]] = {}   # column -> rows still to fill, text
+
+    for cells, spans in rows:
+        line: list[str] = []
+
+        def hang() -> bool:
+            left, text = hanging.pop(len(line), (0, ""))
+            if not left:
+                return False
+            if left > 1:
+                hanging[len(line)] = (left - 1, text)
+            line.append(text)
+            return True
+
+        for text, (down, across, _) in zip(cells, spans):
+            while hang():
+                pass
+            for _ in range(across):
+                if down > 1:
+                    hanging[len(line)] = (down - 1, text)
+                line.append(text)
+        for column in sorted(k for k in hanging if k >= len(line)):
+            line.extend([""] * (column - len(line)))
+            hang()
+        out.append(line)
+    return out
+
+
+def header_names(levels: Sequence[Sequence[str]]) -> list[str]:
+    """Column names of a header grid: levels joined with ``_``, empty cells named by place; one level alone is made unique."""
+    if len(levels) == 1:
+        return unique_header(levels[0])
+    width = max(map(len, levels))
+    full = [[*level, *[""] * (width - len(level))] for level in levels]
+    return flatten_header(*[[text or f"Unnamed: {i}_level_{k}" for i, text in enumerate(level)] for k, level in enumerate(full)])
+
+
+def _tables(html: str | None) -> Iterator[tuple[int, list[str], list[list[str]]]]:
+    """(number, column names, body rows) of every table of a page: header rows are those of ``thead``, else the leading rows
+    of nothing but heading cells, else the first row."""
+    parser = _Cells("table", "tr", frozenset(("td", "th")))
+    parser.feed(html or "")
+    parser.finish()
+    by_table: dict[int, list] = {}
+    for row in sorted(parser.rows, key=lambda r: r[:2]):
+        by_table.setdefault(row[0], []).append(row)
+    for number, rows in by_table.items():
+        grid = fill_grid([(r[2], r[3]) for r in rows])
+        n = next((k for k, r in enumerate(rows) if not r[4]), len(rows)) or 1
+        yield number, header_names(grid[:n]), grid[n:]
+
+
+def page_columns(pages: DataFrame, wanted: Mapping[str, Mapping], *header_words: str, keep: Sequence[str] = ("url",), html: str = "html") -> DataFrame:
+    """``keep`` columns, row_no, and one text column per wanted name: the body of each page's first table whose header has every word.
+
+    ``wanted`` maps a name to a pattern of :func:`find_column`.  Every page's own header decides, on the executors, which of
+    its columns that is, so pages with other columns, another order or other header levels go through one plan; what a
+    page lacks is NULL.
+    """
+    patterns = {name: dict(pattern) for name, pattern in wanted.items()}
+    kept = [*keep]
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for page in batch.itertuples(index=False):
+                for _, columns, body in _tables(page[-1]):
+                    if all(any(w in c for c in columns) for w in header_words):
+                        found = [find_column(columns, **p) for p in patterns.values()]
+                        at = [columns.index(c) if c is not None else None for c in found]
+                        out.extend((*page[:-1], k, *[row[i] if i is not None and i < len(row) else None for i in at]) for k, row in enumerate(body))
+                        break
+            yield pd.DataFrame(out, columns=[*kept, "row_no", *patterns], dtype=object).astype({"row_no": "int32"})
+
+    schema = ", ".join([*(f"`{k}` string" for k in kept), "row_no int", *(f"`{n}` string" for n in patterns)])
+    return pages.select(*[F.col(k).cast("string").alias(k) for k in kept], F.col(html).alias("__html")).mapInPandas(parse, schema)
+
+
 def pick_table(rows: DataFrame, *header_words: str) -> DataFrame:
     """Rows of each page's first table; with ``header_words``, the first table whose
     first row mentions every word."""
@@ -203,9 +301,18 @@ ENRICHMENT = {
 IDENTITY = {"player_name": "Player", "nationality": "Nation", "position": "Pos", "team_name": "Squad", "age": "Age"}
 
 
+_CAST = {"int": tolerant_int, "double": tolerant_double}
+
+
 def _typed(df: DataFrame, spec: Sequence[tuple[str, str, Mapping]]) -> list[Column]:
-    cast = {"int": tolerant_int, "double": tolerant_double}
-    return [cast[kind](resolve_column(df, **pattern)).alias(name) for name, kind, pattern in spec]
+    return [_CAST[kind](resolve_column(df, **pattern)).alias(name) for name, kind, pattern in spec]
+
+
+def _identity(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    return [F.coalesce(resolve_column(df, contains=(IDENTITY[n],)).cast("string"), F.lit("")).alias(n) for n in names]
+
+
+_WHO = ["player_name", "team_name"]
 
 
 def player_stats(
@@ -215,14 +322,30 @@ def player_stats(
     joined on (page, player, team).  ``page_keys`` tell the pages apart, so all pages of
     all competitions and seasons are one join.  ``order`` is the row's place on its page:
     the last duplicate wins."""
-    def identity(df: DataFrame, names: Sequence[str]) -> list[Column]:
-        return [F.coalesce(resolve_column(df, contains=(IDENTITY[n],)).cast("string"), F.lit("")).alias(n) for n in names]
+    base = standard.select(*page_keys, *_identity(standard, list(IDENTITY)), *_typed(standard, STANDARD))
+    sides = {n: t.select(*page_keys, *_identity(t, _WHO), *_typed(t, ENRICHMENT[n]), F.col(order)) for n, t in others.items()}
+    return _player_rows(base, sides, batch_ts, page_keys, order)
+
+
+def player_stats_of_pages(found: Mapping[str, DataFrame], *, batch_ts: str, page_keys: Sequence[str] = ("competition_name", "season"), parts: Sequence[str] = ()) -> DataFrame:
+    """The same rows from stored pages (``page_keys``, ``html``) of the table ``standard`` and any of the other four.
+
+    Columns are found on every page by its own header (:func:`page_columns`).  ``parts`` are further columns that tell
+    pages of one competition and season apart, where a table goes over several.
+    """
+    def read(name: str, ids: Sequence[str], spec: Sequence[tuple[str, str, Mapping]]) -> DataFrame:
+        wanted = {n: {"contains": (IDENTITY[n],)} for n in ids} | {n: pattern for n, _, pattern in spec}
+        rows = page_columns(found[name], wanted, "Player", keep=[*page_keys, *parts])
+        return rows.select(*page_keys, *parts, *[F.coalesce(n, F.lit("")).alias(n) for n in ids], *[_CAST[kind](n).alias(n) for n, kind, _ in spec], "row_no")
+
+    base = read("standard", list(IDENTITY), STANDARD).drop("row_no")
+    sides = {n: read(n, _WHO, ENRICHMENT[n]) for n in found if n != "standard"}
+    return _player_rows(base, sides, batch_ts, [*page_keys, *parts], "row_no")
+
 
-    base = standard.select(*page_keys, *identity(standard, list(IDENTITY)), *_typed(standard, STANDARD)).filter(nonblank("player_name", "nan"))
-    who = ["player_name", "team_name"]
-    sides = {n: t.select(*page_keys, *identity(t, who), *_typed(t, ENRICHMENT[n]), F.col(order)) for n, t in others.items()}
+def _player_rows(base: DataFrame, sides: Mapping[str, DataFrame], batch_ts: str, page_keys: Sequence[str], order: str) -> DataFrame:
     columns = {n: [c for c, _, _ in ENRICHMENT[n]] for n in sides}
-    wide = enrich(base, sides, [*page_keys, *who], columns, order)
+    wide = enrich(base.filter(nonblank("player_name", "nan")), sides, [*page_keys, *_WHO], columns, order)
     for name, spec in ENRICHMENT.items():
         if name not in sides:
             wide = wide.withColumns({c: F.lit(None).cast(kind) for c, kind, _ in spec})
@@ -245,7 +368,7 @@ STANDINGS = [
 
 def _page_rows(df: DataFrame, spec: Sequence[tuple[str, str, str]]) -> list[Column]:
     """Typed columns; text that is missing is empty, figures that are missing or unusable are NULL."""
-    cast = {"int": tolerant_int, "double": tolerant_double, "string": lambda x: F.coalesce(x.cast("string"), F.lit(""))}
+    cast = {**_CAST, "string": lambda x: F.coalesce(x.cast("string"), F.lit(""))}
     return [cast[kind](resolve_column(df, **_ends(header))).alias(name) for name, kind, header in spec]
 
 
