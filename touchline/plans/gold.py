@@ -457,7 +457,10 @@ def player_xg_analysis(performance: DataFrame, *, min_minutes: int = 450) -> Dat
 def player_form(history: DataFrame, *, min_matches: int = 3) -> DataFrame:
     """Current version of each player-season against the version before it."""
     measures = ["goals", "assists", "minutes", "xg", "xa"]
-    p = previous_version(history, "player_season_key", {f"prev_{m}": m for m in measures} | {"prev_from": "valid_from"})
+    # Only what the mart shows goes through the aggregation.
+    shown = ["player_season_key", "player_name", "team_name", "competition_name", "position_category", "nationality", "calculated_age", "matches_played", "goal_contributions",
+             "goals_minus_xg", "assists_minus_xa", "goals_per90", "assists_per90", "xg_per90", "xa_per90", "record_hash", "valid_from", "is_current"]
+    p = previous_version(history.select(*shown, *measures), "player_season_key", {f"prev_{m}": m for m in measures} | {"prev_from": "valid_from"})
     p = p.filter(c("matches_played") >= min_matches)
     counted = {f"recent_{m}": c(m) - zero(f"prev_{m}") for m in measures[:3]}
     expected = {f"recent_{m}": minus(m, zero(f"prev_{m}")) for m in measures[3:]}

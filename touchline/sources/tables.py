@@ -114,8 +114,8 @@ NEW, END, MISSING, BACK = "new", "end", "missing", "back"
 _COMMITS = ("batch_id string, seq long, kind string, attempt string, columns string, keys array<string>, at timestamp, "
             "rows long, origin string")
 _DERIVED = ("valid_to", "transformed_at", "is_current")
-FEW_ROWS = 100_000
-"""An attempt of at most so many rows is written again as one file, if it has come in several."""
+ROWS_A_FILE = 1_000
+"""An attempt whose files have fewer rows than this, on average, is written again in fewer files."""
 
 
 @dataclass(frozen=True)
@@ -192,15 +192,14 @@ def _derive(base: DataFrame, tail: DataFrame | None, keys: Sequence[str]) -> Dat
     names = [n for n in base.columns if n not in ("__kind", "__batch")]
     if tail is None:
         return base.select(*names, F.lit(None).cast("timestamp").alias("valid_to"), "__kind")
-    rows = F.struct(*[n for n in names if n not in keys])
-    # One event of a key and batch, so a key's list is as long as the tail has batches at most.
-    per_key = tail.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__batch", "__kind", "valid_from", rows.alias("row")))).alias("e"))
+    # Narrow events only: one of a key and batch, so a key's list is as long as the tail has batches at most.
+    per_key = tail.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__batch", "__kind", "valid_from"))).alias("e"))
     per_key = per_key.withColumn("steps", F.filter("e", lambda x: x["__kind"].isin(NEW, END)))
-    state = F.element_at("e", -1)["__kind"]
-    versions = F.transform("steps", lambda x, i: F.struct(x["__kind"].alias("kind"), x["row"].alias("row"), F.get("steps", i + 1)["valid_from"].alias("valid_to")))
-    added = per_key.select(*keys, state.alias("__kind"), F.inline(F.filter(versions, lambda v: v["kind"] == NEW)))
-    added = added.select(*[F.col(n) if n in keys else F.col("row")[n].alias(n) for n in names], "valid_to", "__kind")
-    ends = per_key.select(*[F.col(k).alias(f"__e{i}") for i, k in enumerate(keys)], F.get("steps", F.lit(0))["valid_from"].alias("valid_to"), state.alias("__state"))
+    state = F.element_at("e", -1)["__kind"].alias("__state")
+    ended = F.transform("steps", lambda x, i: F.struct(x["__batch"].alias("__batch"), x["__kind"].alias("__step"), F.get("steps", i + 1)["valid_from"].alias("valid_to")))
+    added = per_key.select(*keys, state, F.inline(F.filter(ended, lambda v: v["__step"] == NEW)))
+    added = tail.join(added, [*keys, "__batch"]).select(*names, "valid_to", F.col("__state").alias("__kind"))
+    ends = per_key.select(*[F.col(k).alias(f"__e{i}") for i, k in enumerate(keys)], F.get("steps", F.lit(0))["valid_from"].alias("valid_to"), state)
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__e{i}") for i, k in enumerate(keys)])
     old = base.join(ends, on, "left").select(*names, "valid_to", F.coalesce("__state", "__kind").alias("__kind"))
     return old.unionByName(added)
@@ -260,7 +259,7 @@ def _commit(spark: SparkSession, path: str, batch_id: str, seq: int, kind: str,
 
 
 def _write(spark: SparkSession, path: str, batch_id: str, part: str, rows: DataFrame) -> tuple[str, int]:
-    """Write an attempt; a small one that came in several files is written again as one.  (attempt, rows)."""
+    """Write an attempt; scattered changes that came in many small files are written again in few.  (attempt, rows)."""
     def attempt() -> tuple[str, str]:
         name = f"{batch_id}-{uuid4().hex[:12]}"
         return name, f"{path}/attempt={name}/versions={part}"
@@ -269,9 +268,10 @@ def _write(spark: SparkSession, path: str, batch_id: str, part: str, rows: DataF
     rows.write.parquet(at)
     written = spark.read.schema(rows.schema).parquet(at)
     n = written.count()
-    if 0 < n <= FEW_ROWS and len(written.inputFiles()) > 1:
+    files = len(written.inputFiles())
+    if files > 1 and 0 < n < files * ROWS_A_FILE:
         name, at = attempt()
-        written.coalesce(1).write.parquet(at)
+        written.coalesce(max(1, n // (100 * ROWS_A_FILE))).write.parquet(at)
     return name, n
 
 
