@@ -7,7 +7,12 @@ menus, notices, forms, adverts or comments, or in a heading.  A decision tree, g
 says which blocks are main text; they are joined in page order by newlines.  Script, style and similar elements and
 mark-up comments give no blocks.  Nothing is cut off, unclosed and stray tags are tolerated.
 
-NULL or empty pages, and pages without main text, give the empty text.  Repeated rows each give a row.
+What wraps a whole page (a form, a container "with-sidebar") doesn't make its article side matter; an article inside
+comments, menus, related matter or another article's side matter is.  Lists of links inside an article go by their link
+density and that of their neighbours.
+
+NULL or empty pages, and pages without main text, give the empty text.  Repeated rows each give a row.  A page takes time
+in proportion to its length, whatever is left open in it; a tag has 400 attributes at most.
 """
 
 from __future__ import annotations
@@ -30,8 +35,14 @@ SIDE_WORDS = set("ad ads advert advertisement adverts advertising sponsor sponso
                  "menu nav navigation navbar breadcrumb breadcrumbs footer masthead share sharing social related recommended comment comments reply replies "
                  "respond discussion disqus subscribe newsletter signup login search widget popup modal pagination pager toolbar topbar tags copyright "
                  "contentinfo complementary".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<skip>" + SKIPPED + r")\b[^>]*>.*?(?:</(?P=skip)\s*>|\Z)|"
-                    r"<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(?P<close2>/?)(?P<tag2>[a-z][a-z0-9:-]*)[^>]*>|<[!?/][^>]*>",
+# Inside these an article is no main text either: other pages' articles, comments and the like; the rest only wraps.
+OUTSIDE_TAGS = set("head nav footer aside menu dialog".split())
+OUTSIDE_WORDS = set("comment comments reply replies respond discussion disqus related recommended sidebar footer nav navigation menu popup modal advert advertisement ads ad".split())
+LEAVES = set("p h1 h2 h3 h4 h5 h6 blockquote pre dd dt td th figcaption caption".split())
+# Possessive, and no unquoted "<" inside a tag: what isn't closed is given up at the next one, so a page takes linear time.
+_ATTRS = r"(?:\"[^\"]*\"|'[^']*'|[^'\"<>]++){0,400}+"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<skip>" + SKIPPED + r")\b" + _ATTRS + r">.*?(?:</(?P=skip)\s*>|\Z)|"
+                    r"<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>" + _ATTRS + r")>|<(?P<close2>/?)(?P<tag2>[a-z][a-z0-9:-]*)[^<>]*+>|<[!?/][^<>]*+>",
                     re.I | re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -43,7 +54,10 @@ LABELLED = [
     (5, 0.0, 1, 1.0, 3, 0.0, 1, 0, 1, 1), (30, 0.4, 50, 0.0, 40, 0.0, 1, 0, 0, 1), (4, 1.0, 70, 0.0, 55, 0.1, 1, 0, 0, 1), (60, 0.0, 40, 0.0, 8, 0.0, 1, 0, 0, 1),
     (15, 0.2, 0, 0.0, 0, 0.0, 1, 0, 0, 1), (3, 0.0, 6, 0.0, 5, 0.5, 1, 0, 0, 1),
     (4, 0.0, 10, 0.0, 4, 0.0, 1, 0, 1, 1), (3, 0.0, 4, 0.0, 3, 0.0, 1, 0, 0, 1), (2, 0.0, 1, 0.0, 2, 0.0, 1, 0, 0, 1), (1, 0.0, 3, 0.0, 9, 1.0, 1, 0, 0, 1),
-    (2, 1.0, 3, 1.0, 2, 1.0, 1, 0, 0, 1), (12, 0.9, 4, 1.0, 6, 0.8, 1, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1), (5, 0.0, 6, 1.0, 3, 0.0, 1, 0, 0, 1),
+    (1, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1), (5, 0.0, 6, 1.0, 3, 0.0, 1, 0, 0, 1), (6, 1.0, 30, 0.0, 45, 0.0, 1, 0, 0, 1), (3, 1.0, 20, 0.0, 25, 0.1, 1, 0, 0, 1),
+    # Link lists in an article: linked lines beside linked lines.
+    (2, 1.0, 3, 1.0, 2, 1.0, 1, 0, 0, 0), (12, 0.9, 4, 1.0, 6, 0.8, 1, 0, 0, 0), (4, 1.0, 60, 0.0, 5, 1.0, 1, 0, 0, 0), (5, 1.0, 4, 1.0, 40, 0.0, 1, 0, 0, 0), (7, 1.0, 6, 1.0, 0, 0.0, 1, 0, 0, 0),
+    (3, 1.0, 3, 1.0, 90, 0.0, 1, 0, 0, 0), (4, 1.0, 5, 0.0, 3, 1.0, 1, 0, 0, 0),
     # Side matter inside an article: comments, sharing, notices, forms.
     (45, 0.0, 60, 0.0, 30, 0.0, 1, 1, 0, 0), (6, 1.0, 80, 0.0, 5, 1.0, 1, 1, 0, 0), (90, 0.0, 40, 0.0, 70, 0.0, 1, 1, 0, 0), (3, 0.0, 30, 0.0, 2, 0.0, 1, 1, 1, 0),
     # Side matter outside: titles in the head, menus, adverts, footers, long comments.
@@ -65,11 +79,16 @@ def read_blocks(html: str) -> tuple[list[str], np.ndarray]:
     """Texts of the blocks of a page and their features (one row each)."""
     texts: list[str] = []
     rows: list[tuple[int, float, int, int, int]] = []
-    stack: list[tuple[str, bool, bool]] = []
+    # Open elements: name, whether in an article, whether side matter, whether an article inside would be side matter too.
+    stack: list[tuple[str, bool, bool, bool]] = []
+    opened: dict[str, int] = {}
     parts: list[tuple[str, bool]] = []
     article = side = heading = False
     links = 0
 
+    def pop():
+        opened[stack.pop()[0]] -= 1
+
     def close_block():
         if parts:
             text = " ".join(unescape("".join(p for p, _ in parts)).split())
@@ -96,17 +115,29 @@ def read_blocks(html: str) -> tuple[list[str], np.ndarray]:
         elif tag in BLOCK:
             close_block()
             if closing:
-                depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-                if depth is not None:
+                if opened.get(tag):
                     links = 0
-                    del stack[depth:]
+                    while stack[-1][0] != tag:
+                        pop()
+                    pop()
             elif tag not in VOID:
-                if tag == "body" or (tag == "p" and stack and stack[-1][0] == "p") or (tag == "li" and stack and stack[-1][0] == "li"):
-                    stack[:] = [s for s in stack if s[0] != "head"] if tag == "body" else stack[:-1]
-                in_article = tag in ("article", "main") or bool(stack and stack[-1][1])
-                names = {w for groups in _NAMES.findall(m["attrs"] or "") for v in groups for w in re.split(r"[^a-z0-9]+", v.lower())} if m["attrs"] and tag != "body" else ()
-                own = tag in SIDE_TAGS or (tag == "header" and not in_article) or bool(SIDE_WORDS.intersection(names) and tag not in ("article", "main", "html"))
-                stack.append((tag, in_article, own or bool(stack and stack[-1][2])))
+                if tag == "body":
+                    while opened.get("head"):
+                        pop()
+                elif tag in ("p", "li") and stack and stack[-1][0] == tag:
+                    pop()
+                above = stack[-1] if stack else ("", False, False, False)
+                is_main = tag in ("article", "main")
+                in_article = is_main or above[1]
+                tokens = {t for groups in _NAMES.findall(m["attrs"] or "") for v in groups for t in v.lower().split()} if m["attrs"] and tag != "body" else set()
+                # A name says what its element is if it stands alone; as a part of a longer one it counts on containers only.
+                words = tokens if tag in LEAVES else {w for t in tokens for w in re.split(r"[^a-z0-9]+", t)}
+                own = tag in SIDE_TAGS or (tag == "header" and not in_article) or (not is_main and tag != "html" and not SIDE_WORDS.isdisjoint(words))
+                outside = above[3] or tag in OUTSIDE_TAGS or not OUTSIDE_WORDS.isdisjoint(tokens)
+                # An article or main part is not on the side because of what wraps the whole page.
+                passed = above[2] and (not is_main or outside or above[1])
+                stack.append((tag, in_article, own or passed or (is_main and outside), outside))
+                opened[tag] = opened.get(tag, 0) + 1
             article, side = (stack[-1][1], stack[-1][2]) if stack else (False, False)
             heading = any(s[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for s in stack[-3:])
     if at < len(html):

@@ -14,7 +14,6 @@ encoded each; columns besides the id and text are not read.
 from __future__ import annotations
 
 import json
-import unicodedata
 
 import ahocorasick
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.common import chunks, text_arrays
-from touchline.llm.pretokens import Segments, split_special
+from touchline.llm.pretokens import Normal, Segments, library_kinds, split_special
 
 KEEP_WORDS = 250_000
 """Encoded pre-tokens a worker remembers before it starts afresh."""
@@ -48,10 +47,13 @@ def ragged(offsets: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class Codec:
     """Encoder and decoder of one vocabulary, built from its tokenizer file's text."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, kinds: bytes | None = None, odd: str | None = None):
+        """``kinds`` and ``odd`` are the library's tables (see ``pretokens``), where they are already known."""
         spec = json.loads(spec)
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"]
+        self.normal = Normal(odd)
+        self.kinds = np.frombuffer(kinds, np.uint8) if kinds is not None else library_kinds()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         vocab = model["vocab"]
         inner = {self._inner(t): i for t, i in vocab.items()}
@@ -147,8 +149,7 @@ class Codec:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the n + 1 offsets of the texts in them."""
         pieces, rows, after = split_special(texts, self.special)
-        # Lower-casing goes letter by letter, so a capital sigma never becomes the final form.
-        seg = Segments([unicodedata.normalize("NFC", p).replace("Σ", "σ").lower() for p in pieces], spaced=False)
+        seg = Segments([self.normal(p) for p in pieces], spaced=False, kind_of=self.kinds)
         if self.n_words > KEEP_WORDS:
             self._forget()
         distinct, first, index = np.unique(seg.hashes, return_index=True, return_inverse=True)
@@ -186,17 +187,17 @@ class Codec:
 _codec: dict[int, Codec] = {}
 
 
-def codec(spec: str) -> Codec:
+def codec(spec: str, kinds: bytes, odd: str) -> Codec:
     """The worker's codec of a vocabulary; built once."""
     key = hash(spec)
     if key not in _codec:
-        _codec[key] = Codec(spec)
+        _codec[key] = Codec(spec, kinds, odd)
     return _codec[key]
 
 
 def _coded(spec, with_text: bool, names: list[str]):
     def run(batches):
-        own = codec(spec.value)
+        own = codec(*spec.value)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             _, offsets = text_arrays(texts)
@@ -217,7 +218,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, keep: list[str
     ``vocabulary`` is the path of a tokenizer file on the driver; its text is what workers get.
     """
     with open(vocabulary, encoding="utf-8") as f:
-        spec = spark.sparkContext.broadcast(f.read())
+        spec = spark.sparkContext.broadcast((f.read(), library_kinds().tobytes(), Normal.odd_pattern()))
     kept = docs.select(*keep)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "n_tokens bigint", "ids array<int>", *(["decoded string"] if with_text else [])])
     names = [*kept.columns, "n_tokens", "ids", *(["decoded"] if with_text else [])]

@@ -8,7 +8,7 @@ from uuid import uuid4
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.session import configure, shared_dir
@@ -39,7 +39,16 @@ def written(df: DataFrame, spark: SparkSession) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage and survives lost executors."""
     path = f"{shared_dir(spark)}/touchline-{uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.touchline_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables made by ``written`` that nothing still to be computed reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.touchline_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def plain(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]]:
@@ -51,19 +60,29 @@ def plain(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]]:
     return docs.toDF(*names), names, dict(reversed(list(zip(docs.columns, names))))
 
 
-def most_frequent(df: DataFrame, count_col: str, limit: int) -> DataFrame:
-    """Rows whose (positive) count is on or above the lowest level that leaves at most ``limit`` rows; levels are 1/32 octave.
+def most_frequent(df: DataFrame, count_col: str, limit: int, key: str | None = None) -> DataFrame:
+    """Rows of the greatest (positive) counts, at most ``limit``, by levels of 1/32 octave.
 
-    Nothing is sorted: the histogram of levels has a few thousand rows at most, whatever the input.
+    With a ``key`` column the level that no longer fits whole is taken in the key's order, otherwise not at all.  The
+    histogram of levels has a few thousand rows at most, whatever the input; only that one level is sorted, up to the limit.
     """
     level = F.floor(F.log2(count_col) * 32)
-    kept, total = None, 0
+    kept, total, part = None, 0, None
     for r in df.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
-        total += r["count"]
-        if total > limit:
+        if total + r["count"] > limit:
+            part = r.level
             break
-        kept = r.level
-    return df.filter(level >= kept) if kept is not None else df.limit(0)
+        kept, total = r.level, total + r["count"]
+    out = df.filter(level >= kept) if kept is not None else df.limit(0)
+    if key is not None and part is not None and total < limit:
+        out = out.unionAll(df.filter(level == part).orderBy(key).limit(limit - total))
+    return out
+
+
+def few_rows(df: DataFrame, id_col: str, text_col: str, most: int = 4) -> DataFrame:
+    """At most ``most`` rows of an id, those of the least text hashes; others are cut before the shuffle."""
+    place = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col)))
+    return df.withColumn("fr_place", place).filter(F.col("fr_place") <= most).drop("fr_place")
 
 
 def hash_share(column: Column) -> Column:

@@ -6,7 +6,7 @@ softmax over the languages.  A text's language is the one with the highest mean
 mean is its score.  A first layer of this shape depends on bytes and byte pairs only, so it is applied as table look-ups.
 
 The network is trained with numpy on a bounded sample: ``per_lang`` labelled texts of each language, chosen by a hash of
-their id, and ``per_text`` windows spread evenly over each.  Only rows outside the held-out fold with a language and a
+their id (four rows of an id at most), and ``per_text`` windows spread evenly over each.  Only rows outside the held-out fold with a language and a
 text are learned from.
 
 NULL texts and texts without a letter are ``und`` with score 0, and so is every text if there is nothing to learn from.
@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import chunks, fold, hash_share, text_arrays
+from touchline.llm.common import chunks, few_rows, fold, hash_share, text_arrays
 
 WINDOW = 128
 WIDTHS, FILTERS, EMBED, PAD = (2, 3, 4), 16, 8, 256
@@ -142,11 +142,14 @@ def fit(spark: SparkSession, docs: DataFrame, may_learn: Column, id_col: str, te
     order = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("o").bitwiseAND(F.lit((1 << 53) - 1)), "id"))
     keys = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("o"), F.col(id_col).alias("id"))
     # Only ids whose hash is low enough for the first per_lang are ranked, four times as many for safety.
-    size = keys.groupBy("lang").agg(F.count("*").alias("n"))
+    # A row a language; their number is that of the network's classes, which the driver holds anyway.
+    size = F.broadcast(keys.groupBy("lang").agg(F.count("*").alias("n")))
     chosen = (keys.join(size, "lang").filter(hash_share(F.col("o")) * F.col("n") <= 4.0 * per_lang).drop("n").distinct()
               .withColumn("r", order).filter(F.col("r") <= per_lang).select("lang", "id").distinct())
     # At most per_lang ids a language.
     picked = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).join(F.broadcast(chosen), ["lang", "id"])
+    # An id's repeated rows count up to four times.
+    picked = few_rows(picked, "id", "text")
     sample = picked.select("lang", "text").mapInArrow(_sample_windows(per_text), "lang string, bytes binary").toArrow().to_pandas()
     langs = sorted(sample["lang"].unique())
     if not langs:

@@ -8,6 +8,7 @@ single numbers, runs of other signs, white space dropped.
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 
 import numpy as np
@@ -30,6 +31,65 @@ def kinds() -> np.ndarray:
     return kinds
 
 
+@functools.cache
+def library_kinds() -> np.ndarray:
+    """Classes of all code points as the tokenizer library has them: its Unicode tables needn't be Python's."""
+    from tokenizers import Regex, pre_tokenizers
+
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    text = "".join(map(chr, points))
+    points = np.array(points)
+    out = np.full(0x110000, OTHER, np.uint8)
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(text):
+            out[points[a:b]] = kind
+    return out
+
+
+class Normal:
+    """NFC and lower case, as the tokenizer library does them.
+
+    Python does the work; pieces with a code point that its tables lack, or for which the library has another lower case or
+    decomposition, are left to the library.
+    """
+
+    def __init__(self, odd: str | None = None):
+        """``odd`` is the pattern that :meth:`odd_pattern` gave elsewhere."""
+        from tokenizers import normalizers
+
+        self.library = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.odd = re.compile(self.odd_pattern() if odd is None else odd)
+
+    @staticmethod
+    @functools.cache
+    def odd_pattern() -> str:
+        """A class of the code points that are the library's business; the last one stands for none."""
+        from tokenizers import normalizers
+
+        lower, nfd, nfc = normalizers.Lowercase(), normalizers.NFD(), normalizers.NFC()
+
+        def odd(c: str) -> bool:
+            return unicodedata.category(c) == "Cn" or lower.normalize_str(c) != _lower(c) or nfd.normalize_str(c) != unicodedata.normalize("NFD", c) or nfc.normalize_str(c) != unicodedata.normalize("NFC", c)
+
+        points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and odd(chr(c))]
+        ranges, start = ["\\U0010ffff"], 0
+        for k in range(1, len(points) + 1):
+            if k == len(points) or points[k] != points[k - 1] + 1:
+                ranges.append(f"\\U{points[start]:08x}-\\U{points[k - 1]:08x}")
+                start = k
+        return f"[{''.join(ranges)}]"
+
+    def __call__(self, text: str) -> str:
+        if not text.isascii() and self.odd.search(text):
+            return self.library.normalize_str(text)
+        return _lower(unicodedata.normalize("NFC", text))
+
+
+def _lower(text: str) -> str:
+    """Letter by letter, so a capital sigma never becomes the final form."""
+    return text.replace("Σ", "σ").lower()
+
+
 def split_special(texts: list[str], special: dict[str, int]) -> tuple[list[str], np.ndarray, list[int]]:
     """Pieces of ordinary text, the row of each, and for each the id of the special string after it (-1: none)."""
     pieces, rows, after = [], [], []
@@ -49,12 +109,13 @@ def split_special(texts: list[str], special: dict[str, int]) -> tuple[list[str],
 class Segments:
     """Pre-tokens of many pieces: ``starts``, ``ends`` in the joined text, ``piece`` and 64-bit ``hashes`` of each."""
 
-    def __init__(self, pieces: list[str], spaced: bool):
+    def __init__(self, pieces: list[str], spaced: bool, kind_of: np.ndarray | None = None):
+        kind_of = library_kinds() if kind_of is None else kind_of
         self.text = "".join(pieces)
         cp = np.frombuffer(self.text.encode("utf-32-le"), np.uint32)
         n = len(cp)
         edges = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
-        kind = kinds()[cp]
+        kind = kind_of[cp]
         border = np.zeros(n + 1, bool)
         border[edges] = True
         first = border.copy()

@@ -21,16 +21,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.common import chunks, most_frequent, text_arrays, written
-from touchline.llm.pretokens import Segments, split_special
+from touchline.llm.pretokens import Segments, library_kinds, split_special
 
 HEAD = 1 << 18
 KEEP = 500_000
 """Distinct pre-tokens a task holds before it hands them on."""
 
 
-def _distinct(special):
+def _distinct(special, classes):
     """(hash, string, occurrences) of the pre-tokens a task sees."""
     def run(batches):
+        kind_of = np.frombuffer(classes.value, np.uint8)
         index: dict[int, int] = {}
         strings: list[str] = []
         counts = np.zeros(1 << 20, np.int64)
@@ -48,7 +49,7 @@ def _distinct(special):
             _, offsets = text_arrays(texts)
             for i, j in chunks(offsets):
                 pieces, _, _ = split_special([t or "" for t in texts.slice(i, j - i).to_pylist()], special)
-                seg = Segments(pieces, spaced=True)
+                seg = Segments(pieces, True, kind_of)
                 hashes, first, n = np.unique(seg.hashes, return_index=True, return_counts=True)
                 for h, f, k in zip(hashes.tolist(), first.tolist(), n.tolist()):
                     at = index.get(h)
@@ -87,9 +88,10 @@ def _pieces(spec):
     return run
 
 
-def _frequencies(special, head):
+def _frequencies(special, classes, head):
     """Per text one row with its bytes and the pieces of its head pre-tokens, and one row for each rarer pre-token."""
     def run(batches):
+        kind_of = np.frombuffer(classes.value, np.uint8)
         known = np.frombuffer(head.value[0], np.uint64)
         pieces = np.append(np.frombuffer(head.value[1], np.int32), 0)
         for batch in batches:
@@ -98,7 +100,7 @@ def _frequencies(special, head):
             for i, j in chunks(offsets):
                 n = j - i
                 cut, rows, after = split_special([t or "" for t in texts.slice(i, n).to_pylist()], special)
-                seg = Segments(cut, spaced=True)
+                seg = Segments(cut, True, kind_of)
                 row = rows[seg.piece]
                 order = np.lexsort((seg.hashes, row))
                 row, hashes = row[order], seg.hashes[order]
@@ -129,8 +131,9 @@ def count_tokens(spark: SparkSession, docs: DataFrame, vocabulary: str, id_col:
     with open(vocabulary, encoding="utf-8") as f:
         spec = f.read()
     special = {t["content"]: t["id"] for t in json.loads(spec)["added_tokens"]}
+    classes = spark.sparkContext.broadcast(library_kinds().tobytes())
     text = F.col(text_col).alias("tk_text")
-    distinct = (docs.select(text).mapInArrow(_distinct(special), "h bigint, pretoken string, n bigint")
+    distinct = (docs.select(text).mapInArrow(_distinct(special, classes), "h bigint, pretoken string, n bigint")
                 .groupBy("h").agg(F.first("pretoken").alias("pretoken"), F.sum("n").alias("n")))
     counted = written(distinct.mapInArrow(_pieces(spark.sparkContext.broadcast(spec)), "h bigint, n bigint, pieces int"), spark)
     top = most_frequent(counted, "n", head).select("h", "pieces").toArrow()
@@ -139,12 +142,15 @@ def count_tokens(spark: SparkSession, docs: DataFrame, vocabulary: str, id_col:
     table = spark.sparkContext.broadcast((hashes[order].tobytes(), pieces[order].astype(np.int32).tobytes()))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("tk_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("rid"), text).mapInArrow(
-        _frequencies(special, table), f"tk_id {kind}, rid bigint, h bigint, f bigint, n_bytes bigint")
-    one = F.coalesce(F.col("pieces"), F.lit(1)).cast("long")
+        _frequencies(special, classes, table), f"tk_id {kind}, rid bigint, h bigint, f bigint, n_bytes bigint")
+    # Only rarer pre-tokens meet the piece counts; the rows of the texts themselves, which share one key, don't.
+    rows = rows.select("rid", "tk_id", "n_bytes", F.when(F.col("n_bytes").isNull(), F.col("h")).alias("h"), "f")
+    alone = F.when(F.col("h").isNull(), F.xxhash64("rid")).otherwise(F.col("h")).alias("h")
     is_text = F.col("n_bytes").isNotNull()
+    rows = rows.select("rid", "tk_id", "n_bytes", alone, "f", is_text.alias("is_text"))
     total = (rows.join(counted.select("h", "pieces"), "h", "left")
              .groupBy("rid").agg(F.max("tk_id").alias("tk_id"), F.max("n_bytes").alias("n_bytes"), F.count("n_bytes").alias("copies"),
-                                 F.sum(F.when(is_text, F.col("f")).otherwise(F.col("f") * one)).alias("sum"))
+                                 F.sum(F.when(F.col("is_text"), F.col("f")).otherwise(F.col("f") * F.coalesce("pieces", F.lit(1)).cast("long"))).alias("sum"))
              .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
     tokens = F.expr("sum div copies")
     return total.select(F.col("tk_id").alias(id_col), "n_bytes", tokens.alias("n_tokens"), (tokens > limit).alias("over_limit"))

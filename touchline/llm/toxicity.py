@@ -2,10 +2,11 @@
 
 Features are the n-grams of 5, 6 and 8 characters of the lower-cased text, by presence, hashed to 2^20 cells; every run
 of characters other than letters and digits counts as one space, so n-grams see where words begin and end.  From labelled
-texts each cell gets the log ratio of its shares among toxic and other texts (add-one smoothing); about ``features`` cells
-that tell the classes apart best are kept, and a logistic regression with these ratios as feature values is fitted.
+texts each cell gets the log ratio of its shares among toxic and other texts (add-one smoothing); the ``features`` cells
+that tell the classes apart best are kept (ties by cell number), and a logistic regression with these ratios as feature values is fitted.
 
-Labelled texts are a bounded sample: ``per_class`` ids of either label, chosen by a hash of the id, weighted back to the
+Labelled texts are a bounded sample: ``per_class`` ids of either label, chosen by a hash of the id, with four rows of an
+id at most, weighted back to the
 classes' true shares, toxic texts ``TOXIC_WEIGHT`` times.  Ids labelled both ways and NULL labels are left out.  Scoring reads every whole text.
 
 NULL and empty texts get the score of a text without features.  Repeated rows each give a row.  Without labels of both
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import chunks, combine, fold, hash_share, mix, most_frequent, text_arrays, written
+from touchline.llm.common import chunks, combine, few_rows, fold, hash_share, mix, most_frequent, text_arrays, written
 from touchline.llm.pretokens import NUMBER, kinds
 
 SIZES = (5, 6, 8)
@@ -114,7 +115,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, may_learn: Colu
     ids = [known.filter(F.col("toxic") == label).filter(hash_share(F.col("o")) * totals[label] <= 4.0 * per_class).orderBy(low, "id").limit(per_class) for label in (0, 1)]
     # At most 2 * per_class ids.
     chosen = F.broadcast(ids[0].unionAll(ids[1]))
-    sample = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id").select("toxic", "text", "o"), spark)
+    # An id's repeated rows count up to four times, so the sample has at most 8 * per_class rows.
+    found = few_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id"), "id", "text")
+    sample = written(found.select("toxic", "text", "o"), spark)
     counts = sample.select("toxic", "text").mapInArrow(_class_counts, "cell bigint, toxic bigint, other bigint").groupBy("cell").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if set(n) != {0, 1}:
@@ -123,7 +126,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, may_learn: Colu
     p, q = share("toxic", 1), share("other", 0)
     apart = F.abs(p - q) / F.sqrt(p * (1 - p) / n[1] + q * (1 - q) / n[0])
     told = counts.filter(F.col("toxic") + F.col("other") >= 3).select("cell", F.log(p / q).alias("ratio"), apart.alias("apart")).filter("apart > 0")
-    top = most_frequent(written(told, spark), "apart", features).toArrow().sort_by("cell")
+    top = most_frequent(written(told, spark), "apart", features, "cell").toArrow().sort_by("cell")
     ratio = top["ratio"].to_numpy()
     number = np.full(CELLS, -1, np.int32)
     number[top["cell"].to_numpy()] = np.arange(len(ratio), dtype=np.int32)
