@@ -47,7 +47,7 @@ def ragged(offsets: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class Codec:
     """Encoder and decoder of one vocabulary, built from its tokenizer file's text."""
 
-    def __init__(self, spec: str, kinds: bytes | None = None, odd: str | None = None):
+    def __init__(self, spec: str, kinds: bytes | None = None, odd: bytes | None = None):
         """``kinds`` and ``odd`` are the library's tables (see ``pretokens``), where they are already known."""
         spec = json.loads(spec)
         model = spec["model"]
@@ -187,7 +187,7 @@ class Codec:
 _codec: dict[int, Codec] = {}
 
 
-def codec(spec: str, kinds: bytes, odd: str) -> Codec:
+def codec(spec: str, kinds: bytes, odd: bytes) -> Codec:
     """The worker's codec of a vocabulary; built once."""
     key = hash(spec)
     if key not in _codec:
@@ -218,7 +218,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, keep: list[str
     ``vocabulary`` is the path of a tokenizer file on the driver; its text is what workers get.
     """
     with open(vocabulary, encoding="utf-8") as f:
-        spec = spark.sparkContext.broadcast((f.read(), library_kinds().tobytes(), Normal.odd_pattern()))
+        spec = spark.sparkContext.broadcast((f.read(), library_kinds().tobytes(), Normal.odd_points()))
     kept = docs.select(*keep)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "n_tokens bigint", "ids array<int>", *(["decoded string"] if with_text else [])])
     names = [*kept.columns, "n_tokens", "ids", *(["decoded"] if with_text else [])]

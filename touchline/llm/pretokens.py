@@ -8,7 +8,6 @@ single numbers, runs of other signs, white space dropped.
 from __future__ import annotations
 
 import functools
-import re
 import unicodedata
 
 import numpy as np
@@ -53,17 +52,17 @@ class Normal:
     decomposition, are left to the library.
     """
 
-    def __init__(self, odd: str | None = None):
-        """``odd`` is the pattern that :meth:`odd_pattern` gave elsewhere."""
+    def __init__(self, odd: bytes | None = None):
+        """``odd`` is the table that :meth:`odd_points` gave elsewhere."""
         from tokenizers import normalizers
 
         self.library = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
-        self.odd = re.compile(self.odd_pattern() if odd is None else odd)
+        self.odd = np.frombuffer(self.odd_points() if odd is None else odd, np.bool_)
 
     @staticmethod
     @functools.cache
-    def odd_pattern() -> str:
-        """A class of the code points that are the library's business; the last one stands for none."""
+    def odd_points() -> bytes:
+        """For every code point whether it is the library's business."""
         from tokenizers import normalizers
 
         lower, nfd, nfc = normalizers.Lowercase(), normalizers.NFD(), normalizers.NFC()
@@ -71,16 +70,10 @@ class Normal:
         def odd(c: str) -> bool:
             return unicodedata.category(c) == "Cn" or lower.normalize_str(c) != _lower(c) or nfd.normalize_str(c) != unicodedata.normalize("NFD", c) or nfc.normalize_str(c) != unicodedata.normalize("NFC", c)
 
-        points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and odd(chr(c))]
-        ranges, start = ["\\U0010ffff"], 0
-        for k in range(1, len(points) + 1):
-            if k == len(points) or points[k] != points[k - 1] + 1:
-                ranges.append(f"\\U{points[start]:08x}-\\U{points[k - 1]:08x}")
-                start = k
-        return f"[{''.join(ranges)}]"
+        return np.array([not 0xD800 <= c < 0xE000 and odd(chr(c)) for c in range(0x110000)]).tobytes()
 
     def __call__(self, text: str) -> str:
-        if not text.isascii() and self.odd.search(text):
+        if not text.isascii() and self.odd[np.frombuffer(text.encode("utf-32-le"), np.uint32)].any():
             return self.library.normalize_str(text)
         return _lower(unicodedata.normalize("NFC", text))
 
