@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import Words, chunks, combine, mix, most_frequent, plain, text_arrays, written
+from touchline.llm.common import Words, chunks, combine, discard, mix, most_frequent, plain, text_arrays, written
 from touchline.llm.components import components
 
 WIDTH, PERCENT, ROUNDS, LEAF = 4, 85, 4, 32
@@ -214,11 +214,13 @@ class _Join:
         sets = written(sets, self.spark)
         both = pairs.join(sets.withColumnRenamed("grams", "gx"), "x").join(sets.select(F.col("x").alias("y"), F.col("grams").alias("gy")), "y")
         common = F.size(F.array_intersect("gx", "gy"))
-        return written(both.select("x", "y", common.alias("common"), (F.size("gx") + F.size("gy") - common).alias("all"))
+        out = written(both.select("x", "y", common.alias("common"), (F.size("gx") + F.size("gy") - common).alias("all"))
                        .select("x", "y", (1 - F.col("common") / F.col("all")).alias("d"), (100 * F.col("common") >= self.percent * F.col("all")).alias("linked")), self.spark)
+        discard(pairs, sets)
+        return out
 
     def divide(self, members: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-        """One level: links to each region's pivot, and the members of the next regions.
+        """One level: links to each region's pivot, and the members of the next regions; both are written, what led to them is removed.
 
         A member's ``level`` is the last one at which it linked to its region's pivot, 0 while it is outside.  Regions of
         the result have members outside (``open``) or members of several levels.
@@ -240,7 +242,9 @@ class _Join:
         nearest = F.min(F.when(F.col("level") != level, F.coalesce("d", F.lit(0.0))))
         reach = known.groupBy("t").agg((nearest - self.radius).alias("reach"), F.count("*").alias("m"), F.min("level").alias("low"), F.max("level").alias("high"))
         reach = reach.filter("m > 1 and (low = 0 or low < high)").select("t", "reach", "m", (F.col("low") == 0).alias("open"))
-        rest = known.join(reach, "t").filter((F.col("level") != level) | F.col("d").isNull() | (F.col("d") >= F.col("reach"))).drop("reach")
+        discard(around)
+        rest = written(known.join(reach, "t").filter((F.col("level") != level) | F.col("d").isNull() | (F.col("d") >= F.col("reach"))).drop("reach"), self.spark)
+        discard(known)
         return found.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")), rest
 
     def leaves(self, members: DataFrame, links: DataFrame) -> DataFrame:
@@ -264,7 +268,9 @@ def _classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, w
     """One row per row of ``docs``: id, key (hash of the text), n and component."""
     texts = docs.select(F.col(text_col).alias("text"))
     repeated = texts.mapInArrow(_repeated(width), "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
-    top = most_frequent(written(repeated, spark), "n", hot).toArrow()
+    repeated = written(repeated, spark)
+    top = most_frequent(repeated, "n", hot).toArrow()
+    discard(repeated)
     shingles, counts = top["t"].to_numpy().view(np.uint64), top["n"].to_numpy()
     order = np.argsort(shingles)
     table = spark.sparkContext.broadcast((shingles[order].tobytes(), counts[order].tobytes()))
@@ -273,14 +279,15 @@ def _classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, w
     points = written(points, spark)
     several = points.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count("*").alias("m")).filter("m > 1")
     members = points.filter(F.size("prefix") > 0).select("x", "n", "rare", "prefix").mapInArrow(_shared_members(_bitmap(spark, several, "t")), "t bigint, x bigint, n bigint, rare int, place int")
-    members = written(members.withColumns({"d": F.lit(None).cast("double"), "level": F.lit(0)}), spark)
+    members = first_members = written(members.withColumns({"d": F.lit(None).cast("double"), "level": F.lit(0)}), spark)
     work, links = _Join(spark, texts, points, width, percent), None
     left = None
     for depth in range(max(rounds, 1)):
         if depth and members.isEmpty():
             break
         found, rest = work.divide(members, depth + 1)
-        rest = written(rest, spark)
+        if not depth:
+            discard(first_members)
         links = found if links is None else links.unionAll(found)
         # Pivots come from outside: a region without is not divided again.
         small = rest.filter((F.col("m") <= LEAF) | ~F.col("open")).drop("m", "open")
