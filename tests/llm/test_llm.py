@@ -464,7 +464,7 @@ def test_query_equals_its_sql(name, spark, sf):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages_equal_brute_force(spark, sf):
