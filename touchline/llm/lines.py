@@ -1,37 +1,50 @@
 """Line de-duplication by winnowing over line hashes.
 
 A line is identified by its words ``[^\\x20\\x09-\\x0D]+`` (their order and case count, white space doesn't); lines
-without words take no part.  From every line the shortest run of lines with at least ``min_words`` words is taken, once
-forwards and once backwards.  Each such window is fingerprinted by its minimal line hash, and windows are joined on that
-minimum together with the hash of the run it stands for.  A run of ``min_words`` or more words that two places share
-holds one of these windows around each of its lines, so no shared run goes unseen, and the windows matched in it overlap
-and so extend a match both ways to the whole repeated run.  Later places, in the order of id and line, lose the run.
-
-NULL texts stay NULL, empty texts empty, and a text whose lines all go becomes empty; no row is dropped.  Rows with the
-same id and text count as one place, so none of them is deleted on account of the other.  Rows with equal ids and
-different texts are ordered by a hash of the text; NULL ids come first.  Columns besides id and text pass through.
+without words take no part.  A window is a run of lines with at least ``min_words`` words that has fewer without its first
+or without its last line.  Of every window the line of the least hash is selected (the first of equal ones): these lines are
+the fingerprints.  A run of ``min_words`` or more words that two places share holds a whole window, and both places select
+the same line of it, so no shared run goes unseen.
+
+Selected lines are joined on their hash; those found once are out.  A selected line that is found again is extended both
+ways, to each of the (at most 2 ``min_words``) windows that selected it, and an extended match belongs to the first place,
+in the order of id and line, that has the same lines.  So a common line doesn't bring all pairs of its places: each is
+compared with one place per window.  Windows overlap by all lines but one, so what they match adds up to whole repeated
+runs, whichever earlier places these come from.  Later places lose the run.
+
+Ids are whole numbers.  NULL texts stay NULL, empty texts empty, and a text whose lines all go becomes empty; no row is
+dropped.  Rows with the same id and text count as one place, so none of them is deleted on account of the other.  Rows with
+equal ids and different texts are ordered by a hash of the text; NULL ids come first.  Columns besides id and text pass
+through.  Time is linear in a text's length, however many of its lines repeat.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from touchline.llm.common import STEP, Words, chunks, mix, plain, powers, text_arrays, written
 
 MIN_WORDS = 50
 _INVERSE = np.uint64(pow(int(STEP), -1, 1 << 64))
-_WINDOWS = "tl_id bigint, tl_key bigint, fingerprint bigint, run bigint, first_line int, last_line int"
+_SELECTED = "tl_id bigint, tl_key bigint, fingerprint bigint, extents array<struct<run: bigint, first_line: int, last_line: int>>"
+_CUT = StructType([StructField("text", StringType()), StructField("n_deleted", LongType())])
 
 
 def _inverse_powers(n: int) -> np.ndarray:
     return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n - 1, 0), _INVERSE)]), dtype=np.uint64)[:n]
 
 
-def windows_of(data: np.ndarray, offsets: np.ndarray, i: int, j: int, min_words: int):
-    """Windows of rows i..j: arrays (row, minimum, run hash, first line, last line), line numbers within the row."""
+def winnow(data: np.ndarray, offsets: np.ndarray, i: int, j: int, min_words: int):
+    """Selected lines of rows i..j and the windows that selected them, line numbers within the row.
+
+    (row, line hash, offsets into the windows) of the lines, and (run hash, first line, last line) of the windows; None if
+    no row has ``min_words`` words.
+    """
     words = Words(data, offsets, i, j, lower=False)
     breaks = np.cumsum(words.data == 10)
     line = breaks[words.starts] if len(words.starts) else np.zeros(0, np.int64)
@@ -59,9 +72,14 @@ def windows_of(data: np.ndarray, offsets: np.ndarray, i: int, j: int, min_words:
     s, e = pairs
     prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers(len(hashes)), dtype=np.uint64)])
     run = mix((prefix[e + 1] - prefix[s]) * _inverse_powers(len(hashes))[s] + (e - s + 1).astype(np.uint64))
-    bounds = np.stack([s, e + 1], axis=1).ravel()
-    least = np.minimum.reduceat(np.append(hashes, np.uint64(2**64 - 1)), bounds)[::2]
-    return row[s], least, run, line[s], line[e]
+    order = np.argsort(hashes, kind="stable")
+    rank = np.empty(len(order) + 1, np.int64)
+    rank[order], rank[-1] = at, len(order)
+    chosen = order[np.minimum.reduceat(rank, np.stack([s, e + 1], axis=1).ravel())[::2]]
+    # Neither end of a window comes before that of the window before it, so the chosen lines ascend.
+    new = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+    lines = chosen[new]
+    return (row[lines], hashes[lines], np.append(new, len(chosen))), (run, line[s], line[e])
 
 
 def _emit(min_words: int):
@@ -69,18 +87,49 @@ def _emit(min_words: int):
         for batch in batches:
             data, offsets = text_arrays(batch.column(2))
             for i, j in chunks(offsets):
-                found = windows_of(data, offsets, i, j, min_words)
+                found = winnow(data, offsets, i, j, min_words)
                 if found is not None:
-                    row, least, run_hash, first, last = found
-                    part = batch.slice(i, j - i)
+                    (row, hashes, bounds), (run_hash, first, last) = found
+                    part, row = batch.slice(i, j - i), pa.array(row)
+                    extents = pa.StructArray.from_arrays(
+                        [pa.array(run_hash.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
+                        names=["run", "first_line", "last_line"])
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(least.view(np.int64)), pa.array(run_hash.view(np.int64)),
-                         pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
-                        names=["tl_id", "tl_key", "fingerprint", "run", "first_line", "last_line"])
+                        [part.column(0).take(row), part.column(1).take(row), pa.array(hashes.view(np.int64)),
+                         pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), extents)],
+                        names=["tl_id", "tl_key", "fingerprint", "extents"])
 
     return run
 
 
+def cut(text: str, firsts: np.ndarray, lasts: np.ndarray) -> tuple[str, int]:
+    """``text`` without the lines firsts[k]..lasts[k], and the number of lines that went."""
+    lines = text.split("\n")
+    step = np.bincount(firsts, minlength=len(lines) + 1) - np.bincount(lasts + 1, minlength=len(lines) + 1)
+    gone = np.cumsum(step)[:-1] > 0
+    return "\n".join(x for x, g in zip(lines, gone) if not g), int(gone.sum())
+
+
+@F.pandas_udf(_CUT)
+def _cut_all(text: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFrame:
+    out = [(None, None) if t is None else cut(t, f, z) for t, f, z in zip(text, firsts, lasts)]
+    return pd.DataFrame({"text": [t for t, _ in out], "n_deleted": pd.array([n for _, n in out], dtype="Int64")})
+
+
+def repeated_runs(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Of ``docs`` (tl_id, tl_key, tl_text): tl_id, tl_key, first_line, last_line of every window that an earlier place has too.
+
+    Windows of a text overlap where it repeats more than ``min_words`` words.
+    """
+    selected = written(docs.select("tl_id", "tl_key", "tl_text").mapInArrow(_emit(min_words), _SELECTED), spark)
+    again = selected.groupBy("fingerprint").count().filter("count > 1").select("fingerprint")
+    hits = selected.join(again, "fingerprint", "left_semi").select("tl_id", "tl_key", "fingerprint", F.inline("extents"))
+    place = F.struct(F.col("tl_id").isNotNull().alias("known"), F.coalesce("tl_id", F.lit(0)).alias("id"), "tl_key", "first_line")
+    firsts = hits.groupBy("fingerprint", "run").agg(F.min(place).alias("place"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return (hits.join(firsts, ["fingerprint", "run"]).filter(place > F.col("place"))
+            .select("tl_id", "tl_key", "first_line", "last_line").distinct())
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later repeated runs of lines deleted from the text, and n_lines and n_deleted (long), which replace columns of these names."""
     docs = docs.drop(*(n for n in ("n_lines", "n_deleted") if n not in (id_col, text_col)))
@@ -88,20 +137,16 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     docs, names, at = plain(docs)
     id_col, text_col = at[id_col], at[text_col]
     docs = docs.withColumns({"tl_id": F.col(id_col).cast("long"), "tl_key": F.xxhash64(text_col)})
-    windows = written(docs.select("tl_id", "tl_key", F.col(text_col).alias("tl_text")).mapInArrow(_emit(min_words), _WINDOWS), spark)
-    place = F.struct(F.col("tl_id").isNotNull().alias("known"), F.coalesce("tl_id", F.lit(0)).alias("id"), "tl_key", "first_line")
-    firsts = (windows.groupBy("fingerprint", "run").agg(F.min(place).alias("place"), F.count("*").alias("n"))
-              .filter("n > 1").drop("n"))
-    gone = (windows.join(firsts, ["fingerprint", "run"]).filter(place > F.col("place"))
-            .select("tl_id", "tl_key", F.explode(F.sequence("first_line", "last_line")).alias("line")).distinct()
-            .groupBy("tl_id", "tl_key").agg(F.collect_list("line").alias("tl_gone"))
+    gone = (repeated_runs(spark, docs.withColumn("tl_text", F.col(text_col)), min_words)
+            .groupBy("tl_id", "tl_key").agg(F.collect_list(F.struct("first_line", "last_line")).alias("tl_gone"))
             .withColumnsRenamed({"tl_id": "tl_gone_id", "tl_key": "tl_gone_key"}))
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("tl_gone", i)), "\n")
+    # Only texts that lose lines go through Python.
+    left = _cut_all(F.when(F.col("tl_gone").isNotNull(), F.col(text_col)), F.col("tl_gone.first_line"), F.col("tl_gone.last_line"))
     return (docs.join(gone, F.col("tl_id").eqNullSafe(F.col("tl_gone_id")) & (F.col("tl_key") == F.col("tl_gone_key")), "left")
-            .withColumns({text_col: F.when(F.col("tl_gone").isNull(), F.col(text_col)).otherwise(kept),
-                          "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"),
-                          "n_deleted": F.coalesce(F.size("tl_gone"), F.lit(0)).cast("long")})
+            .withColumn("tl_left", left)
+            .withColumns({"n_lines": F.coalesce(F.size(F.split(F.col(text_col), "\n", -1)), F.lit(0)).cast("long"),
+                          "n_deleted": F.coalesce("tl_left.n_deleted", F.lit(0)).cast("long"),
+                          text_col: F.when(F.col("tl_gone").isNull(), F.col(text_col)).otherwise(F.col("tl_left.text"))})
             .select(*names, "n_lines", "n_deleted").toDF(*columns, "n_lines", "n_deleted"))
 
 
