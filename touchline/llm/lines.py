@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from touchline.llm.common import STEP, Words, chunks, mix, plain, powers, text_arrays, written
+from touchline.llm.common import STEP, Words, chunks, discard, mix, plain, powers, text_arrays, written
 
 MIN_WORDS = 50
 _INVERSE = np.uint64(pow(int(STEP), -1, 1 << 64))
@@ -119,13 +119,15 @@ def _cut_all(text: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFra
 def repeated_runs(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Of ``docs`` (tl_id, tl_key, tl_text): tl_id, tl_key, first_line, last_line of every window that an earlier place has too.
 
-    Windows of a text overlap where it repeats more than ``min_words`` words.
+    Windows of a text overlap where it repeats more than ``min_words`` words.  What is joined to a table is written first, so
+    that both sides of a join are plain exchanges and Spark splits a line or window that very many texts have.
     """
     selected = written(docs.select("tl_id", "tl_key", "tl_text").mapInArrow(_emit(min_words), _SELECTED), spark)
-    again = selected.groupBy("fingerprint").count().filter("count > 1").select("fingerprint")
-    hits = selected.join(again, "fingerprint", "left_semi").select("tl_id", "tl_key", "fingerprint", F.inline("extents"))
+    again = written(selected.groupBy("fingerprint").count().filter("count > 1").select("fingerprint"), spark)
+    hits = written(selected.join(again, "fingerprint", "left_semi").select("tl_id", "tl_key", "fingerprint", F.inline("extents")), spark)
+    discard(selected, again)
     place = F.struct(F.col("tl_id").isNotNull().alias("known"), F.coalesce("tl_id", F.lit(0)).alias("id"), "tl_key", "first_line")
-    firsts = hits.groupBy("fingerprint", "run").agg(F.min(place).alias("place"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    firsts = written(hits.groupBy("fingerprint", "run").agg(F.min(place).alias("place"), F.count("*").alias("n")).filter("n > 1").drop("n"), spark)
     return (hits.join(firsts, ["fingerprint", "run"]).filter(place > F.col("place"))
             .select("tl_id", "tl_key", "first_line", "last_line").distinct())
 
