@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import written
+from touchline.llm.common import discard, written
 
 
 def _to_least(edges: DataFrame, both_ways: bool) -> DataFrame:
@@ -34,7 +34,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     state = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     before = state(edges)
     while True:
-        edges = written(_to_least(_to_least(edges, True), False), spark)
+        shorter = written(_to_least(_to_least(edges, True), False), spark)
+        discard(edges)
+        edges = shorter
         after = state(edges)
         if after == before:
             break

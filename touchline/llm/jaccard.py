@@ -164,17 +164,34 @@ def _shared_members(bitmap):
     return run
 
 
-def _wanted_sets(bitmap, width):
+def _heads_in(bitmap):
+    """Heads whose point passes the bit map."""
     def run(batches):
         bits = np.frombuffer(bitmap.value, np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(_in_map(bits, batch.column("x").to_numpy())))
+
+    return run
+
+
+def _wanted_sets(bitmap, keys, width):
+    """Shingles of the points that pass the bit map; only texts whose key passes that of the keys are cut into words."""
+    def run(batches):
+        bits, key_bits = np.frombuffer(bitmap.value, np.uint8), np.frombuffer(keys.value, np.uint8)
         seen: set[int] = set()
         for batch in batches:
-            data, offsets = text_arrays(batch.column(0))
+            asked = np.flatnonzero(_in_map(key_bits, batch.column("key").to_numpy()))
+            if not len(asked):
+                continue
+            data, offsets = text_arrays(batch.column("text").take(pa.array(asked)))
             for i, j in chunks(offsets):
                 grams, upto = shingle_sets(data, offsets, i, j, width)
                 signature = _signatures(grams, upto)
-                rows = [r for r in np.flatnonzero(_in_map(bits, signature) & (np.diff(upto) > 0)) if signature[r] not in seen]
-                seen.update(signature[rows].tolist())
+                rows = []
+                for r in np.flatnonzero(_in_map(bits, signature) & (np.diff(upto) > 0)).tolist():
+                    if int(signature[r]) not in seen:
+                        seen.add(int(signature[r]))
+                        rows.append(r)
                 if len(seen) > HOLD:
                     seen.clear()
                 if rows:
@@ -189,10 +206,14 @@ def _can_link(n1: Column, n2: Column, place1: Column, place2: Column, percent: i
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (F.least(n1 - place1, n2 - place2) >= need)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("x").unionAll(pairs.select(F.col("y").alias("x")))
+
+
 class _Join:
     def __init__(self, spark: SparkSession, texts: DataFrame, points: DataFrame, width: int, percent: int):
         self.spark, self.texts, self.width, self.percent = spark, texts, width, percent
-        heads = points.filter(F.size("prefix") > 0).groupBy("x").agg(F.first(F.struct("n", "marks")).alias("h")).select("x", "h.n", "h.marks")
+        heads = points.filter(F.size("prefix") > 0).groupBy("x").agg(F.first(F.struct("n", "marks", "key")).alias("h")).select("x", "h.n", "h.marks", "h.key")
         self.heads = written(heads, spark)
         self.radius = 1 - percent / 100 + 1e-9
 
@@ -202,23 +223,37 @@ class _Join:
         If two prefixes share A shingles, the sets share at most A and what the longer one has besides its prefix.  A is
         overestimated from the 16-bit marks (marks that coincide within a prefix are added), so no link is lost.
         """
-        ends = [self.heads.select(F.col("x").alias(c), F.col("n").alias(f"n_{c}"), F.col("marks").alias(f"marks_{c}")) for c in "xy"]
-        marked = pairs.distinct().join(ends[0], "x").join(ends[1], "y")
+        spark = self.spark
+        candidates = written(pairs.distinct(), spark)
+        if candidates.isEmpty():
+            return candidates.select("x", "y", F.lit(0.0).alias("d"), F.lit(False).alias("linked"))
+        heads = self._heads_of(candidates)
+        ends = [heads.select(F.col("x").alias(c), F.col("n").alias(f"n_{c}"), F.col("marks").alias(f"marks_{c}")) for c in "xy"]
+        marked = candidates.join(ends[0], "x").join(ends[1], "y")
         doubles = F.size("marks_x") - F.size(F.array_distinct("marks_x"))
         shared = F.size(F.array_intersect("marks_x", "marks_y")) + doubles
         most = shared + F.ceil(self.percent * F.greatest("n_x", "n_y") / 100 - 1e-9) - 1
         need = F.ceil(self.percent * (F.col("n_x") + F.col("n_y")) / (100 + self.percent) - 1e-9)
-        pairs = written(marked.filter(most >= need).select("x", "y"), self.spark)
-        points = pairs.select("x").unionAll(pairs.select("y"))
-        sets = (self.texts.mapInArrow(_wanted_sets(_bitmap(self.spark, points, "x"), self.width), "x bigint, grams array<bigint>").dropDuplicates(["x"]))
-        sets = written(sets, self.spark)
-        both = pairs.join(sets.withColumnRenamed("grams", "gx"), "x").join(sets.select(F.col("x").alias("y"), F.col("grams").alias("gy")), "y")
+        pairs = written(marked.filter(most >= need).select("x", "y"), spark)
+        discard(candidates)
+        keys = _bitmap(spark, self._heads_of(pairs), "key")
+        sets = self.texts.mapInArrow(_wanted_sets(_bitmap(spark, _ends(pairs), "x"), keys, self.width), "x bigint, grams array<bigint>")
+        # Copies in several tasks give a set several times; one row of each is chosen by its number, not by moving the sets.
+        sets = written(sets.withColumn("row", F.monotonically_increasing_id()), spark)
+        chosen = sets.groupBy("x").agg(F.min("row").alias("row"))
+        rows = [chosen.select(F.col("x").alias(c), F.col("row").alias(f"row_{c}")) for c in "xy"]
+        grams = [sets.select(F.col("row").alias(f"row_{c}"), F.col("grams").alias(f"g{c}")) for c in "xy"]
+        both = pairs.join(rows[0], "x").join(rows[1], "y").join(grams[0], "row_x").join(grams[1], "row_y")
         common = F.size(F.array_intersect("gx", "gy"))
         out = written(both.select("x", "y", common.alias("common"), (F.size("gx") + F.size("gy") - common).alias("all"))
-                       .select("x", "y", (1 - F.col("common") / F.col("all")).alias("d"), (100 * F.col("common") >= self.percent * F.col("all")).alias("linked")), self.spark)
+                       .select("x", "y", (1 - F.col("common") / F.col("all")).alias("d"), (100 * F.col("common") >= self.percent * F.col("all")).alias("linked")), spark)
         discard(pairs, sets)
         return out
 
+    def _heads_of(self, pairs: DataFrame) -> DataFrame:
+        """Heads of the points of ``pairs``, and a few others; what is not asked for stays out of the shuffles."""
+        return self.heads.mapInArrow(_heads_in(_bitmap(self.spark, _ends(pairs), "x")), self.heads.schema)
+
     def divide(self, members: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
         """One level: links to each region's pivot, and the members of the next regions; both are written, what led to them is removed.
 
@@ -266,8 +301,8 @@ class _Join:
 
 def _classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, rounds: int, hot: int) -> DataFrame:
     """One row per row of ``docs``: id, key (hash of the text), n and component."""
-    texts = docs.select(F.col(text_col).alias("text"))
-    repeated = texts.mapInArrow(_repeated(width), "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
+    texts = docs.select(F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    repeated = texts.select("text").mapInArrow(_repeated(width), "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
     repeated = written(repeated, spark)
     top = most_frequent(repeated, "n", hot).toArrow()
     discard(repeated)
@@ -281,6 +316,8 @@ def _classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, w
     members = points.filter(F.size("prefix") > 0).select("x", "n", "rare", "prefix").mapInArrow(_shared_members(_bitmap(spark, several, "t")), "t bigint, x bigint, n bigint, rare int, place int")
     members = first_members = written(members.withColumns({"d": F.lit(None).cast("double"), "level": F.lit(0)}), spark)
     work, links = _Join(spark, texts, points, width, percent), None
+    prefixed, points = points, written(points.select("id", "key", "x", "n"), spark)
+    discard(prefixed)
     left = None
     for depth in range(max(rounds, 1)):
         if depth and members.isEmpty():
