@@ -22,8 +22,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Stored pages can be large: bound an Arrow batch by bytes, not only by rows.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    # Stored pages and texts can be large: bound an Arrow batch by bytes, not only by rows.  A task holds several batches at
+    # once, in the JVM beside its heap and in Python.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024),
     # The JIT compiler skips methods above 8000 bytes of bytecode; wide marts exceed that
     # when fused, so let Spark split them instead of running them interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
