@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from touchline.session import configure, shared_dir
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 """Texts are worked on in pieces of this many bytes, or one text where it is longer."""
 
 _random = np.random.default_rng(20240229)
