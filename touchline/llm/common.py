@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -101,13 +102,27 @@ def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give freed memory back to the system, where its C library can: a reused worker keeps its greatest extent otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges whose texts hold at most ``limit`` bytes together; a longer text makes a range of its own."""
+    """Row ranges whose texts hold at most ``limit`` bytes together; a longer text makes a range of its own.
+
+    After the last one, freed memory is released.
+    """
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
+    release()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
