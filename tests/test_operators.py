@@ -105,6 +105,34 @@ def test_prefix_match_with_null_and_repeated_ids(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(1, "A", "r1"), (None, "A", "r1"), (1, "B", None), (None, None, "r2")], key=str)
 
 
+def test_prefix_match_spreads_a_name_of_most_rows(spark, monkeypatch):
+    """One name with nine million pairs: no task makes more than half of them, and none is lost or doubled."""
+    monkeypatch.setattr(joins, "CELL_SIDE", 1 << 8, raising=False)
+    def side(n, one):
+        rows = spark.range(n).select(F.col("id").alias(one), F.lit("d").alias("d"), F.lit("Ajax").alias("name"))
+        return rows.union(spark.createDataFrame([(-1, "d", {"id": "Solo", "rid": "Zeta"}[one]), (-2, None, "Ajax"), (-3, "d", None), (-4, "d", "PSV")], "id long, d string, name string"))
+
+    m = joins.prefix_match(side(3000, "id"), side(3000, "rid"), ["d"], "name").select("l.id", "r.rid", F.spark_partition_id().alias("at"))
+    per_task = [r["count"] for r in m.groupBy("at").count().collect()]
+    assert max(per_task) < 3000 * 3000 / 2
+    both = m.filter("id >= 0 and rid >= 0")
+    assert tuple(both.agg(F.count("*"), F.countDistinct("id"), F.countDistinct("rid"), F.countDistinct(F.col("id") * 3000 + F.col("rid"))).first()) == (9_000_000, 3000, 3000, 9_000_000)
+    rest = sorted(map(tuple, m.filter("coalesce(id, -1) < 0 or coalesce(rid, -1) < 0").select("id", "rid").collect()), key=repr)
+    assert rest == sorted([(i, None) for i in (-1, -2, -3)] + [(None, i) for i in (-1, -2, -3)] + [(-4, -4)], key=repr)
+
+
+def test_prefix_match_in_cells_equals_brute_force(spark, monkeypatch):
+    """Rows that repeat, names that fit several others, some in cells and some not."""
+    monkeypatch.setattr(joins, "CELL_PAIRS", 20)
+    monkeypatch.setattr(joins, "CELL_SIDE", 2)
+    names = ["Ajax", "AJAX Amsterdam", "PSV", "psv eindhoven", "Feyenoord", "", None, "FC", "The Ajax"]
+    rnd = random.Random(5)
+    left = [(i, rnd.choice(["d1", "d1", "d2", None]), rnd.choice(names)) for i in range(60)]
+    right = [(100 + i, rnd.choice(["d1", "d1", "d2", "d3"]), rnd.choice(names)) for i in range(60)]
+    m = joins.prefix_match(spark.createDataFrame(left, "id int, d string, name string"), spark.createDataFrame(right, "rid int, d string, name string"), ["d"], "name")
+    assert sorted(map(tuple, m.select("l.id", "r.rid").collect()), key=repr) == sorted(_brute_pairs(left, right), key=repr)
+
+
 def test_previous_version_reads_the_history_once(spark, tmp_path):
     rows = [("a", 1, False, "h1", 10), ("a", 2, False, "h2", 20), ("a", 3, True, "h3", 30), ("b", 1, True, "h4", 40), (None, 1, False, "h5", 50), (None, 2, True, "h6", 60), ("c", 1, False, "h7", 70)]
     spark.createDataFrame(rows, "k string, valid_from int, is_current boolean, record_hash string, v int").write.parquet(str(tmp_path / "h"))
