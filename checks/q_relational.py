@@ -116,7 +116,7 @@ def j4_one(spark, sf):
 SELECT l.id, count(*) AS partners FROM ({_HOSTS}) l JOIN ({_GUESTS}) r ON l.bucket = r.bucket
   AND (contains(lower(l.name), lower(left(r.name, 5))) OR contains(lower(r.name), lower(left(l.name, 5)))) GROUP BY l.id HAVING count(*) > 1""")
 def j4_ambiguous(spark, sf):
-    return joins.ambiguous_pairs(joins.prefix_match(*_clubs(spark, sf), ["bucket"], "name"), ("id", "id"))
+    return joins.ambiguous_pairs(joins.prefix_match(*_clubs(spark, sf), ["bucket"], "name", counts=True), ("id", "id"))
 
 
 @query("j5_semi_join", sql("SELECT k, status, amount FROM scd2 WHERE k IN (SELECT k FROM scd_act WHERE action = 'UPDATE')"))

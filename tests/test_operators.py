@@ -133,6 +133,20 @@ def test_prefix_match_in_cells_equals_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, m.select("l.id", "r.rid").collect()), key=repr) == sorted(_brute_pairs(left, right), key=repr)
 
 
+def test_ambiguous_pairs_are_counted_without_making_them(spark):
+    """Four hundred million pairs, counted from the counts of the names; ids that repeat or are NULL add up."""
+    left = spark.range(20_000).select((F.col("id") % 5000).alias("id"), F.lit("d").alias("d"), F.when(F.col("id") % 2 == 0, "Ajax").otherwise("Lone").alias("name"))
+    left = left.union(spark.createDataFrame([(None, "d", "Ajax"), (9999, "d", None), (9998, None, "Ajax")], "id long, d string, name string"))
+    right = spark.range(40_000).select(F.col("id").alias("rid"), F.lit("d").alias("d"), F.lit("Ajax FC").alias("name"))
+    counted = joins.prefix_match(left, right, ["d"], "name", counts=True)
+    assert counted.count() == 20_003
+    got = joins.ambiguous_pairs(counted, ("id", "rid"))
+    assert {(r.id, r.partners) for r in got.collect()} == {(i, 4 * 40_000) for i in range(0, 5000, 2)} | {(None, 40_000)}
+    few = right.limit(3)
+    pairs, sums = (joins.ambiguous_pairs(joins.prefix_match(left, few, ["d"], "name", counts=c), ("id", "rid")) for c in (False, True))
+    assert pairs.schema.simpleString() == sums.schema.simpleString() and sorted(map(repr, pairs.collect())) == sorted(map(repr, sums.collect()))
+
+
 def test_previous_version_reads_the_history_once(spark, tmp_path):
     rows = [("a", 1, False, "h1", 10), ("a", 2, False, "h2", 20), ("a", 3, True, "h3", 30), ("b", 1, True, "h4", 40), (None, 1, False, "h5", 50), (None, 2, True, "h6", 60), ("c", 1, False, "h7", 70)]
     spark.createDataFrame(rows, "k string, valid_from int, is_current boolean, record_hash string, v int").write.parquet(str(tmp_path / "h"))

@@ -165,7 +165,7 @@ def _spread(l: DataFrame, r: DataFrame, on: Sequence[str], pairs: float) -> Data
     return dealt(l, "__lcut", "__rcut").repartition(n, *cell).join(dealt(r, "__rcut", "__lcut").repartition(n, *cell).hint("merge"), cell)
 
 
-def prefix_match(left: DataFrame, right: DataFrame, equal: Sequence[str], name: str) -> DataFrame:
+def prefix_match(left: DataFrame, right: DataFrame, equal: Sequence[str], name: str, *, counts: bool = False) -> DataFrame:
     """Full outer join on ``equal`` columns plus "one name holds the other's first characters".
 
     Output: structs ``l`` and ``r`` (NULL where unmatched).  Names are matched, not rows: the pairs of names that fit
@@ -176,10 +176,16 @@ def prefix_match(left: DataFrame, right: DataFrame, equal: Sequence[str], name:
     A name of the right that very many pairs of rows share (:data:`CELL_PAIRS`) is cut into cells of rows that any task can
     take, so neither memory nor time of a task grows with it.
 
+    With ``counts``, the left rows once each, as ``l``, and in ``partners`` with how many right rows each would pair: from
+    the counts of the names, so that the pairs aren't made.
+
     The distinct keys of both sides and the pairs of names are stored while the plan is made, and the rows of names that
     are cut; each side is read twice.
     """
     l, r, fits, keys = _fitting(left, right, equal, name)
+    if counts:
+        found = fits.groupBy(*keys, "__ln").agg(F.sum("__rrows").alias("partners"))
+        return l.join(found, [*keys, "__ln"], "left").select("l", F.coalesce("partners", F.lit(0)).alias("partners"))
     shared = fits.groupBy(*keys, "__rn").agg(F.sum("__lrows").alias("__lrows"), F.max("__rrows").alias("__rrows"))
     product = F.col("__lrows").cast("double") * F.col("__rrows")
     hot = stored(shared.filter(product > CELL_PAIRS).select(
@@ -243,7 +249,9 @@ def best_match(left: DataFrame, right: DataFrame, equal: Sequence[str], name: st
 
 
 def ambiguous_pairs(matched: DataFrame, ids: tuple[str, str]) -> DataFrame:
-    """Left rows that found several partners, with the partner count."""
-    return (matched.filter(F.col("l").isNotNull() & F.col("r").isNotNull())
-            .groupBy(F.col("l")[ids[0]].alias(ids[0])).agg(F.count(F.lit(1)).alias("partners"))
-            .filter("partners > 1"))
+    """Left rows that found several partners, with the partner count; ``matched`` holds pairs or counts (:func:`prefix_match`)."""
+    if "partners" in matched.columns:
+        found, partners = matched.filter("partners > 0"), F.sum("partners")
+    else:
+        found, partners = matched.filter(F.col("l").isNotNull() & F.col("r").isNotNull()), F.count(F.lit(1))
+    return found.groupBy(F.col("l")[ids[0]].alias(ids[0])).agg(partners.alias("partners")).filter("partners > 1")
