@@ -12,7 +12,7 @@ from checks.registry import SQL, query
 from checks.sql import rdiv, rh, sk, sql
 from touchline.operators import changes, filters, sides
 from touchline.plans import silver
-from touchline.session import shared_dir
+from touchline.session import shared_dir, stored
 from touchline.sources import pages, payloads, tables
 
 c = F.col
@@ -332,7 +332,8 @@ def _stat_pages(rows, name):
 @query("m6_bronze_player_pages", SQL["m6_bronze_player_stats"])
 def m6_pages(spark, sf):
     """The same tables as stored pages, whose headers differ from page to page."""
-    p = fx.bronze_players(spark, sf)
+    # Five kinds of pages are made of these rows: computed once.
+    p = stored(fx.bronze_players(spark, sf).select("competition_name", "season", *{src: None for page in _PAGE.values() for src in page.values()}))
     found = {n: _stat_pages(p.filter("minutes % 2 = 0") if n == "shooting" else p, n) for n in _PAGE}
     out = pages.player_stats_of_pages(found, batch_ts=LOADED, parts=["part"])
     return out.select(*m6(spark, sf).columns)

@@ -1,6 +1,7 @@
 """Payload files, HTML pages, schemas, catalog and the incremental load."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,3 +204,35 @@ def test_a_new_checkpoint_goes_on_where_the_table_stands(spark, tmp_path):
     closing = changes.TableConfig("t", silver.matches, ("match_id",), ("match_status",), deletes="close")
     with pytest.raises(ValueError, match="whole"):
         load_new_payloads(spark, str(folder), schemas.MATCH_PAYLOAD, payloads.flatten_matches, closing, table, str(tmp_path / "c"))
+
+
+def test_plain_pages_are_cut_at_their_tags_as_the_parser_reads_them():
+    """Pages of plain tags and text give the parser's rows without it; all others go through it."""
+    tags = frozenset(("td", "th"))
+
+    def parsed(html, table):
+        p = pages._Cells(table, "tr", tags)
+        p.feed(html)
+        p.finish()
+        return p.rows
+
+    plain = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "<TD rowspan=2>", "</td>", '<th COLSPAN="2" colspan=3>', "</th>", "a & b", "&amp;", "&lt", "x>y", "<thead>",
+             "</thead>", "<tbody>", '<td class="a&amp;b" nowrap>', '<td\nrowspan="0" >', "</td >", "text ", "\n", "é&nbsp;", '<td rowspan="&#50;">', "<td rowspan=3colspan=2>"]
+    other = ["<br/>", "<!-- <td> -->", "<script>if(a<b)", "</script>", "<3", "< td>", "<a-b>", "<title>", "</title>", "<td =x>", '<p title="<td>">', "</>", "<?pi>", "<th colspan='2'>",
+             "</tr x=1>", "<td a = 3>", '<td rowspan="2"colspan="3">', "<td\x0b>"]
+    rnd = random.Random(7)
+    read = 0
+    for n in range(4000):
+        html = "".join(rnd.choice(plain if n % 2 else plain + other) for _ in range(rnd.randint(1, 25))) + ("</table>" if n % 3 else "")
+        for table in ("table", None):
+            assert pages._Cells(table, "tr", tags).read(html) == parsed(html, table), html
+            read += pages._Cells(table, "tr", tags)._read_plain(html)
+    assert read > 2000
+
+
+def test_player_pages_are_made_from_rows_computed_once(spark, sf):
+    from checks.registry import QUERIES
+    import checks.q_changes  # noqa: F401
+
+    text = QUERIES["m6_bronze_player_pages"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in text and "l_orderkey" not in text

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,14 @@ def _span(given: str | None, most: int) -> int:
     return min(n, most) if n else (most if most > 1000 else 1)
 
 
+_WS = r"[ \t\n\r\f]"
+_ATTR = rf"""{_WS}+([a-zA-Z][a-zA-Z0-9:_-]*)(?:=(?:"([^"<>]*)"|([a-zA-Z0-9%._#-]+)))?"""
+_PLAIN_TAG = re.compile(rf"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:{_ATTR.replace('(', '(?:').replace('(?:?:', '(?:')})*){_WS}*>")
+_PLAIN_ATTR = re.compile(_ATTR)
+# What these hold isn't read as markup.
+_RAW = frozenset(("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext", "svg", "math"))
+
+
 class _Cells(HTMLParser):
     """Collects the text of cells, per row, per table, for one page.
 
@@ -34,6 +45,35 @@ class _Cells(HTMLParser):
         self.tables, self.rows = 0, []
         self.open = [] if table_tag else [self._fresh()]
 
+    def read(self, html: str) -> list[tuple]:
+        """The rows of a page.  One that is nothing but plain tags and text is cut at its tags, any other goes through the parser."""
+        if not self._read_plain(html):
+            self.feed(html)
+        self.finish()
+        return self.rows
+
+    def _read_plain(self, html: str) -> bool:
+        """Whether the page was read: text, "/" of end tags, name and attributes follow each other."""
+        parts = _PLAIN_TAG.split(html)
+        names = parts[2::4]
+        if parts[-1] or html.count("<") != len(names) or any(parts[k + 2] and parts[k] for k in range(1, len(parts), 4)):
+            return False
+        lower = {name: name.lower() for name in set(names)}
+        if not _RAW.isdisjoint(lower.values()):
+            return False
+        known = {self.table_tag, self.row_tag, *self.cell_tags, "thead", "tbody", "tfoot"}
+        for text, end, name, attrs in zip(parts[::4], parts[1::4], names, parts[3::4]):
+            if text and self.open and self.open[-1]["text"] is not None:
+                self.handle_data(unescape(text) if "&" in text else text)
+            tag = lower[name]
+            if tag not in known:
+                continue
+            if end:
+                self.handle_endtag(tag)
+            else:
+                self.handle_starttag(tag, [(n.lower(), unescape(quoted or bare)) for n, quoted, bare in _PLAIN_ATTR.findall(attrs)] if attrs else ())
+        return True
+
     def _fresh(self) -> dict:
         self.tables += 1
         return {"table": self.tables - 1, "row": -1, "cells": None, "text": None, "spans": None, "span": None, "head": False}
@@ -66,8 +106,10 @@ class _Cells(HTMLParser):
         elif self.open and tag in self.cell_tags and self.open[-1]["cells"] is not None:
             at = self.open[-1]
             self._end_cell(at)
-            given = dict(attrs)
-            at["text"], at["span"] = [], (_span(given.get("rowspan"), 65534), _span(given.get("colspan"), 1000), tag == "th")
+            at["text"], at["span"] = [], (1, 1, tag == "th")
+            if attrs:
+                given = dict(attrs)
+                at["span"] = (_span(given.get("rowspan"), 65534), _span(given.get("colspan"), 1000), tag == "th")
         elif self.open and tag in ("thead", "tbody", "tfoot"):
             self._end_row(self.open[-1])
             self.open[-1]["head"] = tag == "thead"
@@ -102,10 +144,7 @@ def html_rows(
         for batch in batches:
             out = []
             for u, text in zip(batch["u"], batch["h"]):
-                parser = _Cells(table_tag, row_tag, tags)
-                parser.feed(text or "")
-                parser.finish()
-                out.extend((u, *row[:3]) for row in parser.rows)
+                out.extend((u, *row[:3]) for row in _Cells(table_tag, row_tag, tags).read(text or ""))
             yield pd.DataFrame(out, columns=["url", "table_no", "row_no", "cells"])
 
     schema = "url string, table_no int, row_no int, cells array<string>"
@@ -118,6 +157,9 @@ def fill_grid(rows: Sequence[tuple[Sequence[str], Sequence[tuple[int, int, bool]
     hanging: dict[int, tuple[int, str]] = {}   # column -> rows still to fill, text
 
     for cells, spans in rows:
+        if not hanging and all(down == across == 1 for down, across, _ in spans):
+            out.append([*cells])
+            continue
         line: list[str] = []
 
         def hang() -> bool:
@@ -155,11 +197,8 @@ def header_names(levels: Sequence[Sequence[str]]) -> list[str]:
 def _tables(html: str | None) -> Iterator[tuple[int, list[str], list[list[str]]]]:
     """(number, column names, body rows) of every table of a page: header rows are those of ``thead``, else the leading rows
     of nothing but heading cells, else the first row."""
-    parser = _Cells("table", "tr", frozenset(("td", "th")))
-    parser.feed(html or "")
-    parser.finish()
     by_table: dict[int, list] = {}
-    for row in sorted(parser.rows, key=lambda r: r[:2]):
+    for row in sorted(_Cells("table", "tr", frozenset(("td", "th"))).read(html or ""), key=lambda r: r[:2]):
         by_table.setdefault(row[0], []).append(row)
     for number, rows in by_table.items():
         grid = fill_grid([(r[2], r[3]) for r in rows])
@@ -177,20 +216,25 @@ def page_columns(pages: DataFrame, wanted: Mapping[str, Mapping], *header_words:
     patterns = {name: dict(pattern) for name, pattern in wanted.items()}
     kept = [*keep]
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for page in batch.itertuples(index=False):
-                for _, columns, body in _tables(page[-1]):
+            ids, numbers, texts = [[] for _ in kept], [], [[] for _ in patterns]
+            for *page, text in zip(*[column.to_pylist() for column in batch.columns]):
+                for _, columns, body in _tables(text):
                     if all(any(w in c for c in columns) for w in header_words):
+                        for own, value in zip(ids, page):
+                            own.extend([value] * len(body))
+                        numbers.extend(range(len(body)))
                         found = [find_column(columns, **p) for p in patterns.values()]
-                        at = [columns.index(c) if c is not None else None for c in found]
-                        out.extend((*page[:-1], k, *[row[i] if i is not None and i < len(row) else None for i in at]) for k, row in enumerate(body))
+                        for own, name in zip(texts, found):
+                            i = columns.index(name) if name is not None else None
+                            own.extend([None] * len(body) if i is None else [row[i] if i < len(row) else None for row in body])
                         break
-            yield pd.DataFrame(out, columns=[*kept, "row_no", *patterns], dtype=object).astype({"row_no": "int32"})
+            arrays = [*[pa.array(v, pa.string()) for v in ids], pa.array(numbers, pa.int32()), *[pa.array(v, pa.string()) for v in texts]]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "row_no", *patterns])
 
     schema = ", ".join([*(f"`{k}` string" for k in kept), "row_no int", *(f"`{n}` string" for n in patterns)])
-    return pages.select(*[F.col(k).cast("string").alias(k) for k in kept], F.col(html).alias("__html")).mapInPandas(parse, schema)
+    return pages.select(*[F.col(k).cast("string").alias(k) for k in kept], F.col(html).alias("__html")).mapInArrow(parse, schema)
 
 
 def pick_table(rows: DataFrame, *header_words: str) -> DataFrame:
