@@ -306,3 +306,29 @@ def test_the_payload_line_runs_all_rules_and_finds_planted_faults(spark, sf, tmp
     bad = {(r.table_name, r.check_name) for r in out["data_quality"].filter("NOT passed").collect()}
     assert ("stg_standings", "RANGE: points in [0, 150]") in bad and ("stg_matches", "RANGE: home_goals in [0, 20]") in bad
     assert not any("UNIQUE" in name or "SINGLE CURRENT" in name for _, name in bad)
+
+
+def test_first_load_moves_keys_only_and_keeps_the_latest_of_a_repeated_key(spark, tmp_path):
+    """Without repeats no wide row is moved (no window); with repeats the last one of a key counts, also for a NULL key."""
+    path, seen = str(tmp_path / "t"), []
+    real = tables.dedup_latest
+    tables.dedup_latest = lambda *a: (seen.append(a), real(*a))[1]
+    try:
+        assert tables.load_batch(spark, path, CONFIG, rows(spark, *[(f"k{i}", "1") for i in range(50)]), "b1", T[0]).first().new_records == 50
+        assert not seen and tables.read_history(spark, path).count() == 50
+        again = str(tmp_path / "u")
+        twice = rows(spark, *[("a", str(v)) for v in range(5)], ("b", "1"), (None, "1"), (None, "2"))
+        assert tables.load_batch(spark, again, CONFIG, twice, "b1", T[0]).first().new_records == 3 and len(seen) == 1
+    finally:
+        tables.dedup_latest = real
+    want = changes.prepare(CONFIG.transform(twice), list(CONFIG.keys), CONFIG.hash_cols, T[0], CONFIG.latest_by)
+    cols = [*CONFIG.keys, "record_hash"]
+    assert sorted(map(repr, tables.read_history(spark, again).select(cols).collect())) == sorted(map(repr, want.select(cols).collect()))
+
+
+def test_previous_version_query_moves_no_columns_that_nobody_asked_for(spark, sf):
+    from checks import q_relational
+    from checks.registry import QUERIES
+
+    text = QUERIES["j9_previous_version"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert q_relational and "goals" in text and "key_passes" not in text

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from touchline.operators import changes
 from touchline.operators.sides import stack_all
+from touchline.operators.windows import dedup_latest
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -113,6 +114,7 @@ def row_counts(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
 NEW, END, MISSING, BACK = "new", "end", "missing", "back"
 _COMMITS = ("batch_id string, seq long, kind string, attempt string, columns string, keys array<string>, at timestamp, "
             "rows long, origin string")
+_STATISTICS = "table_name string, new_records long, updated_records long, unchanged_records long, deleted_records long"
 _DERIVED = ("valid_to", "transformed_at", "is_current")
 ROWS_A_FILE = 1_000
 """An attempt whose files have fewer rows than this, on average, is written again in fewer files."""
@@ -275,6 +277,20 @@ def _write(spark: SparkSession, path: str, batch_id: str, part: str, rows: DataF
     return name, n
 
 
+def _write_first(spark: SparkSession, path: str, batch_id: str, rows: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> tuple[str, int]:
+    """Write the first load of a table, one row a key.  (attempt, rows).
+
+    Nothing is joined, so rows stay where they are: they are written as they come and their keys alone are counted.  Only
+    if a key repeats are the written rows brought together, and written again without the repeats.
+    """
+    name, n = _write(spark, path, batch_id, "open", rows)
+    if n:
+        written = spark.read.schema(rows.schema).parquet(f"{path}/attempt={name}/versions=open")
+        if not written.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+            return _write(spark, path, batch_id, "open", dedup_latest(written, keys, [*latest_by, "record_hash"]))
+    return name, n
+
+
 def settle(spark: SparkSession, path: str, *, before: str | None = None) -> bool:
     """Make the versions that are open now the new base and put ended ones, with their end, into a closed part."""
     log = _log(spark, path)
@@ -315,32 +331,34 @@ def load_batch(spark: SparkSession, path: str, config: changes.TableConfig, sour
         log = _log(spark, path)
         known = _known(log, before=batch_id)
     keys = list(config.keys)
+    if known is None:
+        rows = changes.stamp_version(changes.with_hash(config.transform(source), config.hash_cols), ts).drop(*_DERIVED)
+        columns = T.StructType(rows.schema.fields).json()
+        attempt, n = _write_first(spark, path, batch_id, rows.withColumns({"__kind": F.lit(NEW), "__batch": F.lit(batch_id)}), keys, config.latest_by)
+        _commit(spark, path, batch_id, log[-1].seq + 1 if log else 1, "batch", attempt, columns, keys, ts, n, origin)
+        return spark.createDataFrame([(config.target, n, 0, 0, 0)], _STATISTICS)
     batch = changes.prepare(config.transform(source), keys, config.hash_cols, ts, config.latest_by).drop(*_DERIVED)
     columns = T.StructType(batch.schema.fields).json()
     stamp = {"valid_from": F.lit(ts).cast("timestamp"), "__batch": F.lit(batch_id)}
     seen = Observation()
     counted = {a: F.count_if(F.col("action") == a) for a in ("INSERT", "UPDATE", "UNCHANGED", "DELETE")}
-    if known is None:
-        rows = batch.withColumns({"action": F.lit("INSERT"), "__kind": F.lit(NEW)})
-    else:
-        base, tail = _events(spark, path, known)
-        state = _state(base, tail if known.tail else None, keys)
-        old = state.select(*[F.col(k).alias(f"__o{i}") for i, k in enumerate(keys)], F.struct("record_hash", "__kind").alias("old"))
-        new = batch.select(*[F.col(k).alias(f"__n{i}") for i, k in enumerate(keys)], F.struct("*").alias("new"))
-        on = reduce(lambda a, b: a & b, [F.col(f"__n{i}") == F.col(f"__o{i}") for i in range(len(keys))])
-        was, here = F.col("old.__kind"), F.col("new").isNotNull()
-        known_key = was.isNotNull() & (was != END)
-        same = F.col("new.record_hash").eqNullSafe(F.col("old.record_hash"))
-        vanished = ~here & known_key & (F.lit(config.deletes == "close") | (was != MISSING))
-        action = (F.when(here & ~known_key, "INSERT").when(here & ~same, "UPDATE").when(here, "UNCHANGED").when(vanished, "DELETE"))
-        kind = (F.when(F.col("action").isin("INSERT", "UPDATE"), NEW).when(F.col("action") == "DELETE", END if config.deletes == "close" else MISSING)
-                .when((F.col("action") == "UNCHANGED") & (was == MISSING), BACK))
-        rows = new.join(old, on, "full_outer").withColumn("action", action).withColumn("__kind", kind)
-        own = {k: F.coalesce(F.col("new")[k], F.col(f"__o{i}")) for i, k in enumerate(keys)} | {"record_hash": F.coalesce("new.record_hash", "old.record_hash")}
-        rows = rows.select(*[own.get(n, F.when(F.col("__kind") == NEW, F.col("new")[n])).alias(n) for n in batch.columns], "action", "__kind")
+    base, tail = _events(spark, path, known)
+    state = _state(base, tail if known.tail else None, keys)
+    old = state.select(*[F.col(k).alias(f"__o{i}") for i, k in enumerate(keys)], F.struct("record_hash", "__kind").alias("old"))
+    new = batch.select(*[F.col(k).alias(f"__n{i}") for i, k in enumerate(keys)], F.struct("*").alias("new"))
+    on = reduce(lambda a, b: a & b, [F.col(f"__n{i}") == F.col(f"__o{i}") for i in range(len(keys))])
+    was, here = F.col("old.__kind"), F.col("new").isNotNull()
+    known_key = was.isNotNull() & (was != END)
+    same = F.col("new.record_hash").eqNullSafe(F.col("old.record_hash"))
+    vanished = ~here & known_key & (F.lit(config.deletes == "close") | (was != MISSING))
+    action = (F.when(here & ~known_key, "INSERT").when(here & ~same, "UPDATE").when(here, "UNCHANGED").when(vanished, "DELETE"))
+    kind = (F.when(F.col("action").isin("INSERT", "UPDATE"), NEW).when(F.col("action") == "DELETE", END if config.deletes == "close" else MISSING)
+            .when((F.col("action") == "UNCHANGED") & (was == MISSING), BACK))
+    rows = new.join(old, on, "full_outer").withColumn("action", action).withColumn("__kind", kind)
+    own = {k: F.coalesce(F.col("new")[k], F.col(f"__o{i}")) for i, k in enumerate(keys)} | {"record_hash": F.coalesce("new.record_hash", "old.record_hash")}
+    rows = rows.select(*[own.get(n, F.when(F.col("__kind") == NEW, F.col("new")[n])).alias(n) for n in batch.columns], "action", "__kind")
     rows = rows.withColumns(stamp).observe(seen, *[v.alias(a) for a, v in counted.items()])
-    attempt, n = _write(spark, path, batch_id, "tail" if known else "open", rows.filter(F.col("__kind").isNotNull()).drop("action"))
-    _commit(spark, path, batch_id, log[-1].seq + 1 if log else 1, "batch", attempt, columns, keys, ts, n, origin)
+    attempt, n = _write(spark, path, batch_id, "tail", rows.filter(F.col("__kind").isNotNull()).drop("action"))
+    _commit(spark, path, batch_id, log[-1].seq + 1, "batch", attempt, columns, keys, ts, n, origin)
     found = seen.get
-    return spark.createDataFrame([(config.target, *[found[a] for a in counted])],
-                                 "table_name string, new_records long, updated_records long, unchanged_records long, deleted_records long")
+    return spark.createDataFrame([(config.target, *[found[a] for a in counted])], _STATISTICS)
