@@ -150,9 +150,7 @@ def j8(spark, sf):
 SELECT n.player_season_key, n.goals, o.goals AS prev_goals, o.minutes AS prev_minutes FROM p_hist n LEFT JOIN (SELECT * FROM p_hist WHERE NOT is_current) o USING (player_season_key)
 WHERE n.is_current"""))
 def j9(spark, sf):
-    # The operator keeps all columns of a history, so it gets those that are asked for.
-    history = fx.player_history(spark, sf).select("player_season_key", "goals", "minutes", "valid_from", "record_hash", "is_current")
-    p = joins.previous_version(history, "player_season_key", {"prev_goals": "goals", "prev_minutes": "minutes"})
+    p = joins.previous_version(fx.player_history(spark, sf), "player_season_key", {"prev_goals": "goals", "prev_minutes": "minutes"}, keep=["player_season_key", "goals"])
     return p.select("player_season_key", "goals", "prev_goals", "prev_minutes")
 
 

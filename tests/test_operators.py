@@ -332,3 +332,11 @@ def test_samples_of_a_rule_are_bounded_and_its_own(spark, faulty):
     assert r.details == "10 failures" and len(r.samples) == 5 and all(int(s[6:-1]) % 4 == 0 for s in r.samples)
     assert quality.run_rule(spark, "none", "SELECT id FROM faulty_t WHERE FALSE", "2024-01-03", "r", samples=True).first().samples == []
     assert quality.run_rule(spark, "bad", "SELECT nothing FROM faulty_t", "2024-01-03", "r", samples=True).first().samples == []
+
+
+def test_previous_version_moves_only_the_columns_to_keep(spark):
+    h = spark.createDataFrame([("a", 1, 7, "2024-01-01", False), ("a", 2, 8, "2024-02-01", True), ("a", 2, 9, "2024-03-01", True), (None, 5, 5, "2024-01-01", True)],
+                              "k string, v int, other int, valid_from string, is_current boolean").withColumn("record_hash", F.lit("h"))
+    p = joins.previous_version(h, "k", {"before": "v"}, keep=["v"])
+    assert p.columns == ["v", "before"] and sorted(map(tuple, p.collect()), key=repr) == [(2, 1), (2, 1), (5, None)]
+    assert "other" not in p._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]

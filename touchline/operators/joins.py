@@ -65,21 +65,22 @@ def new_or_changed(batch: DataFrame, history: DataFrame, keys: Sequence[str], ha
             .select(*batch.columns))
 
 
-def previous_version(history: DataFrame, key: str, take: Mapping[str, str]) -> DataFrame:
-    """Current versions with columns of the latest closed version of the same key.
+def previous_version(history: DataFrame, key: str, take: Mapping[str, str], keep: Sequence[str] | None = None) -> DataFrame:
+    """Current versions with columns of the latest closed version of the same key; of their own, those of ``keep`` (all, if not given).
 
     One read and one aggregation of the history: each task keeps one closed version of a key, and only the columns taken
     from it, before anything is shuffled.  Several current rows of a key all get the same closed version; rows with a
     NULL key have none.
     """
+    columns = [*(history.columns if keep is None else keep)]
     here = F.col(key).isNotNull()
     # A row without a key is a group of its own.
     alone = F.when(~here, F.monotonically_increasing_id()).alias("__alone")
     closed = F.struct(*[F.col(c).alias(f"__p{i}") for i, c in enumerate(take.values())])
     known = history.groupBy(key, alone).agg(
-        F.collect_list(F.when(F.col("is_current"), F.struct(*[n for n in history.columns if n != key]))).alias("__now"),
+        F.collect_list(F.when(F.col("is_current"), F.struct(*[n for n in columns if n != key]))).alias("__now"),
         F.max_by(closed, F.when(here & ~F.col("is_current"), F.struct("valid_from", "record_hash"))).alias("__prev"))
-    return known.select(key, "__prev", F.inline("__now")).select(*history.columns, *[F.col(f"__prev.__p{i}").alias(n) for i, n in enumerate(take)])
+    return known.select(key, "__prev", F.inline("__now")).select(*columns, *[F.col(f"__prev.__p{i}").alias(n) for i, n in enumerate(take)])
 
 
 def enrich(base: DataFrame, tables: Mapping[str, DataFrame], keys: Sequence[str], columns: Mapping[str, Sequence[str]], latest_by: str) -> DataFrame:
