@@ -1,5 +1,6 @@
 """Cases that once went wrong: template texts, wrapped articles, letters newer than Python's tables, repeated ids, hot languages."""
 
+import os
 import time
 
 import numpy as np
@@ -8,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from touchline.llm import blocks, bpe, langid, pretokens, tokencount, toxicity
+from touchline.llm import blocks, bpe, jaccard, langid, pretokens, tokencount, toxicity
 from touchline.llm.common import most_frequent
+from touchline.session import shared_dir
 
 P = "<p>" + "A sentence with enough words to be read as running text. " * 3 + "</p>"
 TEXT = " ".join(("A sentence with enough words to be read as running text. " * 3).split())
@@ -92,3 +94,21 @@ def test_token_counts_of_newer_letters_equal_the_library(spark):
     want = {i: len(library.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
     assert {r.doc_id: r.n_tokens for r in tokencount.count_tokens(spark, df, path, head=0).collect()} == want
     assert {r.doc_id: r.n_tokens for r in tokencount.count_tokens(spark, df, path).collect()} == want
+
+
+def test_near_duplicates_leave_no_bit_maps_and_tables_behind(spark):
+    """Each bit map is a file of 8 MB on the driver and on every executor, however small the input."""
+    def large():
+        found = (os.path.join(d, n) for d, _, names in os.walk(spark.sparkContext._temp_dir) for n in names)
+        return {f for f in found if os.path.getsize(f) >= 1 << 20}
+
+    docs = []
+    for k in range(3):
+        words = [f"g{k}w{i}" for i in range(60)]
+        docs += [" ".join(words[:-n] + [f"g{k}c{n}x{i}" for i in range(n)]) for n in (1, 2, 3)] + [" ".join(words)] * 2
+    before, tables = large(), set(os.listdir(shared_dir(spark)))
+    out = jaccard.join(spark, spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in out.collect()} == {i: i // 5 * 5 for i in range(15)}
+    assert large() <= before
+    # Only the points and the components are still read by the result.
+    assert len(set(os.listdir(shared_dir(spark))) - tables) == 2

@@ -28,7 +28,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 
     Links may come in either direction and repeat.  Each round hangs every node on the least neighbour of its neighbours
     and is written to the shared folder; rounds grow with the logarithm of the longest path.  Nodes with very many links
-    are aggregated before the shuffle and joined, never gathered.
+    are aggregated before the shuffle and joined, never gathered.  The result can be discarded like a written table.
     """
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), spark)
     state = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -42,4 +42,6 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             break
         before = after
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("least"))
-    return stars.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("least")).distinct())
+    out = stars.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("least")).distinct())
+    out.touchline_path = edges.touchline_path
+    return out

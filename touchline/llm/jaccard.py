@@ -132,7 +132,10 @@ def _points(hot, width, percent):
 
 
 def _bitmap(spark: SparkSession, values: DataFrame, column: str):
-    """Broadcast bit map of fixed size (8 MB) in which the bits of all values of a long column are set."""
+    """Broadcast bit map of fixed size (8 MB) in which the bits of all values of a long column are set.
+
+    The driver and every executor keep a broadcast in a file of its size: whoever asks for one destroys it once what reads it is written.
+    """
     cell = F.col(column).bitwiseAND(F.lit((1 << MAP_BITS) - 1))
     cells = (values.select(cell.alias("b")).groupBy(F.shiftright("b", 6).alias("cell"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("bits")).toArrow())
@@ -216,6 +219,17 @@ class _Join:
         heads = points.filter(F.size("prefix") > 0).groupBy("x").agg(F.first(F.struct("n", "marks", "key")).alias("h")).select("x", "h.n", "h.marks", "h.key")
         self.heads = written(heads, spark)
         self.radius = 1 - percent / 100 + 1e-9
+        self.scratch = [self.heads]
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """``df`` as a table that stays until ``close``."""
+        self.scratch.append(written(df, self.spark))
+        return self.scratch[-1]
+
+    def close(self) -> None:
+        """Remove all tables; nothing that reads the links or members may still be open."""
+        discard(*self.scratch)
+        self.scratch = []
 
     def distances(self, pairs: DataFrame) -> DataFrame:
         """(x, y, d, linked) of those pairs of points that can link, with the points' shingles read once more for these only.
@@ -226,8 +240,10 @@ class _Join:
         spark = self.spark
         candidates = written(pairs.distinct(), spark)
         if candidates.isEmpty():
+            self.scratch.append(candidates)
             return candidates.select("x", "y", F.lit(0.0).alias("d"), F.lit(False).alias("linked"))
-        heads = self._heads_of(candidates)
+        asked = _bitmap(spark, _ends(candidates), "x")
+        heads = self._asked_heads(asked)
         ends = [heads.select(F.col("x").alias(c), F.col("n").alias(f"n_{c}"), F.col("marks").alias(f"marks_{c}")) for c in "xy"]
         marked = candidates.join(ends[0], "x").join(ends[1], "y")
         doubles = F.size("marks_x") - F.size(F.array_distinct("marks_x"))
@@ -235,24 +251,28 @@ class _Join:
         most = shared + F.ceil(self.percent * F.greatest("n_x", "n_y") / 100 - 1e-9) - 1
         need = F.ceil(self.percent * (F.col("n_x") + F.col("n_y")) / (100 + self.percent) - 1e-9)
         pairs = written(marked.filter(most >= need).select("x", "y"), spark)
+        asked.destroy()
         discard(candidates)
-        keys = _bitmap(spark, self._heads_of(pairs), "key")
-        sets = self.texts.mapInArrow(_wanted_sets(_bitmap(spark, _ends(pairs), "x"), keys, self.width), "x bigint, grams array<bigint>")
+        asked = _bitmap(spark, _ends(pairs), "x")
+        keys = _bitmap(spark, self._asked_heads(asked), "key")
+        sets = self.texts.mapInArrow(_wanted_sets(asked, keys, self.width), "x bigint, grams array<bigint>")
         # Copies in several tasks give a set several times; one row of each is chosen by its number, not by moving the sets.
         sets = written(sets.withColumn("row", F.monotonically_increasing_id()), spark)
+        asked.destroy()
+        keys.destroy()
         chosen = sets.groupBy("x").agg(F.min("row").alias("row"))
         rows = [chosen.select(F.col("x").alias(c), F.col("row").alias(f"row_{c}")) for c in "xy"]
         grams = [sets.select(F.col("row").alias(f"row_{c}"), F.col("grams").alias(f"g{c}")) for c in "xy"]
         both = pairs.join(rows[0], "x").join(rows[1], "y").join(grams[0], "row_x").join(grams[1], "row_y")
         common = F.size(F.array_intersect("gx", "gy"))
-        out = written(both.select("x", "y", common.alias("common"), (F.size("gx") + F.size("gy") - common).alias("all"))
-                       .select("x", "y", (1 - F.col("common") / F.col("all")).alias("d"), (100 * F.col("common") >= self.percent * F.col("all")).alias("linked")), spark)
+        out = self.kept(both.select("x", "y", common.alias("common"), (F.size("gx") + F.size("gy") - common).alias("all"))
+                        .select("x", "y", (1 - F.col("common") / F.col("all")).alias("d"), (100 * F.col("common") >= self.percent * F.col("all")).alias("linked")))
         discard(pairs, sets)
         return out
 
-    def _heads_of(self, pairs: DataFrame) -> DataFrame:
-        """Heads of the points of ``pairs``, and a few others; what is not asked for stays out of the shuffles."""
-        return self.heads.mapInArrow(_heads_in(_bitmap(self.spark, _ends(pairs), "x")), self.heads.schema)
+    def _asked_heads(self, asked) -> DataFrame:
+        """Heads of the points in the bit map, and a few others; what is not asked for stays out of the shuffles."""
+        return self.heads.mapInArrow(_heads_in(asked), self.heads.schema)
 
     def divide(self, members: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
         """One level: links to each region's pivot, and the members of the next regions; both are written, what led to them is removed.
@@ -278,7 +298,7 @@ class _Join:
         reach = known.groupBy("t").agg((nearest - self.radius).alias("reach"), F.count("*").alias("m"), F.min("level").alias("low"), F.max("level").alias("high"))
         reach = reach.filter("m > 1 and (low = 0 or low < high)").select("t", "reach", "m", (F.col("low") == 0).alias("open"))
         discard(around)
-        rest = written(known.join(reach, "t").filter((F.col("level") != level) | F.col("d").isNull() | (F.col("d") >= F.col("reach"))).drop("reach"), self.spark)
+        rest = self.kept(known.join(reach, "t").filter((F.col("level") != level) | F.col("d").isNull() | (F.col("d") >= F.col("reach"))).drop("reach"))
         discard(known)
         return found.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")), rest
 
@@ -286,7 +306,8 @@ class _Join:
         """Links between members of a region that are in no common component yet."""
         groups = components(self.spark, links)
         labelled = members.join(groups.withColumnRenamed("node", "x"), "x", "left").withColumn("group", F.coalesce("least", "x")).drop("least")
-        labelled = written(labelled, self.spark)
+        labelled = self.kept(labelled)
+        discard(groups)
         # Of two members of different groups at least one is not in the region's main group, that of a pivot if it had any links.
         main = F.coalesce(F.max(F.when(F.col("level") > 0, F.col("group"))), F.min("group")).alias("main")
         mixed = labelled.groupBy("t").agg(main, F.min("group").alias("g1"), F.max("group").alias("g2")).filter("g1 <> g2").select("t", "main")
@@ -312,9 +333,12 @@ def _classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, w
     kind = docs.schema[id_col].dataType.simpleString()
     points = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(_points(table, width, percent), f"id {kind}, key bigint, x bigint, n bigint, rare int, prefix array<bigint>, marks array<smallint>")
     points = written(points, spark)
+    table.destroy()
     several = points.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count("*").alias("m")).filter("m > 1")
-    members = points.filter(F.size("prefix") > 0).select("x", "n", "rare", "prefix").mapInArrow(_shared_members(_bitmap(spark, several, "t")), "t bigint, x bigint, n bigint, rare int, place int")
+    shared = _bitmap(spark, several, "t")
+    members = points.filter(F.size("prefix") > 0).select("x", "n", "rare", "prefix").mapInArrow(_shared_members(shared), "t bigint, x bigint, n bigint, rare int, place int")
     members = first_members = written(members.withColumns({"d": F.lit(None).cast("double"), "level": F.lit(0)}), spark)
+    shared.destroy()
     work, links = _Join(spark, texts, points, width, percent), None
     prefixed, points = points, written(points.select("id", "key", "x", "n"), spark)
     discard(prefixed)
@@ -332,6 +356,7 @@ def _classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, w
         members = rest.filter((F.col("m") > LEAF) & F.col("open")).drop("m", "open")
     links = links.unionAll(work.leaves(left.unionByName(members), links))
     groups = components(spark, links)
+    work.close()
     same = points.filter("n > 0").groupBy("x").agg(F.min("id").alias("first"))
     joined = same.join(groups.withColumnRenamed("node", "x"), "x", "left").withColumn("g", F.coalesce("least", "x"))
     # Only sets with links need the least id of their component from elsewhere.
