@@ -147,6 +147,20 @@ def test_ambiguous_pairs_are_counted_without_making_them(spark):
     assert pairs.schema.simpleString() == sums.schema.simpleString() and sorted(map(repr, pairs.collect())) == sorted(map(repr, sums.collect()))
 
 
+def test_prefix_match_copies_rows_of_one_file_in_many_tasks(spark, monkeypatch):
+    """Rows of a name in cells, stored as one file: they are dealt out before they are copied for each piece of the other side."""
+    monkeypatch.setattr(joins, "CELL_PAIRS", 20)
+    monkeypatch.setattr(joins, "CELL_SIDE", 2)
+
+    def side(one):
+        return spark.range(40).coalesce(1).select(F.col("id").alias(one), F.lit("d").alias("d"), F.lit("Ajax").alias("name"))
+
+    m = joins.prefix_match(side("id"), side("rid"), ["d"], "name").select("l.id", "r.rid")
+    copied = m._jdf.queryExecution().executedPlan().toString().split("Generate explode")[1:]
+    assert len(copied) == 2 and all("RoundRobinPartitioning" in x.split("FileScan")[0] for x in copied)
+    assert (m.count(), m.distinct().count()) == (1600, 1600)
+
+
 def test_previous_version_reads_the_history_once(spark, tmp_path):
     rows = [("a", 1, False, "h1", 10), ("a", 2, False, "h2", 20), ("a", 3, True, "h3", 30), ("b", 1, True, "h4", 40), (None, 1, False, "h5", 50), (None, 2, True, "h6", 60), ("c", 1, False, "h7", 70)]
     spark.createDataFrame(rows, "k string, valid_from int, is_current boolean, record_hash string, v int").write.parquet(str(tmp_path / "h"))
